@@ -61,7 +61,7 @@ def join_using_distinct(t: Tables):
        AND o_orderdate > TIMESTAMP '2000-01-01'""",
 )
 def join_left_residual(t: Tables):
-    valid = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") > F.lit("2000-01-01").cast("timestamp"))
+    valid = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") > F.lit("2000-01-01").cast("date"))
     return t.customer.join(t.orders, (F.col("c_custkey") == F.col("o_custkey")) & valid, "left").select("c_custkey", "o_orderkey")
 
 

@@ -1 +1,417 @@
 """The report jobs on inputs derived from the driver tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from billscope.catalog.base import AS_OF, PARAMS, Tables, query
+from billscope.catalog.changes import sql_uuid
+from billscope.catalog.report_inputs import report_input, report_inputs, sql_inputs
+from billscope.catalog.views import receipts
+from billscope.functions.text import UTM_PARTS
+from billscope.plans.active_report import DISPLAY, active_report
+from billscope.plans.brick_distribution import brick_distribution
+from billscope.plans.daily_sales import CategoryRule, daily_sales
+from billscope.plans.months_active import months_active
+from billscope.plans.prolongation import prolongation
+from billscope.plans.revenue import CATEGORIES, OTHER_CATEGORIES, revenue
+from billscope.plans.segmentation import segmentation
+from billscope.plans.trial import LIST_NAME, trial
+from billscope.plans.user_map import user_inn_map
+
+DATE = "DATE '1998-06-01'"
+
+
+def doubles(df):
+    """Money as double, the type the oracle compares."""
+    return df.withColumns({n: F.col(n).cast("double") for n, kind in df.dtypes if kind.startswith("decimal")})
+
+
+# --- daily sales -----------------------------------------------------------------------------------------
+
+SALES_RULES = (
+    CategoryRule("red ring", ("red|hot", "ring|bolt")),
+    CategoryRule("red", ("red|hot",), ("ring|bolt", "service")),
+)
+FIRST_SHIP, SHIP_DAYS = dt.date(1995, 1, 1), 3650
+
+DAILY_SQL = """WITH r AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date, l_suppkey AS cashbox, l_orderkey, l_linenumber, l_partkey, l_linestatus AS client,
+    p_name, l_extendedprice, l_quantity, l_tax, l_shipdate FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'R'),
+  one AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY cashbox, l_orderkey, l_linenumber, l_partkey, l_shipdate ORDER BY l_extendedprice) = 1),
+  p AS (SELECT date, cashbox, client, lower(p_name) AS name, CAST(l_quantity AS DECIMAL(19,4)) AS q, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM one
+    UNION ALL SELECT date, cashbox, client, 'service ' || lower(p_name), 1, CAST(round(l_quantity * 5 * 100) AS BIGINT) FROM one WHERE l_tax > 0),
+  c AS (SELECT *, CASE WHEN regexp_matches(name, 'red|hot') AND regexp_matches(name, 'ring|bolt') THEN 'red ring'
+    WHEN regexp_matches(name, 'red|hot') AND NOT regexp_matches(name, 'ring|bolt') AND NOT regexp_matches(name, 'service') THEN 'red' END AS category FROM p),
+  a AS (SELECT s_suppkey AS cashbox, 'R' || left(CAST(n_nationkey AS VARCHAR), 1) AS region_code, r_name AS region_name, n_name AS city_name, n_name || '_h' || s_suppkey || '_' || s_suppkey AS spot
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_acctbal > 0)
+  SELECT date, client, region_code, region_name, city_name, coalesce(spot, '__' || c.cashbox) AS sales_point_id, category, name AS product_name,
+    CAST(sum(q) AS DOUBLE) AS quantity, CAST(sum(cents) AS DOUBLE) / 100 AS sum_rub
+  FROM c LEFT JOIN a USING (cashbox) WHERE category IS NOT NULL GROUP BY ALL"""
+
+
+def registers(t: Tables):
+    """Two address documents per register; the later one counts."""
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = t.supplier.where(F.col("s_acctbal") > 0).join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+    part = lambda *fields: F.struct(*fields)
+    address = F.struct(
+        part(F.concat(F.lit("R"), F.col("n_nationkey").cast("string")).alias("code"), F.col("r_name").alias("name")).alias("region"),
+        part(F.col("n_name").alias("name")).alias("city"),
+        part(F.col("n_name").alias("guid")).alias("street"),
+        F.concat(F.lit("h"), F.col("s_suppkey").cast("string")).alias("house"),
+    )
+    current = rows.select(F.col("s_suppkey").alias("cashbox_number"), F.lit("2024-01-02").alias("from_time"), address.alias("address"))
+    return current.unionByName(current.withColumn("from_time", F.lit("2023-12-31")))
+
+
+@query("pipe_daily_sales", DAILY_SQL)
+def pipe_daily_sales(t: Tables):
+    return daily_sales(receipts(t), registers(t), FIRST_SHIP + dt.timedelta(days=SHIP_DAYS), SHIP_DAYS, SALES_RULES)
+
+
+# --- weekly distribution ---------------------------------------------------------------------------------
+
+BRICK_SQL = """WITH sku AS (SELECT upper(p_name) AS item, min(p_partkey) AS sku FROM part GROUP BY 1),
+  week AS (SELECT sku FROM sku WHERE item NOT LIKE 'COLD%'),
+  sold AS (SELECT DISTINCT strftime(CAST(l_shipdate AS DATE) - INTERVAL 1 MONTH, '%Y%m') AS period, l_suppkey AS register, sku
+    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN sku ON lower(item) = lower(p_name) JOIN week USING (sku) WHERE l_returnflag <> 'R'
+    UNION SELECT DISTINCT strftime(CAST(l_shipdate AS DATE) - INTERVAL 1 MONTH, '%Y%m'), l_suppkey, sku FROM lineitem JOIN part ON l_partkey = p_partkey
+      JOIN sku ON lower(item) = 'service ' || lower(p_name) JOIN week USING (sku) WHERE l_returnflag <> 'R' AND l_tax > 0),
+  reg AS (SELECT s_suppkey AS register, CAST(s_suppkey AS VARCHAR) AS inn, lower(CASE WHEN s_acctbal > 0 THEN n_name END) AS city, CASE WHEN s_acctbal < 5000 THEN lower(r_name) END AS region,
+    lower(r_name) AS district, lower(n_name) AS street, lower('h' || s_suppkey % 3) AS house
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+  cat AS (SELECT c_custkey AS entry, CAST(c_custkey AS VARCHAR) AS inn, lower(r_name || ', ' || n_name || ', h' || c_custkey % 3) AS full_address,
+    lower(n_name) AS city_text, lower(c_mktsegment) AS district_text, strftime(DATE '1995-01-01' + to_months(CAST(c_custkey % 70 AS INTEGER)), '%Y%m') AS period,
+    'b' || c_nationkey AS brick FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > -900),
+  hits AS (SELECT DISTINCT register, entry, period, brick FROM reg JOIN cat ON
+      (reg.inn = cat.inn AND contains(full_address, house) AND contains(full_address, street) AND contains(full_address, district))
+      OR contains(city_text, district) OR contains(city_text, city) OR contains(full_address, city) OR contains(district_text, city)
+      OR contains(full_address, region) OR contains(city_text, region))
+  SELECT brick, sku AS sku_id, CAST(count(DISTINCT entry) AS INTEGER) AS distribution FROM sold JOIN hits USING (register, period) GROUP BY brick, sku"""
+
+
+@query("pipe_brick_distribution", BRICK_SQL)
+def pipe_brick_distribution(t: Tables):
+    items = t.part.groupBy(F.upper("p_name").alias("check_item")).agg(F.min("p_partkey").alias("sku_id"))
+    week_skus = items.where(~F.col("check_item").like("COLD%")).select("sku_id")
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    named = lambda column: F.struct(column.alias("name"))
+    house = F.concat(F.lit("H"), (F.col("s_suppkey") % 3).cast("string"))
+    candidate = F.struct(
+        named(F.when(F.col("s_acctbal") < 5000, F.col("r_name"))).alias("region"),
+        named(F.when(F.col("s_acctbal") > 0, F.col("n_name"))).alias("city"),
+        named(F.col("r_name")).alias("district"),
+        named(F.col("n_name")).alias("street"),
+        house.alias("house"),
+    )
+    identity = lambda time: F.struct(F.col("s_suppkey").alias("cashbox_number"), F.lit(time).alias("from_time"))
+    documents = t.supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        identity("1994-12-31").alias("cashbox_id"),
+        F.col("s_suppkey").cast("string").alias("client_id"),
+        F.array(candidate).alias("address_candidates"),
+    )
+    too_new = documents.withColumn("cashbox_id", F.struct(F.col("cashbox_id.cashbox_number").alias("cashbox_number"), F.lit("1999-01-01").alias("from_time")))
+    month = F.date_format(F.add_months(F.lit(dt.date(1995, 1, 1)), (F.col("c_custkey") % 70).cast("int")), "yyyyMM")
+    entries = t.customer.where(F.col("c_acctbal") > -900).join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    catalog = entries.select(
+        F.col("c_custkey").alias("entry"),
+        month.alias("period"),
+        F.col("c_custkey").cast("string").alias("inn"),
+        F.concat(F.concat_ws(", ", "r_name", "n_name"), F.lit(", h"), (F.col("c_custkey") % 3).cast("string")).alias("full_address"),
+        F.col("n_name").alias("city"),
+        F.col("c_mktsegment").alias("district"),
+    )
+    bricks = t.customer.select(
+        F.col("c_custkey").alias("entry"), month.alias("period"), F.concat(F.lit("b"), F.col("c_nationkey").cast("string")).alias("brick")
+    )
+    return brick_distribution(
+        receipts(t), items, week_skus, documents.unionByName(too_new), catalog, bricks, FIRST_SHIP, SHIP_DAYS
+    )
+
+
+# --- months, users ---------------------------------------------------------------------------------------
+
+MONTHS_SQL = """WITH RECURSIVE m AS (SELECT l_linestatus || l_returnflag || ' ' || p_type AS model, CAST(l_shipdate AS DATE) AS month,
+    CAST(l_shipdate AS DATE) + p_size * 7 AS upto FROM lineitem JOIN part ON l_partkey = p_partkey
+    UNION ALL SELECT model, CAST(month + INTERVAL 1 MONTH AS DATE), upto FROM m WHERE month < upto)
+  SELECT model, month, count(*) AS n_active FROM m GROUP BY model, month"""
+
+
+@query("pipe_months_active", MONTHS_SQL)
+def pipe_months_active(t: Tables):
+    started = F.to_date("l_shipdate")
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.concat("l_linestatus", "l_returnflag", F.lit(" "), "p_type").alias("model"),
+        started.alias("registered"),
+        F.date_add(started, F.col("p_size") * 7).alias("fiscal_end"),
+    )
+    return months_active(rows)
+
+
+@query(
+    "pipe_user_inn_map",
+    sql_inputs("tracker")
+    + """SELECT DISTINCT json_extract_string(custom_variables, '$.organizationInn') AS inn, portal_user_id FROM in_tracker
+         WHERE portal_user_id <> '00000000-0000-0000-0000-000000000000' AND json_extract_string(custom_variables, '$.organizationInn') <> ''""",
+)
+def pipe_user_inn_map(t: Tables):
+    return user_inn_map(report_input(t, "tracker"))
+
+
+# --- renewal ---------------------------------------------------------------------------------------------
+
+RENEWAL_INPUTS = ("subscriptions", "clients", "bills", "bill_lines", "all_revenue", "segmentation", "all_categories", "offers", "activities", "org_registry")
+ROLE_SQL = """SELECT DISTINCT inn, CASE WHEN h LIKE '%производ%' THEN 'Производитель' WHEN h LIKE '%опт%' THEN 'Оптовик' WHEN h LIKE '%розн%' THEN 'Розница' WHEN h LIKE '%импорт%' THEN 'Импорт' END AS role
+  FROM (SELECT inn, lower(left(description, CAST(instr(lower(description), 'кто клиенты:') AS INTEGER) + 1)) AS h FROM in_offers JOIN in_activities USING (activity_id))"""
+RENEWAL_STEPS = {
+    "fas": """SELECT DISTINCT inn, coalesce(kpp, '') AS kpp, num, tariff_name, since, up_to, bill_date,
+        CASE WHEN tariff_name ILIKE 'Базовый%' THEN 'Базовый' WHEN tariff_name ILIKE 'Модуль %' THEN 'Модуль' END AS family
+        FROM (SELECT DISTINCT client_id, bill_id, tariff_name, since, up_to FROM in_subscriptions WHERE is_real = 1) JOIN in_clients USING (client_id) JOIN in_bills USING (bill_id)""",
+    "numbered": "SELECT *, row_number() OVER (PARTITION BY inn, family ORDER BY since, num, tariff_name, up_to, kpp, bill_date) AS s FROM fas",
+    "np": """SELECT c.*, CASE WHEN n.s IS NOT NULL AND n.since - c.up_to < 180 THEN 1 ELSE 0 END AS prolong, CAST(n.since - c.up_to AS INTEGER) AS defer,
+        n.num AS n_num, n.tariff_name AS n_tariff, n.bill_date AS n_bill_date, n.since AS n_since FROM numbered c LEFT JOIN numbered n ON n.inn = c.inn AND n.s = c.s + 1 AND n.family = c.family""",
+    "n5": """SELECT * REPLACE (CASE WHEN prolong = 1 THEN n_num END AS n_num, coalesce(n_tariff, '') AS n_tariff, CASE WHEN prolong = 1 THEN n_bill_date END AS n_bill_date,
+        CASE WHEN prolong = 1 THEN n_since END AS n_since) FROM np""",
+    "rev": """SELECT num, pay_date, inn, segment, CASE WHEN revenue_type = 'подключение' AND num IN (SELECT n_num FROM n5 WHERE n_num IS NOT NULL) THEN 'продление' ELSE revenue_type END AS revenue_type FROM in_all_revenue""",
+    "reasons": """SELECT DISTINCT inn, first_value(reject_reason) OVER (PARTITION BY inn ORDER BY reject_date DESC, reject_reason) AS reject_reason FROM in_offers
+        WHERE reject_reason IS NOT NULL AND inn IN (SELECT inn FROM n5 WHERE prolong = 0)""",
+    "roles": f"SELECT inn, string_agg(role, '; ' ORDER BY role) AS role FROM ({ROLE_SQL}) WHERE role IS NOT NULL AND inn IN (SELECT inn FROM fas) GROUP BY inn",
+    "summa": """SELECT num, tariff_name, sum(payed) AS payed FROM in_bill_lines WHERE bill_id IN (SELECT bill_id FROM in_subscriptions WHERE is_real = 1) GROUP BY num, tariff_name""",
+}
+
+
+@query(
+    "pipe_prolongation",
+    sql_inputs(*RENEWAL_INPUTS, **RENEWAL_STEPS)
+    + """SELECT DISTINCT CAST(year(t.up_to + 1) AS INTEGER) AS renewal_year, CAST(month(t.up_to + 1) AS INTEGER) AS renewal_month, t.inn, t.kpp, coalesce(a.role, '') AS role,
+        CASE WHEN s.segment = 'нераспределен' OR s.segment IS NULL THEN coalesce(w.product_group, '') ELSE s.segment END AS product_group, t.num, CAST(m.payed AS DOUBLE) AS tariff_sum, l.code,
+        t.tariff_name, t.since, t.up_to, t.prolong, t.defer, t.n_tariff AS next_tariff, t.n_num AS next_num, t.n_bill_date AS next_bill_date,
+        CAST(r.pay_date - t.n_bill_date AS INTEGER) AS days_to_pay, t.n_since AS next_since, o.status, q.reject_reason, DATE '1998-06-01' AS date_load
+      FROM n5 t JOIN (SELECT DISTINCT num, code FROM in_bill_lines) l ON l.num = t.num
+      LEFT JOIN reasons q ON q.inn = t.inn LEFT JOIN (SELECT DISTINCT inn, status FROM in_org_registry) o ON o.inn = t.inn
+      LEFT JOIN rev r ON r.num = t.n_num LEFT JOIN in_segmentation s ON s.inn = t.inn LEFT JOIN in_all_categories w ON w.inn = t.inn
+      LEFT JOIN roles a ON a.inn = t.inn LEFT JOIN summa m ON m.num = t.num AND m.tariff_name = t.family""",
+)
+def pipe_prolongation(t: Tables):
+    return doubles(prolongation(report_inputs(t, *RENEWAL_INPUTS), PARAMS, "Mark")["report"])
+
+
+@query(
+    "pipe_prolongation_revenue",
+    sql_inputs(*RENEWAL_INPUTS, **RENEWAL_STEPS) + "SELECT num, inn, revenue_type, pay_date, segment FROM rev",
+)
+def pipe_prolongation_revenue(t: Tables):
+    return prolongation(report_inputs(t, *RENEWAL_INPUTS), PARAMS, "Mark")["all_revenue"]
+
+
+# --- revenue ---------------------------------------------------------------------------------------------
+
+REVENUE_INPUTS = ("bill_lines", "payments", "payment_lines", "other_lines", "offer_links", "offers", "activities", "segmentation", "all_revenue")
+
+
+def _sums(categories):
+    return ", ".join(f"sum(CASE WHEN category = '{c}' THEN cost END) AS \"{c}\"" for c in categories)
+
+
+REVENUE_STEPS = {
+    "w": """SELECT num, inn, cost, CASE WHEN price_set_name ILIKE 'Внедрение%' THEN 'Внедрение' WHEN price_set_name ILIKE 'Сопровождение%' THEN 'Сопровождение'
+        WHEN price_set_name ILIKE 'Модуль Оборудование тариф%' THEN 'Модуль Оборудование' ELSE price_set_name END AS category FROM in_bill_lines c
+        WHERE price_set_name <> 'Тест-драйв 7 дней' AND num NOT IN (SELECT num FROM in_all_revenue)
+        AND EXISTS (SELECT 1 FROM in_payment_lines pc JOIN in_payments p ON p.payment_id = pc.payment_id WHERE p.bill_id = c.bill_id AND pc.bill_line_id = c.bill_line_id
+          AND p.pay_date BETWEEN DATE '1995-06-01' AND DATE '1998-06-01')""",
+    "act": f"SELECT num, min(inn) AS inn, {_sums(CATEGORIES)} FROM w GROUP BY num",
+    "act2": f"""SELECT num, {_sums(OTHER_CATEGORIES)} FROM (SELECT num, cost, CASE WHEN price_set_name ILIKE 'Доставка%' THEN 'доставка и бамперы' ELSE price_set_name END AS category FROM in_other_lines) GROUP BY num""",
+    "ext": "SELECT bill_num AS num, string_agg(external_id, '; ' ORDER BY external_id) AS ext FROM in_offer_links JOIN in_offers USING (offer_id) WHERE external_id IS NOT NULL GROUP BY bill_num",
+    "rev": f"""SELECT num, inn, revenue_type, pay_date, segment, {', '.join(f'NULL AS "{c}"' for c in CATEGORIES + OTHER_CATEGORIES)}, NULL AS external_ids FROM in_all_revenue
+        UNION ALL SELECT num, inn, NULL, NULL, 'нераспределен', {', '.join(f'"{c}"' for c in CATEGORIES)}, {', '.join(f'coalesce("{c}", 0)' for c in OTHER_CATEGORIES)}, coalesce(ext, '')
+        FROM act LEFT JOIN act2 USING (num) LEFT JOIN ext USING (num)""",
+}
+
+
+@query(
+    "pipe_revenue",
+    sql_inputs(*REVENUE_INPUTS, **REVENUE_STEPS)
+    + f"""SELECT r.num, r.inn, r.revenue_type, r.pay_date, CASE WHEN s.segment <> r.segment AND s.segment <> 'нераспределен' THEN s.segment ELSE r.segment END AS segment,
+          {', '.join(f'CAST(r."{c}" AS DOUBLE) AS "{c}"' for c in CATEGORIES + OTHER_CATEGORIES)}, r.external_ids FROM rev r LEFT JOIN in_segmentation s ON s.inn = r.inn
+          WHERE r.num NOT IN (SELECT num FROM in_bill_lines GROUP BY num HAVING sum(payed) = 0)
+          AND r.num NOT IN (SELECT num FROM in_bill_lines GROUP BY num HAVING round(sum(payed), 0) < round(sum(cost), 0) AND sum(payed) > 0)""",
+)
+def pipe_revenue(t: Tables):
+    return doubles(revenue(report_inputs(t, *REVENUE_INPUTS), PARAMS)["all_revenue"])
+
+
+@query(
+    "pipe_revenue_roles",
+    sql_inputs(*REVENUE_INPUTS, **REVENUE_STEPS)
+    + f"""SELECT inn, string_agg(role, '; ' ORDER BY role) AS role FROM ({ROLE_SQL}) WHERE role IS NOT NULL
+          AND inn IN (SELECT inn FROM in_all_revenue UNION SELECT inn FROM w) GROUP BY inn""",
+)
+def pipe_revenue_roles(t: Tables):
+    return revenue(report_inputs(t, *REVENUE_INPUTS), PARAMS)["roles"]
+
+
+# --- segmentation ----------------------------------------------------------------------------------------
+
+SEGMENT_INPUTS = ("tracker", "tag_catalog", "segmentation", "bill_lines", "payment_lines", "payments", "offers", "activities")
+SEGMENT_STEPS = {
+    "used": """SELECT DISTINCT json_extract_string(custom_variables, '$.organizationInn') AS inn, json_extract_string(custom_variables, '$.productGroup') AS product_group FROM in_tracker
+        WHERE portal_user_id <> '00000000-0000-0000-0000-000000000000' AND json_extract_string(custom_variables, '$.organizationInn') <> ''""",
+    "ug": "SELECT inn, string_agg(segment, ', ' ORDER BY segment) AS pg FROM used JOIN in_tag_catalog ON product_group = tags GROUP BY inn",
+    "s1": "SELECT s.* REPLACE (CASE WHEN pg IS NOT NULL AND (segment <> pg OR segment IS NULL) THEN pg ELSE segment END AS segment) FROM in_segmentation s LEFT JOIN ug USING (inn)",
+    "pays": """SELECT inn, pay_date, manager_name FROM in_bill_lines JOIN in_payment_lines USING (bill_line_id) JOIN in_payments USING (payment_id)
+        WHERE payed > 1 AND price_set_name ILIKE '%базовый%' AND inn NOT IN (SELECT inn FROM in_segmentation) GROUP BY manager_name, inn, pay_date""",
+    "cached": """SELECT DISTINCT inn, min(pay_date) OVER (PARTITION BY inn ORDER BY pay_date, manager_name) AS pay_date,
+        first_value(manager_name) OVER (PARTITION BY inn ORDER BY pay_date, manager_name) AS manager_name FROM pays""",
+    "n1": """SELECT DISTINCT o.inn, i.segment FROM in_offers o JOIN in_activities a USING (activity_id)
+        JOIN in_tag_catalog i ON lower(description) LIKE '%#' || lower(tags) || '%' OR lower(description) LIKE '% ' || lower(tags) || '%' OR lower(description) LIKE lower(tags) || '%'
+        WHERE o.inn IN (SELECT inn FROM cached UNION SELECT inn FROM s1 WHERE segment = 'нераспределен' OR segment IS NULL) AND o.inn NOT IN (SELECT inn FROM ug)""",
+    "n2": "SELECT inn, string_agg(segment, ', ' ORDER BY segment) AS pg FROM n1 GROUP BY inn",
+    "s2": "SELECT s.* REPLACE (CASE WHEN pg IS NOT NULL AND (segment <> pg OR segment IS NULL) THEN pg ELSE segment END AS segment) FROM s1 s LEFT JOIN n2 USING (inn)",
+    "tags": "SELECT inn, pg FROM ug WHERE inn IN (SELECT inn FROM cached) UNION SELECT inn, pg FROM n2 WHERE inn IN (SELECT inn FROM cached)",
+    "fresh": """SELECT CAST(floor((dayofyear(pay_date) - 1 + dayofweek(date_trunc('year', pay_date))) / 7) + 1 AS INTEGER) AS week_num,
+        coalesce(string_agg(pg, ', ' ORDER BY pg), 'нераспределен') AS segment, inn, manager_name, pay_date FROM cached LEFT JOIN tags USING (inn) GROUP BY week_num, inn, manager_name, pay_date""",
+    "added": """SELECT week_num, segment, inn, manager_name, pay_date, CASE WHEN segment LIKE '%,%' THEN 'мультиотрасль' WHEN segment = 'нераспределен' THEN 'неизвестно' ELSE segment END AS tip
+        FROM fresh WHERE inn NOT IN (SELECT inn FROM s2)""",
+}
+
+
+@query(
+    "pipe_segmentation",
+    sql_inputs(*SEGMENT_INPUTS, **SEGMENT_STEPS)
+    + "SELECT week_num, segment, inn, manager_name, pay_date, tip FROM s2 UNION ALL SELECT week_num, segment, inn, manager_name, pay_date, tip FROM added",
+)
+def pipe_segmentation(t: Tables):
+    return segmentation(report_inputs(t, *SEGMENT_INPUTS), PARAMS)["segmentation"]
+
+
+@query(
+    "pipe_segmentation_unmapped",
+    sql_inputs(*SEGMENT_INPUTS, **SEGMENT_STEPS)
+    + "SELECT string_agg(product_group, '; ' ORDER BY product_group) AS unmapped FROM (SELECT DISTINCT product_group FROM used) WHERE product_group NOT IN (SELECT tags FROM in_tag_catalog)",
+)
+def pipe_segmentation_unmapped(t: Tables):
+    return segmentation(report_inputs(t, *SEGMENT_INPUTS), PARAMS)["unmapped"]
+
+
+# --- active report ---------------------------------------------------------------------------------------
+
+ACTIVE_INPUTS = ("subscriptions", "clients", "bills", "agents", "org_registry", "payer_links", "tracker", "bill_lines", "segmentation")
+_WIDE = """inn, kpp, short_name, role, revenue_last_known, agent_name, center_segment, department, bill_date, bill_sum, payed, pay_date, since, up_to, status, bill_id, agent_code, hold, current"""
+_SHOWN = ", ".join(DISPLAY)
+ACTIVE_STEPS = {
+    "t": f"""SELECT DISTINCT client_id, agent_id, bill_id, tariff_name, since, up_to, '1' AS current FROM in_subscriptions WHERE {DATE} BETWEEN since AND up_to AND is_real = 1
+        UNION SELECT client_id, agent_id, bill_id, tariff_name, since, up_to, '0' FROM in_subscriptions WHERE since > {DATE} AND is_real = 1""",
+    "test": f"""SELECT DISTINCT c.inn, coalesce(c.kpp, '') AS kpp, g.short_name, g.role, g.revenue_last_known, a.code AS hold, z.agent_name,
+        CASE WHEN z.center_segment = 'Остальные' THEN 'Масс' ELSE z.center_segment END AS center_segment, z.department, b.bill_date, b.bill_sum, b.payed, b.pay_date, t.since, t.up_to, t.tariff_name,
+        g.status, b.bill_id, z.code AS agent_code, t.client_id, t.current FROM t JOIN in_clients c ON c.client_id = t.client_id JOIN in_bills b ON b.bill_id = t.bill_id JOIN in_agents z ON z.agent_id = t.agent_id
+        LEFT JOIN in_org_registry g ON g.inn = c.inn AND g.kpp = c.kpp
+        LEFT JOIN in_payer_links p ON p.payer_id = t.client_id AND p.expiration_date > {DATE} AND p.product_id = 'Mark' LEFT JOIN in_agents a ON a.code = p.center_code""",
+    "w": f"SELECT {_WIDE}, string_agg(tariff_name, '; ' ORDER BY tariff_name) AS tariff FROM test GROUP BY {_WIDE}",
+    "vis": f"SELECT json_extract_string(custom_variables, '$.organizationInn') AS inn, event_date, action, category FROM in_tracker WHERE site_id = '79' AND event_date < {DATE} AND json_extract_string(custom_variables, '$.organizationInn') <> ''",
+    "act": "SELECT inn, max(event_date) AS last_date FROM vis WHERE action NOT IN ('Переход в раздел', 'Отправка в архив') AND category NOT IN ('Сотрудники', 'Настройки') GROUP BY inn",
+    "com": "SELECT w.*, CASE WHEN inn IN (SELECT inn FROM vis) THEN 1 ELSE 0 END AS enter, last_date FROM w LEFT JOIN act USING (inn)",
+    "excluded": """SELECT DISTINCT price_set_name FROM in_bill_lines WHERE (price_set_name LIKE 'Внедрение%' OR price_set_name LIKE 'Доставка%' OR price_set_name LIKE 'Пакет для обработки%') AND bill_id IN (SELECT bill_id FROM com)""",
+    "net": "SELECT DISTINCT bill_id, doc_sum - sum(cost) AS pure_sum FROM in_bill_lines WHERE price_set_name IN (SELECT * FROM excluded) AND bill_id IN (SELECT bill_id FROM t) GROUP BY bill_id, doc_sum",
+    "s": f"""SELECT DISTINCT inn, kpp, short_name, role, revenue_last_known, agent_name, center_segment, department, bill_date, payed, strftime(com.pay_date, '%d.%m.%Y') AS pay_date,
+        strftime(since, '%d.%m.%Y') AS since, strftime(up_to, '%d.%m.%Y') AS up_to, tariff, enter, last_date, status, g.segment AS product_group, coalesce(pure_sum, bill_sum) AS summ_plan,
+        strftime(up_to + 1, '%d.%m.%Y') AS plan_date, bill_id, agent_code, since AS since_date, up_to AS up_to_date, current, hold
+        FROM com LEFT JOIN net USING (bill_id) LEFT JOIN (SELECT inn, segment FROM in_segmentation) g USING (inn)""",
+    "dd": "SELECT * FROM s WHERE NOT (inn IN (SELECT inn FROM s GROUP BY inn HAVING count(DISTINCT hold) > 1) AND coalesce(agent_code <> hold, FALSE))",
+    "base": f"SELECT DISTINCT {', '.join('d.' + c for c in DISPLAY if c not in ('tariff', 'summ_plan'))} FROM dd d WHERE tariff ILIKE '%базовый%'",
+    "pd": f"""SELECT {', '.join('d.' + c for c in DISPLAY if c not in ('tariff', 'summ_plan'))}, string_agg(s.tariff, '; ' ORDER BY s.tariff) AS tariff, sum(s.summ_plan) AS summ_plan
+        FROM base d, dd s WHERE d.inn = s.inn AND d.current = s.current GROUP BY ALL""",
+    "p": f"SELECT {_SHOWN} FROM pd UNION SELECT {_SHOWN} FROM s WHERE inn NOT IN (SELECT inn FROM pd)",
+}
+
+
+@query(
+    "pipe_active_report",
+    sql_inputs(*ACTIVE_INPUTS, **ACTIVE_STEPS)
+    + f"SELECT * REPLACE (CAST(revenue_last_known AS DOUBLE) AS revenue_last_known, CAST(payed AS DOUBLE) AS payed, CAST(summ_plan AS DOUBLE) AS summ_plan) FROM p",
+)
+def pipe_active_report(t: Tables):
+    return doubles(active_report(report_inputs(t, *ACTIVE_INPUTS), PARAMS)["report"])
+
+
+@query(
+    "pipe_active_upcoming",
+    sql_inputs(*ACTIVE_INPUTS, **ACTIVE_STEPS)
+    + """SELECT p1.inn, CAST(CASE WHEN p1.summ_plan - p2.summ_plan < 0 THEN 0 ELSE p1.summ_plan - p2.summ_plan END AS DOUBLE) AS sum_plan, coalesce(p2.plan_date, p1.plan_date) AS plan_date,
+         p1.bill_id, p2.tariff AS tariff_2, p2.since_date AS since_2, p2.up_to_date AS up_to_2 FROM p p1, p p2 WHERE p1.inn = p2.inn AND p1.current = '1' AND p2.current = '0'""",
+)
+def pipe_active_upcoming(t: Tables):
+    return doubles(active_report(report_inputs(t, *ACTIVE_INPUTS), PARAMS)["upcoming"])
+
+
+# --- trial -----------------------------------------------------------------------------------------------
+
+TRIAL_INPUTS = (
+    "trial_orgs", "load_log", "prospect_sales", "client_bills", "trial_events", "subscriptions", "clients", "org_registry", "prospect_cards", "tasks", "offers",
+)
+_J = lambda key: f"json_extract_string(variables, '$.{key}')"
+_UTM = {"utm_source": "utmSource", "utm_medium": "utmMedium", "utm_type": "utmType"}
+TRIAL_STEPS = {
+    "t1": """SELECT t.* REPLACE (CASE WHEN t.pp_id IS NULL AND response IS NOT NULL THEN response ELSE pp_id END AS pp_id,
+        CASE WHEN t.pp_id IS NULL AND response IS NOT NULL THEN CAST(l.date AS DATE) ELSE load_to_crm_date END AS load_to_crm_date) FROM in_trial_orgs t LEFT JOIN in_load_log l ON object_id = create_pp_id""",
+    "t2": "SELECT t.* REPLACE (coalesce(kp_id, s.offer_id) AS kp_id) FROM t1 t LEFT JOIN in_prospect_sales s ON sale_id = pp_id",
+    "t3": """SELECT * REPLACE (CASE WHEN paid_bill IS NULL AND EXISTS (SELECT 1 FROM in_client_bills b WHERE b.inn = t2.inn AND bill_payed > 0 AND pay_date >= load_to_crm_date) THEN 1 ELSE paid_bill END AS paid_bill) FROM t2""",
+    "d": f"""SELECT DISTINCT {_J('inn')} AS inn, {_J('userId')} AS user_id, {_J('contactPerson')} AS user_name, {_J('phone')} AS phone, '' AS email, client_date AS event_date FROM in_trial_events
+        WHERE topic = 'Market' AND category = 'Service' AND action = 'Adk.SaveContactsOnCreateTrialOrganizationEvent' AND client_date = {DATE} - 1""",
+    "u": f"""SELECT DISTINCT {_J('userId')} AS user_id, {', '.join(f'{_J(k)} AS {c}' for c, k in _UTM.items())} FROM in_trial_events
+        WHERE category = 'AdkService' AND action = 'Adk.SaveUtmContentEvent' AND client_date = {DATE} - 1""",
+    "fresh": """SELECT inn, max(user_id) AS user_id, max(user_name) AS user_name, max(phone) AS phone, max(email) AS email, max(event_date) AS event_date FROM d
+        WHERE NOT EXISTS (SELECT 1 FROM t3 WHERE t3.inn = d.inn) GROUP BY inn""",
+    "busy": f"""SELECT DISTINCT inn FROM in_subscriptions JOIN in_clients USING (client_id) WHERE is_real = 1 AND {DATE} BETWEEN since AND up_to AND tariff_name ILIKE 'Отчетность %'
+        UNION SELECT inn FROM in_client_bills WHERE bill_payed = bill_sum AND pay_date > {DATE} - INTERVAL 1 YEAR""",
+    "left_over": "SELECT * FROM fresh WHERE NOT EXISTS (SELECT 1 FROM busy WHERE busy.inn = fresh.inn)",
+    "head": """SELECT DISTINCT inn, first_value(kpp) OVER w AS kpp, first_value(region_code) OVER w AS region_code, first_value(ct) OVER w AS city, first_value(addr) OVER w AS addr,
+        first_value(short_name) OVER w AS short_name FROM in_org_registry WINDOW w AS (PARTITION BY inn ORDER BY is_head DESC, kpp)""",
+    "emk0": r"""SELECT DISTINCT inn, kpp, region_code, head.city, addr, short_name, event_date, '{"UTM":"' || CASE WHEN utm_source <> '' THEN 'utm_source=' || utm_source ELSE '' END
+        || CASE WHEN utm_medium <> '' THEN '&utm_medium=' || utm_medium ELSE '' END || CASE WHEN utm_type <> '' THEN '&utm_type=' || utm_type ELSE '' END || '"}' AS specific_data,
+        'Клиент создал орзанизацию. Познакомьте клиента с сервисом и выставьте счет.\nФИО: ' || coalesce(user_name, '') || '\nТелефон: ' || coalesce(phone, '') || '\nЭлектронная почта: ' || coalesce(email, '')
+        || '\nДата регистрации: ' || CAST(event_date AS VARCHAR) || '\n' AS comment FROM left_over JOIN head USING (inn) LEFT JOIN u USING (user_id)""",
+    "emk": f"""SELECT *, {sql_uuid("'client|' || inn || '|' || specific_data || '|' || comment")} AS client_id, {sql_uuid("'lead|' || inn || '|' || specific_data || '|' || comment")} AS create_pp_id FROM emk0""",
+    "best": "SELECT DISTINCT inn, first_value(card_id) OVER (PARTITION BY inn ORDER BY temperature, created DESC, card_id) AS pp_id FROM in_prospect_cards WHERE state IN (1, 3)",
+    "existing": "SELECT DISTINCT comment, create_pp_id, pp_id FROM emk JOIN best USING (inn)",
+    "leads": "SELECT *, CAST(row_number() OVER (ORDER BY inn, create_pp_id) AS INTEGER) AS row_id FROM emk WHERE create_pp_id NOT IN (SELECT create_pp_id FROM existing)",
+}
+
+
+def run_trial(t: Tables):
+    inputs = report_inputs(t, *TRIAL_INPUTS)
+    inputs["events"] = inputs.pop("trial_events")
+    return trial(inputs, PARAMS)
+
+
+@query("pipe_trial_onboarding", sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS) + "SELECT * FROM leads")
+def pipe_trial_onboarding(t: Tables):
+    return run_trial(t)["leads"]
+
+
+@query("pipe_trial_orgs", sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS) + "SELECT * FROM t3")
+def pipe_trial_orgs(t: Tables):
+    return run_trial(t)["trial_orgs"]
+
+
+@query(
+    "pipe_trial_outbox",
+    sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS)
+    + f"""SELECT {sql_uuid(f"'task|1998-06-01|{LIST_NAME}'")} AS task_id, lpad(CAST((SELECT max(CAST(left(brief_id, 5) AS INTEGER)) FROM in_tasks) + 1 AS VARCHAR), 5, '0') || '_TrialKMExt' AS list_id,
+          '{LIST_NAME}' AS base_name, pp_id, comment FROM existing""",
+)
+def pipe_trial_outbox(t: Tables):
+    return run_trial(t)["comments"]
+
+
+@query(
+    "pipe_trial_summary",
+    sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS)
+    + f"""SELECT CAST((SELECT count(*) FROM t3 WHERE load_to_crm_date = {DATE} - 1) AS VARCHAR) AS created_yesterday,
+          coalesce((SELECT string_agg(url, ' <br> ' ORDER BY url) FROM (SELECT 'https://sales/activities/' || activity_id AS url FROM t3 JOIN in_prospect_sales ON sale_id = pp_id
+            JOIN in_offers USING (offer_id) WHERE load_to_crm_date = {DATE} - 1)), 'не было карточек') AS cards,
+          (SELECT count(*) FROM leads) AS n_leads, CASE WHEN (SELECT count(*) FROM leads) = 0 THEN 'Новых созданных организаций по Триалу нет' ELSE '' END AS note""",
+)
+def pipe_trial_summary(t: Tables):
+    return run_trial(t)["summary"]

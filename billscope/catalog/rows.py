@@ -98,7 +98,7 @@ def filter_regex_flag(t: Tables):
        WHERE event_type = 'signup' AND value > 1 AND CAST(ts AS DATE) < DATE '2024-01-15'""",
 )
 def filter_event(t: Tables):
-    before = t.events.where(F.col("ts") < F.lit(EVENTS_AS_OF).cast("timestamp"))
+    before = t.events.where(F.col("ts") < F.lit(EVENTS_AS_OF))
     return before.where((F.col("event_type") == "signup") & (F.col("value") > 1)).select(
         "event_id", "user_id", F.to_date("ts").alias("day")
     )

@@ -110,7 +110,7 @@ def scan_nested_docs(t: Tables):
 
 @query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-06-01'")
 def scan_parquet(t: Tables):
-    recent = t.lineitem.where(F.col("l_shipdate") >= F.lit(AS_OF).cast("timestamp"))
+    recent = t.lineitem.where(F.col("l_shipdate") >= F.lit(AS_OF))
     return recent.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 

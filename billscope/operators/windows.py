@@ -32,8 +32,8 @@ def order_struct(df: DataFrame, order: Sequence[tuple[str, str]]) -> Column:
         kind = types[name]
         if isinstance(kind, T.DateType):
             column = F.unix_date(column)
-        elif isinstance(kind, T.TimestampType):
-            column = F.unix_micros(column)
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            column = F.unix_micros(column.cast("timestamp"))
         elif not isinstance(kind, T.NumericType):
             raise ValueError(f"descending order needs a number, date or timestamp: {name}")
         parts += [F.col(name).isNull().alias(f"n{position}"), (-column).alias(f"k{position}")]

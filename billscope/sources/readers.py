@@ -31,9 +31,7 @@ def on_days(df: DataFrame, column: str, first: dt.date, days: int = 1) -> DataFr
     Compares the bare column, so a date partition is pruned and a Parquet date or timestamp is pushed down.
     """
     last = first + dt.timedelta(days=days)
-    kind = df.schema[column].dataType.typeName()
-    low, high = (F.lit(first), F.lit(last)) if kind == "date" else (F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"))
-    return df.where((F.col(column) >= low) & (F.col(column) < high))
+    return df.where((F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(last)))
 
 
 def typed_landing(df: DataFrame, columns: dict[str, tuple[Column, str]], required: Sequence[str] = (), strict: Sequence[str] = ()) -> DataFrame:
