@@ -94,7 +94,7 @@ def win_lead(t: Tables):
 def identity(t: Tables):
     rows = subs(t).select("id", "inn", "since")
     # at least a few segments even on small inputs, so no task ever sorts the whole table
-    numbered = row_identity(rows, ["since", "id"], day_position(F.col("since"), F.col("id")), rows_per_task=2_000)
+    numbered = row_identity(rows, ["since", "id"], day_position(F.col("since"), F.col("id")), rows_per_task=5_000)
     return numbered.select("id", "inn", "row_id")
 
 

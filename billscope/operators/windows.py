@@ -18,6 +18,7 @@ from billscope.session import cut
 
 ROWS_PER_TASK = 2_000_000
 MAX_SEGMENTS = 1_000
+BLOCK = 32  # cuts are searched by block head first, then inside one block
 
 
 def order_struct(df: DataFrame, order: Sequence[tuple[str, str]]) -> Column:
@@ -109,7 +110,14 @@ def _cut_points(df: DataFrame, keys: Sequence[str], position: Column, rows_per_t
     )
     step = F.greatest(F.lit(1), F.floor(F.lit(segments) * F.lit(rows_per_task) / F.col("_rows"))).cast("int")
     own = F.filter("_all", lambda _, i: F.pmod(i + 1, step) == 0)
-    return cut(cuts.select(*[f"_h_{k}" for k in keys], F.array_distinct(own).alias("_cuts")))
+    cuts = cuts.select(*[f"_h_{k}" for k in keys], F.array_distinct(own).alias("_cuts"))
+    return cut(cuts.withColumn("_heads", F.filter("_cuts", lambda _, i: i % BLOCK == 0)))
+
+
+def _passed(points: Column) -> Column:
+    """How many of the points the row's position has reached; the position is worked out once, not per point."""
+    reached = F.zip_with(points, F.array_repeat(F.col("_at"), F.size(points)), lambda point, at: point <= at)
+    return F.coalesce(F.size(F.filter(reached, lambda yes: yes)), F.lit(0))
 
 
 def in_sequence(
@@ -139,9 +147,12 @@ def in_sequence(
             placed = df.join(F.broadcast(cuts), _same_keys(df, cuts, keys), "left").drop(*[f"_h_{k}" for k in keys])
         else:  # one group: its cuts are a single bounded array
             points = cuts.first()["_cuts"]
-            placed = df.withColumn("_cuts", F.array(*[F.lit(p) for p in points]))
-        at = position.cast("double")
-        segment = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c <= at)))
+            placed = df.withColumn("_cuts", F.array(*[F.lit(p) for p in points])).withColumn(
+                "_heads", F.array(*[F.lit(p) for p in points[::BLOCK]])
+            )
+        placed = placed.withColumn("_at", position.cast("double")).withColumn("_block", _passed(F.col("_heads")))
+        inside = _passed(F.slice("_cuts", (F.col("_block") - 1) * BLOCK + 1, F.lit(BLOCK)))
+        segment = F.when(F.col("_block") > 0, (F.col("_block") - 1) * BLOCK + inside).otherwise(0)
         placed = placed.withColumn("_seg", segment)
         head = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *following])])
         totals = (
@@ -156,7 +167,7 @@ def in_sequence(
             F.coalesce(F.sum("_rows").over(over_segments.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
             F.lead("_head").over(over_segments).alias("_after"),
         )
-        placed = placed.drop("_cuts")
+        placed = placed.drop("_cuts", "_heads", "_at", "_block")
         joined = placed.join(F.broadcast(carried), _same_keys(placed, carried, keys, ["_seg"]), "left")
         window = Window.partitionBy(*keys, "_seg").orderBy(*order)
         out = joined.withColumn(

@@ -13,6 +13,7 @@ from billscope.operators.changes import delete_where
 from billscope.operators.joins import exists_in, not_in
 from billscope.params import ReportParams
 from billscope.plans.vocabulary import BASE_TARIFF, REPORT_DATE_FORMAT
+from billscope.session import cut
 
 # One-off services and hardware that do not count towards the plan sum.
 ONE_OFF_PATTERNS = (
@@ -82,7 +83,10 @@ def last_activity(tracker: DataFrame, as_of) -> DataFrame:
 
 
 def enriched(inputs: dict[str, DataFrame], params: ReportParams) -> DataFrame:
-    """Subscriptions with client, bill, agent, registry and holder; tariffs of equal rows as one text."""
+    """Subscriptions with client, bill, agent, registry and holder; tariffs of equal rows as one text.
+
+    A group is one bill and period, so the set it collects is no longer than the list of tariffs.
+    """
     subs = in_force_or_future(inputs["subscriptions"], params.as_of)
     clients = inputs["clients"].select("client_id", "inn", F.col("kpp").alias("_kpp"))
     agents = inputs["agents"]
@@ -108,10 +112,15 @@ def enriched(inputs: dict[str, DataFrame], params: ReportParams) -> DataFrame:
         .join(registry, ["inn", "_kpp"], "left")
         .join(holders, "client_id", "left")
         .withColumn("kpp", F.coalesce("_kpp", F.lit("")))
-        .select(*CLIENT, *BILL, "status", "bill_id", "agent_code", "hold", "current", "client_id", "tariff_name")
-        .distinct()
     )
-    return string_agg(rows, [*CLIENT, *BILL, "status", "bill_id", "agent_code", "hold", "current"], "tariff_name", "; ", "tariff")
+    bundle = F.collect_set(F.struct("tariff_name", "client_id"))
+    names = F.array_sort(F.transform("_bundle", lambda b: b["tariff_name"]))
+    wide = [*CLIENT, *BILL, "status", "bill_id", "agent_code", "hold", "current"]
+    return (
+        rows.groupBy(*wide)
+        .agg(bundle.alias("_bundle"))
+        .select(*wide, F.when(F.size(F.array_compact(names)) > 0, F.array_join(names, "; ")).alias("tariff"))
+    )
 
 
 def detail_rows(inputs: dict[str, DataFrame], params: ReportParams) -> DataFrame:
@@ -122,8 +131,9 @@ def detail_rows(inputs: dict[str, DataFrame], params: ReportParams) -> DataFrame
     """
     rows = enriched(inputs, params)
     one_off = inputs["bill_lines"].where(matches_any(F.col("price_set_name"), ONE_OFF_PATTERNS))
+    listed = in_force_or_future(inputs["subscriptions"], params.as_of)
     net = (
-        exists_in(one_off, rows, "bill_id")
+        exists_in(one_off, listed, "bill_id")
         .groupBy("bill_id", "doc_sum")
         .agg((F.col("doc_sum") - F.sum("cost")).alias("pure_sum"))
         .select("bill_id", "pure_sum")
@@ -200,8 +210,10 @@ def active_report(inputs: dict[str, DataFrame], params: ReportParams) -> dict[st
     Inputs: subscriptions, clients, bills, agents, org_registry, payer_links, tracker, bill_lines,
     segmentation.
     """
-    detail = detail_rows(inputs, params)
-    base = rolled_up(without_foreign_holders(detail))
-    plain = detail.select(*DISPLAY)
-    report = base.unionByName(not_in(plain, base.select("inn"), "inn")).distinct()
+    detail = cut(detail_rows(inputs, params))  # read five times below
+    kept = without_foreign_holders(detail)
+    base = rolled_up(kept)
+    based = kept.where(F.col("tariff").ilike(BASE_TARIFF) & F.col("inn").isNotNull()).select("inn")
+    plain = not_in(detail.select(*DISPLAY), based, "inn").distinct()
+    report = base.unionByName(plain)
     return {"report": report, "upcoming": upcoming_pairs(report)}

@@ -13,6 +13,7 @@ from billscope.operators.windows import ROWS_PER_TASK, first_per_key, in_sequenc
 from billscope.params import ReportParams
 from billscope.plans.roles import role_lists
 from billscope.plans.vocabulary import UNASSIGNED
+from billscope.session import cut
 
 # Tariff families and revenue kinds.
 FAMILY_RULES = ((("Базовый%",), "Базовый"), (("Модуль %",), "Модуль"))
@@ -74,12 +75,27 @@ def renewals(chain: DataFrame, gap_days: int, rows_per_task: int = ROWS_PER_TASK
     )
 
 
+def bill_codes(lines: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """(``num``, ``code``) of every bill with the money paid per tariff family on subscribed bills.
+
+    One pass over the lines: the few codes of a bill are collected beside its sums.
+    """
+    subscribed = subscriptions.where(F.col("is_real") == 1).select("bill_id").distinct().withColumn("_own", F.lit(True))
+    sums = [
+        F.sum(F.when(F.col("_own") & (F.col("tariff_name") == family), F.col("payed"))).alias(family)
+        for _, family in FAMILY_RULES
+    ]
+    per_bill = lines.join(subscribed, "bill_id", "left").groupBy("num").agg(F.collect_set(F.struct("code")).alias("_codes"), *sums)
+    return per_bill.select("num", F.explode("_codes").alias("_code"), *[family for _, family in FAMILY_RULES]).select(
+        "num", F.col("_code.code").alias("code"), *[family for _, family in FAMILY_RULES]
+    )
+
+
 def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: str, rows_per_task: int = ROWS_PER_TASK) -> dict[str, DataFrame]:
     """``report``: one row per subscription and bill-line code; ``all_revenue``: the corrected revenue table."""
     subscriptions = inputs["subscriptions"]
-    rows = renewals(
-        subscription_chain(subscriptions, inputs["clients"], inputs["bills"]), params.renewal_gap_days, rows_per_task
-    )
+    chain = cut(subscription_chain(subscriptions, inputs["clients"], inputs["bills"]))  # counted, then numbered
+    rows = cut(renewals(chain, params.renewal_gap_days, rows_per_task))  # read five times below
 
     renewing = rows.select(F.col("next_num").alias("num")).where(F.col("num").isNotNull())
     revenue = update_where_exists(
@@ -100,21 +116,18 @@ def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: st
     )
 
     roles = role_lists(inputs["offers"], inputs["activities"], rows.select("inn"))
-    lines = inputs["bill_lines"]
-    codes = lines.select("num", "code").distinct()
-    own_bills = subscriptions.where(F.col("is_real") == 1).select("bill_id").distinct()
-    family_sums = (
-        lines.join(own_bills, "bill_id", "left_semi")
-        .groupBy("num", F.col("tariff_name").alias("family"))
-        .agg(F.sum("payed").alias("tariff_sum"))
-    )
+    codes = bill_codes(inputs["bill_lines"], subscriptions)
     paid = revenue.select(F.col("num").alias("next_num"), F.col("pay_date").alias("next_pay_date")).distinct()
     segments = inputs["segmentation"].select("inn", "segment").distinct()
     groups = inputs["all_categories"].select("inn", F.col("product_group").alias("_group")).distinct()
     unassigned = (F.col("segment") == UNASSIGNED) | F.col("segment").isNull()
+    tariff_sum = None
+    for _, family in FAMILY_RULES:
+        mine = F.col("family") == family
+        tariff_sum = F.when(mine, F.col(family)) if tariff_sum is None else tariff_sum.when(mine, F.col(family))
     report = (
         dated.join(codes, "num")
-        .join(family_sums, ["num", "family"], "left")
+        .withColumn("tariff_sum", tariff_sum)
         .join(paid, "next_num", "left")
         .join(segments, "inn", "left")
         .join(groups, "inn", "left")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billscope.functions.text import first_rule
 from billscope.functions.values import MONEY, money_or_zero
-from billscope.operators.aggregates import pivot_by_name, string_agg
+from billscope.operators.aggregates import string_agg
 from billscope.operators.changes import delete_groups, update_from
 from billscope.operators.checks import require_allowed
 from billscope.operators.joins import exists_in, not_in
@@ -56,10 +56,17 @@ def new_bill_lines(inputs: dict[str, DataFrame], params: ReportParams) -> DataFr
     return exists_in(fresh, paid, ["bill_id", "bill_line_id"])
 
 
-def category_columns(lines: DataFrame, rules, categories) -> DataFrame:
-    """One row per bill with the summed cost of each category in a column of its name."""
-    named = lines.select("num", first_rule(F.col("price_set_name"), rules, F.col("price_set_name")).alias("category"), F.col("cost").cast(MONEY).alias("cost"))
-    return pivot_by_name(require_allowed(named, "category", categories), ["num"], "category", categories, "cost")
+def category_columns(lines: DataFrame, rules, categories, *more: Column) -> DataFrame:
+    """One row per bill with the summed cost of each category in a column of its name, and ``more`` aggregates.
+
+    With the columns known in advance a pivot is a set of conditional sums, so everything a bill needs
+    comes out of one exchange.
+    """
+    label = first_rule(F.col("price_set_name"), rules, F.col("price_set_name"))
+    named = require_allowed(lines.withColumn("category", label), "category", categories)
+    cost = F.col("cost").cast(MONEY)
+    sums = [F.sum(F.when(F.col("category") == name, cost)).alias(name) for name in categories]
+    return named.groupBy("num").agg(*sums, *more)
 
 
 def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, DataFrame]:
@@ -70,9 +77,8 @@ def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, Dat
     refund when less than its recorded cost, but more than nothing, is left of its payments (whole units).
     """
     lines = new_bill_lines(inputs, params)
-    own = category_columns(lines, CATEGORY_RULES, CATEGORIES)
+    own = category_columns(lines, CATEGORY_RULES, CATEGORIES, F.min("inn").alias("inn"))
     others = category_columns(inputs["other_lines"], OTHER_CATEGORY_RULES, OTHER_CATEGORIES)
-    clients = lines.groupBy("num").agg(F.min("inn").alias("inn"))
     offers = inputs["offers"].where(F.col("external_id").isNotNull()).select("offer_id", "external_id")
     temperature = string_agg(
         inputs["offer_links"].select(F.col("bill_num").alias("num"), "offer_id").join(offers, "offer_id"),
@@ -82,8 +88,7 @@ def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, Dat
         "external_ids",
     )
     bills = (
-        own.join(clients, "num")
-        .join(others, "num", "left")
+        own.join(others, "num", "left")
         .join(temperature, "num", "left")
         .select(
             "num",

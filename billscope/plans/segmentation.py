@@ -16,6 +16,7 @@ from billscope.operators.joins import exists_in, not_in
 from billscope.operators.windows import running_first
 from billscope.params import ReportParams
 from billscope.plans.vocabulary import BASE_TARIFF, UNASSIGNED
+from billscope.session import cut
 
 # Client types for charts.
 MULTI_SEGMENT = "мультиотрасль"
@@ -56,27 +57,26 @@ def segmentation(inputs: dict[str, DataFrame], params: ReportParams, small: int
     """``segmentation``: the table after this run; ``new_clients``: the rows added; ``unmapped``: alert text.
 
     Inputs: tracker, tag_catalog, segmentation, bill_lines, payment_lines, payments, offers, activities.
+    The three per-client intermediates feed several steps each and are materialised.
     """
     catalog = inputs["tag_catalog"]
     used = service_groups(inputs["tracker"])
     alert = unmapped_values(used, "product_group", catalog.select(F.col("tags").alias("product_group")))
-    by_service = string_agg(
-        used.join(catalog.withColumnRenamed("tags", "product_group"), "product_group"), ["inn"], "segment", ", ", "new_segment"
-    )
+    mapped = used.join(catalog.withColumnRenamed("tags", "product_group"), "product_group")
+    by_service = cut(string_agg(mapped, ["inn"], "segment", ", ", "new_segment"))
     assign = {"segment": "new_segment"}
     guard = lambda new: differs_or_missing(F.col("segment"), new["new_segment"])
     table = update_from(inputs["segmentation"], by_service, "inn", assign, guard)
 
-    payments = first_payments(inputs)
+    payments = cut(first_payments(inputs))
     unsure = table.where((F.col("segment") == UNASSIGNED) | F.col("segment").isNull()).select("inn")
     candidates = exists_in(inputs["offers"].select("inn", "activity_id"), payments.select("inn").unionByName(unsure), "inn")
     candidates = not_in(candidates, by_service.select("inn"), "inn")
     notes = exists_in(inputs["activities"].select("activity_id", "description"), candidates, "activity_id")
     segment_of_tag = catalog.select(F.lower("tags").alias("tag"), "segment").distinct()
     mentioned = tag_matches(notes, "activity_id", "description", catalog, "tags", small).join(segment_of_tag, "tag")
-    by_note = string_agg(
-        candidates.join(mentioned, "activity_id").select("inn", "segment").distinct(), ["inn"], "segment", ", ", "new_segment"
-    )
+    noted = candidates.join(mentioned, "activity_id").select("inn", "segment").distinct()
+    by_note = cut(string_agg(noted, ["inn"], "segment", ", ", "new_segment"))
     table = update_from(table, by_note, "inn", assign, guard)
 
     found = exists_in(by_service, payments, "inn").unionByName(exists_in(by_note, payments, "inn")).distinct()

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # text lists are short and their groups many; the default of 128 sorts almost every time
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -44,7 +46,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/billscope-{uuid.uuid4().hex}/{name}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so later plans read one fixed result."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, readable after the loss of any executor.
+
+    Unlike a checkpointed frame it is columnar, so each later use reads only its columns and knows its size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
