@@ -12,6 +12,7 @@ from billscope.functions.text import normalise
 from billscope.operators.address import attribute_matches, exact_matches, register_attributes
 from billscope.operators.joins import exists_in
 from billscope.operators.windows import keep_latest
+from billscope.session import cut
 from billscope.sources.readers import first_candidate, on_days
 
 
@@ -64,6 +65,16 @@ def catalog_entries(catalog: DataFrame, bricks: DataFrame) -> DataFrame:
     )
 
 
+def entry_profiles(registers: DataFrame, entries: DataFrame) -> DataFrame:
+    """(``brick``, ``entry``) with everything that matches it: the attributes, their digest ``profile``.
+
+    What matches one entry is bounded by the length of its address.
+    """
+    matched = attribute_matches(registers, entries, ["period", "brick"])
+    keys = F.array_sort(F.collect_set(F.struct("period", "kind", "needle")))
+    return matched.groupBy("brick", "entry").agg(keys.alias("keys")).withColumn("profile", F.sha2(F.to_json("keys"), 256))
+
+
 def brick_distribution(
     receipts: DataFrame,
     processed: DataFrame,
@@ -76,25 +87,33 @@ def brick_distribution(
 ) -> DataFrame:
     """``brick``, ``sku_id``, ``distribution`` = exact number of distinct catalog entries that sold the SKU.
 
-    Registers with the same district, city or region match the same entries, so sales are reduced to
-    (period, SKU, attribute) and meet the entries there; register-entry pairs are built for the
-    tax-number rule only.
+    Entries of a brick that are matched by the same attributes sell the same SKUs, so they are counted
+    once as a group and the group meets the SKUs: neither register-entry nor SKU-entry pairs of a whole
+    region are ever built. Entries found by the tax-number rule are added where their group is not
+    already counted.
     """
-    sold = sold_skus(on_days(receipts, "date", first_day, days), processed, week_skus)
+    sold = cut(sold_skus(on_days(receipts, "date", first_day, days), processed, week_skus))
     registers = register_addresses(documents, first_day.isoformat())
     entries = catalog_entries(catalog, bricks)
-    carry = ["period", "brick"]
-    by_inn = sold.join(exact_matches(registers, entries, carry), ["register", "period"])
-    by_attribute = (
-        sold.join(register_attributes(registers), "register")
-        .select("period", "sku_id", "kind", "needle")
+    profiles = cut(entry_profiles(registers, entries))
+
+    groups = profiles.groupBy("brick", "profile").agg(F.count(F.lit(1)).alias("n"), F.any_value("keys").alias("keys"))
+    asked = groups.select("brick", "profile", "n", F.explode("keys").alias("k")).select("brick", "profile", "n", "k.*")
+    sold_attributes = (
+        sold.join(register_attributes(registers), "register").select("period", "sku_id", "kind", "needle").distinct()
+    )
+    hits = cut(sold_attributes.join(asked, ["period", "kind", "needle"]).select("brick", "sku_id", "profile", "n").distinct())
+
+    by_inn = (
+        sold.join(exact_matches(registers, entries, ["period", "brick"]), ["register", "period"])
+        .select("brick", "sku_id", "entry")
         .distinct()
-        .join(attribute_matches(registers, entries, carry), ["period", "kind", "needle"])
+        .join(profiles.select("brick", "entry", "profile"), ["brick", "entry"], "left")
     )
-    columns = ["brick", "sku_id", "entry"]
+    extra = by_inn.join(hits, ["brick", "sku_id", "profile"], "left_anti")
     return (
-        by_inn.select(*columns)
-        .unionByName(by_attribute.select(*columns))
+        hits.select("brick", "sku_id", "n")
+        .unionByName(extra.select("brick", "sku_id", F.lit(1).cast("long").alias("n")))
         .groupBy("brick", "sku_id")
-        .agg(F.countDistinct("entry").cast("int").alias("distribution"))
+        .agg(F.sum("n").cast("int").alias("distribution"))
     )

@@ -14,6 +14,7 @@ from billscope.operators.joins import exists_in, not_in
 from billscope.params import ReportParams
 from billscope.plans.roles import role_lists
 from billscope.plans.vocabulary import UNASSIGNED
+from billscope.session import cut
 
 # The price set that is never revenue, the category lists and the renaming rules.
 TEST_DRIVE = "Тест-драйв 7 дней"
@@ -76,7 +77,8 @@ def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, Dat
     segmentation, all_revenue. A category outside the known lists fails the job. A bill is a partial
     refund when less than its recorded cost, but more than nothing, is left of its payments (whole units).
     """
-    lines = new_bill_lines(inputs, params)
+    # the increment is joined out of the full history once; the amounts and the roles both start from it
+    lines = cut(new_bill_lines(inputs, params).select("num", "inn", "price_set_name", "cost"))
     own = category_columns(lines, CATEGORY_RULES, CATEGORIES, F.min("inn").alias("inn"))
     others = category_columns(inputs["other_lines"], OTHER_CATEGORY_RULES, OTHER_CATEGORIES)
     offers = inputs["offers"].where(F.col("external_id").isNotNull()).select("offer_id", "external_id")

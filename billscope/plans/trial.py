@@ -10,9 +10,10 @@ from billscope.functions.json import json_string
 from billscope.functions.text import UTM_PARTS, labelled_lines, next_list_number, stable_uuid, utm_payload
 from billscope.operators.aggregates import string_agg
 from billscope.operators.changes import delete_matching, only_new, outbox, update_from, update_where_exists
-from billscope.operators.joins import exists_from_date
+from billscope.operators.joins import exists_from_date, exists_in
 from billscope.operators.windows import first_per_key, row_identity
 from billscope.params import ReportParams
+from billscope.session import cut
 from billscope.sources.readers import on_days, typed_landing
 
 # Event names.
@@ -156,16 +157,20 @@ def trial(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, DataF
     Inputs: trial_orgs, load_log, prospect_sales, client_bills, events, subscriptions, clients,
     org_registry, prospect_cards, tasks, offers.
     """
-    trials = updated_trials(inputs)
+    # each of the three feeds several results and is computed once
+    trials = cut(updated_trials(inputs))
     fresh = only_new(sign_ups(inputs["events"], params), trials, "inn")
     fresh = delete_matching(fresh, current_clients(inputs, params), "inn")
-    prepared = leads(fresh, campaigns(inputs["events"], params), inputs["org_registry"])
+    prepared = cut(leads(fresh, campaigns(inputs["events"], params), inputs["org_registry"]))
 
     open_cards = inputs["prospect_cards"].where(F.col("state").isin(*OPEN_CARD_STATES))
     best_card = first_per_key(
-        open_cards, ["inn"], [("temperature", "asc"), ("created", "desc"), ("card_id", "asc")], ["card_id"]
+        exists_in(open_cards, prepared, "inn"),
+        ["inn"],
+        [("temperature", "asc"), ("created", "desc"), ("card_id", "asc")],
+        ["card_id"],
     )
-    existing = prepared.join(best_card, "inn").select("comment", "create_pp_id", F.col("card_id").alias("pp_id"))
+    existing = cut(prepared.join(best_card, "inn").select("comment", "create_pp_id", F.col("card_id").alias("pp_id")))
     to_load = delete_matching(prepared, existing, "create_pp_id")
     to_load = row_identity(to_load, ["inn", "create_pp_id"], day_position(F.lit(params.as_of)), "row_id")
 

@@ -1,10 +1,12 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from billscope.params import ReportParams
 from billscope.plans.active_report import in_force_or_future, without_foreign_holders
+from billscope.plans.brick_distribution import brick_distribution
 from billscope.plans.daily_sales import LENS_RULES, category, daily_sales
 from billscope.plans.months_active import months_active
 from billscope.plans.prolongation import renewals
@@ -90,6 +92,50 @@ def test_daily_sales(spark):
     assert known["quantity"] in (1 + 2.5 + 1, 1 + 2.5 + 7)
 
 
+def test_brick_distribution_equals_brute_force(spark):
+    rng = random.Random(5)
+    cities, regions = ["omsk", "om", "perm", "tomsk"], ["ural", "ur", None]
+    boxes = [(f"k{i}", str(i % 7), rng.choice(cities + [None]), rng.choice(regions), rng.choice(["north", None])) for i in range(15)]
+    document = lambda box, inn, city, region, district, time: (
+        (box, time), inn, [((region,), (city,), (district,), ("Мирная Ёлка",), "H1"), ((None,), (None,), (None,), (None,), None)],
+    )
+    documents = [document(*b, "2023-01-01") for b in boxes] + [document(b[0], "0", "perm", "ural", None, "2022-01-01") for b in boxes[:5]]
+    names = ["Aspirin", "Cream", "Drops", "Gel"]
+    sales = {(rng.choice(boxes)[0], rng.choice(names), rng.choice([D(2023, 7, 29), D(2023, 7, 31), D(2023, 8, 1)])) for _ in range(40)}
+    receipts = [receipt(str(i), day=day, box=box, products=((name, 1, 1.0),)) for i, (box, name, day) in enumerate(sorted(sales))]
+    entries = []
+    for i in range(60):
+        text = f"{rng.choice(cities)}, Мирная ёлка h1, north {rng.choice(['ural', 'x'])}" if i % 2 else rng.choice(["nowhere", "Мирная елка H1 north"])
+        entries.append((i, rng.choice(["202306", "202307"]), str(i % 7), text, rng.choice([None, "Omsk", "Uralsk", "none"]), rng.choice([None, "Permskiy"])))
+    catalog = spark.createDataFrame(entries, "entry long, period string, inn string, full_address string, city string, district string")
+    bricks = [(i, p, f"b{i % 3}") for i, *_ in entries for p in ("202306", "202307")]
+    skus = {n: k for k, n in enumerate(names)}
+    got = brick_distribution(
+        spark.createDataFrame(receipts, RECEIPTS).withColumn("cashbox_number", F.col("content.cashbox_number")),
+        spark.createDataFrame([(n.upper(), k) for n, k in skus.items()], "check_item string, sku_id int"),
+        spark.createDataFrame([(0,), (1,), (2,)], "sku_id int"),
+        spark.createDataFrame(documents, """cashbox_id struct<cashbox_number:string, from_time:string>, client_id string, address_candidates
+          array<struct<region:struct<name:string>, city:struct<name:string>, district:struct<name:string>, street:struct<name:string>, house:string>>"""),
+        catalog,
+        spark.createDataFrame(bricks, "entry long, period string, brick string"),
+        D(2023, 7, 29),
+    )
+    inside = lambda needle, text: needle is not None and text is not None and needle in text
+    found = set()
+    for box, name, day in sales:
+        _, inn, city, region, district = next(b for b in boxes if b[0] == box)
+        for e, period, entry_inn, address, town, area in entries:
+            low = [None if v is None else v.lower() for v in (address, town, area)]
+            exact = inn == entry_inn and all(inside(n, low[0]) for n in ("h1", "мирная ёлка", district))
+            loose = inside(district, low[1]) or any(inside(city, t) for t in low) or any(inside(region, t) for t in low[:2])
+            if (exact or loose) and period == ("202306" if day.month == 7 else "202307") and skus[name] < 3:
+                found.add((f"b{e % 3}", skus[name], e))
+    want = {}
+    for brick, sku, _ in found:
+        want[brick, sku] = want.get((brick, sku), 0) + 1
+    assert {(r["brick"], r["sku_id"]): r["distribution"] for r in got.collect()} == want and want
+
+
 def test_revenue_categories(spark):
     rows = [(1, "внедрение срочное", 5.0), (1, "Инструктаж", 2.0), (1, "Базовый", 1.0), (2, "Пакет", 3.0), (2, None, 4.0)]
     df = spark.createDataFrame(rows, "num int, price_set_name string, cost double")
