@@ -20,14 +20,16 @@ PARAMS = ReportParams(as_of=AS_OF, first_pay_date=dt.date(1995, 6, 1))
 
 
 class Tables:
-    """Lazy access to the Parquet tables of one scale factor."""
+    """Lazy access to the Parquet tables of one scale factor; each is opened once."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def query(name: str, sql: str | None = None):

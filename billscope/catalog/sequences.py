@@ -111,5 +111,4 @@ def recursive_months(t: Tables):
 
 @query("active_per_month", MONTHS_SQL + "SELECT model, month, count(*) AS n_active FROM m GROUP BY model, month")
 def active_months(t: Tables):
-    steps = month_rows(subs(t).withColumnRenamed("priority", "model"), "since", "upto", "month")
-    return active_per_month(steps, "model", "month")
+    return active_per_month(subs(t).withColumnRenamed("priority", "model"), "model", "since", "upto")

@@ -52,8 +52,8 @@ def exists_from_date(
 
     Some date is late enough exactly when the latest is, so the other side shrinks to one row per key.
     """
-    latest = other.where(condition).groupBy(on).agg(F.max(date).alias("_latest"))
-    return df.join(latest, (df[on] == latest[on]) & (latest["_latest"] >= df[since]), "left_semi")
+    latest = other.where(condition).groupBy(F.col(on).alias("_key")).agg(F.max(date).alias("_latest"))
+    return df.join(latest, (df[on] == latest["_key"]) & (latest["_latest"] >= df[since]), "left_semi")
 
 
 def add_lookup(df: DataFrame, lookup: DataFrame, on: str | Sequence[str]) -> DataFrame:
