@@ -210,10 +210,11 @@ def active_report(inputs: dict[str, DataFrame], params: ReportParams) -> dict[st
     Inputs: subscriptions, clients, bills, agents, org_registry, payer_links, tracker, bill_lines,
     segmentation.
     """
-    detail = cut(detail_rows(inputs, params))  # read five times below
-    kept = without_foreign_holders(detail)
+    # the details, the rows kept of them and the report each feed several steps and are computed once
+    detail = cut(detail_rows(inputs, params))
+    kept = cut(without_foreign_holders(detail))
     base = rolled_up(kept)
     based = kept.where(F.col("tariff").ilike(BASE_TARIFF) & F.col("inn").isNotNull()).select("inn")
     plain = not_in(detail.select(*DISPLAY), based, "inn").distinct()
-    report = base.unionByName(plain)
+    report = cut(base.unionByName(plain))
     return {"report": report, "upcoming": upcoming_pairs(report)}
