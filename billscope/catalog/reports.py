@@ -375,7 +375,7 @@ TRIAL_STEPS = {
     "emk": f"""SELECT *, {sql_uuid("'client|' || inn || '|' || specific_data || '|' || comment")} AS client_id, {sql_uuid("'lead|' || inn || '|' || specific_data || '|' || comment")} AS create_pp_id FROM emk0""",
     "best": "SELECT DISTINCT inn, first_value(card_id) OVER (PARTITION BY inn ORDER BY temperature, created DESC, card_id) AS pp_id FROM in_prospect_cards WHERE state IN (1, 3)",
     "existing": "SELECT DISTINCT comment, create_pp_id, pp_id FROM emk JOIN best USING (inn)",
-    "leads": "SELECT *, CAST(row_number() OVER (ORDER BY inn, create_pp_id) AS INTEGER) AS row_id FROM emk WHERE create_pp_id NOT IN (SELECT create_pp_id FROM existing)",
+    "leads": "SELECT *, row_number() OVER (ORDER BY inn, create_pp_id) AS row_id FROM emk WHERE create_pp_id NOT IN (SELECT create_pp_id FROM existing)",
 }
 
 

@@ -63,7 +63,7 @@ def win_running_min(t: Tables):
 
 @query(
     "win_row_number",
-    sql_with("subs") + "SELECT id, inn, fam, CAST(row_number() OVER (PARTITION BY inn, fam ORDER BY since, id) AS INTEGER) AS s FROM subs",
+    sql_with("subs") + "SELECT id, inn, fam, row_number() OVER (PARTITION BY inn, fam ORDER BY since, id) AS s FROM subs",
 )
 def win_row_number(t: Tables):
     position = day_position(F.col("since"), F.col("id"))
@@ -89,7 +89,7 @@ def win_lead(t: Tables):
 
 @query(
     "row_identity",
-    sql_with("subs") + "SELECT id, inn, CAST(row_number() OVER (ORDER BY since, id) AS INTEGER) AS row_id FROM subs",
+    sql_with("subs") + "SELECT id, inn, row_number() OVER (ORDER BY since, id) AS row_id FROM subs",
 )
 def identity(t: Tables):
     rows = subs(t).select("id", "inn", "since")

@@ -93,13 +93,14 @@ def contains_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
         needles.where(F.length("needle") > 0)
         .distinct()
         .withColumn("_size", anchor_size(F.length("needle")))
-        .select("needle", F.substring(F.col("needle"), F.lit(1), F.col("_size")).alias("_gram"))
     )
+    used = keyed.agg(F.collect_set("_size")).scalar()  # at most six numbers; other lengths are not offered
+    keyed = keyed.select("needle", F.substring(F.col("needle"), F.lit(1), F.col("_size")).alias("_gram"))
 
     def grams(text: Column, size: int) -> Column:
         starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
         return F.when(
-            F.length(text) >= size, F.transform(starts, lambda at: F.substring(text, at, F.lit(size)))
+            F.array_contains(used, size) & (F.length(text) >= size), F.transform(starts, lambda at: F.substring(text, at, F.lit(size)))
         ).otherwise(F.array().cast("array<string>"))
 
     every_gram = F.array_distinct(F.concat(*[grams(F.col("haystack"), size) for size in sizes]))

@@ -129,7 +129,7 @@ def in_sequence(
     following: dict[str, str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Row number within ``keys`` and, for ``following`` = {source: new name}, fields of the next row.
+    """Row number (a long) within ``keys`` and, for ``following`` = {source: new name}, fields of the next row.
 
     ``order`` is a total order. ``position`` is a number that never decreases along it; it decides only
     where oversized groups may be cut, never the result.
@@ -139,7 +139,7 @@ def in_sequence(
     cuts = _cut_points(df, keys, position, rows_per_task)
     if cuts is None:
         window = Window.partitionBy(*keys).orderBy(*order)
-        out = df.withColumn(number, F.row_number().over(window))
+        out = df.withColumn(number, F.row_number().over(window).cast("long"))
         if following:
             out = out.withColumn("_next", F.lead(next_row).over(window))
     else:
@@ -171,7 +171,7 @@ def in_sequence(
         joined = placed.join(F.broadcast(carried), _same_keys(placed, carried, keys, ["_seg"]), "left")
         window = Window.partitionBy(*keys, "_seg").orderBy(*order)
         out = joined.withColumn(
-            number, (F.row_number().over(window) + F.coalesce(F.col("_before"), F.lit(0))).cast("int")
+            number, F.row_number().over(window).cast("long") + F.coalesce(F.col("_before"), F.lit(0))
         )
         if following:
             crossing = F.when(
