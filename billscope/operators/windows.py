@@ -91,12 +91,12 @@ def _cut_points(df: DataFrame, keys: Sequence[str], position: Column, rows_per_t
     """Positions that cut each oversized group into near-equal segments; None when no group is oversized.
 
     At most rows / rows_per_task groups are oversized and each gets about one cut per ``rows_per_task``
-    rows, so the table stays small whatever the input. It is materialised: approximate percentiles may
-    differ between two evaluations, and both uses below must see the same cuts.
+    rows, so the table stays small whatever the input. The cuts are materialised: approximate percentiles
+    may differ between two evaluations, and both uses of them must see the same ones. Counting costs a pass
+    over the key columns, so callers with an expensive ``df`` write it out first.
     """
     names = [F.col(k).alias(f"_h_{k}") for k in keys]
     sizes = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_task)
-    sizes = cut(sizes)
     largest = sizes.agg(F.max("_rows")).first()[0]
     if largest is None:
         return None
