@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import bpe, language, pieces, simhash, tiling, toxicity
+from billscope.llm import bpe, language, pieces, quality, simhash, tiling, toxicity
 from billscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,11 @@ def fitted_language(spark: SparkSession, sf_dir: str) -> language.Model | None:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(table(spark, sf_dir, "documents"), fitted_language(spark, sf_dir))
     return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id").where(~held_out("doc_id", 5, 0))
+    scored = quality.score(docs, quality.fit(rows))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
