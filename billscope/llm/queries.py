@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import bpe, language, pieces, quality, simhash, tiling, toxicity
+from billscope.llm import bpe, language, pieces, quality, simhash, sitetree, tiling, toxicity
 from billscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id").where(~held_out("doc_id", 5, 0))
     scored = quality.score(docs, quality.fit(rows))
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extract(table(spark, sf_dir, "pages"))
