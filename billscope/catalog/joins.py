@@ -12,7 +12,6 @@ from billscope.operators.aggregates import string_agg
 from billscope.operators.dictionary import tag_matches
 from billscope.operators.joins import add_lookup, add_presence, distinct_join, exists_in, not_exists_in, not_in
 from billscope.operators.windows import in_sequence
-from billscope.functions.dates import day_position
 
 CHAIN_SQL = """SELECT c_name, s_name || ' ' || n_name AS supplier_nation
   FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey
@@ -210,10 +209,10 @@ def join_period_consistent(t: Tables):
          FROM numbered c LEFT JOIN numbered n ON n.inn = c.inn AND n.fam = c.fam AND n.s = c.s + 1""",
 )
 def join_next_in_seq(t: Tables):
-    position = day_position(F.col("since"), F.col("id"))
-    linked = in_sequence(subs(t), ["inn", "fam"], ["since", "id"], position, following={"id": "next_id", "since": "next_since"})
-    known = F.col("fam").isNotNull()
-    linked = linked.withColumns({"next_id": F.when(known, F.col("next_id")), "next_since": F.when(known, F.col("next_since"))})
+    rows = subs(t)
+    known = F.col("inn").isNotNull() & F.col("fam").isNotNull()
+    linked = in_sequence(rows.where(known), ["inn", "fam"], ["since", "id"], following={"id": "next_id", "since": "next_since"})
+    linked = linked.drop("row_number").unionByName(rows.where(~known), allowMissingColumns=True)  # no client or family, no successor
     return linked.select("id", "inn", "fam", "next_id", "next_since", F.date_diff("next_since", "upto").alias("defer"))
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from billscope.catalog.base import Tables, query
 from billscope.catalog.views import bills, sql_with, subs
-from billscope.functions.dates import day_position
 from billscope.operators.months import active_per_month, month_rows
 from billscope.operators.windows import first_per_key, in_sequence, keep_latest, row_identity, running_first
 
@@ -66,8 +65,7 @@ def win_running_min(t: Tables):
     sql_with("subs") + "SELECT id, inn, fam, row_number() OVER (PARTITION BY inn, fam ORDER BY since, id) AS s FROM subs",
 )
 def win_row_number(t: Tables):
-    position = day_position(F.col("since"), F.col("id"))
-    return in_sequence(subs(t), ["inn", "fam"], ["since", "id"], position, number="s").select("id", "inn", "fam", "s")
+    return in_sequence(subs(t), ["inn", "fam"], ["since", "id"], number="s").select("id", "inn", "fam", "s")
 
 
 @query(
@@ -81,7 +79,6 @@ def win_lead(t: Tables):
         subs(t),
         ["inn", "fam"],
         ["since", "id"],
-        day_position(F.col("since"), F.col("id")),
         following={"id": "next_id", "priority": "next_tariff", "since": "next_since"},
     )
     return linked.select("id", "next_id", "next_tariff", "next_since")
@@ -93,9 +90,7 @@ def win_lead(t: Tables):
 )
 def identity(t: Tables):
     rows = subs(t).select("id", "inn", "since")
-    # at least a few segments even on small inputs, so no task ever sorts the whole table
-    numbered = row_identity(rows, ["since", "id"], day_position(F.col("since"), F.col("id")), rows_per_task=5_000)
-    return numbered.select("id", "inn", "row_id")
+    return row_identity(rows, ["since", "id"]).select("id", "inn", "row_id")
 
 
 MONTHS_SQL = """WITH RECURSIVE s AS (SELECT o_orderkey AS id, o_orderpriority AS model, CAST(o_orderdate AS DATE) AS since,

@@ -51,12 +51,3 @@ def month_steps(start: Column, end: Column) -> Column:
         .when(F.dayofmonth(start) <= 28, plain)
         .otherwise(clamped)
     )
-
-
-def day_position(day: Column, number: Column | None = None) -> Column:
-    """A number that never decreases along (``day``, ``number``); ``number`` must sort as a number."""
-    days = F.unix_date(day).cast("double")
-    if number is None:
-        return days
-    share = F.coalesce(number.cast("double") / float(2**40), F.lit(0.0))
-    return days + F.least(F.greatest(share, F.lit(0.0)), F.lit(0.999))

@@ -1,9 +1,8 @@
 """Per-key order operators that hold up when one key owns a large share of the rows.
 
 "First", "last" and "latest" are aggregates (they combine on the map side) rather than windows. Only
-numbering and looking at the following row need a window; there, groups above ``rows_per_task`` are cut
-into ordered segments first, and a small table of segment totals carries the count and the first row of
-the next segment across the cuts.
+numbering and looking at the following row need a window; there, the rows lie in range partitions, and a small
+table of totals carries the count and the first row of the next part across the borders.
 """
 
 from __future__ import annotations
@@ -16,10 +15,6 @@ from pyspark.sql import types as T
 
 from billscope.session import cut
 
-ROWS_PER_TASK = 2_000_000
-MAX_SEGMENTS = 1_000
-BLOCK = 32  # cuts are searched by block head first, then inside one block
-
 
 def order_struct(df: DataFrame, order: Sequence[tuple[str, str]]) -> Column:
     """A struct that sorts ascending in the wanted order; NULL is the smallest value, as in T-SQL."""
@@ -78,112 +73,53 @@ def running_first(
     )
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> Column:
-    match = F.lit(True)
-    for key in keys:
-        match = match & left[key].eqNullSafe(right[f"_h_{key}"])
-    for name in extra:
-        match = match & (left[name] == right[f"_h{name}"])
-    return match
-
-
-def _cut_points(df: DataFrame, keys: Sequence[str], position: Column, rows_per_task: int) -> DataFrame | None:
-    """Positions that cut each oversized group into near-equal segments; None when no group is oversized.
-
-    At most rows / rows_per_task groups are oversized and each gets about one cut per ``rows_per_task``
-    rows, so the table stays small whatever the input. The cuts are materialised: approximate percentiles
-    may differ between two evaluations, and both uses of them must see the same ones. Counting costs a pass
-    over the key columns, so callers with an expensive ``df`` write it out first.
-    """
-    names = [F.col(k).alias(f"_h_{k}") for k in keys]
-    sizes = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_task)
-    largest = sizes.agg(F.max("_rows")).first()[0]
-    if largest is None:
-        return None
-    segments = min(MAX_SEGMENTS, -(-largest // rows_per_task) + 1)
-    fractions = [i / segments for i in range(1, segments)]
-    placed = df.withColumn("_at", position.cast("double"))
-    if keys:
-        placed = placed.join(F.broadcast(sizes), _same_keys(placed, sizes, keys), "left_semi")
-    cuts = placed.groupBy(*names).agg(
-        F.percentile_approx("_at", fractions, 10 * segments).alias("_all"), F.count(F.lit(1)).alias("_rows")
-    )
-    step = F.greatest(F.lit(1), F.floor(F.lit(segments) * F.lit(rows_per_task) / F.col("_rows"))).cast("int")
-    own = F.filter("_all", lambda _, i: F.pmod(i + 1, step) == 0)
-    cuts = cuts.select(*[f"_h_{k}" for k in keys], F.array_distinct(own).alias("_cuts"))
-    return cut(cuts.withColumn("_heads", F.filter("_cuts", lambda _, i: i % BLOCK == 0)))
-
-
-def _passed(points: Column) -> Column:
-    """How many of the points the row's position has reached; the position is worked out once, not per point."""
-    reached = F.zip_with(points, F.array_repeat(F.col("_at"), F.size(points)), lambda point, at: point <= at)
-    return F.coalesce(F.size(F.filter(reached, lambda yes: yes)), F.lit(0))
-
-
 def in_sequence(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    position: Column,
     number: str = "row_number",
     following: dict[str, str] | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Row number (a long) within ``keys`` and, for ``following`` = {source: new name}, fields of the next row.
 
-    ``order`` is a total order. ``position`` is a number that never decreases along it; it decides only
-    where oversized groups may be cut, never the result.
+    ``order`` is a total order of the rows of a key. The rows are written in range partitions of (keys, order), so a
+    key of any size lies in as many tasks as its share asks for. Each part is numbered by itself; a key that goes on
+    over several parts gets the count and the first row of its other parts from a table of such keys, which has at
+    most two rows per part. Spark samples ``df`` to find the ranges: write an expensive one first.
     """
     following = following or {}
-    next_row = F.struct(*[F.col(c) for c in following]) if following else None
-    cuts = _cut_points(df, keys, position, rows_per_task)
-    if cuts is None:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        out = df.withColumn(number, F.row_number().over(window).cast("long"))
-        if following:
-            out = out.withColumn("_next", F.lead(next_row).over(window))
-    else:
-        if keys:
-            placed = df.join(F.broadcast(cuts), _same_keys(df, cuts, keys), "left").drop(*[f"_h_{k}" for k in keys])
-        else:  # one group: its cuts are a single bounded array
-            points = cuts.first()["_cuts"]
-            placed = df.withColumn("_cuts", F.array(*[F.lit(p) for p in points])).withColumn(
-                "_heads", F.array(*[F.lit(p) for p in points[::BLOCK]])
-            )
-        placed = placed.withColumn("_at", position.cast("double")).withColumn("_block", _passed(F.col("_heads")))
-        inside = _passed(F.slice("_cuts", (F.col("_block") - 1) * BLOCK + 1, F.lit(BLOCK)))
-        segment = F.when(F.col("_block") > 0, (F.col("_block") - 1) * BLOCK + inside).otherwise(0)
-        placed = placed.withColumn("_seg", segment)
-        head = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *following])])
-        totals = (
-            placed.where(F.col("_cuts").isNotNull())
-            .groupBy(*[F.col(k).alias(f"_h_{k}") for k in keys], F.col("_seg").alias("_h_seg"))
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min(head).alias("_head"))
-        )
-        over_segments = Window.partitionBy(*[f"_h_{k}" for k in keys]).orderBy("_h_seg")
-        carried = totals.select(
-            *[f"_h_{k}" for k in keys],
-            "_h_seg",
-            F.coalesce(F.sum("_rows").over(over_segments.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-            F.lead("_head").over(over_segments).alias("_after"),
-        )
-        placed = placed.drop("_cuts", "_heads", "_at", "_block")
-        joined = placed.join(F.broadcast(carried), _same_keys(placed, carried, keys, ["_seg"]), "left")
-        window = Window.partitionBy(*keys, "_seg").orderBy(*order)
-        out = joined.withColumn(
-            number, F.row_number().over(window).cast("long") + F.coalesce(F.col("_before"), F.lit(0))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    head = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *following])])
+    names = [f"_h_{key}" for key in keys]
+    totals = placed.groupBy(*[F.col(key).alias(name) for key, name in zip(keys, names)], F.col("_part").alias("_h_part")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(head).alias("_head")
+    )
+    of_key = Window.partitionBy(*names)
+    by_part = of_key.orderBy("_h_part")
+    carried = (
+        totals.withColumn("_parts", F.count(F.lit(1)).over(of_key))
+        .where("_parts > 1")
+        .select(
+            *names,
+            "_h_part",
+            F.coalesce(F.sum("_rows").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            F.lead("_head").over(by_part).alias("_after"),
         )
-        if following:
-            crossing = F.when(
-                F.col("_after").isNotNull(), F.struct(*[F.col(f"_after.{c}").alias(c) for c in following])
-            )
-            out = out.withColumn("_next", F.coalesce(F.lead(next_row).over(window), crossing))
-    out = out.select(
-        *df.columns, number, *[F.col(f"_next.{source}").alias(name) for source, name in following.items()]
     )
-    return out
-
-
-def row_identity(df: DataFrame, order: Sequence[str], position: Column, name: str = "row_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    match = placed["_part"] == carried["_h_part"]
+    for key, name in zip(keys, names):
+        match = match & placed[key].eqNullSafe(carried[name])
+    joined = placed.join(F.broadcast(carried), match, "left")
+    window = Window.partitionBy("_part", *keys).orderBy(*order)
+    out = joined.withColumn(number, F.row_number().over(window).cast("long") + F.coalesce("_before", F.lit(0)))
+    if following:
+        crossing = F.when(F.col("_after").isNotNull(), F.struct(*[F.col(f"_after.{c}").alias(c) for c in following]))
+        next_row = F.struct(*[F.col(c) for c in following])
+        out = out.withColumn("_next", F.coalesce(F.lead(next_row).over(window), crossing))
+    return out.select(*df.columns, number, *[F.col(f"_next.{source}").alias(name) for source, name in following.items()])
+
+
+def row_identity(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
     """1..n along a total order."""
-    return in_sequence(df, [], order, position, number=name, rows_per_task=rows_per_task)
+    return in_sequence(df, [], order, number=name)

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from billscope.functions.dates import day_position
 from billscope.functions.text import first_rule
 from billscope.operators.changes import update_where_exists
-from billscope.operators.windows import ROWS_PER_TASK, first_per_key, in_sequence
+from billscope.operators.windows import first_per_key, in_sequence
 from billscope.params import ReportParams
 from billscope.plans.roles import role_lists
 from billscope.plans.vocabulary import UNASSIGNED
@@ -32,26 +30,21 @@ def subscription_chain(subscriptions: DataFrame, clients: DataFrame, bills: Data
     )
 
 
-def renewals(chain: DataFrame, gap_days: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def renewals(chain: DataFrame, gap_days: int) -> DataFrame:
     """The chain with the following subscription of the same client and family and the renewal flag.
 
     Renewed means the following one starts less than ``gap_days`` after the end, overlaps included. When
     not renewed, the following bill, its date and start are blanked; its tariff and the gap stay. Rows
     without a client or a family have no successor.
     """
-    numeric = isinstance(chain.schema["num"].dataType, T.NumericType)
-    position = day_position(F.col("since"), F.col("num") if numeric else None)
+    known = F.col("inn").isNotNull() & F.col("family").isNotNull()
     linked = in_sequence(
-        chain,
+        chain.where(known),
         ["inn", "family"],
         ["since", "num", "tariff_name", "up_to", "kpp", "bill_date"],
-        position,
         following={"num": "_num", "tariff_name": "_tariff", "bill_date": "_bill_date", "since": "_since"},
-        rows_per_task=rows_per_task,
     )
-    chained = F.col("inn").isNotNull() & F.col("family").isNotNull()
-    for name in ("_num", "_tariff", "_bill_date", "_since"):
-        linked = linked.withColumn(name, F.when(chained, F.col(name)))
+    linked = linked.unionByName(chain.where(~known), allowMissingColumns=True)
     gap = F.date_diff(F.col("_since"), F.col("up_to"))
     renewed = F.col("prolong") == 1
     return (
@@ -91,11 +84,11 @@ def bill_codes(lines: DataFrame, subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: str, rows_per_task: int = ROWS_PER_TASK) -> dict[str, DataFrame]:
+def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: str) -> dict[str, DataFrame]:
     """``report``: one row per subscription and bill-line code; ``all_revenue``: the corrected revenue table."""
     subscriptions = inputs["subscriptions"]
-    chain = cut(subscription_chain(subscriptions, inputs["clients"], inputs["bills"]))  # counted, then numbered
-    rows = cut(renewals(chain, params.renewal_gap_days, rows_per_task))  # read five times below
+    chain = cut(subscription_chain(subscriptions, inputs["clients"], inputs["bills"]))  # sampled, then numbered
+    rows = cut(renewals(chain, params.renewal_gap_days))  # read five times below
 
     renewing = rows.select(F.col("next_num").alias("num")).where(F.col("num").isNotNull())
     revenue = update_where_exists(

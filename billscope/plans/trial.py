@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.functions.dates import day_position
 from billscope.functions.json import json_string
 from billscope.functions.text import UTM_PARTS, labelled_lines, next_list_number, stable_uuid, utm_payload
 from billscope.operators.aggregates import string_agg
@@ -172,7 +171,7 @@ def trial(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, DataF
     )
     existing = cut(prepared.join(best_card, "inn").select("comment", "create_pp_id", F.col("card_id").alias("pp_id")))
     to_load = delete_matching(prepared, existing, "create_pp_id")
-    to_load = row_identity(to_load, ["inn", "create_pp_id"], day_position(F.lit(params.as_of)), "row_id")
+    to_load = row_identity(to_load, ["inn", "create_pp_id"], "row_id")
 
     number = inputs["tasks"].select(next_list_number(F.col("brief_id"), LIST_SUFFIX).alias("list_id")).scalar()
     header, comments = outbox(

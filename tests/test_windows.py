@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from billscope.functions.dates import day_position
 from billscope.operators.windows import (
     first_per_key,
     in_sequence,
@@ -38,39 +37,49 @@ def naive(df, keys):
     )
 
 
-@pytest.mark.parametrize("rows_per_task", [3, 17, 100, 10_000])
-def test_in_sequence_equals_plain_windows(spark, rows_per_task):
-    df = spark.createDataFrame(skewed_rows(rows_per_task), SCHEMA).repartition(5)
-    keys = ["inn", "family"]
-    got = in_sequence(
-        df,
-        keys,
-        ["since", "id"],
-        day_position(F.col("since"), F.col("id")),
-        number="s",
-        following={"id": "next_id", "tariff": "next_tariff"},
-        rows_per_task=rows_per_task,
-    )
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, naive(df, keys).collect()))
+@pytest.fixture(params=[1, 3, 17])
+def parts(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.mark.parametrize("rows_per_task", [7, 10_000])
-def test_coarse_position_only_moves_the_cuts(spark, rows_per_task):
-    df = spark.createDataFrame(skewed_rows(4), SCHEMA)
-    got = in_sequence(df, ["inn"], ["since", "id"], day_position(F.col("since")), number="s", following={"id": "next_id"}, rows_per_task=rows_per_task)
-    want = naive(df, ["inn"]).drop("next_tariff")
-    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+def test_in_sequence_equals_plain_windows(spark, parts):
+    df = spark.createDataFrame(skewed_rows(parts), SCHEMA).repartition(5)
+    keys = ["inn", "family"]
+    got = in_sequence(df, keys, ["since", "id"], number="s", following={"id": "next_id", "tariff": "next_tariff"})
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, naive(df, keys).collect()))
 
 
-@pytest.mark.parametrize("rows_per_task", [10, 10_000])
-def test_row_identity_is_dense(spark, rows_per_task):
+def test_row_identity_is_dense(spark, parts):
     df = spark.createDataFrame(skewed_rows(9), SCHEMA)
-    got = row_identity(df, ["since", "id"], day_position(F.col("since"), F.col("id")), "n", rows_per_task).orderBy("n").collect()
+    got = row_identity(df, ["since", "id"], "n").orderBy("n").collect()
     assert [r["n"] for r in got] == list(range(1, 901))
     known = [(r["since"] or dt.date.min, r["id"]) for r in got]
     assert known == sorted(known)
 
 
+@pytest.mark.parametrize("share", ["key", "day", "constant"])
+def test_hot_groups_lie_in_many_tasks(spark, share):
+    rows = spark.range(2000).select(
+        F.when((F.col("id") % 10 == 0) & (F.lit(share) == "key"), F.col("id").cast("string")).otherwise("hot").alias("inn"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), F.when(F.lit(share) == "key", F.col("id") % 7).otherwise(0).cast("int")).alias("since"),
+        "id",
+    )
+    got = in_sequence(rows, ["inn"], ["since", "id"], following={"id": "next_id"})
+    tasks = got.where("inn = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 1800
+    window = Window.partitionBy("inn").orderBy("since", "id")
+    want = rows.withColumn("row_number", F.row_number().over(window).cast("long")).withColumn("next_id", F.lead("id").over(window))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert in_sequence(empty, ["inn"], ["since", "id"], following={"id": "next_id"}).collect() == []
+
+
 def test_keep_latest_keeps_ties_and_null_keys(spark):
     rows = [("a", "2020"), ("a", "2021"), ("a", "2021"), ("b", None), (None, "2019"), (None, "2018")]
     df = spark.createDataFrame(rows, "k string, t string")
