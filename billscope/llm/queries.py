@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import bpe, language, neighbours, pieces, quality, simhash, sitetree, tiling, toxicity
+from billscope.llm import bpe, language, neighbours, pieces, quality, sharding, simhash, sitetree, tiling, toxicity
 from billscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_nearest_neighbours")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+@query("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.row_shards(table(spark, sf_dir, "documents"), shards=8)
