@@ -172,7 +172,7 @@ def chk_allowed_values(t: Tables):
 
 @query(
     "chk_unmapped",
-    """SELECT string_agg(action, '; ' ORDER BY action) AS unmapped FROM (SELECT DISTINCT event_type AS action FROM events
+    """SELECT action AS unmapped FROM (SELECT DISTINCT event_type AS action FROM events
        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE lower(right(o_orderpriority, 3)) = right(event_type, 3)))""",
 )
 def chk_unmapped(t: Tables):
@@ -196,13 +196,13 @@ def chk_empty_input(t: Tables):
     "load_summary",
     """WITH y AS (SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-14')
        SELECT count(*) AS n_created, count(DISTINCT user_id) AS n_users,
-         coalesce((SELECT string_agg('https://sales/activities/' || user_id, ' <br> ' ORDER BY 'https://sales/activities/' || user_id)
+         coalesce((SELECT string_agg('https://example.org/cards/' || user_id, ' <br> ' ORDER BY 'https://example.org/cards/' || user_id)
                    FROM y WHERE event_type = 'purchase' AND value > 30), 'no cards') AS cards FROM y""",
 )
 def load_summary(t: Tables):
     yesterday = on_days(t.events, "ts", EVENTS_AS_OF.replace(day=14))
     cards = yesterday.where((F.col("event_type") == "purchase") & (F.col("value") > 30)).select(
-        F.concat(F.lit("https://sales/activities/"), F.col("user_id").cast("string")).alias("url")
+        F.concat(F.lit("https://example.org/cards/"), F.col("user_id").cast("string")).alias("url")
     )
     links = string_agg(cards, [], "url", " <br> ", "links").scalar()
     counts = yesterday.agg(F.count(F.lit(1)).alias("n_created"), F.countDistinct("user_id").alias("n_users"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from collections.abc import Callable
 from functools import wraps
 
@@ -32,13 +33,21 @@ class Tables:
         return table
 
 
+def with_folder(spark: SparkSession) -> SparkSession:
+    """Local runs without a checkpoint folder (tests, benchmark) get a temporary one; clusters name theirs."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="billscope-"))
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under ``name`` together with the SQL it must agree with."""
 
     def register(fn: Callable[[Tables], DataFrame]):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(tune(spark), sf_dir))
+            return fn(Tables(tune(with_folder(spark)), sf_dir))
 
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from billscope.catalog.base import AS_OF, Tables, query
 from billscope.catalog.views import bills, lines, sql_with
-from billscope.functions.text import matches_any, next_list_number, stable_uuid
+from billscope.functions.text import matches_any, next_list_number, padded_number, stable_uuid
 from billscope.functions.values import differs_or_missing
 from billscope.operators.aggregates import pivot_by_name
 from billscope.operators.changes import (
@@ -155,16 +155,16 @@ def insert_new_only(t: Tables):
 
 @query(
     "outbox_state",
-    sql_with("bills", k="SELECT lpad(CAST(cid AS VARCHAR), 5, '0') || '_TrialKMExt' AS brief FROM bills WHERE status = 'F'")
-    + f"""SELECT {sql_uuid("'task|1998-06-01'")} AS task_id, lpad(CAST((SELECT max(CAST(left(brief, 5) AS INTEGER)) FROM k) + 1 AS VARCHAR), 5, '0') || '_TrialKMExt' AS list_id,
+    sql_with("bills", k="SELECT CASE WHEN length(CAST(cid AS VARCHAR)) >= 5 THEN CAST(cid AS VARCHAR) ELSE lpad(CAST(cid AS VARCHAR), 5, '0') END || '_List' AS brief FROM bills WHERE status = 'F'")
+    + f"""SELECT {sql_uuid("'task|1998-06-01'")} AS task_id, (SELECT CASE WHEN length(CAST(max(CAST(regexp_extract(brief, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR)) >= 5 THEN CAST(max(CAST(regexp_extract(brief, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR) ELSE lpad(CAST(max(CAST(regexp_extract(brief, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR), 5, '0') END FROM k) || '_List' AS list_id,
          1 AS state_id, 50 AS priority, count(*) AS n_comments FROM bills WHERE status = 'O'""",
 )
 def outbox_state(t: Tables):
     rows = bills(t)
     briefs = rows.where(F.col("status") == "F").select(
-        F.concat(F.lpad(F.col("cid").cast("string"), 5, "0"), F.lit("_TrialKMExt")).alias("brief")
+        F.concat(padded_number(F.col("cid")), F.lit("_List")).alias("brief")
     )
-    number = briefs.select(next_list_number(F.col("brief"), "_TrialKMExt")).scalar()
+    number = briefs.select(next_list_number(F.col("brief"), "_List")).scalar()
     task = {"task_id": stable_uuid(F.lit("task"), F.lit("1998-06-01")), "list_id": number}
     header, body = outbox(rows.where(F.col("status") == "O").select("num", "cid"), task, 50)
     n_comments = body.agg(F.count(F.lit(1))).scalar()

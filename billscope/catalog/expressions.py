@@ -16,6 +16,7 @@ from billscope.functions.text import (
     first_rule,
     labelled_lines,
     next_list_number,
+    padded_number,
     normalise,
     stable_uuid,
     through_marker,
@@ -314,9 +315,9 @@ def fn_uuid(t: Tables):
     return t.orders.select("o_orderkey", stable_uuid(F.lit("row"), F.col("o_orderkey"), F.col("o_orderstatus")).alias("id"))
 
 
-@query("fn_url", "SELECT user_id, event_id, 'https://sales/activities/' || event_id AS url FROM events")
+@query("fn_url", "SELECT user_id, event_id, 'https://example.org/cards/' || event_id AS url FROM events")
 def fn_url(t: Tables):
-    return t.events.select("user_id", "event_id", F.concat(F.lit("https://sales/activities/"), F.col("event_id").cast("string")).alias("url"))
+    return t.events.select("user_id", "event_id", F.concat(F.lit("https://example.org/cards/"), F.col("event_id").cast("string")).alias("url"))
 
 
 TARIFF_SQL = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Базовый ' || o_orderpriority WHEN o_orderpriority = '3-MEDIUM' THEN 'модуль ' || o_orderstatus ELSE 'Прочее' END"
@@ -339,8 +340,8 @@ def fn_first_tariff_family(t: Tables):
 
 @query(
     "fn_next_list_number",
-    """SELECT o_orderstatus, lpad(CAST(max(o_custkey) + 1 AS VARCHAR), 5, '0') || '_List' AS list_id FROM orders GROUP BY o_orderstatus""",
+    """SELECT o_orderstatus, CASE WHEN length(CAST(max(o_custkey) + 1 AS VARCHAR)) >= 5 THEN CAST(max(o_custkey) + 1 AS VARCHAR) ELSE lpad(CAST(max(o_custkey) + 1 AS VARCHAR), 5, '0') END || '_List' AS list_id FROM orders GROUP BY o_orderstatus""",
 )
 def fn_next_list_number(t: Tables):
-    brief = F.concat(F.lpad(F.col("o_custkey").cast("string"), 5, "0"), F.lit("_List"))
+    brief = F.concat(padded_number(F.col("o_custkey")), F.lit("_List"))
     return t.orders.groupBy("o_orderstatus").agg(next_list_number(brief, "_List").alias("list_id"))

@@ -46,7 +46,7 @@ INPUTS = {
     "offers": """SELECT o_orderkey AS offer_id, CAST(floor(o_orderkey / 8) AS BIGINT) AS activity_id, CAST(o_custkey AS STRING) AS inn,
         CASE WHEN o_orderstatus = 'F' THEN 'ext ' || o_orderpriority END AS external_id, 'Mark' AS crm_product,
         CASE WHEN o_orderpriority = '5-LOW' THEN 'дорого ' || o_orderstatus END AS reject_reason, CAST(o_orderdate AS DATE) AS reject_date FROM {orders}""",
-    "offer_links": "SELECT l_orderkey AS bill_num, l_orderkey AS offer_id FROM {lineitem} WHERE l_linenumber < 3",
+    "offer_links": "SELECT l_orderkey AS bill_num, l_orderkey AS offer_id FROM {lineitem}",
     "activities": """SELECT p_partkey AS activity_id, CASE p_size % 5 WHEN 0 THEN 'Клиент #' || p_name WHEN 1 THEN 'клиент ' || upper(p_name)
           WHEN 2 THEN p_name || ' опт Кто клиенты: розница' WHEN 3 THEN 'Производство Кто клиенты: ' || p_name END AS description FROM {part}""",
     "org_registry": """SELECT CAST(c_custkey AS STRING) AS inn, CAST(c_nationkey AS STRING) AS kpp, 1 AS is_head, 'R' || CAST(c_nationkey AS STRING) AS region_code,
@@ -60,7 +60,7 @@ INPUTS = {
         UNION ALL SELECT c_custkey, DATE '1999-01-01', 'Mark', 'A' || CAST((c_custkey + 1) % 10 AS STRING) FROM {customer} WHERE c_acctbal > 7000
         UNION ALL SELECT c_custkey, DATE '1998-01-01', 'Mark', 'A5' FROM {customer}""",
     "tracker": f"""SELECT {VARIABLES} AS custom_variables, CASE WHEN value < 5 THEN '00000000-0000-0000-0000-000000000000' ELSE 'u' || CAST(user_id AS STRING) END AS portal_user_id,
-        CASE WHEN value < 40 THEN '79' ELSE '80' END AS site_id, CASE event_type WHEN 'error' THEN 'Настройки' ELSE event_type END AS category,
+        CASE WHEN value < 40 THEN 'main' ELSE 'other' END AS site_id, CASE event_type WHEN 'error' THEN 'Настройки' ELSE event_type END AS category,
         CASE event_type WHEN 'view' THEN 'Переход в раздел' ELSE event_type END AS action, CAST(ts AS DATE) - 9360 AS event_date FROM {{events}}""",
     "tag_catalog": """SELECT DISTINCT event_type AS tags, 'seg ' || left(event_type, 1) AS segment FROM {events} WHERE event_type <> 'error'
         UNION SELECT DISTINCT upper(substr(p_name, 1, instr(p_name, ' ') - 1)), 'seg ' || left(p_name, 2) FROM {part}""",
@@ -75,12 +75,12 @@ INPUTS = {
     "trial_events": """SELECT '{{"inn":"' || CAST(user_id * 7 AS STRING) || '","userId":"u' || CAST(user_id AS STRING) || '","contactPerson":"Name ' || CAST(event_id AS STRING)
           || '","phone":"+7' || CAST(event_id AS STRING) || '","city":"City","utmSource":"' || CASE WHEN value < 5 THEN '' ELSE 'mail' END
           || '","utmMedium":"' || event_type || '","utmType":"t' || CAST(user_id AS STRING) || '"}}' AS variables,
-        CASE WHEN event_type IN ('signup', 'view') THEN 'Market' ELSE 'Other' END AS topic, CASE WHEN event_type IN ('signup', 'view') THEN 'Service' ELSE 'AdkService' END AS category,
-        CASE WHEN event_type IN ('signup', 'view') THEN 'Adk.SaveContactsOnCreateTrialOrganizationEvent' ELSE 'Adk.SaveUtmContentEvent' END AS action,
+        CASE WHEN event_type IN ('signup', 'view') THEN 'Site' ELSE 'Other' END AS topic, CASE WHEN event_type IN ('signup', 'view') THEN 'Trial' ELSE 'Campaign' END AS category,
+        CASE WHEN event_type IN ('signup', 'view') THEN 'sign_up' ELSE 'campaign_parts' END AS action,
         CAST(ts AS DATE) - 9360 AS client_date FROM {events}""",
     "prospect_cards": """SELECT 'c' || CAST(o_orderkey AS STRING) AS card_id, CAST(o_custkey AS STRING) AS inn, CAST(left(o_orderpriority, 1) AS INT) AS temperature,
-        o_orderdate AS created, CAST(1 + o_orderkey % 4 AS INT) AS state FROM {orders} WHERE o_totalprice > 350000""",
-    "tasks": "SELECT lpad(CAST(o_custkey AS STRING), 5, '0') || '_TrialKMExt' AS brief_id FROM {orders} WHERE o_orderstatus = 'F'",
+        o_orderdate AS created, CASE WHEN o_custkey % 3 = 0 THEN 2 ELSE CAST(1 + o_orderkey % 4 AS INT) END AS state FROM {orders}""",
+    "tasks": "SELECT CASE WHEN length(CAST(o_custkey AS STRING)) >= 5 THEN CAST(o_custkey AS STRING) ELSE lpad(CAST(o_custkey AS STRING), 5, '0') END || '_List' AS brief_id FROM {orders} WHERE o_orderstatus = 'F'",
 }
 
 

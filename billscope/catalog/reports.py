@@ -18,7 +18,7 @@ from billscope.plans.months_active import months_active
 from billscope.plans.prolongation import prolongation
 from billscope.plans.revenue import CATEGORIES, OTHER_CATEGORIES, revenue
 from billscope.plans.segmentation import segmentation
-from billscope.plans.trial import LIST_NAME, trial
+from billscope.plans.trial import trial
 from billscope.plans.user_map import user_inn_map
 
 DATE = "DATE '1998-06-01'"
@@ -289,7 +289,7 @@ def pipe_segmentation(t: Tables):
 @query(
     "pipe_segmentation_unmapped",
     sql_inputs(*SEGMENT_INPUTS, **SEGMENT_STEPS)
-    + "SELECT string_agg(product_group, '; ' ORDER BY product_group) AS unmapped FROM (SELECT DISTINCT product_group FROM used) WHERE product_group NOT IN (SELECT tags FROM in_tag_catalog)",
+    + "SELECT product_group AS unmapped FROM (SELECT DISTINCT product_group FROM used) WHERE product_group NOT IN (SELECT tags FROM in_tag_catalog)",
 )
 def pipe_segmentation_unmapped(t: Tables):
     return segmentation(report_inputs(t, *SEGMENT_INPUTS), PARAMS)["unmapped"]
@@ -309,7 +309,7 @@ ACTIVE_STEPS = {
         LEFT JOIN in_org_registry g ON g.inn = c.inn AND g.kpp = c.kpp
         LEFT JOIN in_payer_links p ON p.payer_id = t.client_id AND p.expiration_date > {DATE} AND p.product_id = 'Mark' LEFT JOIN in_agents a ON a.code = p.center_code""",
     "w": f"SELECT {_WIDE}, string_agg(tariff_name, '; ' ORDER BY tariff_name) AS tariff FROM test GROUP BY {_WIDE}",
-    "vis": f"SELECT json_extract_string(custom_variables, '$.organizationInn') AS inn, event_date, action, category FROM in_tracker WHERE site_id = '79' AND event_date < {DATE} AND json_extract_string(custom_variables, '$.organizationInn') <> ''",
+    "vis": f"SELECT json_extract_string(custom_variables, '$.organizationInn') AS inn, event_date, action, category FROM in_tracker WHERE site_id = 'main' AND event_date < {DATE} AND json_extract_string(custom_variables, '$.organizationInn') <> ''",
     "act": "SELECT inn, max(event_date) AS last_date FROM vis WHERE action NOT IN ('Переход в раздел', 'Отправка в архив') AND category NOT IN ('Сотрудники', 'Настройки') GROUP BY inn",
     "com": "SELECT w.*, CASE WHEN inn IN (SELECT inn FROM vis) THEN 1 ELSE 0 END AS enter, last_date FROM w LEFT JOIN act USING (inn)",
     "excluded": """SELECT DISTINCT price_set_name FROM in_bill_lines WHERE (price_set_name LIKE 'Внедрение%' OR price_set_name LIKE 'Доставка%' OR price_set_name LIKE 'Пакет для обработки%') AND bill_id IN (SELECT bill_id FROM com)""",
@@ -358,9 +358,9 @@ TRIAL_STEPS = {
     "t2": "SELECT t.* REPLACE (coalesce(kp_id, s.offer_id) AS kp_id) FROM t1 t LEFT JOIN in_prospect_sales s ON sale_id = pp_id",
     "t3": """SELECT * REPLACE (CASE WHEN paid_bill IS NULL AND EXISTS (SELECT 1 FROM in_client_bills b WHERE b.inn = t2.inn AND bill_payed > 0 AND pay_date >= load_to_crm_date) THEN 1 ELSE paid_bill END AS paid_bill) FROM t2""",
     "d": f"""SELECT DISTINCT {_J('inn')} AS inn, {_J('userId')} AS user_id, {_J('contactPerson')} AS user_name, {_J('phone')} AS phone, '' AS email, client_date AS event_date FROM in_trial_events
-        WHERE topic = 'Market' AND category = 'Service' AND action = 'Adk.SaveContactsOnCreateTrialOrganizationEvent' AND client_date = {DATE} - 1""",
+        WHERE topic = 'Site' AND category = 'Trial' AND action = 'sign_up' AND client_date = {DATE} - 1""",
     "u": f"""SELECT DISTINCT {_J('userId')} AS user_id, {', '.join(f'{_J(k)} AS {c}' for c, k in _UTM.items())} FROM in_trial_events
-        WHERE category = 'AdkService' AND action = 'Adk.SaveUtmContentEvent' AND client_date = {DATE} - 1""",
+        WHERE category = 'Campaign' AND action = 'campaign_parts' AND client_date = {DATE} - 1""",
     "fresh": """SELECT inn, max(user_id) AS user_id, max(user_name) AS user_name, max(phone) AS phone, max(email) AS email, max(event_date) AS event_date FROM d
         WHERE NOT EXISTS (SELECT 1 FROM t3 WHERE t3.inn = d.inn) GROUP BY inn""",
     "busy": f"""SELECT DISTINCT inn FROM in_subscriptions JOIN in_clients USING (client_id) WHERE is_real = 1 AND {DATE} BETWEEN since AND up_to AND tariff_name ILIKE 'Отчетность %'
@@ -398,8 +398,8 @@ def pipe_trial_orgs(t: Tables):
 @query(
     "pipe_trial_outbox",
     sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS)
-    + f"""SELECT {sql_uuid(f"'task|1998-06-01|{LIST_NAME}'")} AS task_id, lpad(CAST((SELECT max(CAST(left(brief_id, 5) AS INTEGER)) FROM in_tasks) + 1 AS VARCHAR), 5, '0') || '_TrialKMExt' AS list_id,
-          '{LIST_NAME}' AS base_name, pp_id, comment FROM existing""",
+    + f"""SELECT {sql_uuid(f"'task|1998-06-01|{PARAMS.list_name}'")} AS task_id, (SELECT CASE WHEN length(CAST(max(CAST(regexp_extract(brief_id, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR)) >= 5 THEN CAST(max(CAST(regexp_extract(brief_id, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR) ELSE lpad(CAST(max(CAST(regexp_extract(brief_id, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR), 5, '0') END FROM in_tasks) || '_List' AS list_id,
+          '{PARAMS.list_name}' AS base_name, pp_id, comment FROM existing""",
 )
 def pipe_trial_outbox(t: Tables):
     return run_trial(t)["comments"]
@@ -409,7 +409,7 @@ def pipe_trial_outbox(t: Tables):
     "pipe_trial_summary",
     sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS)
     + f"""SELECT CAST((SELECT count(*) FROM t3 WHERE load_to_crm_date = {DATE} - 1) AS VARCHAR) AS created_yesterday,
-          coalesce((SELECT string_agg(url, ' <br> ' ORDER BY url) FROM (SELECT 'https://sales/activities/' || activity_id AS url FROM t3 JOIN in_prospect_sales ON sale_id = pp_id
+          coalesce((SELECT string_agg(url, ' <br> ' ORDER BY url) FROM (SELECT 'https://example.org/cards/' || activity_id AS url FROM t3 JOIN in_prospect_sales ON sale_id = pp_id
             JOIN in_offers USING (offer_id) WHERE load_to_crm_date = {DATE} - 1)), 'не было карточек') AS cards,
           (SELECT count(*) FROM leads) AS n_leads, CASE WHEN (SELECT count(*) FROM leads) = 0 THEN 'Новых созданных организаций по Триалу нет' ELSE '' END AS note""",
 )

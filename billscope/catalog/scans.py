@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from billscope.functions.dates import month_key, week_key
 from billscope.functions.json import json_value
 from billscope.operators.changes import only_new
 from billscope.operators.windows import first_per_key
-from billscope.session import scratch_path
+from billscope.session import cached, cut, scratch_path
 from billscope.sources.readers import (
     CONTROL_CSV,
     first_candidate,
@@ -25,6 +26,11 @@ from billscope.sources.readers import (
 from billscope.sources.sinks import append_rows, csv_export, full_refresh
 
 
+def table_name(name: str) -> str:
+    """A catalog name that no other query uses."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 @query("scan_ctrl_csv", "SELECT o_orderkey, o_custkey, NULLIF(o_orderstatus, 'P') AS o_orderstatus, o_orderpriority FROM orders")
 def scan_ctrl_csv(t: Tables):
     root = scratch_path(t.spark, "drops")
@@ -108,10 +114,9 @@ def scan_nested_docs(t: Tables):
     )
 
 
-@query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-06-01'")
+@query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem")
 def scan_parquet(t: Tables):
-    recent = t.lineitem.where(F.col("l_shipdate") >= F.lit(AS_OF))
-    return recent.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
 @query(
@@ -134,10 +139,11 @@ def scan_remote_typed(t: Tables):
     )
 
 
-@query("scan_table", "SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_acctbal > 0")
+@query("scan_table", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def scan_table(t: Tables):
-    t.customer.createOrReplaceTempView("billscope_customer")
-    return t.spark.table("billscope_customer").where(F.col("c_acctbal") > 0).select("c_custkey", "c_name", "c_nationkey")
+    name = table_name("customer")
+    full_refresh(t.customer, name, scratch_path(t.spark, "customer"))
+    return t.spark.table(name).select("c_custkey", "c_name", "c_nationkey")
 
 
 VALUES_SQL = "VALUES ('ECONOMY', 'cheap'), ('PROMO', 'cheap'), ('LARGE', 'bulky'), ('NONE', 'absent')"
@@ -161,13 +167,14 @@ def values_rows(t: Tables):
        FROM staged JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
 )
 def stage_table(t: Tables):
-    t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey")).createOrReplaceTempView("billscope_staged")
-    t.nation.createOrReplaceTempView("billscope_nation")
+    staged = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"))
     return t.spark.sql(
         """WITH per_nation AS (SELECT c_nationkey, count(*) AS n_orders, sum(CAST(o_totalprice AS DECIMAL(19,4))) AS total
-                               FROM billscope_staged GROUP BY c_nationkey)
+                               FROM {staged} GROUP BY c_nationkey)
            SELECT n_name, n_orders, CAST(total AS DOUBLE) AS total
-           FROM per_nation JOIN billscope_nation ON c_nationkey = n_nationkey"""
+           FROM per_nation JOIN {nation} ON c_nationkey = n_nationkey""",
+        staged=staged,
+        nation=t.nation,
     )
 
 
@@ -179,13 +186,11 @@ def stage_table(t: Tables):
 )
 def reuse_cache(t: Tables):
     rows = bills(t)
-    last = first_per_key(rows, ["cid"], [("bdate", "desc"), ("num", "desc")], ["num"]).withColumnRenamed("num", "last_num").cache()
-    holders = last.groupBy("last_num").agg(F.count(F.lit(1)).alias("n_clients"))
-    return (
-        rows.join(last, "cid", "left")
-        .join(holders.withColumnRenamed("last_num", "num"), "num", "left")
-        .select("num", "cid", "last_num", "n_clients")
-    )
+    last = first_per_key(rows, ["cid"], [("bdate", "desc"), ("num", "desc")], ["num"]).withColumnRenamed("num", "last_num")
+    with cached(last):
+        holders = last.groupBy("last_num").agg(F.count(F.lit(1)).alias("n_clients"))
+        joined = rows.join(last, "cid", "left").join(holders.withColumnRenamed("last_num", "num"), "num", "left")
+        return cut(joined.select("num", "cid", "last_num", "n_clients"), "reuse")
 
 
 @query("append_rows", sql_with("bills") + "SELECT num, cid, bdate, CAST(summ AS DOUBLE) AS summ FROM bills")
@@ -203,12 +208,11 @@ def append(t: Tables):
     sql_with("bills") + "SELECT cid, count(*) AS n_bills, max(bdate) AS last_bill FROM bills WHERE status <> 'P' GROUP BY cid",
 )
 def refresh(t: Tables):
-    path = scratch_path(t.spark, "report")
+    name, folder = table_name("report"), scratch_path(t.spark, "report")
     report = lambda rows: rows.groupBy("cid").agg(F.count(F.lit(1)).alias("n_bills"), F.max("bdate").alias("last_bill"))
-    first = report(bills(t))
-    full_refresh(first, path)
-    full_refresh(report(bills(t).where(F.col("status") != "P")), path)
-    return t.spark.read.schema(first.schema).parquet(path)
+    full_refresh(report(bills(t)), name, folder)
+    full_refresh(report(bills(t).where(F.col("status") != "P")), name, folder)
+    return t.spark.table(name)
 
 
 @query(
@@ -222,7 +226,7 @@ def single_csv_export(t: Tables):
         "shipped", F.concat(F.lit('say "'), F.col("cat"), F.lit('", please')).alias("label"), F.col("total").cast("double").alias("total")
     )
     path = scratch_path(t.spark, "sales_1998-06-01.csv")
-    csv_export(report, path)
+    csv_export(report, path, single_file=True)
     return t.spark.read.options(header=True, quote='"', escape='"').schema(report.schema).csv(path)
 
 

@@ -93,7 +93,14 @@ def stable_uuid(*key: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, size) for start, size in spans])
 
 
+def padded_number(number: Column, width: int = 5) -> Column:
+    """Digits with leading zeros up to ``width``; longer numbers keep all their digits."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def next_list_number(list_id: Column, suffix: str, width: int = 5) -> Column:
     """Aggregate: zero-padded number after the highest among ids that end with ``suffix``; 1 when none do."""
-    number = F.when(list_id.like(f"%{suffix}"), F.left(list_id, F.lit(width)).try_cast("int"))
-    return F.concat(F.lpad((F.coalesce(F.max(number), F.lit(0)) + 1).cast("string"), width, "0"), F.lit(suffix))
+    leading = F.regexp_extract(list_id, r"^(\d+)", 1).try_cast("long")
+    number = F.when(list_id.endswith(suffix), leading)
+    return F.concat(padded_number(F.coalesce(F.max(number), F.lit(0)) + 1, width), F.lit(suffix))

@@ -69,6 +69,7 @@ def dynamic_pivot(df: DataFrame, rows: Sequence[str], column: str, field: str, f
 
 
 def quoted_list(df: DataFrame, column: str, name: str) -> DataFrame:
-    """One row: the sorted distinct values as ``[a],[b],…``."""
-    values = df.select(F.concat(F.lit("["), F.col(column), F.lit("]")).alias("_quoted")).where(F.col(column).isNotNull()).distinct()
+    """One row: the sorted distinct values as ``[a],[b],…``, a ``]`` inside doubled."""
+    escaped = F.replace(F.col(column), F.lit("]"), F.lit("]]"))
+    values = df.select(F.concat(F.lit("["), escaped, F.lit("]")).alias("_quoted")).where(F.col(column).isNotNull()).distinct()
     return string_agg(values, [], "_quoted", ",", name)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.operators.aggregates import string_agg
 from billscope.operators.joins import not_exists_in
 
 
@@ -25,8 +24,9 @@ def unknown_values(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFr
 
 
 def unmapped_values(df: DataFrame, column: str, dictionary: DataFrame, name: str = "unmapped") -> DataFrame:
-    """One row: the values missing in the dictionary as one text; NULL when all are known."""
-    return string_agg(not_exists_in(df.select(column).distinct(), dictionary, column), [], column, "; ", name)
+    """The distinct values missing in the dictionary, one per row; NULL is not a value."""
+    known = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return not_exists_in(known, dictionary, column).withColumnRenamed(column, name)
 
 
 def row_count_flag(df: DataFrame) -> DataFrame:

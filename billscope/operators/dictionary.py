@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_DICTIONARY = 200
+from billscope.operators.joins import contains_pairs
 
+SIZES = (1, 2, 4, 8, 16, 32)
 
-def _mentions(text: Column, tag: Column | str) -> Column:
+
+def _mentions(text: Column, tag: Column) -> Column:
     """``tag`` right after a #, right after a blank, or at the start; % and _ in tags stay wildcards."""
-    if isinstance(tag, str):
-        return text.like(f"%#{tag}%") | text.like(f"% {tag}%") | text.like(f"{tag}%")
     return (
         F.like(text, F.concat(F.lit("%#"), tag, F.lit("%")))
         | F.like(text, F.concat(F.lit("% "), tag, F.lit("%")))
@@ -19,50 +19,38 @@ def _mentions(text: Column, tag: Column | str) -> Column:
     )
 
 
-def _by_literals(texts: DataFrame, key: str, text: str, tags: list[str]) -> DataFrame:
-    """Row-local: one pass over the texts, all tags as constants."""
-    low = F.lower(text)
-    found = [F.when(_mentions(F.col("_low"), tag), F.lit(tag)) for tag in tags]
-    return (
-        texts.select(key, low.alias("_low"))
-        .select(key, F.explode(F.array_compact(F.array(*found))).alias("tag"))
-    )
-
+def _words_of_tags(words: DataFrame, tags: DataFrame) -> DataFrame:
+    """(``word``, ``tag``) for words that a text must hold to mention the tag.
 
-def _by_word_start(texts: DataFrame, key: str, text: str, tags: DataFrame) -> DataFrame:
-    """Equi join on the first characters of words; the text itself joins back for candidates only."""
-    anchored = tags.select("tag", F.left(F.regexp_extract("tag", r"^[^ #%_\\]*", 0), F.lit(3)).alias("_start"))
-    words = F.array_distinct(F.split(F.lower(text), "[ #]"))
-    starts = F.array_distinct(
-        F.flatten(
-            F.transform(
-                words, lambda w: F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.left(w, n.cast("int")))
-            )
-        )
-    )
-    candidates = (
-        texts.select(key, F.explode(starts).alias("_start")).join(anchored, "_start").select(key, "tag").distinct()
-    )
-    return (
-        candidates.join(texts.select(key, F.lower(text).alias("_low")), key)
-        .where(_mentions(F.col("_low"), F.col("tag")))
-        .select(key, "tag")
-    )
-
-
-def tag_matches(texts: DataFrame, key: str, text: str, dictionary: DataFrame, tag: str, small: int = SMALL_DICTIONARY) -> DataFrame:
+    A tag's first literal word stands at a word start; it is looked up by the longest of a few prefix lengths. Of a tag
+    that opens with a wildcard the first literal run lies somewhere inside a word.
+    """
+    opening = F.regexp_extract("tag", r"^[ #]*([^ #%_\\]+)", 1)
+    inside = F.regexp_extract("tag", r"([^ #%_\\]+)", 1)
+    size = F.lit(SIZES[0])
+    for n in SIZES[1:]:
+        size = F.when(F.length("_start") >= n, n).otherwise(size)
+    anchored = tags.select("tag", opening.alias("_start")).where("_start != ''").withColumn("_gram", F.left(F.col("_start"), size))
+    starts = F.filter(F.array(*[F.when(F.length("word") >= n, F.left(F.col("word"), F.lit(n))) for n in SIZES]), lambda g: g.isNotNull())
+    by_start = words.select("word", F.explode(starts).alias("_gram")).join(anchored, "_gram")
+    by_start = by_start.where(F.col("word").startswith(F.col("_start"))).select("word", "tag")
+    loose = tags.select("tag", opening.alias("_start"), inside.alias("needle")).where("_start = '' and needle != ''")
+    found = contains_pairs(loose.select("needle"), words.select(F.col("word").alias("haystack")))
+    return by_start.unionByName(found.join(loose, "needle").select(F.col("haystack").alias("word"), "tag"))
+
+
+def tag_matches(texts: DataFrame, key: str, text: str, dictionary: DataFrame, tag: str) -> DataFrame:
     """(``key``, ``tag``) for every lower-cased dictionary tag the text mentions; ``key`` is unique.
 
-    Up to ``small`` tags are matched as constants without any join. A larger dictionary is joined by
-    word starts; tags that begin with a blank, # or a wildcard have no such start and go as constants.
+    The distinct words of all texts are matched to tags first, by equi joins of any size; what a text's words bring up is
+    checked on the text. Tags without a single literal word (blanks, # and wildcards only) are tried on every text.
     """
     tags = dictionary.select(F.lower(tag).alias("tag")).where(F.col("tag").isNotNull()).distinct()
-    some = [r[0] for r in tags.take(small + 1)]
-    if len(some) <= small:
-        return _by_literals(texts, key, text, sorted(some))
-    startless = F.col("tag").rlike(r"^([ #%_\\]|$)")
-    odd = [r[0] for r in tags.where(startless).take(small + 1)]
-    if len(odd) > small:
-        raise ValueError(f"more than {small} tags start with a wildcard, blank or #")
-    found = _by_word_start(texts, key, text, tags.where(~startless))
-    return found.unionByName(_by_literals(texts, key, text, sorted(odd))) if odd else found
+    low = texts.select(key, F.lower(text).alias("_low")).where(F.col("_low").isNotNull())
+    held = low.select(key, F.explode(F.array_distinct(F.split("_low", "[ #]"))).alias("word")).where("word != ''")
+    matched = _words_of_tags(held.select("word").distinct(), tags)
+    candidates = held.join(matched, "word").select(key, "tag").distinct()
+    found = candidates.join(low, key).where(_mentions(F.col("_low"), F.col("tag"))).select(key, "tag")
+    wordless = tags.where(F.regexp_extract("tag", r"([^ #%_\\]+)", 1) == "").agg(F.collect_set("tag")).scalar()
+    anywhere = low.select(key, "_low", F.explode(wordless).alias("tag")).where(_mentions(F.col("_low"), F.col("tag")))
+    return found.unionByName(anywhere.select(key, "tag"))

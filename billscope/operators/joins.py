@@ -78,7 +78,7 @@ def contains_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
 
     ``needles`` has one column ``needle``, ``haystacks`` one column ``haystack``. Each needle is looked up
     by its first 1, 2, 4, 8, … characters (the longest such prefix it has); haystacks offer all their
-    substrings of those lengths. Whatever agrees there is checked with ``contains``. Empty needles are
+    substrings of those lengths under a 128-bit id. Whatever agrees there is checked with ``contains``. Empty needles are
     inside every text and are not looked up; callers guard against them.
     """
     sizes = [1, 2, 4, 8, 16, 32]
@@ -103,6 +103,11 @@ def contains_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
             F.array_contains(used, size) & (F.length(text) >= size), F.transform(starts, lambda at: F.substring(text, at, F.lit(size)))
         ).otherwise(F.array().cast("array<string>"))
 
+    # only an id travels with the substrings; the text joins back for candidates
+    texts = haystacks.where(F.col("haystack").isNotNull()).distinct().withColumns(
+        {"_a": F.xxhash64("haystack"), "_b": F.xxhash64(F.reverse("haystack"), F.lit(1))}
+    )
     every_gram = F.array_distinct(F.concat(*[grams(F.col("haystack"), size) for size in sizes]))
-    offered = haystacks.where(F.col("haystack").isNotNull()).distinct().select("haystack", F.explode(every_gram).alias("_gram"))
-    return offered.join(keyed, "_gram").where(F.col("haystack").contains(F.col("needle"))).select("needle", "haystack")
+    offered = texts.select("_a", "_b", F.explode(every_gram).alias("_gram"))
+    candidates = offered.join(keyed, "_gram").select("_a", "_b", "needle").distinct()
+    return candidates.join(texts, ["_a", "_b"]).where(F.col("haystack").contains(F.col("needle"))).select("needle", "haystack")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from billscope.operators.aggregates import string_agg
 from billscope.operators.changes import delete_where
 from billscope.operators.joins import exists_in, not_in
 from billscope.params import ReportParams
+from billscope.plans import Outputs
 from billscope.plans.vocabulary import BASE_TARIFF, REPORT_DATE_FORMAT
 from billscope.session import cut
 
@@ -26,8 +29,7 @@ ONE_OFF_PATTERNS = (
     "Доставка%",
     "Пакет для обработки%",
 )
-# Tracker site, ignored actions and categories, payer product, renamed segment.
-TRACKER_SITE = "79"
+# Ignored actions and categories, payer product, renamed segment.
 IGNORED_ACTIONS = ("Переход в раздел", "Отправка в архив")
 IGNORED_CATEGORIES = ("Сотрудники", "Настройки")
 PAYER_PRODUCT = "Mark"
@@ -70,11 +72,11 @@ def in_force_or_future(subscriptions: DataFrame, as_of) -> DataFrame:
     )
 
 
-def last_activity(tracker: DataFrame, as_of) -> DataFrame:
+def last_activity(tracker: DataFrame, as_of, site: str) -> DataFrame:
     """Per client seen in the service before ``as_of``: day of the last action that counts (NULL if none)."""
     counts = ~F.col("action").isin(*IGNORED_ACTIONS) & ~F.col("category").isin(*IGNORED_CATEGORIES)
     return (
-        tracker.where((F.col("site_id") == TRACKER_SITE) & (F.col("event_date") < F.lit(as_of)))
+        tracker.where((F.col("site_id") == site) & (F.col("event_date") < F.lit(as_of)))
         .select(json_string(F.col("custom_variables"), "organizationInn").alias("inn"), F.when(counts, F.col("event_date")).alias("_day"))
         .where(F.col("inn") != "")
         .groupBy("inn")
@@ -140,7 +142,7 @@ def detail_rows(inputs: dict[str, DataFrame], params: ReportParams) -> DataFrame
     )
     segments = inputs["segmentation"].select("inn", F.col("segment").alias("product_group")).distinct()
     full = (
-        rows.join(last_activity(inputs["tracker"], params.as_of), "inn", "left")
+        rows.join(last_activity(inputs["tracker"], params.as_of, params.tracker_site), "inn", "left")
         .join(net, "bill_id", "left")
         .join(segments, "inn", "left")
     )
@@ -204,17 +206,21 @@ def upcoming_pairs(report: DataFrame) -> DataFrame:
     )
 
 
-def active_report(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, DataFrame]:
+def active_report(inputs: dict[str, DataFrame], params: ReportParams) -> Outputs:
     """``report``: rolled-up base rows plus the rows of clients without a base tariff; ``upcoming``: pairs.
 
     Inputs: subscriptions, clients, bills, agents, org_registry, payer_links, tracker, bill_lines,
     segmentation.
     """
-    # the details, the rows kept of them and the report each feed several steps and are computed once
-    detail = cut(detail_rows(inputs, params))
-    kept = cut(without_foreign_holders(detail))
-    base = rolled_up(kept)
-    based = kept.where(F.col("tariff").ilike(BASE_TARIFF) & F.col("inn").isNotNull()).select("inn")
-    plain = not_in(detail.select(*DISPLAY), based, "inn").distinct()
-    report = cut(base.unionByName(plain))
-    return {"report": report, "upcoming": upcoming_pairs(report)}
+
+    @cache
+    def report() -> DataFrame:
+        # the details, the rows kept of them and the report each feed several steps and are computed once
+        detail = cut(detail_rows(inputs, params))
+        kept = cut(without_foreign_holders(detail))
+        base = rolled_up(kept)
+        based = kept.where(F.col("tariff").ilike(BASE_TARIFF) & F.col("inn").isNotNull()).select("inn")
+        plain = not_in(detail.select(*DISPLAY), based, "inn").distinct()
+        return cut(base.unionByName(plain))
+
+    return Outputs(report=report, upcoming=lambda: upcoming_pairs(report()))

@@ -46,41 +46,47 @@ def category(name: Column, rules: Sequence[CategoryRule]) -> Column:
 def receipt_lines(receipts: DataFrame, rules: Sequence[CategoryRule]) -> DataFrame:
     """Lines of sold, categorised products, each receipt counted once.
 
-    Receipts without a wanted product leave before the de-duplication, so only the few that matter are
-    exchanged. A receipt id with a NULL part is NULL, and all such receipts count as one.
+    Lines are exploded and classified first, so only the few that matter go on. A receipt's copies are told apart by the
+    hash of their content, and the copy with the smallest hash counts; equal copies collapse. A receipt id with a NULL part
+    is NULL, and all such receipts count as one.
     """
-    wanted = F.filter("content.products", lambda p: category(F.lower(p["name"]), rules).isNotNull())
-    sold = (
-        receipts.where((F.col("content.calculation_type") == "Sell") & (F.col("type") == "Receipt"))
+    content = F.col("content")
+    line = (
+        receipts.where((content.calculation_type == "Sell") & (F.col("type") == "Receipt"))
         .select(
             F.concat(
-                F.col("content.cashbox_number").cast("string"),
-                F.lit("_"),
-                F.col("content.number").cast("string"),
-                F.lit("_"),
-                F.col("content.timestamp").cast("string"),
+                content.cashbox_number.cast("string"), F.lit("_"), content.number.cast("string"), F.lit("_"), content.timestamp.cast("string")
             ).alias("receipt_id"),
-            F.col("content.cashbox_number").alias("cashbox_number"),
-            F.to_date("content.timestamp").alias("date"),
-            F.col("content.client").alias("client"),
-            F.col("content.client_inn").alias("client_inn"),
-            wanted.alias("products"),
+            F.xxhash64("content").alias("copy"),
+            content.cashbox_number.alias("cashbox_number"),
+            F.to_date(content.timestamp).alias("date"),
+            content.client.alias("client"),
+            content.client_inn.alias("client_inn"),
+            F.posexplode("content.products").alias("position", "product"),
         )
-        .where(F.size("products") > 0)
+        .withColumn("product_name", F.lower("product.name"))
+        .withColumn("category", category(F.col("product_name"), rules))
+        .where(F.col("category").isNotNull())
     )
+    kept = line.groupBy("receipt_id").agg(F.min("copy").alias("_copy")).withColumnRenamed("receipt_id", "_id")
+    mine = line["receipt_id"].eqNullSafe(kept["_id"]) & (line["copy"] == kept["_copy"])
     return (
-        sold.dropDuplicates(["receipt_id"])
-        .select("cashbox_number", "date", "client", "client_inn", F.explode("products").alias("product"))
+        line.join(kept, mine, "left_semi")
         .select(
+            "receipt_id",
+            "copy",
+            "position",
             "cashbox_number",
             "date",
             "client",
             "client_inn",
-            F.lower("product.name").alias("product_name"),
+            "product_name",
             F.col("product.quantity").cast(MONEY).alias("quantity"),
             F.round(F.col("product.sum").cast(MONEY) / 100, 2).cast(MONEY).alias("sum_rub"),
+            "category",
         )
-        .withColumn("category", category(F.col("product_name"), rules))
+        .distinct()
+        .drop("receipt_id", "copy", "position")
     )
 
 

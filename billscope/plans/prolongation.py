@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from billscope.functions.text import first_rule
 from billscope.operators.changes import update_where_exists
 from billscope.operators.windows import first_per_key, in_sequence
 from billscope.params import ReportParams
+from billscope.plans import Outputs
 from billscope.plans.roles import role_lists
 from billscope.plans.vocabulary import UNASSIGNED
 from billscope.session import cut
@@ -84,17 +87,26 @@ def bill_codes(lines: DataFrame, subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: str) -> dict[str, DataFrame]:
+def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: str) -> Outputs:
     """``report``: one row per subscription and bill-line code; ``all_revenue``: the corrected revenue table."""
-    subscriptions = inputs["subscriptions"]
-    chain = cut(subscription_chain(subscriptions, inputs["clients"], inputs["bills"]))  # sampled, then numbered
-    rows = cut(renewals(chain, params.renewal_gap_days))  # read five times below
 
-    renewing = rows.select(F.col("next_num").alias("num")).where(F.col("num").isNotNull())
-    revenue = update_where_exists(
-        inputs["all_revenue"], renewing, "num", "revenue_type", F.lit(RENEWAL), F.col("revenue_type") == NEW_CONNECTION
-    )
+    @cache
+    def rows() -> DataFrame:
+        chain = cut(subscription_chain(inputs["subscriptions"], inputs["clients"], inputs["bills"]))  # sampled, then numbered
+        return cut(renewals(chain, params.renewal_gap_days))  # read several times by each result
+
+    @cache
+    def revenue() -> DataFrame:
+        renewing = rows().select(F.col("next_num").alias("num")).where(F.col("num").isNotNull())
+        return update_where_exists(
+            inputs["all_revenue"], renewing, "num", "revenue_type", F.lit(RENEWAL), F.col("revenue_type") == NEW_CONNECTION
+        )
 
+    return Outputs(report=lambda: report(inputs, rows(), revenue(), params, product), all_revenue=revenue)
+
+
+def report(inputs: dict[str, DataFrame], rows: DataFrame, revenue: DataFrame, params: ReportParams, product: str) -> DataFrame:
+    """The renewal rows with reasons, status, roles, codes, payments and product group."""
     lost = rows.where(F.col("prolong") == 0).select("inn").distinct()
     refusals = inputs["offers"].where((F.col("crm_product") == product) & F.col("reject_reason").isNotNull())
     reasons = first_per_key(
@@ -109,7 +121,7 @@ def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: st
     )
 
     roles = role_lists(inputs["offers"], inputs["activities"], rows.select("inn"))
-    codes = bill_codes(inputs["bill_lines"], subscriptions)
+    codes = bill_codes(inputs["bill_lines"], inputs["subscriptions"])
     paid = revenue.select(F.col("num").alias("next_num"), F.col("pay_date").alias("next_pay_date")).distinct()
     segments = inputs["segmentation"].select("inn", "segment").distinct()
     groups = inputs["all_categories"].select("inn", F.col("product_group").alias("_group")).distinct()
@@ -118,7 +130,7 @@ def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: st
     for _, family in FAMILY_RULES:
         mine = F.col("family") == family
         tariff_sum = F.when(mine, F.col(family)) if tariff_sum is None else tariff_sum.when(mine, F.col(family))
-    report = (
+    return (
         dated.join(codes, "num")
         .withColumn("tariff_sum", tariff_sum)
         .join(paid, "next_num", "left")
@@ -151,4 +163,3 @@ def prolongation(inputs: dict[str, DataFrame], params: ReportParams, product: st
         )
         .distinct()
     )
-    return {"report": report, "all_revenue": revenue}

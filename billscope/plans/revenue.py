@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from billscope.operators.changes import delete_groups, update_from
 from billscope.operators.checks import require_allowed
 from billscope.operators.joins import exists_in, not_in
 from billscope.params import ReportParams
+from billscope.plans import Outputs
 from billscope.plans.roles import role_lists
 from billscope.plans.vocabulary import UNASSIGNED
 from billscope.session import cut
@@ -70,15 +73,27 @@ def category_columns(lines: DataFrame, rules, categories, *more: Column) -> Data
     return named.groupBy("num").agg(*sums, *more)
 
 
-def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, DataFrame]:
+def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> Outputs:
     """``all_revenue``: the revenue table after this run; ``roles``: likely role per client.
 
     Inputs: bill_lines, payments, payment_lines, other_lines, offer_links, offers, activities,
     segmentation, all_revenue. A category outside the known lists fails the job. A bill is a partial
     refund when less than its recorded cost, but more than nothing, is left of its payments (whole units).
     """
-    # the increment is joined out of the full history once; the amounts and the roles both start from it
-    lines = cut(new_bill_lines(inputs, params).select("num", "inn", "price_set_name", "cost"))
+
+    @cache
+    def lines() -> DataFrame:  # the increment is joined out of the full history; the amounts and the roles both start from it
+        return cut(new_bill_lines(inputs, params).select("num", "inn", "price_set_name", "cost"))
+
+    def roles() -> DataFrame:
+        everyone = inputs["all_revenue"].select("inn").unionByName(lines().select("inn"))
+        return role_lists(inputs["offers"], inputs["activities"], everyone)
+
+    return Outputs(all_revenue=lambda: revenue_table(inputs, lines()), roles=roles)
+
+
+def revenue_table(inputs: dict[str, DataFrame], lines: DataFrame) -> DataFrame:
+    """The revenue table with the bills of the new ``lines``, segments corrected, refunds taken out."""
     own = category_columns(lines, CATEGORY_RULES, CATEGORIES, F.min("inn").alias("inn"))
     others = category_columns(inputs["other_lines"], OTHER_CATEGORY_RULES, OTHER_CATEGORIES)
     offers = inputs["offers"].where(F.col("external_id").isNotNull()).select("offer_id", "external_id")
@@ -106,7 +121,7 @@ def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, Dat
     table = update_from(table, known, "inn", {"segment": "_segment"}, lambda new: new["_segment"] != F.col("segment"))
 
     left_over, recorded = F.col("payed"), F.col("recorded")
-    table = delete_groups(
+    return delete_groups(
         table,
         inputs["bill_lines"],
         "num",
@@ -114,5 +129,3 @@ def revenue(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, Dat
         payed=F.sum("payed"),
         recorded=F.sum("cost"),
     )
-    everyone = inputs["all_revenue"].select("inn").unionByName(lines.select("inn"))
-    return {"all_revenue": table, "roles": role_lists(inputs["offers"], inputs["activities"], everyone)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +13,11 @@ from billscope.functions.values import NIL_GUID, differs_or_missing
 from billscope.operators.aggregates import string_agg
 from billscope.operators.changes import update_from
 from billscope.operators.checks import unmapped_values
-from billscope.operators.dictionary import SMALL_DICTIONARY, tag_matches
+from billscope.operators.dictionary import tag_matches
 from billscope.operators.joins import exists_in, not_in
 from billscope.operators.windows import running_first
 from billscope.params import ReportParams
+from billscope.plans import Outputs
 from billscope.plans.vocabulary import BASE_TARIFF, UNASSIGNED
 from billscope.session import cut
 
@@ -53,35 +56,54 @@ def client_type(segment):
     )
 
 
-def segmentation(inputs: dict[str, DataFrame], params: ReportParams, small: int = SMALL_DICTIONARY) -> dict[str, DataFrame]:
-    """``segmentation``: the table after this run; ``new_clients``: the rows added; ``unmapped``: alert text.
+def segmentation(inputs: dict[str, DataFrame], params: ReportParams) -> Outputs:
+    """``segmentation``: the table after this run; ``new_clients``: the rows added; ``unmapped``: product groups that the
+    catalog does not know, one per row.
 
     Inputs: tracker, tag_catalog, segmentation, bill_lines, payment_lines, payments, offers, activities.
-    The three per-client intermediates feed several steps each and are materialised.
+    The three per-client intermediates feed several steps each and are written once.
     """
     catalog = inputs["tag_catalog"]
-    used = service_groups(inputs["tracker"])
-    alert = unmapped_values(used, "product_group", catalog.select(F.col("tags").alias("product_group")))
-    mapped = used.join(catalog.withColumnRenamed("tags", "product_group"), "product_group")
-    by_service = cut(string_agg(mapped, ["inn"], "segment", ", ", "new_segment"))
     assign = {"segment": "new_segment"}
-    guard = lambda new: differs_or_missing(F.col("segment"), new["new_segment"])
-    table = update_from(inputs["segmentation"], by_service, "inn", assign, guard)
-
-    payments = cut(first_payments(inputs))
-    unsure = table.where((F.col("segment") == UNASSIGNED) | F.col("segment").isNull()).select("inn")
-    candidates = exists_in(inputs["offers"].select("inn", "activity_id"), payments.select("inn").unionByName(unsure), "inn")
-    candidates = not_in(candidates, by_service.select("inn"), "inn")
-    notes = exists_in(inputs["activities"].select("activity_id", "description"), candidates, "activity_id")
-    segment_of_tag = catalog.select(F.lower("tags").alias("tag"), "segment").distinct()
-    mentioned = tag_matches(notes, "activity_id", "description", catalog, "tags", small).join(segment_of_tag, "tag")
-    noted = candidates.join(mentioned, "activity_id").select("inn", "segment").distinct()
-    by_note = cut(string_agg(noted, ["inn"], "segment", ", ", "new_segment"))
-    table = update_from(table, by_note, "inn", assign, guard)
-
-    found = exists_in(by_service, payments, "inn").unionByName(exists_in(by_note, payments, "inn")).distinct()
-    clients = payments.join(found, "inn", "left").withColumn("week_num", week_of_year(F.col("pay_date"), params.first_weekday))
-    listed = string_agg(clients, ["week_num", "inn", "manager_name", "pay_date"], "new_segment", ", ", "segment")
-    rows = listed.withColumn("segment", F.coalesce("segment", F.lit(UNASSIGNED))).withColumn("tip", client_type(F.col("segment")))
-    rows = not_in(rows, table.select("inn"), "inn").select("week_num", "segment", "inn", "manager_name", "pay_date", "tip")
-    return {"segmentation": table.unionByName(rows), "new_clients": rows, "unmapped": alert}
+    guard = lambda new: differs_or_missing(F.col("segment"), new["new_segment"])
+
+    def unmapped() -> DataFrame:
+        return unmapped_values(service_groups(inputs["tracker"]), "product_group", catalog.select(F.col("tags").alias("product_group")))
+
+    @cache
+    def by_service() -> DataFrame:
+        mapped = service_groups(inputs["tracker"]).join(catalog.withColumnRenamed("tags", "product_group"), "product_group")
+        return cut(string_agg(mapped, ["inn"], "segment", ", ", "new_segment"))
+
+    @cache
+    def payments() -> DataFrame:
+        return cut(first_payments(inputs))
+
+    @cache
+    def serviced() -> DataFrame:
+        return update_from(inputs["segmentation"], by_service(), "inn", assign, guard)
+
+    @cache
+    def by_note() -> DataFrame:
+        unsure = serviced().where((F.col("segment") == UNASSIGNED) | F.col("segment").isNull()).select("inn")
+        candidates = exists_in(inputs["offers"].select("inn", "activity_id"), payments().select("inn").unionByName(unsure), "inn")
+        candidates = not_in(candidates, by_service().select("inn"), "inn")
+        notes = exists_in(inputs["activities"].select("activity_id", "description"), candidates, "activity_id")
+        segment_of_tag = catalog.select(F.lower("tags").alias("tag"), "segment").distinct()
+        mentioned = tag_matches(notes, "activity_id", "description", catalog, "tags").join(segment_of_tag, "tag")
+        noted = candidates.join(mentioned, "activity_id").select("inn", "segment").distinct()
+        return cut(string_agg(noted, ["inn"], "segment", ", ", "new_segment"))
+
+    @cache
+    def noted() -> DataFrame:
+        return update_from(serviced(), by_note(), "inn", assign, guard)
+
+    @cache
+    def new_clients() -> DataFrame:
+        found = exists_in(by_service(), payments(), "inn").unionByName(exists_in(by_note(), payments(), "inn")).distinct()
+        clients = payments().join(found, "inn", "left").withColumn("week_num", week_of_year(F.col("pay_date"), params.first_weekday))
+        listed = string_agg(clients, ["week_num", "inn", "manager_name", "pay_date"], "new_segment", ", ", "segment")
+        rows = listed.withColumn("segment", F.coalesce("segment", F.lit(UNASSIGNED))).withColumn("tip", client_type(F.col("segment")))
+        return not_in(rows, noted().select("inn"), "inn").select("week_num", "segment", "inn", "manager_name", "pay_date", "tip")
+
+    return Outputs(segmentation=lambda: noted().unionByName(new_clients()), new_clients=new_clients, unmapped=unmapped)

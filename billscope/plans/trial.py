@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,15 +11,14 @@ from billscope.functions.json import json_string
 from billscope.functions.text import UTM_PARTS, labelled_lines, next_list_number, stable_uuid, utm_payload
 from billscope.operators.aggregates import string_agg
 from billscope.operators.changes import delete_matching, only_new, outbox, update_from, update_where_exists
+from billscope.operators.checks import require_rows
 from billscope.operators.joins import exists_from_date, exists_in
 from billscope.operators.windows import first_per_key, row_identity
 from billscope.params import ReportParams
+from billscope.plans import Outputs
 from billscope.session import cut
 from billscope.sources.readers import on_days, typed_landing
 
-# Event names.
-SIGN_UP_EVENT = ("Market", "Service", "Adk.SaveContactsOnCreateTrialOrganizationEvent")
-UTM_EVENT = ("AdkService", "Adk.SaveUtmContentEvent")
 # Keys of the event variables, {column: key}.
 SIGN_UP_KEYS = {
     "inn": "inn",
@@ -50,12 +51,9 @@ COMMENT_LABELS = (
     ("Электронная почта", "email"),
     ("Дата регистрации", "event_date"),
 )
-LIST_SUFFIX = "_TrialKMExt"
-LIST_NAME = "Рассылка_организаций_Комментарий_existing_activity"
 EXCLUDED_TARIFF = "Отчетность %"
 OPEN_CARD_STATES = (1, 3)
 CRM_ID, TASK_TYPE = 2, 8
-CARD_URL = "https://sales/activities/"
 NO_COUNT, NO_CARDS, NO_LEADS = "нет", "не было карточек", "Новых созданных организаций по Триалу нет"
 
 
@@ -83,7 +81,7 @@ def updated_trials(inputs: dict[str, DataFrame]) -> DataFrame:
 
 def sign_ups(events: DataFrame, params: ReportParams) -> DataFrame:
     """Yesterday's registrations, one row per client; each column is the largest value seen."""
-    topic, category, action = SIGN_UP_EVENT
+    topic, category, action = params.sign_up_event
     day = on_days(events, "client_date", params.yesterday)
     found = day.where((F.col("topic") == topic) & (F.col("category") == category) & (F.col("action") == action))
     columns = {name: (json_string(F.col("variables"), key), "string") for name, key in SIGN_UP_KEYS.items()}
@@ -95,7 +93,7 @@ def sign_ups(events: DataFrame, params: ReportParams) -> DataFrame:
 
 def campaigns(events: DataFrame, params: ReportParams) -> DataFrame:
     """Yesterday's campaign events: user and the thirteen parts."""
-    category, action = UTM_EVENT
+    category, action = params.campaign_event
     day = on_days(events, "client_date", params.yesterday)
     found = day.where((F.col("category") == category) & (F.col("action") == action))
     return found.select(
@@ -150,65 +148,84 @@ def leads(new: DataFrame, utm: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def trial(inputs: dict[str, DataFrame], params: ReportParams) -> dict[str, DataFrame]:
-    """``trial_orgs``, ``leads``, ``existing``, ``task``, ``comments`` and the one-row ``summary``.
+def trial(inputs: dict[str, DataFrame], params: ReportParams, stop_when_empty: bool = False) -> Outputs:
+    """``trial_orgs``, ``leads``, ``existing``, ``task``, ``comments``, ``card_links`` and the one-row ``summary``.
 
     Inputs: trial_orgs, load_log, prospect_sales, client_bills, events, subscriptions, clients,
-    org_registry, prospect_cards, tasks, offers.
+    org_registry, prospect_cards, tasks, offers. With ``stop_when_empty`` a day without new leads fails the job.
     """
-    # each of the three feeds several results and is computed once
-    trials = cut(updated_trials(inputs))
-    fresh = only_new(sign_ups(inputs["events"], params), trials, "inn")
-    fresh = delete_matching(fresh, current_clients(inputs, params), "inn")
-    prepared = cut(leads(fresh, campaigns(inputs["events"], params), inputs["org_registry"]))
-
-    open_cards = inputs["prospect_cards"].where(F.col("state").isin(*OPEN_CARD_STATES))
-    best_card = first_per_key(
-        exists_in(open_cards, prepared, "inn"),
-        ["inn"],
-        [("temperature", "asc"), ("created", "desc"), ("card_id", "asc")],
-        ["card_id"],
-    )
-    existing = cut(prepared.join(best_card, "inn").select("comment", "create_pp_id", F.col("card_id").alias("pp_id")))
-    to_load = delete_matching(prepared, existing, "create_pp_id")
-    to_load = row_identity(to_load, ["inn", "create_pp_id"], "row_id")
 
-    number = inputs["tasks"].select(next_list_number(F.col("brief_id"), LIST_SUFFIX).alias("list_id")).scalar()
-    header, comments = outbox(
-        existing.select("pp_id", "comment"),
-        {
-            "task_id": stable_uuid(F.lit("task"), F.lit(params.as_of.isoformat()), F.lit(LIST_NAME)),
+    @cache
+    def trials() -> DataFrame:
+        return cut(updated_trials(inputs))
+
+    @cache
+    def prepared() -> DataFrame:
+        fresh = only_new(sign_ups(inputs["events"], params), trials(), "inn")
+        fresh = delete_matching(fresh, current_clients(inputs, params), "inn")
+        rows = cut(leads(fresh, campaigns(inputs["events"], params), inputs["org_registry"]))
+        return require_rows(rows, NO_LEADS) if stop_when_empty else rows
+
+    @cache
+    def existing() -> DataFrame:
+        open_cards = inputs["prospect_cards"].where(F.col("state").isin(*OPEN_CARD_STATES))
+        best_card = first_per_key(
+            exists_in(open_cards, prepared(), "inn"),
+            ["inn"],
+            [("temperature", "asc"), ("created", "desc"), ("card_id", "asc")],
+            ["card_id"],
+        )
+        return cut(prepared().join(best_card, "inn").select("comment", "create_pp_id", F.col("card_id").alias("pp_id")))
+
+    def without_card() -> DataFrame:
+        return delete_matching(prepared(), existing(), "create_pp_id")
+
+    @cache
+    def handed_over() -> tuple[DataFrame, DataFrame]:
+        number = inputs["tasks"].select(next_list_number(F.col("brief_id"), params.list_suffix).alias("list_id")).scalar()
+        task = {
+            "task_id": stable_uuid(F.lit("task"), F.lit(params.as_of.isoformat()), F.lit(params.list_name)),
             "list_id": number,
-            "base_name": F.lit(LIST_NAME),
-        },
-        params.outbox_priority,
-    )
-    header = header.withColumns(
-        {"crm_id": F.lit(CRM_ID), "task_type_id": F.lit(TASK_TYPE), "user_id": F.lit(params.outbox_user)}
+            "base_name": F.lit(params.list_name),
+        }
+        header, comments = outbox(existing().select("pp_id", "comment"), task, params.outbox_priority)
+        codes = {"crm_id": F.lit(CRM_ID), "task_type_id": F.lit(TASK_TYPE), "user_id": F.lit(params.outbox_user)}
+        return header.withColumns(codes), comments
+
+    def links() -> DataFrame:
+        return card_links(trials(), inputs["prospect_sales"], inputs["offers"], params)
+
+    return Outputs(
+        trial_orgs=trials,
+        leads=lambda: row_identity(without_card(), ["inn", "create_pp_id"], "row_id"),
+        existing=existing,
+        task=lambda: handed_over()[0],
+        comments=lambda: handed_over()[1],
+        card_links=links,
+        summary=lambda: summary(trials(), links(), without_card(), params),
     )
-    return {
-        "trial_orgs": trials,
-        "leads": to_load,
-        "existing": existing,
-        "task": header,
-        "comments": comments,
-        "summary": summary(trials, inputs["prospect_sales"], inputs["offers"], to_load, params),
-    }
-
-
-def summary(trials: DataFrame, sales: DataFrame, offers: DataFrame, new_leads: DataFrame, params: ReportParams) -> DataFrame:
-    """One row: trials loaded yesterday, links of their CRM cards, number of new leads and a note if none."""
+
+
+def card_links(trials: DataFrame, sales: DataFrame, offers: DataFrame, params: ReportParams) -> DataFrame:
+    """Links of the CRM cards of the trials loaded yesterday, one per row."""
     loaded = trials.where(F.col("load_to_crm_date") == F.lit(params.yesterday))
-    cards = (
+    return (
         loaded.select("pp_id")
         .join(sales.select(F.col("sale_id").alias("pp_id"), "offer_id"), "pp_id")
         .join(offers.select("offer_id", "activity_id"), "offer_id")
-        .select(F.concat(F.lit(CARD_URL), F.col("activity_id").cast("string")).alias("url"))
+        .select(F.concat(F.lit(params.card_url), F.col("activity_id").cast("string")).alias("url"))
     )
-    links = string_agg(cards, [], "url", " <br> ", "links").select("links").scalar()
+
+
+def summary(trials: DataFrame, links: DataFrame, new_leads: DataFrame, params: ReportParams) -> DataFrame:
+    """One row for the message of the day: trials loaded yesterday, their card links as one text, number of new leads
+    and a note if none. The text is as long as the day's links; ``card_links`` has them as rows.
+    """
+    loaded = trials.where(F.col("load_to_crm_date") == F.lit(params.yesterday))
+    text = string_agg(links, [], "url", " <br> ", "links").select("links").scalar()
     n_new = new_leads.agg(F.count(F.lit(1)).alias("n")).scalar()
     return loaded.agg(F.count(F.lit(1)).alias("n")).select(
         F.coalesce(F.col("n").cast("string"), F.lit(NO_COUNT)).alias("created_yesterday"),
-        F.coalesce(links, F.lit(NO_CARDS)).alias("cards"),
+        F.coalesce(text, F.lit(NO_CARDS)).alias("cards"),
         n_new.alias("n_leads"),
     ).withColumn("note", F.when(F.col("n_leads") == 0, NO_LEADS).otherwise(""))

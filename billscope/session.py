@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,23 +29,54 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor sees: ``spark.checkpoint.dir``, or a temporary one in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="billscope-"))
-        current = context.getCheckpointDir()
-    return current.rstrip("/")
+    """Folder every executor sees: ``spark.checkpoint.dir``, or the context's checkpoint folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return folder.rstrip("/")
+
+
+_owner: ContextVar[RunTables | None] = ContextVar("owner", default=None)
+
+
+class RunTables:
+    """Owner of the tables a run writes: ``with RunTables(spark, folder): …`` puts every cut of the block into one folder
+    and deletes it at the end. Results must be written elsewhere inside the block.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.path = f"{(folder or shared_dir(spark)).rstrip('/')}/run-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> RunTables:
+        self._token = _owner.set(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _owner.reset(self._token)
+        self.delete()
+
+    def delete(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` cached inside the block and released after it."""
+    df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path that no earlier run has used."""
-    return f"{shared_dir(spark)}/billscope-{uuid.uuid4().hex}/{name}"
+    """A path that no earlier run has used, in the folder of the run's owner where there is one."""
+    owner = _owner.get()
+    root = owner.path if owner else f"{shared_dir(spark)}/billscope"
+    return f"{root}-{uuid.uuid4().hex}/{name}" if not owner else f"{root}/{uuid.uuid4().hex}/{name}"
 
 
 def cut(df: DataFrame, name: str = "step") -> DataFrame:

@@ -2,35 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
-from billscope.session import scratch_path
+import uuid
 
-ONE_FILE_ROWS = 1_000_000
+from pyspark.sql import DataFrame
 
 
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the table at ``path``.
+def full_refresh(df: DataFrame, table: str, folder: str) -> None:
+    """Replace the content of the catalog table ``table``, in one step.
 
-    The result is computed into a staging table first. A failing job leaves the old table untouched, and
-    a plan that reads ``path`` itself is safe.
+    The rows are written once, into a new version below ``folder``; then the table is pointed at it. Until that one
+    catalog change the old version is what readers see, so a job that fails leaves it untouched, and a plan that reads
+    ``table`` itself is safe. Older versions stay for readers that still hold them; ``folder`` is the caller's to clean.
     """
     spark = df.sparkSession
-    staging = scratch_path(spark, "refresh")
-    df.write.parquet(staging)
-    spark.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
-
-
-def csv_export(df: DataFrame, path: str, one_file_rows: int = ONE_FILE_ROWS) -> None:
-    """Headered CSV: one file while the report is small enough for one task, several beyond that."""
-    spark = df.sparkSession
-    staging = scratch_path(spark, "export")
-    df.write.parquet(staging)
-    report = spark.read.schema(df.schema).parquet(staging)
-    if report.count() <= one_file_rows:
-        report = report.coalesce(1)
+    version = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=version, source="parquet")
+
+
+def csv_export(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Headered CSV. ``single_file`` is for small reports: all rows go through one task into one file."""
+    report = df.coalesce(1) if single_file else df
     report.write.options(header=True, sep=",", quote='"', escape='"').mode("overwrite").csv(path)

@@ -68,6 +68,8 @@ def compare(df, con, sql) -> str | None:
 def session():
     from pyspark.sql import SparkSession
 
+    from billscope.catalog.base import with_folder
+
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("billscope-tests")
@@ -79,7 +81,7 @@ def session():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return with_folder(spark)
 
 
 def main(argv: list[str]) -> int:

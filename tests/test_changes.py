@@ -105,7 +105,7 @@ def test_allowed_values(spark):
 def test_unmapped_and_empty_input(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "g string")
     known = spark.createDataFrame([("c",)], "g string")
-    assert unmapped_values(df, "g", known).first()[0] == "a; b"
-    assert unmapped_values(known, "g", df).first()[0] is None
+    assert sorted(r[0] for r in unmapped_values(df, "g", known).collect()) == ["a", "b"]
+    assert unmapped_values(known, "g", df).collect() == []
     with pytest.raises(ValueError, match="nothing"):
         require_rows(df.where("g = 'z'"), "nothing")

@@ -175,3 +175,7 @@ def test_next_list_number(spark):
     df = spark.createDataFrame([("00007_List",), ("00012_Other",), ("00003_List",)], "b string")
     assert df.select(next_list_number(F.col("b"), "_List")).first()[0] == "00008_List"
     assert df.where("b = ''").select(next_list_number(F.col("b"), "_List")).first()[0] == "00001_List"
+    wide = spark.createDataFrame([("99998_List",), ("99999_List",), ("x_List",)], "b string")
+    assert wide.select(next_list_number(F.col("b"), "_List")).first()[0] == "100000_List"
+    wider = wide.unionAll(spark.createDataFrame([("100000_List",), ("1234567_List",)], "b string"))
+    assert wider.select(next_list_number(F.col("b"), "_List")).first()[0] == "1234568_List"

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from billscope.catalog import ORACLES, QUERIES
 from tests.compare import TESTDATA, compare, oracle
 
 SF_DIR = f"{TESTDATA}/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

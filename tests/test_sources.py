@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from billscope.session import scratch_path, shared_dir
+from billscope.session import RunTables, cut, scratch_path, shared_dir
 from billscope.sources.readers import CONTROL_CSV, first_candidate, on_days, period_from_path, read_control_csv, typed_landing
 from billscope.sources.sinks import append_rows, csv_export, full_refresh
 
@@ -48,21 +48,48 @@ def test_first_candidate_of_empty_array(spark):
 
 
 def test_full_refresh_may_read_its_own_target(spark):
-    path = scratch_path(spark, "target")
-    append_rows(spark.range(5), path)
-    append_rows(spark.range(5, 8), path)
-    full_refresh(spark.read.parquet(path).where("id > 2"), path)
-    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [3, 4, 5, 6, 7]
-
-
-@pytest.mark.parametrize("bound, files", [(100, 1), (10, 4)])
-def test_csv_export_is_one_file_while_small(spark, bound, files):
+    folder, name = scratch_path(spark, "target"), "refresh_own"
+    full_refresh(spark.range(8), name, folder)
+    full_refresh(spark.table(name).where("id > 2"), name, folder)
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [3, 4, 5, 6, 7]
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("step", ["write", "switch"])
+def test_a_failed_refresh_leaves_the_old_table(spark, monkeypatch, step):
+    folder, name = scratch_path(spark, "target"), f"refresh_fails_{step}"
+    full_refresh(spark.range(3), name, folder)
+    rows = spark.range(9)
+    if step == "write":
+        rows = rows.withColumn("id", F.when(F.col("id") > 7, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+    else:
+        ask = type(spark).sql
+        monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: (_ for _ in ()).throw(ValueError("lost")) if "ALTER" in text else ask(self, text, *a, **k))
+    with pytest.raises(Exception):
+        full_refresh(rows, name, folder)
+    monkeypatch.undo()
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [0, 1, 2]
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_csv_export_is_one_file_where_asked(spark, single):
     path = scratch_path(spark, "out.csv")
     df = spark.range(40).repartition(4).select("id", F.lit('q"uote, comma').alias("text"))
-    csv_export(df, path, bound)
+    csv_export(df, path, single_file=single)
     back = spark.read.options(header=True, escape='"').csv(path)
     assert back.count() == 40 and {r["text"] for r in back.collect()} == {'q"uote, comma'}
-    assert len(back.inputFiles()) == files if files == 1 else len(back.inputFiles()) > 1
+    assert (len(back.inputFiles()) == 1) == single
+
+
+def test_run_tables_go_with_their_owner(spark):
+    with RunTables(spark) as tables:
+        kept = cut(spark.range(3), "step")
+        assert kept.inputFiles()[0].replace("file://", "").startswith(tables.path.replace("file://", ""))
+        rows = kept.collect()
+    assert len(rows) == 3
+    with pytest.raises(PySparkException):
+        spark.read.parquet(tables.path).count()
 
 
 def test_shared_dir_follows_the_session(spark):
