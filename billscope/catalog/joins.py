@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from billscope.catalog.base import AS_OF, Tables, query
@@ -148,12 +150,24 @@ def anti_not_in(t: Tables):
 
 @query(
     "join_like_dict",
-    """WITH tags AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS tag FROM part UNION SELECT DISTINCT lower(lang) FROM documents)
+    """WITH w AS (SELECT unnest(string_split(lower(text), ' ')) AS word FROM conversations),
+         frequent AS (SELECT word FROM w WHERE regexp_full_match(word, '[a-z]{6,8}') GROUP BY word HAVING count(*) > 2),
+         tags AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS tag FROM part UNION SELECT DISTINCT lower(lang) FROM documents UNION SELECT word FROM frequent
+           UNION SELECT left(word, 2) || '%' || right(word, 2) FROM frequent WHERE word LIKE 'w%' UNION SELECT '%' || right(word, 4) FROM frequent WHERE word LIKE 'w%')
        SELECT doc_id, tag FROM documents JOIN tags ON lower(text) LIKE '%#' || tag || '%' OR lower(text) LIKE '% ' || tag || '%' OR lower(text) LIKE tag || '%'""",
 )
 def join_like_dict(t: Tables):
-    words = t.part.select(F.explode(F.split("p_name", " ")).alias("tag")).distinct()
-    tags = words.unionByName(t.documents.select(F.lower("lang").alias("tag")).distinct())
+    word, two, four = F.col("tag"), F.lit(2), F.lit(4)
+    said = t.conversations.select(F.explode(F.split(F.lower("text"), " ")).alias("tag")).where(word.rlike("^[a-z]{6,8}$"))
+    frequent = said.groupBy("tag").agg(F.count("*").alias("n")).where("n > 2").select("tag")
+    parts = (
+        t.part.select(F.explode(F.split("p_name", " ")).alias("tag")),
+        t.documents.select(F.lower("lang").alias("tag")),
+        frequent,
+        frequent.where(word.like("w%")).select(F.concat(F.left(word, two), F.lit("%"), F.right(word, two)).alias("tag")),
+        frequent.where(word.like("w%")).select(F.concat(F.lit("%"), F.right(word, four)).alias("tag")),
+    )
+    tags = reduce(lambda a, b: a.unionByName(b), parts).distinct()
     return tag_matches(t.documents, "doc_id", "text", tags, "tag")
 
 

@@ -72,12 +72,12 @@ INPUTS = {
     "prospect_sales": "SELECT 'card-' || CAST(c_custkey AS STRING) AS sale_id, c_custkey AS offer_id FROM {customer} WHERE c_nationkey < 20",
     "client_bills": f"""SELECT CAST(o_custkey AS STRING) AS inn, CAST({PAYED} AS DECIMAL(19,4)) AS bill_payed, CAST(o_totalprice AS DECIMAL(19,4)) AS bill_sum,
         CAST(o_orderdate AS DATE) + 10 AS pay_date FROM {{orders}} WHERE o_orderdate < TIMESTAMP '1998-06-01'""",
-    "trial_events": """SELECT '{{"inn":"' || CAST(user_id * 7 AS STRING) || '","userId":"u' || CAST(user_id AS STRING) || '","contactPerson":"Name ' || CAST(event_id AS STRING)
+    "trial_events": """SELECT '{{"inn":"' || CAST(user_id AS STRING) || '","userId":"u' || CAST(user_id AS STRING) || '","contactPerson":"Name ' || CAST(event_id AS STRING)
           || '","phone":"+7' || CAST(event_id AS STRING) || '","city":"City","utmSource":"' || CASE WHEN value < 5 THEN '' ELSE 'mail' END
           || '","utmMedium":"' || event_type || '","utmType":"t' || CAST(user_id AS STRING) || '"}}' AS variables,
         CASE WHEN event_type IN ('signup', 'view') THEN 'Site' ELSE 'Other' END AS topic, CASE WHEN event_type IN ('signup', 'view') THEN 'Trial' ELSE 'Campaign' END AS category,
         CASE WHEN event_type IN ('signup', 'view') THEN 'sign_up' ELSE 'campaign_parts' END AS action,
-        CAST(ts AS DATE) - 9360 AS client_date FROM {events}""",
+        DATE '1998-05-31' - CAST(event_id % 3 AS INT) AS client_date FROM {events}""",
     "prospect_cards": """SELECT 'c' || CAST(o_orderkey AS STRING) AS card_id, CAST(o_custkey AS STRING) AS inn, CAST(left(o_orderpriority, 1) AS INT) AS temperature,
         o_orderdate AS created, CASE WHEN o_custkey % 3 = 0 THEN 2 ELSE CAST(1 + o_orderkey % 4 AS INT) END AS state FROM {orders}""",
     "tasks": "SELECT CASE WHEN length(CAST(o_custkey AS STRING)) >= 5 THEN CAST(o_custkey AS STRING) ELSE lpad(CAST(o_custkey AS STRING), 5, '0') END || '_List' AS brief_id FROM {orders} WHERE o_orderstatus = 'F'",

@@ -12,11 +12,14 @@ SIZES = (1, 2, 4, 8, 16, 32)
 
 def _mentions(text: Column, tag: Column) -> Column:
     """``tag`` right after a #, right after a blank, or at the start; % and _ in tags stay wildcards."""
-    return (
+    plain = F.instr(tag, "%") + F.instr(tag, "_") + F.instr(tag, "\\") == 0
+    literal = F.contains(text, F.concat(F.lit("#"), tag)) | F.contains(text, F.concat(F.lit(" "), tag)) | F.startswith(text, tag)
+    pattern = (
         F.like(text, F.concat(F.lit("%#"), tag, F.lit("%")))
         | F.like(text, F.concat(F.lit("% "), tag, F.lit("%")))
         | F.like(text, F.concat(tag, F.lit("%")))
     )
+    return F.when(plain, literal).otherwise(pattern)  # a pattern that differs by row is compiled for each
 
 
 def _words_of_tags(words: DataFrame, tags: DataFrame) -> DataFrame:
