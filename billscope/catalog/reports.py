@@ -163,36 +163,42 @@ def pipe_user_inn_map(t: Tables):
 # --- renewal ---------------------------------------------------------------------------------------------
 
 RENEWAL_INPUTS = ("subscriptions", "clients", "bills", "bill_lines", "all_revenue", "segmentation", "all_categories", "offers", "activities", "org_registry")
-ROLE_SQL = """SELECT DISTINCT inn, CASE WHEN h LIKE '%производ%' THEN 'Производитель' WHEN h LIKE '%опт%' THEN 'Оптовик' WHEN h LIKE '%розн%' THEN 'Розница' WHEN h LIKE '%импорт%' THEN 'Импорт' END AS role
-  FROM (SELECT inn, lower(left(description, CAST(instr(lower(description), 'кто клиенты:') AS INTEGER) + 1)) AS h FROM in_offers JOIN in_activities USING (activity_id))"""
+ROLE_SQL = """SELECT inn, activity_id, arg_min(label, place) AS role
+  FROM in_offers JOIN in_activities USING (activity_id)
+  JOIN (VALUES (1, 'производ', 'Производитель'), (2, 'опт', 'Оптовик'), (3, 'розн', 'Розница'), (4, 'импорт', 'Импорт')) AS rule(place, stem, label)
+    ON contains(lower(left(description, CAST(position('кто клиенты:' IN lower(description)) + 1 AS INTEGER))), stem)
+  GROUP BY inn, activity_id"""
+ROLE_LISTS = f"SELECT inn, array_to_string(list_sort(list(DISTINCT role)), '; ') AS role FROM ({ROLE_SQL}) GROUP BY inn"
+# a subscription's successor is the next row of its client and family; everything else is looked up from there
 RENEWAL_STEPS = {
-    "fas": """SELECT DISTINCT inn, coalesce(kpp, '') AS kpp, num, tariff_name, since, up_to, bill_date,
-        CASE WHEN tariff_name ILIKE 'Базовый%' THEN 'Базовый' WHEN tariff_name ILIKE 'Модуль %' THEN 'Модуль' END AS family
-        FROM (SELECT DISTINCT client_id, bill_id, tariff_name, since, up_to FROM in_subscriptions WHERE is_real = 1) JOIN in_clients USING (client_id) JOIN in_bills USING (bill_id)""",
-    "numbered": "SELECT *, row_number() OVER (PARTITION BY inn, family ORDER BY since, num, tariff_name, up_to, kpp, bill_date) AS s FROM fas",
-    "np": """SELECT c.*, CASE WHEN n.s IS NOT NULL AND n.since - c.up_to < 180 THEN 1 ELSE 0 END AS prolong, CAST(n.since - c.up_to AS INTEGER) AS defer,
-        n.num AS n_num, n.tariff_name AS n_tariff, n.bill_date AS n_bill_date, n.since AS n_since FROM numbered c LEFT JOIN numbered n ON n.inn = c.inn AND n.s = c.s + 1 AND n.family = c.family""",
-    "n5": """SELECT * REPLACE (CASE WHEN prolong = 1 THEN n_num END AS n_num, coalesce(n_tariff, '') AS n_tariff, CASE WHEN prolong = 1 THEN n_bill_date END AS n_bill_date,
-        CASE WHEN prolong = 1 THEN n_since END AS n_since) FROM np""",
-    "rev": """SELECT num, pay_date, inn, segment, CASE WHEN revenue_type = 'подключение' AND num IN (SELECT n_num FROM n5 WHERE n_num IS NOT NULL) THEN 'продление' ELSE revenue_type END AS revenue_type FROM in_all_revenue""",
-    "reasons": """SELECT DISTINCT inn, first_value(reject_reason) OVER (PARTITION BY inn ORDER BY reject_date DESC, reject_reason) AS reject_reason FROM in_offers
-        WHERE reject_reason IS NOT NULL AND inn IN (SELECT inn FROM n5 WHERE prolong = 0)""",
-    "roles": f"SELECT inn, string_agg(role, '; ' ORDER BY role) AS role FROM ({ROLE_SQL}) WHERE role IS NOT NULL AND inn IN (SELECT inn FROM fas) GROUP BY inn",
-    "summa": """SELECT num, tariff_name, sum(payed) AS payed FROM in_bill_lines WHERE bill_id IN (SELECT bill_id FROM in_subscriptions WHERE is_real = 1) GROUP BY num, tariff_name""",
+    "held": """SELECT DISTINCT c.inn, ifnull(c.kpp, '') AS kpp, b.num, b.bill_date, s.tariff_name, s.since, s.up_to,
+        CASE WHEN starts_with(lower(s.tariff_name), 'базовый') THEN 'Базовый' WHEN starts_with(lower(s.tariff_name), 'модуль ') THEN 'Модуль' END AS family
+        FROM in_bills b JOIN in_subscriptions s USING (bill_id) JOIN in_clients c USING (client_id) WHERE s.is_real = 1""",
+    "chain": """SELECT *, CASE WHEN family IS NOT NULL AND inn IS NOT NULL THEN lead({'num': num, 'tariff': tariff_name, 'billed': bill_date, 'start': since})
+        OVER (PARTITION BY family, inn ORDER BY since, num, tariff_name, up_to, kpp, bill_date) END AS after FROM held""",
+    "renewal": "SELECT *, CAST(after.start - up_to AS INTEGER) AS gap, coalesce(after.start - up_to < 180, FALSE) AS renewed FROM chain",
+    "corrected": """SELECT r.num, r.inn, r.pay_date, r.segment, if(k.num IS NOT NULL AND r.revenue_type = 'подключение', 'продление', r.revenue_type) AS revenue_type
+        FROM in_all_revenue r LEFT JOIN (SELECT DISTINCT after.num AS num FROM renewal WHERE renewed) k ON k.num = r.num""",
+    "refused": """SELECT inn, min(reject_reason) AS reject_reason FROM (SELECT inn, reject_reason, reject_date, max(reject_date) OVER (PARTITION BY inn) AS latest
+        FROM in_offers WHERE reject_reason IS NOT NULL) WHERE reject_date = latest AND inn IN (SELECT inn FROM renewal WHERE NOT renewed) GROUP BY inn""",
+    "money": """SELECT num, sum(payed) FILTER (tariff_name = 'Базовый') AS basic, sum(payed) FILTER (tariff_name = 'Модуль') AS module
+        FROM in_bill_lines SEMI JOIN (SELECT bill_id FROM in_subscriptions WHERE is_real = 1) USING (bill_id) GROUP BY num""",
+    "role_list": ROLE_LISTS,
 }
 
 
 @query(
     "pipe_prolongation",
     sql_inputs(*RENEWAL_INPUTS, **RENEWAL_STEPS)
-    + """SELECT DISTINCT CAST(year(t.up_to + 1) AS INTEGER) AS renewal_year, CAST(month(t.up_to + 1) AS INTEGER) AS renewal_month, t.inn, t.kpp, coalesce(a.role, '') AS role,
-        CASE WHEN s.segment = 'нераспределен' OR s.segment IS NULL THEN coalesce(w.product_group, '') ELSE s.segment END AS product_group, t.num, CAST(m.payed AS DOUBLE) AS tariff_sum, l.code,
-        t.tariff_name, t.since, t.up_to, t.prolong, t.defer, t.n_tariff AS next_tariff, t.n_num AS next_num, t.n_bill_date AS next_bill_date,
-        CAST(r.pay_date - t.n_bill_date AS INTEGER) AS days_to_pay, t.n_since AS next_since, o.status, q.reject_reason, DATE '1998-06-01' AS date_load
-      FROM n5 t JOIN (SELECT DISTINCT num, code FROM in_bill_lines) l ON l.num = t.num
-      LEFT JOIN reasons q ON q.inn = t.inn LEFT JOIN (SELECT DISTINCT inn, status FROM in_org_registry) o ON o.inn = t.inn
-      LEFT JOIN rev r ON r.num = t.n_num LEFT JOIN in_segmentation s ON s.inn = t.inn LEFT JOIN in_all_categories w ON w.inn = t.inn
-      LEFT JOIN roles a ON a.inn = t.inn LEFT JOIN summa m ON m.num = t.num AND m.tariff_name = t.family""",
+    + """SELECT DISTINCT CAST(year(x.up_to + 1) AS INTEGER) AS renewal_year, CAST(month(x.up_to + 1) AS INTEGER) AS renewal_month, x.inn, x.kpp, ifnull(role_list.role, '') AS role,
+        coalesce(nullif(g.segment, 'нераспределен'), c.product_group, '') AS product_group, x.num, CAST(CASE x.family WHEN 'Базовый' THEN basic WHEN 'Модуль' THEN module END AS DOUBLE) AS tariff_sum,
+        line.code, x.tariff_name, x.since, x.up_to, CAST(x.renewed AS INTEGER) AS prolong, x.gap AS defer, ifnull(x.after.tariff, '') AS next_tariff,
+        if(x.renewed, x.after.num, NULL) AS next_num, if(x.renewed, x.after.billed, NULL) AS next_bill_date,
+        CAST(paid.pay_date - if(x.renewed, x.after.billed, NULL) AS INTEGER) AS days_to_pay, if(x.renewed, x.after.start, NULL) AS next_since,
+        org.status, refused.reject_reason, DATE '1998-06-01' AS date_load
+      FROM renewal x JOIN in_bill_lines line USING (num) LEFT JOIN money USING (num) LEFT JOIN role_list ON role_list.inn = x.inn LEFT JOIN refused ON refused.inn = x.inn
+      LEFT JOIN in_org_registry org ON org.inn = x.inn LEFT JOIN in_segmentation g ON g.inn = x.inn LEFT JOIN in_all_categories c ON c.inn = x.inn
+      LEFT JOIN corrected paid ON x.renewed AND paid.num = x.after.num""",
 )
 def pipe_prolongation(t: Tables):
     return doubles(prolongation(report_inputs(t, *RENEWAL_INPUTS), PARAMS, "Mark")["report"])
@@ -200,7 +206,7 @@ def pipe_prolongation(t: Tables):
 
 @query(
     "pipe_prolongation_revenue",
-    sql_inputs(*RENEWAL_INPUTS, **RENEWAL_STEPS) + "SELECT num, inn, revenue_type, pay_date, segment FROM rev",
+    sql_inputs(*RENEWAL_INPUTS, **RENEWAL_STEPS) + "FROM corrected",
 )
 def pipe_prolongation_revenue(t: Tables):
     return prolongation(report_inputs(t, *RENEWAL_INPUTS), PARAMS, "Mark")["all_revenue"]
@@ -245,8 +251,7 @@ def pipe_revenue(t: Tables):
 @query(
     "pipe_revenue_roles",
     sql_inputs(*REVENUE_INPUTS, **REVENUE_STEPS)
-    + f"""SELECT inn, string_agg(role, '; ' ORDER BY role) AS role FROM ({ROLE_SQL}) WHERE role IS NOT NULL
-          AND inn IN (SELECT inn FROM in_all_revenue UNION SELECT inn FROM w) GROUP BY inn""",
+    + f"FROM ({ROLE_LISTS}) SEMI JOIN (SELECT inn FROM w UNION ALL SELECT inn FROM in_all_revenue) USING (inn)",
 )
 def pipe_revenue_roles(t: Tables):
     return revenue(report_inputs(t, *REVENUE_INPUTS), PARAMS)["roles"]
@@ -255,32 +260,31 @@ def pipe_revenue_roles(t: Tables):
 # --- segmentation ----------------------------------------------------------------------------------------
 
 SEGMENT_INPUTS = ("tracker", "tag_catalog", "segmentation", "bill_lines", "payment_lines", "payments", "offers", "activities")
+# groups used in the service win over tags in notes; a client has one or the other
 SEGMENT_STEPS = {
-    "used": """SELECT DISTINCT json_extract_string(custom_variables, '$.organizationInn') AS inn, json_extract_string(custom_variables, '$.productGroup') AS product_group FROM in_tracker
-        WHERE portal_user_id <> '00000000-0000-0000-0000-000000000000' AND json_extract_string(custom_variables, '$.organizationInn') <> ''""",
-    "ug": "SELECT inn, string_agg(segment, ', ' ORDER BY segment) AS pg FROM used JOIN in_tag_catalog ON product_group = tags GROUP BY inn",
-    "s1": "SELECT s.* REPLACE (CASE WHEN pg IS NOT NULL AND (segment <> pg OR segment IS NULL) THEN pg ELSE segment END AS segment) FROM in_segmentation s LEFT JOIN ug USING (inn)",
-    "pays": """SELECT inn, pay_date, manager_name FROM in_bill_lines JOIN in_payment_lines USING (bill_line_id) JOIN in_payments USING (payment_id)
-        WHERE payed > 1 AND price_set_name ILIKE '%базовый%' AND inn NOT IN (SELECT inn FROM in_segmentation) GROUP BY manager_name, inn, pay_date""",
-    "cached": """SELECT DISTINCT inn, min(pay_date) OVER (PARTITION BY inn ORDER BY pay_date, manager_name) AS pay_date,
-        first_value(manager_name) OVER (PARTITION BY inn ORDER BY pay_date, manager_name) AS manager_name FROM pays""",
-    "n1": """SELECT DISTINCT o.inn, i.segment FROM in_offers o JOIN in_activities a USING (activity_id)
-        JOIN in_tag_catalog i ON lower(description) LIKE '%#' || lower(tags) || '%' OR lower(description) LIKE '% ' || lower(tags) || '%' OR lower(description) LIKE lower(tags) || '%'
-        WHERE o.inn IN (SELECT inn FROM cached UNION SELECT inn FROM s1 WHERE segment = 'нераспределен' OR segment IS NULL) AND o.inn NOT IN (SELECT inn FROM ug)""",
-    "n2": "SELECT inn, string_agg(segment, ', ' ORDER BY segment) AS pg FROM n1 GROUP BY inn",
-    "s2": "SELECT s.* REPLACE (CASE WHEN pg IS NOT NULL AND (segment <> pg OR segment IS NULL) THEN pg ELSE segment END AS segment) FROM s1 s LEFT JOIN n2 USING (inn)",
-    "tags": "SELECT inn, pg FROM ug WHERE inn IN (SELECT inn FROM cached) UNION SELECT inn, pg FROM n2 WHERE inn IN (SELECT inn FROM cached)",
-    "fresh": """SELECT CAST(floor((dayofyear(pay_date) - 1 + dayofweek(date_trunc('year', pay_date))) / 7) + 1 AS INTEGER) AS week_num,
-        coalesce(string_agg(pg, ', ' ORDER BY pg), 'нераспределен') AS segment, inn, manager_name, pay_date FROM cached LEFT JOIN tags USING (inn) GROUP BY week_num, inn, manager_name, pay_date""",
-    "added": """SELECT week_num, segment, inn, manager_name, pay_date, CASE WHEN segment LIKE '%,%' THEN 'мультиотрасль' WHEN segment = 'нераспределен' THEN 'неизвестно' ELSE segment END AS tip
-        FROM fresh WHERE inn NOT IN (SELECT inn FROM s2)""",
+    "seen": """SELECT DISTINCT custom_variables ->> '$.organizationInn' AS inn, custom_variables ->> '$.productGroup' AS product_group
+        FROM in_tracker WHERE portal_user_id <> '00000000-0000-0000-0000-000000000000'""",
+    "by_service": """SELECT inn, array_to_string(list_sort(list(segment)), ', ') AS label FROM in_tag_catalog JOIN seen ON tags = product_group WHERE inn <> '' GROUP BY inn""",
+    "joined": """SELECT inn, min(pay_date) AS pay_date, arg_min(manager_name, (pay_date, manager_name)) AS manager_name
+        FROM in_payments JOIN in_payment_lines USING (payment_id) JOIN in_bill_lines USING (bill_line_id)
+        WHERE contains(lower(price_set_name), 'базовый') AND payed > 1 AND inn NOT IN (SELECT inn FROM in_segmentation) GROUP BY inn""",
+    "open_clients": """SELECT inn FROM joined UNION SELECT inn FROM in_segmentation WHERE coalesce(segment, 'нераспределен') = 'нераспределен'
+        EXCEPT SELECT inn FROM by_service""",
+    "by_note": """SELECT inn, array_to_string(list_sort(list(DISTINCT segment)), ', ') AS label FROM in_offers SEMI JOIN open_clients USING (inn) JOIN in_activities USING (activity_id)
+        JOIN (SELECT DISTINCT lower(tags) AS tag, segment FROM in_tag_catalog) ON concat(' ', lower(description)) LIKE concat('% ', tag, '%') OR lower(description) LIKE concat('%#', tag, '%')
+        GROUP BY inn""",
+    "labels": "FROM by_service UNION ALL FROM by_note",
+    "fresh": """SELECT CAST((dayofyear(pay_date) + dayofweek(make_date(year(pay_date), 1, 1)) + 6) // 7 AS INTEGER) AS week_num, ifnull(label, 'нераспределен') AS segment,
+        inn, manager_name, pay_date FROM joined LEFT JOIN labels USING (inn)""",
 }
 
 
 @query(
     "pipe_segmentation",
     sql_inputs(*SEGMENT_INPUTS, **SEGMENT_STEPS)
-    + "SELECT week_num, segment, inn, manager_name, pay_date, tip FROM s2 UNION ALL SELECT week_num, segment, inn, manager_name, pay_date, tip FROM added",
+    + """SELECT week_num, ifnull(label, segment) AS segment, inn, manager_name, pay_date, tip FROM in_segmentation LEFT JOIN labels USING (inn)
+      UNION ALL SELECT week_num, segment, inn, manager_name, pay_date,
+        CASE WHEN contains(segment, ',') THEN 'мультиотрасль' ELSE replace(segment, 'нераспределен', 'неизвестно') END FROM fresh""",
 )
 def pipe_segmentation(t: Tables):
     return segmentation(report_inputs(t, *SEGMENT_INPUTS), PARAMS)["segmentation"]
@@ -289,7 +293,7 @@ def pipe_segmentation(t: Tables):
 @query(
     "pipe_segmentation_unmapped",
     sql_inputs(*SEGMENT_INPUTS, **SEGMENT_STEPS)
-    + "SELECT product_group AS unmapped FROM (SELECT DISTINCT product_group FROM used) WHERE product_group NOT IN (SELECT tags FROM in_tag_catalog)",
+    + "SELECT DISTINCT product_group AS unmapped FROM seen ANTI JOIN in_tag_catalog ON tags = product_group WHERE inn <> '' AND product_group <> ''",
 )
 def pipe_segmentation_unmapped(t: Tables):
     return segmentation(report_inputs(t, *SEGMENT_INPUTS), PARAMS)["unmapped"]
@@ -298,38 +302,38 @@ def pipe_segmentation_unmapped(t: Tables):
 # --- active report ---------------------------------------------------------------------------------------
 
 ACTIVE_INPUTS = ("subscriptions", "clients", "bills", "agents", "org_registry", "payer_links", "tracker", "bill_lines", "segmentation")
-_WIDE = """inn, kpp, short_name, role, revenue_last_known, agent_name, center_segment, department, bill_date, bill_sum, payed, pay_date, since, up_to, status, bill_id, agent_code, hold, current"""
 _SHOWN = ", ".join(DISPLAY)
+_KEYS = ", ".join(c for c in DISPLAY if c not in ("tariff", "summ_plan"))
+# a client's bill appears once with the list of its tariffs; totals are summed once per client and period flag
 ACTIVE_STEPS = {
-    "t": f"""SELECT DISTINCT client_id, agent_id, bill_id, tariff_name, since, up_to, '1' AS current FROM in_subscriptions WHERE {DATE} BETWEEN since AND up_to AND is_real = 1
-        UNION SELECT client_id, agent_id, bill_id, tariff_name, since, up_to, '0' FROM in_subscriptions WHERE since > {DATE} AND is_real = 1""",
-    "test": f"""SELECT DISTINCT c.inn, coalesce(c.kpp, '') AS kpp, g.short_name, g.role, g.revenue_last_known, a.code AS hold, z.agent_name,
-        CASE WHEN z.center_segment = 'Остальные' THEN 'Масс' ELSE z.center_segment END AS center_segment, z.department, b.bill_date, b.bill_sum, b.payed, b.pay_date, t.since, t.up_to, t.tariff_name,
-        g.status, b.bill_id, z.code AS agent_code, t.client_id, t.current FROM t JOIN in_clients c ON c.client_id = t.client_id JOIN in_bills b ON b.bill_id = t.bill_id JOIN in_agents z ON z.agent_id = t.agent_id
-        LEFT JOIN in_org_registry g ON g.inn = c.inn AND g.kpp = c.kpp
-        LEFT JOIN in_payer_links p ON p.payer_id = t.client_id AND p.expiration_date > {DATE} AND p.product_id = 'Mark' LEFT JOIN in_agents a ON a.code = p.center_code""",
-    "w": f"SELECT {_WIDE}, string_agg(tariff_name, '; ' ORDER BY tariff_name) AS tariff FROM test GROUP BY {_WIDE}",
-    "vis": f"SELECT json_extract_string(custom_variables, '$.organizationInn') AS inn, event_date, action, category FROM in_tracker WHERE site_id = 'main' AND event_date < {DATE} AND json_extract_string(custom_variables, '$.organizationInn') <> ''",
-    "act": "SELECT inn, max(event_date) AS last_date FROM vis WHERE action NOT IN ('Переход в раздел', 'Отправка в архив') AND category NOT IN ('Сотрудники', 'Настройки') GROUP BY inn",
-    "com": "SELECT w.*, CASE WHEN inn IN (SELECT inn FROM vis) THEN 1 ELSE 0 END AS enter, last_date FROM w LEFT JOIN act USING (inn)",
-    "excluded": """SELECT DISTINCT price_set_name FROM in_bill_lines WHERE (price_set_name LIKE 'Внедрение%' OR price_set_name LIKE 'Доставка%' OR price_set_name LIKE 'Пакет для обработки%') AND bill_id IN (SELECT bill_id FROM com)""",
-    "net": "SELECT DISTINCT bill_id, doc_sum - sum(cost) AS pure_sum FROM in_bill_lines WHERE price_set_name IN (SELECT * FROM excluded) AND bill_id IN (SELECT bill_id FROM t) GROUP BY bill_id, doc_sum",
-    "s": f"""SELECT DISTINCT inn, kpp, short_name, role, revenue_last_known, agent_name, center_segment, department, bill_date, payed, strftime(com.pay_date, '%d.%m.%Y') AS pay_date,
-        strftime(since, '%d.%m.%Y') AS since, strftime(up_to, '%d.%m.%Y') AS up_to, tariff, enter, last_date, status, g.segment AS product_group, coalesce(pure_sum, bill_sum) AS summ_plan,
-        strftime(up_to + 1, '%d.%m.%Y') AS plan_date, bill_id, agent_code, since AS since_date, up_to AS up_to_date, current, hold
-        FROM com LEFT JOIN net USING (bill_id) LEFT JOIN (SELECT inn, segment FROM in_segmentation) g USING (inn)""",
-    "dd": "SELECT * FROM s WHERE NOT (inn IN (SELECT inn FROM s GROUP BY inn HAVING count(DISTINCT hold) > 1) AND coalesce(agent_code <> hold, FALSE))",
-    "base": f"SELECT DISTINCT {', '.join('d.' + c for c in DISPLAY if c not in ('tariff', 'summ_plan'))} FROM dd d WHERE tariff ILIKE '%базовый%'",
-    "pd": f"""SELECT {', '.join('d.' + c for c in DISPLAY if c not in ('tariff', 'summ_plan'))}, string_agg(s.tariff, '; ' ORDER BY s.tariff) AS tariff, sum(s.summ_plan) AS summ_plan
-        FROM base d, dd s WHERE d.inn = s.inn AND d.current = s.current GROUP BY ALL""",
-    "p": f"SELECT {_SHOWN} FROM pd UNION SELECT {_SHOWN} FROM s WHERE inn NOT IN (SELECT inn FROM pd)",
+    "running": f"""SELECT DISTINCT client_id, agent_id, bill_id, tariff_name, since, up_to, if(since > {DATE}, '0', '1') AS current
+        FROM in_subscriptions WHERE is_real = 1 AND (since > {DATE} OR up_to >= {DATE})""",
+    "holders": f"""SELECT payer_id, in_agents.code AS hold FROM in_payer_links LEFT JOIN in_agents ON in_agents.code = center_code
+        WHERE product_id = 'Mark' AND expiration_date > {DATE}""",
+    "seats": """SELECT client_id, agent_id, bill_id, since, up_to, current, array_to_string(list_sort(list(tariff_name)), '; ') AS tariff FROM running GROUP BY ALL""",
+    "visits": f"""SELECT custom_variables ->> '$.organizationInn' AS inn,
+          max(event_date) FILTER (action NOT IN ('Переход в раздел', 'Отправка в архив') AND category NOT IN ('Сотрудники', 'Настройки')) AS last_date
+        FROM in_tracker WHERE event_date < {DATE} AND site_id = 'main' GROUP BY 1""",
+    "once": """SELECT bill_id, any_value(doc_sum) - sum(cost) AS pure_sum FROM in_bill_lines WHERE regexp_matches(price_set_name, '^(Внедрение|Доставка|Пакет для обработки)')
+        AND bill_id IN (SELECT bill_id FROM running) GROUP BY bill_id""",
+    "shown": f"""SELECT DISTINCT c.inn, ifnull(c.kpp, '') AS kpp, o.short_name, o.role, o.revenue_last_known, a.agent_name, replace(a.center_segment, 'Остальные', 'Масс') AS center_segment,
+          a.department, b.bill_date, b.payed, strftime(b.pay_date, '%d.%m.%Y') AS pay_date, strftime(seats.since, '%d.%m.%Y') AS since, strftime(seats.up_to, '%d.%m.%Y') AS up_to, tariff,
+          CAST(v.inn IS NOT NULL AS INTEGER) AS enter, v.last_date, o.status, g.segment AS product_group, ifnull(once.pure_sum, b.bill_sum) AS summ_plan,
+          strftime(seats.up_to + 1, '%d.%m.%Y') AS plan_date, bill_id, a.code AS agent_code, seats.since AS since_date, seats.up_to AS up_to_date, current, h.hold
+        FROM seats JOIN in_bills b USING (bill_id) JOIN in_agents a USING (agent_id) JOIN in_clients c USING (client_id)
+        LEFT JOIN holders h ON h.payer_id = client_id LEFT JOIN once USING (bill_id) LEFT JOIN visits v ON v.inn = c.inn AND v.inn <> ''
+        LEFT JOIN in_org_registry o ON o.inn = c.inn AND o.kpp = ifnull(c.kpp, '') LEFT JOIN in_segmentation g ON g.inn = c.inn""",
+    "own": """FROM shown WHERE coalesce(agent_code = hold, TRUE) OR inn NOT IN (SELECT inn FROM shown GROUP BY inn HAVING min(hold) <> max(hold))""",
+    "totals": "SELECT inn, current, array_to_string(list_sort(list(tariff)), '; ') AS tariff, sum(summ_plan) AS summ_plan FROM own GROUP BY inn, current",
+    "based": f"SELECT {_SHOWN} FROM (SELECT DISTINCT {_KEYS} FROM own WHERE contains(lower(tariff), 'базовый')) JOIN totals USING (inn, current)",
+    "report": f"SELECT {_SHOWN} FROM based UNION SELECT {_SHOWN} FROM shown ANTI JOIN based USING (inn)",
 }
 
 
 @query(
     "pipe_active_report",
     sql_inputs(*ACTIVE_INPUTS, **ACTIVE_STEPS)
-    + f"SELECT * REPLACE (CAST(revenue_last_known AS DOUBLE) AS revenue_last_known, CAST(payed AS DOUBLE) AS payed, CAST(summ_plan AS DOUBLE) AS summ_plan) FROM p",
+    + f"SELECT * REPLACE (CAST(revenue_last_known AS DOUBLE) AS revenue_last_known, CAST(payed AS DOUBLE) AS payed, CAST(summ_plan AS DOUBLE) AS summ_plan) FROM report",
 )
 def pipe_active_report(t: Tables):
     return doubles(active_report(report_inputs(t, *ACTIVE_INPUTS), PARAMS)["report"])
@@ -338,8 +342,8 @@ def pipe_active_report(t: Tables):
 @query(
     "pipe_active_upcoming",
     sql_inputs(*ACTIVE_INPUTS, **ACTIVE_STEPS)
-    + """SELECT p1.inn, CAST(CASE WHEN p1.summ_plan - p2.summ_plan < 0 THEN 0 ELSE p1.summ_plan - p2.summ_plan END AS DOUBLE) AS sum_plan, coalesce(p2.plan_date, p1.plan_date) AS plan_date,
-         p1.bill_id, p2.tariff AS tariff_2, p2.since_date AS since_2, p2.up_to_date AS up_to_2 FROM p p1, p p2 WHERE p1.inn = p2.inn AND p1.current = '1' AND p2.current = '0'""",
+    + """SELECT inn, CAST(greatest(now.summ_plan - later.summ_plan, 0) AS DOUBLE) AS sum_plan, ifnull(later.plan_date, now.plan_date) AS plan_date, now.bill_id,
+         later.tariff AS tariff_2, later.since_date AS since_2, later.up_to_date AS up_to_2 FROM report now JOIN report later USING (inn) WHERE now.current > later.current""",
 )
 def pipe_active_upcoming(t: Tables):
     return doubles(active_report(report_inputs(t, *ACTIVE_INPUTS), PARAMS)["upcoming"])
@@ -351,31 +355,30 @@ TRIAL_INPUTS = (
     "trial_orgs", "load_log", "prospect_sales", "client_bills", "trial_events", "subscriptions", "clients", "org_registry", "prospect_cards", "tasks", "offers",
 )
 _J = lambda key: f"json_extract_string(variables, '$.{key}')"
-_UTM = {"utm_source": "utmSource", "utm_medium": "utmMedium", "utm_type": "utmType"}
+_UTM = {"utm_source": "utmSource", "utm_medium": "utmMedium", "utm_type": "utmType"}  # parts that the events hold
+_PARTS = ", ".join(f"nullif('{part}=' || {_J(key)}, '{part}=')" for part, key in _UTM.items())
+# every update of the trial table is a lookup; payload parts come from a list without its empty members
 TRIAL_STEPS = {
-    "t1": """SELECT t.* REPLACE (CASE WHEN t.pp_id IS NULL AND response IS NOT NULL THEN response ELSE pp_id END AS pp_id,
-        CASE WHEN t.pp_id IS NULL AND response IS NOT NULL THEN CAST(l.date AS DATE) ELSE load_to_crm_date END AS load_to_crm_date) FROM in_trial_orgs t LEFT JOIN in_load_log l ON object_id = create_pp_id""",
-    "t2": "SELECT t.* REPLACE (coalesce(kp_id, s.offer_id) AS kp_id) FROM t1 t LEFT JOIN in_prospect_sales s ON sale_id = pp_id",
-    "t3": """SELECT * REPLACE (CASE WHEN paid_bill IS NULL AND EXISTS (SELECT 1 FROM in_client_bills b WHERE b.inn = t2.inn AND bill_payed > 0 AND pay_date >= load_to_crm_date) THEN 1 ELSE paid_bill END AS paid_bill) FROM t2""",
-    "d": f"""SELECT DISTINCT {_J('inn')} AS inn, {_J('userId')} AS user_id, {_J('contactPerson')} AS user_name, {_J('phone')} AS phone, '' AS email, client_date AS event_date FROM in_trial_events
-        WHERE topic = 'Site' AND category = 'Trial' AND action = 'sign_up' AND client_date = {DATE} - 1""",
-    "u": f"""SELECT DISTINCT {_J('userId')} AS user_id, {', '.join(f'{_J(k)} AS {c}' for c, k in _UTM.items())} FROM in_trial_events
-        WHERE category = 'Campaign' AND action = 'campaign_parts' AND client_date = {DATE} - 1""",
-    "fresh": """SELECT inn, max(user_id) AS user_id, max(user_name) AS user_name, max(phone) AS phone, max(email) AS email, max(event_date) AS event_date FROM d
-        WHERE NOT EXISTS (SELECT 1 FROM t3 WHERE t3.inn = d.inn) GROUP BY inn""",
-    "busy": f"""SELECT DISTINCT inn FROM in_subscriptions JOIN in_clients USING (client_id) WHERE is_real = 1 AND {DATE} BETWEEN since AND up_to AND tariff_name ILIKE 'Отчетность %'
-        UNION SELECT inn FROM in_client_bills WHERE bill_payed = bill_sum AND pay_date > {DATE} - INTERVAL 1 YEAR""",
-    "left_over": "SELECT * FROM fresh WHERE NOT EXISTS (SELECT 1 FROM busy WHERE busy.inn = fresh.inn)",
-    "head": """SELECT DISTINCT inn, first_value(kpp) OVER w AS kpp, first_value(region_code) OVER w AS region_code, first_value(ct) OVER w AS city, first_value(addr) OVER w AS addr,
-        first_value(short_name) OVER w AS short_name FROM in_org_registry WINDOW w AS (PARTITION BY inn ORDER BY is_head DESC, kpp)""",
-    "emk0": r"""SELECT DISTINCT inn, kpp, region_code, head.city, addr, short_name, event_date, '{"UTM":"' || CASE WHEN utm_source <> '' THEN 'utm_source=' || utm_source ELSE '' END
-        || CASE WHEN utm_medium <> '' THEN '&utm_medium=' || utm_medium ELSE '' END || CASE WHEN utm_type <> '' THEN '&utm_type=' || utm_type ELSE '' END || '"}' AS specific_data,
-        'Клиент создал орзанизацию. Познакомьте клиента с сервисом и выставьте счет.\nФИО: ' || coalesce(user_name, '') || '\nТелефон: ' || coalesce(phone, '') || '\nЭлектронная почта: ' || coalesce(email, '')
-        || '\nДата регистрации: ' || CAST(event_date AS VARCHAR) || '\n' AS comment FROM left_over JOIN head USING (inn) LEFT JOIN u USING (user_id)""",
-    "emk": f"""SELECT *, {sql_uuid("'client|' || inn || '|' || specific_data || '|' || comment")} AS client_id, {sql_uuid("'lead|' || inn || '|' || specific_data || '|' || comment")} AS create_pp_id FROM emk0""",
-    "best": "SELECT DISTINCT inn, first_value(card_id) OVER (PARTITION BY inn ORDER BY temperature, created DESC, card_id) AS pp_id FROM in_prospect_cards WHERE state IN (1, 3)",
-    "existing": "SELECT DISTINCT comment, create_pp_id, pp_id FROM emk JOIN best USING (inn)",
-    "leads": "SELECT *, row_number() OVER (ORDER BY inn, create_pp_id) AS row_id FROM emk WHERE create_pp_id NOT IN (SELECT create_pp_id FROM existing)",
+    "trials": """SELECT inn, create_pp_id, ifnull(t.pp_id, l.response) AS pp_id, ifnull(t.kp_id, s.offer_id) AS kp_id,
+          CASE WHEN t.pp_id IS NULL AND l.response IS NOT NULL THEN CAST(l.date AS DATE) ELSE t.load_to_crm_date END AS loaded, t.paid_bill
+        FROM in_trial_orgs t LEFT JOIN in_load_log l ON l.object_id = t.create_pp_id LEFT JOIN in_prospect_sales s ON s.sale_id = ifnull(t.pp_id, l.response)""",
+    "paid": "SELECT inn, max(pay_date) AS last_paid FROM in_client_bills WHERE bill_payed > 0 GROUP BY inn",
+    "trial_table": """SELECT trials.inn, create_pp_id, pp_id, kp_id, loaded AS load_to_crm_date, ifnull(paid_bill, if(last_paid >= loaded, 1, NULL)) AS paid_bill FROM trials LEFT JOIN paid USING (inn)""",
+    "signed": f"""SELECT {_J('inn')} AS inn, max({_J('userId')}) AS user_id, max({_J('contactPerson')}) AS user_name, max({_J('phone')}) AS phone, any_value(client_date) AS event_date
+        FROM in_trial_events WHERE client_date + 1 = {DATE} AND (topic, category, action) = ('Site', 'Trial', 'sign_up') GROUP BY 1""",
+    "parts": f"""SELECT DISTINCT {_J('userId')} AS user_id, concat('{{"UTM":"', array_to_string(list_filter([{_PARTS}], lambda x: x IS NOT NULL), '&'), '"}}') AS payload,
+          {_J('utmSource')} AS source FROM in_trial_events WHERE client_date + 1 = {DATE} AND (category, action) = ('Campaign', 'campaign_parts')""",
+    "clients_now": f"""SELECT inn FROM in_client_bills WHERE bill_payed = bill_sum AND pay_date > {DATE} - INTERVAL 12 MONTH
+        UNION ALL SELECT inn FROM in_clients JOIN in_subscriptions USING (client_id) WHERE is_real = 1 AND since <= {DATE} AND up_to >= {DATE} AND starts_with(lower(tariff_name), 'отчетность ')""",
+    "office": """SELECT inn, arg_min({'kpp': kpp, 'region_code': region_code, 'city': ct, 'addr': addr, 'short_name': short_name}, (-is_head, kpp)) AS o FROM in_org_registry GROUP BY inn""",
+    "written": r"""SELECT DISTINCT inn, o.kpp, o.region_code, o.city, o.addr, o.short_name, event_date,
+          CASE WHEN source = '' AND payload <> '{"UTM":""}' THEN replace(payload, '{"UTM":"', '{"UTM":"&') ELSE ifnull(payload, '{"UTM":""}') END AS specific_data,
+          concat('Клиент создал орзанизацию. Познакомьте клиента с сервисом и выставьте счет.\n', 'ФИО: ', user_name, '\nТелефон: ', phone, '\nЭлектронная почта: \nДата регистрации: ', event_date, '\n') AS comment
+        FROM signed JOIN office USING (inn) LEFT JOIN parts USING (user_id) WHERE inn NOT IN (SELECT inn FROM clients_now) AND inn NOT IN (SELECT inn FROM trials)""",
+    "prepared": f"""SELECT *, {sql_uuid("concat_ws('|', 'client', inn, specific_data, comment)")} AS client_id, {sql_uuid("concat_ws('|', 'lead', inn, specific_data, comment)")} AS create_pp_id FROM written""",
+    "cards": "SELECT inn, arg_min(card_id, (temperature, -epoch_us(CAST(created AS TIMESTAMP)), card_id)) AS pp_id FROM in_prospect_cards WHERE state = 1 OR state = 3 GROUP BY inn",
+    "known": "SELECT DISTINCT comment, create_pp_id, pp_id FROM prepared JOIN cards USING (inn)",
+    "new_leads": "FROM prepared ANTI JOIN known USING (create_pp_id)",
 }
 
 
@@ -385,12 +388,12 @@ def run_trial(t: Tables):
     return trial(inputs, PARAMS)
 
 
-@query("pipe_trial_onboarding", sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS) + "SELECT * FROM leads")
+@query("pipe_trial_onboarding", sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS) + "SELECT *, row_number() OVER (ORDER BY inn, create_pp_id) AS row_id FROM new_leads")
 def pipe_trial_onboarding(t: Tables):
     return run_trial(t)["leads"]
 
 
-@query("pipe_trial_orgs", sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS) + "SELECT * FROM t3")
+@query("pipe_trial_orgs", sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS) + "FROM trial_table")
 def pipe_trial_orgs(t: Tables):
     return run_trial(t)["trial_orgs"]
 
@@ -399,7 +402,7 @@ def pipe_trial_orgs(t: Tables):
     "pipe_trial_outbox",
     sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS)
     + f"""SELECT {sql_uuid(f"'task|1998-06-01|{PARAMS.list_name}'")} AS task_id, (SELECT CASE WHEN length(CAST(max(CAST(regexp_extract(brief_id, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR)) >= 5 THEN CAST(max(CAST(regexp_extract(brief_id, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR) ELSE lpad(CAST(max(CAST(regexp_extract(brief_id, '^[0-9]+') AS BIGINT)) + 1 AS VARCHAR), 5, '0') END FROM in_tasks) || '_List' AS list_id,
-          '{PARAMS.list_name}' AS base_name, pp_id, comment FROM existing""",
+          '{PARAMS.list_name}' AS base_name, pp_id, comment FROM known""",
 )
 def pipe_trial_outbox(t: Tables):
     return run_trial(t)["comments"]
@@ -408,10 +411,10 @@ def pipe_trial_outbox(t: Tables):
 @query(
     "pipe_trial_summary",
     sql_inputs(*TRIAL_INPUTS, **TRIAL_STEPS)
-    + f"""SELECT CAST((SELECT count(*) FROM t3 WHERE load_to_crm_date = {DATE} - 1) AS VARCHAR) AS created_yesterday,
-          coalesce((SELECT string_agg(url, ' <br> ' ORDER BY url) FROM (SELECT 'https://example.org/cards/' || activity_id AS url FROM t3 JOIN in_prospect_sales ON sale_id = pp_id
-            JOIN in_offers USING (offer_id) WHERE load_to_crm_date = {DATE} - 1)), 'не было карточек') AS cards,
-          (SELECT count(*) FROM leads) AS n_leads, CASE WHEN (SELECT count(*) FROM leads) = 0 THEN 'Новых созданных организаций по Триалу нет' ELSE '' END AS note""",
+    + f"""SELECT CAST(count(DISTINCT create_pp_id) AS VARCHAR) AS created_yesterday,
+          ifnull(array_to_string(list_sort(list('https://example.org/cards/' || activity_id) FILTER (activity_id IS NOT NULL)), ' <br> '), 'не было карточек') AS cards,
+          (SELECT count(*) FROM new_leads) AS n_leads, if((SELECT count(*) FROM new_leads) > 0, '', 'Новых созданных организаций по Триалу нет') AS note
+        FROM trial_table LEFT JOIN (SELECT sale_id, activity_id FROM in_prospect_sales JOIN in_offers USING (offer_id)) ON sale_id = pp_id WHERE load_to_crm_date + 1 = {DATE}""",
 )
 def pipe_trial_summary(t: Tables):
     return run_trial(t)["summary"]
