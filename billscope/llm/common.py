@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A batch is handled in pieces of about this many bytes of text; a longer text is a piece of its own.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,17 +45,25 @@ def held_out(doc_id: str, parts: int, part: int):
     return F.coalesce(fold(doc_id, parts) == part, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, key: str, per_value: int, order: str = "doc_id") -> DataFrame:
-    """At most ``per_value`` rows of each value of ``key``, the first by the hash of ``order``.
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, per_value: int) -> DataFrame:
+    """``doc_id, key, text`` of at most ``per_value`` documents for each value of ``key``, chosen by a hash of the id.
 
-    The rank is cut before the shuffle as well (window group limit), so a frequent value does not meet in one task.
+    ``labels`` has (doc_id, key) rows; null ids and values are left out, repeated ones count once, and of documents with one
+    id the smallest text stands for all. Only labels are shuffled, thinned beforehand to about the wanted number; the chosen
+    ids, at most ``per_value`` times the number of values, go to the documents as a broadcast, so texts stay where they are.
     """
     from pyspark.sql import Window
 
-    ranked = rows.withColumn("_h", F.xxhash64(order)).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(key).orderBy("_h", order))
-    )
-    return ranked.where(F.col("_rank") <= per_value).drop("_h", "_rank")
+    known = labels.select("doc_id", key).where(F.col("doc_id").isNotNull() & F.col(key).isNotNull()).distinct()
+    counts = {row[key]: row["count"] for row in known.groupBy(key).count().collect()}
+    if not counts:
+        return docs.sparkSession.createDataFrame([], known.schema.add("text", "string"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    bound = F.element_at(F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, int((1 << 30) * min(1.0, 1.2 * per_value / n + 20 / n)))]), F.col(key))
+    order = Window.partitionBy(key).orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = known.where(draw <= bound).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_value).drop("_rank")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", key).agg(F.min("text").alias("text"))
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -68,6 +78,17 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
             yield batch.slice(start, end - start)
 
 
+def schema_of(docs: DataFrame, columns: list[str], more: str) -> str:
+    """DDL of the given columns followed by ``more``."""
+    kinds = dict(docs.dtypes)
+    return ", ".join([f"`{name}` {kinds[name]}" for name in columns] + [more] * bool(more))
+
+
+def carried(batch: pa.RecordBatch, columns: list[str], **more: pa.Array) -> pa.RecordBatch:
+    """The batch's columns followed by new ones."""
+    return pa.RecordBatch.from_arrays([batch.column(name) for name in columns] + list(more.values()), [*columns, *more])
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The column as large strings, null as empty."""
     return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
@@ -89,6 +110,20 @@ def split_words(texts: pa.Array, ascii_only: bool = False) -> tuple[pa.Array, np
     return encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False), starts
 
 
+@contextmanager
+def word_table(forget: Callable[[], None]) -> Iterator[None]:
+    """A task that keeps a table of words: no full collector passes over it (it holds no cycles; they cost a third of the
+    time), and nothing of it left in a worker that goes on to other tasks.
+    """
+    gc.disable()
+    try:
+        yield
+    finally:
+        forget()
+        gc.enable()
+        pa.default_memory_pool().release_unused()
+
+
 def per_text(values: np.ndarray, starts: np.ndarray, ufunc, empty):
     """``ufunc`` reduced over each text's values; ``empty`` where a text has none."""
     out = np.full(len(starts) - 1, empty, dtype=values.dtype)

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.llm.common import bounded_sample, pieces, sigmoid, texts_of
+from billscope.llm.common import carried, labelled_sample, pieces, schema_of, sigmoid, texts_of
 from billscope.llm.svm import fit_logistic, fit_svm
 
 # Families of ISO 639-1 codes. A code outside the table is a family of its own.
@@ -127,28 +127,26 @@ def votes(names: list[str], machines: list[Machine], rows: np.ndarray) -> tuple[
     return best, mean[np.arange(len(rows)), best]
 
 
-def fit(labelled: DataFrame, per_language: int = 600) -> Model | None:
-    """A model from rows (doc_id, text, lang) with known language, or None without any.
+def fit(docs: DataFrame, per_language: int = 600) -> Model | None:
+    """A model from documents (doc_id, text, lang) whose language is known, or None without any.
 
-    At most ``per_language`` rows of each language are used, chosen by a hash of the id; only their features reach
+    At most ``per_language`` documents of each language are used, chosen by a hash of the id; only their features reach
     the driver. Languages come from the data, families from the table above.
     """
-    rows = labelled.where("lang is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
-    rows = rows.where(F.col("text").rlike(r"\p{L}"))
-    sample = bounded_sample(rows, "lang", per_language)
+    lettered = docs.where(F.col("text").rlike(r"\p{L}"))
+    sample = labelled_sample(lettered, lettered, "lang", per_language)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             found = features(texts_of(batch))
-            yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "features": pa.array([row.astype(np.float16).tobytes() for row in found], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "features": pa.array([row.astype(np.float16).tobytes() for row in found], pa.binary())})
 
-    seen = sample.select("text", "lang").mapInArrow(run, "lang string, features binary").collect()
+    kind = dict(sample.dtypes)["doc_id"]
+    seen = sorted(sample.mapInArrow(run, f"doc_id {kind}, lang string, features binary").collect())
     if not seen:
         return None
     langs = np.array([row["lang"] for row in seen], dtype=object)
     matrix = np.stack([np.frombuffer(row["features"], dtype=np.float16) for row in seen]).astype(np.float32)
-    order = np.lexsort((matrix[:, 0], langs))
-    langs, matrix = langs[order], matrix[order]
     families: dict[str, list[str]] = {}
     for lang in sorted(set(langs)):
         families.setdefault(family_of(lang), []).append(lang)
@@ -164,32 +162,27 @@ def duels(names: list[str], groups: np.ndarray, matrix: np.ndarray) -> list[Mach
     return out
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row's id with ``lang_pred`` (a learned language) and ``score`` (0 to 1).
+def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns of each row with ``lang_pred`` (a learned language) and ``score`` (0 to 1).
 
     A text that is null, empty or without a letter is ``und`` with score 1; so is every text, with score 0, where no
     language could be learned. Whole texts count, whatever their length. Rows are independent: repeated rows come out
-    repeated, an empty table gives an empty result, other columns are ignored.
+    repeated, an empty table gives an empty result, other columns are ignored. Nothing is shuffled.
     """
-    letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter")
-    rows = docs.select(id_col, F.col(text_col).alias("text"), letter)
-    kind = dict(docs.dtypes)[id_col]
+    columns = list(keep)
+    letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     if model is None:
-        return rows.select(id_col, F.lit(UNKNOWN).alias("lang_pred"), F.when(F.col("_letter"), 0.0).otherwise(1.0).alias("score"))
+        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.when(letter, 0.0).otherwise(1.0).alias("score"))
+    rows = docs.select(*[F.col(name) for name in dict.fromkeys([*columns, text_col])], letter.alias("_letter"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, text_col):
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                langs, scores = shared.value.predict(features(texts_of(part)))
+                langs, scores = shared.value.predict(features(texts_of(part, text_col)))
                 letter = part.column("_letter").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        id_col: part.column(id_col),
-                        "lang_pred": pa.array(np.where(letter, langs, UNKNOWN), pa.string()),
-                        "score": pa.array(np.where(letter, scores, 1.0), pa.float64()),
-                    }
-                )
-
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+                found = pa.array(np.where(letter, langs, UNKNOWN), pa.string())
+                yield carried(part, columns, lang_pred=found, score=pa.array(np.where(letter, scores, 1.0), pa.float64()))
+
+    return rows.mapInArrow(run, schema_of(docs, columns, "lang_pred string, score double"))

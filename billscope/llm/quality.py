@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.llm.common import bounded_sample, per_text, pieces, sigmoid, split_words, texts_of
+from billscope.llm.common import carried, labelled_sample, per_text, pieces, schema_of, sigmoid, split_words, texts_of
 
 # Classes of bytes whose shares are statistics; every byte is in one class.
 CLASSES = {
@@ -183,12 +183,14 @@ def boost(rows: np.ndarray, y: np.ndarray, n_trees: int = 80, depth: int = 4, bi
     return Trees(feature, limit, leaf, start)
 
 
-def fit(labelled: DataFrame, per_class: int = 10_000) -> Trees | None:
-    """Trees from rows (doc_id, text, quality), or None without labelled rows.
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 10_000) -> Trees | None:
+    """Trees from documents and rows (doc_id, quality), or None without labelled documents.
 
-    At most ``per_class`` rows of each label are used, chosen by a hash of the id; only their statistics reach the driver.
+    At most ``per_class`` documents of each label are used, chosen by a hash of the id; only their statistics reach the
+    driver.
     """
-    rows = labelled.where("quality in (0, 1)").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("quality").cast("int").alias("quality"))
+    labels = labels.where("quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    rows = labelled_sample(docs, labels, "quality", per_class)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -196,29 +198,30 @@ def fit(labelled: DataFrame, per_class: int = 10_000) -> Trees | None:
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "row": pa.array(list(found), pa.list_(pa.float32()))})
 
     kind = dict(rows.dtypes)["doc_id"]
-    sample = bounded_sample(rows, "quality", per_class).mapInArrow(run, f"doc_id {kind}, quality int, row array<float>")
+    sample = rows.mapInArrow(run, f"doc_id {kind}, quality int, row array<float>")
     seen = sorted(sample.collect(), key=lambda r: (r["doc_id"], r["row"]))
     if not seen:
         return None
     return boost(np.array([r["row"] for r in seen], dtype=np.float32), np.array([r["quality"] for r in seen], dtype=np.float64))
 
 
-def score(docs: DataFrame, trees: Trees | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row's id with ``score`` (0 to 1, higher: better) and ``predicted`` (1 from ``threshold`` on).
+def score(docs: DataFrame, trees: Trees | None, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns of each row with ``score`` (0 to 1, higher: better) and ``predicted`` (1 from ``threshold`` on).
 
     Only the text counts; a null text counts as empty and gets a score like any other. Without a model every score is
     0. Rows are independent: repeated rows come out repeated, an empty table gives an empty result, other columns are
-    ignored.
+    ignored. Nothing is shuffled.
     """
-    kind = dict(docs.dtypes)[id_col]
+    columns = list(keep)
     if trees is None:
-        return docs.select(id_col, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return docs.select(*columns, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, text_col):
             value = shared.value.probability(statistics(texts_of(batch, text_col)))
-            yield pa.RecordBatch.from_pydict({id_col: batch.column(id_col), "score": pa.array(value, pa.float64())})
+            yield carried(batch, columns, score=pa.array(value, pa.float64()))
 
-    scored = docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    rows = docs.select(*dict.fromkeys([*columns, text_col]))
+    scored = rows.mapInArrow(run, schema_of(docs, columns, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

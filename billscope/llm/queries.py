@@ -54,10 +54,8 @@ def tokenizer_path(name: str) -> str:
 
 def fitted_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
     """The toxicity model of a data set, learned from the labelled documents outside the held-out fold."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    known = labels.where("toxic is not null").select(F.col("doc_id"), "toxic")
-    rows = docs.select("doc_id", "text").join(known, "doc_id").where(~held_out("doc_id", 3, 1))
-    return toxicity.fit(rows)
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1))
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels)
 
 
 @query("op1_toxicity")
@@ -102,9 +100,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_quality")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    rows = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id").where(~held_out("doc_id", 5, 0))
-    scored = quality.score(docs, quality.fit(rows))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out("doc_id", 5, 0))
+    scored = quality.score(docs, quality.fit(docs, labels))
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 

@@ -9,9 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from billscope.llm.common import pieces, split_words, texts_of
+from billscope.llm.common import pieces, schema_of, split_words, texts_of
 
 # Words of benchmark items sent to the tasks at once. More items go in further blocks, each over all documents.
 BLOCK_WORDS = 2_000_000
@@ -134,33 +133,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshol
     """
     kinds = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)["item_id"]
     schema = f"`{id_col}` {kinds[0]}, item_id {kinds[1]}, coverage double, tiles int"
-    rows = docs.select(id_col, "text")
-    found = None
+    rows, found = docs.select(id_col, "text"), None
     for block in blocks_of(benchmark, least):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
             for batch in pieces(batches):
-                distinct, codes, starts = split_words(texts_of(batch))
-                number = np.array([items.vocabulary.get(w, -1) for w in bare(distinct).to_pylist()] or [0], dtype=np.int64)
-                empty = pc.equal(pc.binary_length(bare(distinct)), 0).to_numpy(zero_copy_only=False)
-                ids = number[codes]
-                real = ~empty[codes] if len(codes) else np.zeros(0, bool)  # what was punctuation only is no word
-                if not real.all():
-                    starts = np.concatenate([[0], np.cumsum(real)])[starts]
-                    ids = ids[real]
-                out = [
-                    (row, items.keys[item], share, n)
-                    for row, (lo, hi) in enumerate(zip(starts.tolist(), starts[1:].tolist()))
-                    if hi > lo
-                    for item, share, n in items.matches(ids[lo:hi], threshold)
-                ]
+                out = [(row, *match) for row, matches in covered(items, batch, threshold) for match in matches]
                 where = pa.array([row for row, *_ in out], pa.int64())
                 yield pa.RecordBatch.from_pydict(
                     {
                         id_col: batch.column(id_col).take(where),
-                        "item_id": pa.array([key for _, key, *_ in out], pa.int64() if kinds[1] == "bigint" else None),
+                        "item_id": pa.array([items.keys[item] for _, item, *_ in out], pa.int64() if kinds[1] == "bigint" else None),
                         "coverage": pa.array([share for *_, share, _ in out], pa.float64()),
                         "tiles": pa.array([n for *_, n in out], pa.int32()),
                     }
@@ -171,6 +156,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshol
     return docs.sparkSession.createDataFrame([], schema) if found is None else found
 
 
+def free_of(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that cover no item, as ``contaminated`` defines it; rows pass through each block in place."""
+    names = docs.columns
+    for block in blocks_of(benchmark, least):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches):
+                hit = {row for row, _ in covered(shared.value, batch, threshold)}
+                yield batch.take(pa.array([row for row in range(batch.num_rows) if row not in hit], pa.int64()))
+
+        docs = docs.mapInArrow(run, schema_of(docs, names, ""))
+    return docs
+
+
+def covered(items: Items, batch: pa.RecordBatch, threshold: float) -> Iterator[tuple[int, list[tuple[int, float, int]]]]:
+    """(row, matches) of the rows that cover an item of the block."""
+    distinct, codes, starts = split_words(texts_of(batch))
+    plain = bare(distinct)
+    number = np.array([items.vocabulary.get(w, -1) for w in plain.to_pylist()] or [0], dtype=np.int64)
+    ids = number[codes]
+    real = ~pc.equal(pc.binary_length(plain), 0).to_numpy(zero_copy_only=False)[codes] if len(codes) else np.zeros(0, bool)
+    if not real.all():  # what was punctuation only is no word
+        starts = np.concatenate([[0], np.cumsum(real)])[starts]
+        ids = ids[real]
+    for row, (lo, hi) in enumerate(zip(starts.tolist(), starts[1:].tolist())):
+        if hi > lo and (matches := list(items.matches(ids[lo:hi], threshold))):
+            yield row, matches
+
+
 def blocks_of(benchmark: DataFrame, least: int) -> Iterator[Items]:
     """Items in blocks of bounded size, in the order the driver reads them, one block in its memory at a time."""
     held, size = [], 0

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.llm.common import bounded_sample, per_text, pieces, sigmoid, split_words, texts_of, written
+from billscope.llm.common import carried, labelled_sample, per_text, pieces, schema_of, sigmoid, split_words, texts_of, written
 from billscope.llm.svm import fit_logistic, fit_svm
 
 LETTERS = 26
@@ -175,63 +175,61 @@ def word_counts(sample: DataFrame) -> DataFrame:
     return sample.select("text", "toxic").mapInArrow(run, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def fit(labelled: DataFrame, sizes: Sizes = Sizes()) -> Model | None:
-    """A model from rows (doc_id, text, toxic), or None where one class has no rows.
+def fit(docs: DataFrame, labels: DataFrame, sizes: Sizes = Sizes()) -> Model | None:
+    """A model from documents and rows (doc_id, toxic), or None where one class has no documents.
 
     Only documents carry labels, so the machine learns which words make a document toxic: positive examples are words
     that stand in toxic documents far more often than chance, or hold a part that does, and disguised forms of them;
-    negative ones frequent and random words of clean documents and those that a first machine gets wrong. Landmarks are chosen among both by pivoted Cholesky on the kernel, so that forms of one word share one.
+    negative ones frequent and random words of clean documents and those that a first machine gets wrong. Landmarks are
+    chosen among both by pivoted Cholesky on the kernel, so that forms of one word share one.
     Everything read by the driver is bounded by ``sizes``.
     """
-    labelled = labelled.where("toxic in (0, 1)").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    sample = bounded_sample(labelled, "toxic", sizes.documents).persist()
-    try:
-        n = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
-        if len(n) < 2:
-            return None
-        counts = written(word_counts(sample).where("length(word) between 3 and 40"), "words")
-        # parts of words stand for the words' forms: letters in fours and fives, counted over all words that hold them
-        part = F.expr("flatten(transform(array(4, 5), n -> transform(sequence(1, greatest(length(word) - n + 1, 1)), i -> substr(word, i, n))))")
-        parts = counts.select(F.explode(F.array_distinct(part)).alias("part"), "word", "toxic", "clean")
-        of_part = parts.groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        telling = surprising(of_part, n[1], n[0]).select("part", F.col("surprise").alias("of_part"))
-        held = parts.join(telling, "part").groupBy("word", "toxic", "clean").agg(F.max("of_part").alias("of_part"))
-        whole = surprising(counts, n[1], n[0]).select("word", "toxic", "clean", F.col("surprise").alias("of_word"))
-        marked = (
-            whole.join(held, ["word", "toxic", "clean"], "full")
-            .where("toxic > 20 * clean")
-            .withColumn("weight", F.greatest(F.coalesce("of_part", F.lit(0.0)) / 20, F.coalesce("of_word", F.lit(0.0))))
-            .orderBy(F.desc("weight"), F.desc("toxic"), "word")
-            .limit(sizes.candidates)
-            .collect()
-        )
-        clean = counts.where("clean > 0 and toxic <= 5 + 5 * clean")
-        half = sizes.negatives // 2
-        frequent = clean.orderBy(F.desc(F.col("clean") - 9 * F.col("toxic")), "word").limit(half).select("word").collect()
-        drawn = clean.where("toxic = 0").orderBy(F.xxhash64("word"), "word").limit(half).select("word").collect()
-        needed = set(witnesses(sample, [row["word"] for row in marked]))
-        strong = max((row["weight"] for row in marked), default=0) / 5  # so frequent that no group of copies makes them
-        positive = [row["word"] for row in marked if row["word"] in needed or row["weight"] >= strong]
-        negative = sorted({row["word"] for row in [*frequent, *drawn]} - set(positive))
-        if not positive or not negative:
-            return None
-        by_word = {row["word"]: row["weight"] for row in marked}
-        weight = np.array([by_word[word] for word in positive])
-        model = word_machine(positive, negative, weight, sizes.landmarks)
-        # clean words that the first machine takes for toxic teach the second
-        worst = scored_words(clean, model).orderBy(F.desc("margin"), "word").limit(half).select("word").collect()
-        negative = sorted({row["word"] for row in worst} | set(negative) - set(positive))
-        model = word_machine(positive, negative, weight, sizes.landmarks)
-        shared = sample.sparkSession.sparkContext.broadcast(model)
-
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches):
-                seen = evidence(shared.value, texts_of(batch))
-                yield pa.RecordBatch.from_pydict({"best": pa.array(seen[:, 0]), "above": pa.array(seen[:, 1]), "toxic": batch.column("toxic")})
-
-        rows = np.array([tuple(row) for row in sample.select("text", "toxic").mapInArrow(run, "best double, above double, toxic int").collect()])
-    finally:
-        sample.unpersist()
+    labels = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    sample = written(labelled_sample(docs, labels, "toxic", sizes.documents), "sample")
+    n = {row["toxic"]: row["count"] for row in sample.groupBy("toxic").count().collect()}
+    if len(n) < 2:
+        return None
+    counts = written(word_counts(sample).where("length(word) between 3 and 40"), "words")
+    # parts of words stand for the words' forms: letters in fours and fives, counted over all words that hold them
+    part = F.expr("flatten(transform(array(4, 5), n -> transform(sequence(1, greatest(length(word) - n + 1, 1)), i -> substr(word, i, n))))")
+    parts = counts.select(F.explode(F.array_distinct(part)).alias("part"), "word", "toxic", "clean")
+    of_part = parts.groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    telling = surprising(of_part, n[1], n[0]).select("part", F.col("surprise").alias("of_part"))
+    held = parts.join(telling, "part").groupBy("word", "toxic", "clean").agg(F.max("of_part").alias("of_part"))
+    whole = surprising(counts, n[1], n[0]).select("word", "toxic", "clean", F.col("surprise").alias("of_word"))
+    marked = (
+        whole.join(held, ["word", "toxic", "clean"], "full")
+        .where("toxic > 20 * clean")
+        .withColumn("weight", F.greatest(F.coalesce("of_part", F.lit(0.0)) / 20, F.coalesce("of_word", F.lit(0.0))))
+        .orderBy(F.desc("weight"), F.desc("toxic"), "word")
+        .limit(sizes.candidates)
+        .collect()
+    )
+    clean = counts.where("clean > 0 and toxic <= 5 + 5 * clean")
+    half = sizes.negatives // 2
+    frequent = clean.orderBy(F.desc(F.col("clean") - 9 * F.col("toxic")), "word").limit(half).select("word").collect()
+    drawn = clean.where("toxic = 0").orderBy(F.xxhash64("word"), "word").limit(half).select("word").collect()
+    needed = set(witnesses(sample, [row["word"] for row in marked]))
+    strong = max((row["weight"] for row in marked), default=0) / 5  # so frequent that no group of copies makes them
+    positive = [row["word"] for row in marked if row["word"] in needed or row["weight"] >= strong]
+    negative = sorted({row["word"] for row in [*frequent, *drawn]} - set(positive))
+    if not positive or not negative:
+        return None
+    by_word = {row["word"]: row["weight"] for row in marked}
+    weight = np.array([by_word[word] for word in positive])
+    model = word_machine(positive, negative, weight, sizes.landmarks)
+    # clean words that the first machine takes for toxic teach the second
+    worst = scored_words(clean, model).orderBy(F.desc("margin"), "word").limit(half).select("word").collect()
+    negative = sorted({row["word"] for row in worst} | set(negative) - set(positive))
+    model = word_machine(positive, negative, weight, sizes.landmarks)
+    shared = sample.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            seen = evidence(shared.value, texts_of(batch))
+            yield pa.RecordBatch.from_pydict({"best": pa.array(seen[:, 0]), "above": pa.array(seen[:, 1]), "toxic": batch.column("toxic")})
+
+    rows = np.array([tuple(row) for row in sample.select("text", "toxic").mapInArrow(run, "best double, above double, toxic int").collect()])
     model.scale, model.shift = fit_logistic(rows[:, :2], rows[:, 2])
     if model.scale.min() < 0:  # more evidence must never lower a score
         scale, model.shift = fit_logistic(rows[:, :1], rows[:, 2])
@@ -335,23 +333,24 @@ def word_machine(positive: list[str], negative: list[str], weight: np.ndarray, n
     return Model(weights, bias, np.array([1.0, 0.0]), 0.0)
 
 
-def score(docs: DataFrame, model: Model | None, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each row's id with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
+def score(docs: DataFrame, model: Model | None, threshold: float = 0.7, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns of each row with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     Only the text counts. A null or empty text has no words and gets the score of a document without any toxic word.
-    Without a model (no labelled rows of both classes) every score is 0. Rows are independent: repeated rows come out
-    repeated, an empty table gives an empty result, other columns are ignored.
+    Without a model (no labelled documents of both classes) every score is 0. Rows are independent: repeated rows come out
+    repeated, an empty table gives an empty result, other columns are ignored. Nothing is shuffled.
     """
-    kind = dict(docs.dtypes)[id_col]
+    columns = list(keep)
     if model is None:
-        return docs.select(id_col, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return docs.select(*columns, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in pieces(batches, text_col):
             value = sigmoid(evidence(model, texts_of(batch, text_col)) @ model.scale + model.shift)
-            yield pa.RecordBatch.from_pydict({id_col: batch.column(id_col), "score": pa.array(value)})
+            yield carried(batch, columns, score=pa.array(value, pa.float64()))
 
-    scored = docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    rows = docs.select(*dict.fromkeys([*columns, text_col]))
+    scored = rows.mapInArrow(run, schema_of(docs, columns, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

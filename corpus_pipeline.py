@@ -17,37 +17,37 @@ from billscope.llm.queries import fitted_language, fitted_toxicity, prepared, to
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose id is not among the rejected ones; a null id is never rejected."""
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
-
-
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity machine does not predict as toxic."""
-    scored = toxicity.score(docs, fitted_toxicity(prepared(spark), sf_dir))
-    return without(docs, scored.where("predicted = 1"))
+    scored = toxicity.score(docs, fitted_toxicity(prepared(spark), sf_dir), keep=COLUMNS)
+    return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def of_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; ``und`` goes."""
-    found = language.identify(docs, fitted_language(prepared(spark), sf_dir))
-    return without(docs, found.where(F.col("lang_pred") == language.UNKNOWN))
+    found = language.identify(docs, fitted_language(prepared(spark), sf_dir), keep=COLUMNS)
+    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest id; documents without an id all stay."""
+    """Of each component of near-duplicates the document with the smallest id; of rows with one id one stays, rows
+    without an id all stay.
+
+    The documents that go are taken out by an anti join, so a short list of them is broadcast by the engine.
+    """
     prepared(spark)
-    groups = simhash.near_duplicates(docs, words=4, limit=4)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     rows = docs.select(*COLUMNS)
-    first = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(rows.where("doc_id is null"))
+    groups = simhash.near_duplicates(docs, words=4, limit=4)
+    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    kept = rows.join(written(gone, "gone"), "doc_id", "left_anti")
+    repeated = written(rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id"), "repeated")
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
 
 
 def free_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover no benchmark item."""
-    found = tiling.contaminated(docs, table(prepared(spark), sf_dir, "benchmark"))
-    return without(docs, found)
+    return tiling.free_of(docs.select(*COLUMNS), table(prepared(spark), sf_dir, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
