@@ -151,7 +151,7 @@ def anti_not_in(t: Tables):
 @query(
     "join_like_dict",
     """WITH w AS (SELECT unnest(string_split(lower(text), ' ')) AS word FROM conversations),
-         frequent AS (SELECT word FROM w WHERE regexp_full_match(word, '[a-z]{6,8}') GROUP BY word HAVING count(*) > 2),
+         frequent AS (SELECT word FROM w WHERE regexp_full_match(word, '[a-z]{6,8}') GROUP BY word HAVING count(*) * 200 > (SELECT count(*) FROM conversations)),
          tags AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS tag FROM part UNION SELECT DISTINCT lower(lang) FROM documents UNION SELECT word FROM frequent
            UNION SELECT left(word, 2) || '%' || right(word, 2) FROM frequent WHERE word LIKE 'w%' UNION SELECT '%' || right(word, 4) FROM frequent WHERE word LIKE 'w%')
        SELECT doc_id, tag FROM documents JOIN tags ON lower(text) LIKE '%#' || tag || '%' OR lower(text) LIKE '% ' || tag || '%' OR lower(text) LIKE tag || '%'""",
@@ -159,7 +159,8 @@ def anti_not_in(t: Tables):
 def join_like_dict(t: Tables):
     word, two, four = F.col("tag"), F.lit(2), F.lit(4)
     said = t.conversations.select(F.explode(F.split(F.lower("text"), " ")).alias("tag")).where(word.rlike("^[a-z]{6,8}$"))
-    frequent = said.groupBy("tag").agg(F.count("*").alias("n")).where("n > 2").select("tag")
+    n_turns = t.conversations.agg(F.count("*")).scalar()
+    frequent = said.groupBy("tag").agg(F.count("*").alias("n")).where(F.col("n") * 200 > n_turns).select("tag")
     parts = (
         t.part.select(F.explode(F.split("p_name", " ")).alias("tag")),
         t.documents.select(F.lower("lang").alias("tag")),

@@ -23,6 +23,7 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
+    """Apply ``SETTINGS`` to the session, for good. The registered queries do so; jobs in a deployment leave them to it."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
