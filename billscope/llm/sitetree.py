@@ -43,6 +43,8 @@ NOISE_NAMES = frozenset(
     "respond discussion share sharing shares social follow related recommended recommendations trending popular newsletter subscribe subscription signup "
     "popup modal overlay login register search searchform pagination pager skip".split()
 )
+PART_NAMES = frozenset("ad ads advert comment comments reply replies promo related recommended sponsor sponsored teaser".split())
+LAYOUT_WORDS = frozenset("with has have no without is".split())
 MAIN_TAGS = frozenset(("article", "main"))
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>", re.S
@@ -103,11 +105,15 @@ def is_noise(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
         return True
     if NOISE_ROLES.intersection(attributes.get("role", "").lower().split()):
         return True
-    if tag in ("html", "body", *MAIN_TAGS):
+    if tag in ("html", "body"):
         return False
     for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
-        words = SPLIT_NAME.split(CAMEL.sub(r"\1-\2", name).lower())
+        words = [word for word in SPLIT_NAME.split(CAMEL.sub(r"\1-\2", name).lower()) if word]
+        if not words or words[0] in LAYOUT_WORDS:
+            continue
         found = NOISE_NAMES.intersection(words)
+        if tag in MAIN_TAGS:  # its names may speak of the layout around it
+            found &= PART_NAMES & {words[0]}
         if found and not (inside_main and found <= {"header", "side"}):
             return True
     return False

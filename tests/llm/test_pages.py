@@ -26,6 +26,12 @@ def test_named_noise_goes():
     assert text_of(page) == "Title\n\nText\n\nkept one\n\nkept two"
 
 
+def test_names_of_layouts_are_no_noise():
+    page = """<body class="with-sidebar"><div class="layout has-sidebar"><article class="post no-comments"><p>Text</p><article class="comment-item"><p>nice</p></article></article>
+      <div class="sidebar-box">x</div></div></body>"""
+    assert text_of(page) == "Text"
+
+
 def test_broken_markup():
     assert text_of("") == "" and text_of("plain < text & more") == "plain < text & more"
     assert text_of("<p>a<div>b</div>c</p>d") == "a\n\nb\n\nc\n\nd"
