@@ -282,7 +282,7 @@ def scored_words(words: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "word"):
-            yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "margin": pa.array(shared.value.margins(batch.column("word").cast(pa.large_string())))})
+            yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "margin": pa.array(shared.value.margins(texts_of(batch, "word")))})
 
     return words.select("word").mapInArrow(run, "word string, margin double")
 
