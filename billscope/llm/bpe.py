@@ -7,7 +7,6 @@ prefix's trie node, so words with a common beginning share the work for it.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 from collections.abc import Iterable, Iterator
@@ -19,10 +18,10 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from billscope.llm.common import per_text, pieces, texts_of
+from billscope.llm.common import per_text, pieces, texts_of, word_table
 
-# Words and short runs of words whose encodings a Python worker keeps between batches before it starts anew; bounds memory, not the result.
-KNOWN_WORDS = 500_000
+# Words and short runs of words whose encodings a task keeps between batches before it starts anew; bounds memory, not the result.
+KNOWN_WORDS = 150_000
 KNOWN_CHARS = 64
 
 
@@ -197,6 +196,10 @@ class TrieBpe:
         chunks += texts.take(pa.array(rows)).to_pylist()
         return self.encode_chunks(chunks), codes, starts
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.stable.clear()
+
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -217,24 +220,24 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
-        gc.disable()  # nothing here makes reference cycles, and full passes over the word tables cost a third of the time
-        for batch in pieces(batches, text_col):
-            chunks, codes, starts = bpe.encode(texts_of(batch, text_col))
-            sizes = np.array([len(chunk) for chunk in chunks], dtype=np.int64)
-            decimal = [",".join(map(str, chunk)) for chunk in chunks]
-            decoded = [b"".join(map(bpe.bytes_of.__getitem__, chunk)) for chunk in chunks]
-            of_ids, of_text, arrays = [], [], []
-            for start, end in zip(starts.tolist(), starts[1:].tolist()):
-                found = codes[start:end].tolist()
-                joined = ",".join([decimal[i] for i in found if decimal[i]])
-                of_ids.append(hashlib.sha256(joined.encode()).hexdigest())
-                text = b"".join([decoded[i] for i in found]).decode("utf-8", "replace")
-                of_text.append(hashlib.sha256(text.encode()).hexdigest())
+        with word_table(bpe.forget):
+            for batch in pieces(batches, text_col):
+                chunks, codes, starts = bpe.encode(texts_of(batch, text_col))
+                sizes = np.array([len(chunk) for chunk in chunks], dtype=np.int64)
+                decimal = [",".join(map(str, chunk)) for chunk in chunks]
+                decoded = [b"".join(map(bpe.bytes_of.__getitem__, chunk)) for chunk in chunks]
+                of_ids, of_text, arrays = [], [], []
+                for start, end in zip(starts.tolist(), starts[1:].tolist()):
+                    found = codes[start:end].tolist()
+                    joined = ",".join([decimal[i] for i in found if decimal[i]])
+                    of_ids.append(hashlib.sha256(joined.encode()).hexdigest())
+                    text = b"".join([decoded[i] for i in found]).decode("utf-8", "replace")
+                    of_text.append(hashlib.sha256(text.encode()).hexdigest())
+                    if ids:
+                        arrays.append([token for i in found for token in chunks[i]])
+                out = {id_col: batch.column(id_col), "n_tokens": pa.array(per_text(sizes[codes], starts, np.add, 0), pa.int64()), "ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_text, pa.string())}
                 if ids:
-                    arrays.append([token for i in found for token in chunks[i]])
-            out = {id_col: batch.column(id_col), "n_tokens": pa.array(per_text(sizes[codes], starts, np.add, 0), pa.int64()), "ids_sha256": pa.array(of_ids, pa.string()), "decoded_sha256": pa.array(of_text, pa.string())}
-            if ids:
-                out["ids"] = pa.array(arrays, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_pydict(out)
+                    out["ids"] = pa.array(arrays, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_pydict(out)
 
     return docs.select(id_col, text_col).mapInArrow(run, ", ".join(columns + ["ids array<int>"] * ids))

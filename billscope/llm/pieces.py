@@ -7,7 +7,6 @@ one pair at a time from the left: see ``VocabularyCounts.plain``.
 
 from __future__ import annotations
 
-import gc
 import heapq
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -18,12 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.llm.common import per_text, pieces, texts_of
+from billscope.llm.common import per_text, pieces, texts_of, word_table
 
 MARK = "▁"  # what the vocabulary writes for a blank
 NONE = np.int64(1) << 40  # rank of a pair that is no piece
-# Counts of pre-tokens a Python worker keeps between batches; bounds memory, not the result.
-KNOWN_WORDS = 300_000
+# Counts of pre-tokens a task keeps between batches; bounds memory, not the result.
+KNOWN_WORDS = 150_000
 KNOWN_CHARS = 64
 LONG = 128  # symbols from which a pre-token that needs single merges is finished with a heap
 
@@ -238,16 +237,16 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "d
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = vocabulary(path)
-        gc.disable()  # no reference cycles arise here, and full passes over the word table cost time
-        for batch in pieces(batches, text_col):
-            texts = texts_of(batch, text_col)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    id_col: batch.column(id_col),
-                    "n_bytes": pc.binary_length(texts).cast(pa.int64()),
-                    "n_tokens": pa.array(model.texts(texts), pa.int64()),
-                }
-            )
+        with word_table(model.known.clear):
+            for batch in pieces(batches, text_col):
+                texts = texts_of(batch, text_col)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        id_col: batch.column(id_col),
+                        "n_bytes": pc.binary_length(texts).cast(pa.int64()),
+                        "n_tokens": pa.array(model.texts(texts), pa.int64()),
+                    }
+                )
 
     kind = dict(docs.dtypes)[id_col]
     counted = docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long")

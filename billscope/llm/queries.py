@@ -26,6 +26,7 @@ def prepared(spark: SparkSession) -> SparkSession:
         archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='billscope-')}/billscope", "zip", root, "billscope")
         context.addPyFile(archive)
         context._billscope_sent = True
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # long texts: a batch stays small on both sides
     if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
         if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
