@@ -24,7 +24,9 @@ from billscope.llm.common import pieces, written
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea title object".split())
+RAW = frozenset("script style iframe textarea title".split())  # hold no elements: read up to their end tag
+FOREIGN = frozenset(("svg", "math"))  # "/>" ends these and what is in them
+EMBEDDED = frozenset("noscript template object".split()) | FOREIGN
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -34,7 +36,7 @@ CLOSES_PARAGRAPH = frozenset(
 CLOSED_BY_LIKE = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "thead": "tr td th", "tbody": "tr td th thead tbody", "tfoot": "tr td th tbody"}
 SCOPE = frozenset("ul ol dl table article section div body html main nav aside form select".split())
 # What names a part that is no article.
-NOISE_TAGS = frozenset("head nav aside form footer button select dialog menu search canvas audio video".split()) | RAW
+NOISE_TAGS = frozenset("head nav aside form footer button select dialog menu search canvas audio video".split()) | RAW | EMBEDDED
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status".split())
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner banners sponsor sponsored sponsors promo promos promotion promoted "
@@ -67,6 +69,7 @@ class Node:
     parent: int
     noise: bool
     main: bool
+    own: bool = False  # named as noise itself, not by what holds it
     children: list[str] = field(default_factory=list)
     text: list[str] = field(default_factory=list)  # of the branch, for element statistics
 
@@ -122,11 +125,14 @@ def is_noise(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Elements of a page and its blocks of text, each with the number of the element that holds it.
 
-    Omitted end tags are filled in for paragraphs, list items and table cells; a stray ``<`` is text.
+    Omitted end tags are filled in for paragraphs, list items and table cells; a stray ``<`` is text. An embedded part
+    without an end tag of its own (``<object>``, ``<noscript>``, ``<svg>``, ...) is read as empty: what follows is the page's.
     """
     nodes = [Node("", 0, -1, False, False)]
     blocks: list[tuple[int, str]] = []
     stack, parts, holder, at = [0], [], 0, 0
+    unclosed: set[int] = set()
+    ends_at: dict[str, int] = {}  # where the last end tag of a kind starts
 
     def flush() -> None:
         nonlocal parts
@@ -136,11 +142,17 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 blocks.append((holder, text))
             parts = []
 
-    def close(index: int) -> None:
+    def close(index: int, own: bool = False) -> None:
         if any(nodes[i].tag not in INLINE for i in stack[index:]):
             flush()
+        unclosed.update(i for i in stack[index + own :] if nodes[i].tag in EMBEDDED)
         del stack[index:]
 
+    def comes_end(tag: str) -> bool:
+        if tag not in ends_at:
+            ends_at[tag] = max((m.start() for m in re.finditer(rf"</{tag}\b", page, re.I)), default=-1)
+        return ends_at[tag] >= at
+
     size = len(page)
     while at < size:
         token = TOKEN.search(page, at)
@@ -159,7 +171,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if ends:
             for index in range(len(stack) - 1, 0, -1):
                 if nodes[stack[index]].tag == tag:
-                    close(index)
+                    close(index, True)
                     break
             else:
                 if tag == "p":
@@ -191,20 +203,28 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         parent = nodes[stack[-1]]
         attributes = attributes_of(raw) if raw.strip(" /") else {}
         name = tag + "." + ".".join(sorted(re.sub(r"\d+", "0", attributes["class"]).split())) if attributes.get("class") else tag
-        node = Node(tag, path_of(parent.path, name), stack[-1], parent.noise or is_noise(tag, attributes, parent.main), parent.main or tag in MAIN_TAGS)
+        own = is_noise(tag, attributes, parent.main)
+        node = Node(tag, path_of(parent.path, name), stack[-1], parent.noise or own, parent.main or tag in MAIN_TAGS, own)
         parent.children.append(name)
         nodes.append(node)
         if tag in VOID:
             if tag not in INLINE:
                 flush()
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else size
+        empty = raw.rstrip().endswith("/")
+        if tag in RAW and not (empty and any(nodes[i].tag in FOREIGN for i in stack)):
+            if comes_end(tag):
+                at = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at).end()
+            elif tag in ("script", "style"):
+                at = size
             continue
-        if not raw.rstrip().endswith("/"):
+        if not empty:
             stack.append(len(nodes) - 1)
+    close(1)
     flush()
+    if unclosed:
+        for i, node in enumerate(nodes[1:], 1):
+            node.noise = nodes[node.parent].noise or node.own and i not in unclosed
     return nodes, blocks
 
 

@@ -41,6 +41,16 @@ def test_broken_markup():
     assert len(text_of("<p>" + "<a" * 50_000 + ">z")) > 0 and text_of("<div>" * 5000 + "deep") == "deep"
 
 
+def test_embedded_parts_end_where_they_end():
+    article = "<article><p>Text</p></article>"
+    for icon in ("<svg/>", "<svg viewBox='0 0 1 1' />", "<math/>", "<svg><path d='x'/><title/><text>no</text></svg>", "<noscript>no</noscript>", "<object data=x><p>no</p></object>", "<iframe src=x>", "<svg/><svg><text>no</text></svg>"):
+        assert text_of(f"<body>{icon}{article}") == "Text", icon
+        assert text_of(f"<body><div>{icon}<p>Text</p></div><svg><text>no</text></svg></body>") == "Text", icon
+    for part in ("object", "noscript", "template", "svg"):  # never closed, alone and before one that is
+        assert text_of(f"<body><div><{part}><p>Text</p></div><p>more</p></body>") == "Text\n\nmore"
+        assert text_of(f"<body><{part}><p>Text</p><{part}>no</{part}><p>more</p></body>") == "Text\n\nmore"
+
+
 def site(n, extra=""):
     pages = []
     for i in range(n):
