@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -56,7 +55,7 @@ SPLIT_NAME = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 SPACE = re.compile(r"\s+")
 
-LEAST_PAGES = 10  # pages of a host from which its tree counts as evidence
+DOUBT = 0.75  # what is seen on n distinct pages counts as seen on so many fewer: the correction for few pages
 LEAST_BRANCH = 0.1  # importance below which a branch goes
 LEAST_CONTENT = 0.05  # importance below which one content node goes
 CONTENT_SHARE = 0.9  # weight of content against presentation
@@ -231,10 +230,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 PRESENTATION, CONTENT, PRESENCE = 0, 1, 2
 
 
-def observations(page: str) -> set[tuple[int, int, int]]:
-    """What a page tells about its host's tree: (path, kind, value), each once."""
+def observations(page: str) -> tuple[bytes, set[tuple[int, int, int]]]:
+    """A digest of the page's text without named noise, by which equal pages are known, and what the page tells about its
+    host's tree: (path, kind, value), each once."""
     nodes, blocks = parse(page)
+    digest = xxhash.xxh3_128()
     for holder, text in blocks:
+        if not nodes[holder].noise:
+            digest.update(f"{nodes[holder].path}>{text}\n")
         at = holder
         while at > 0:
             nodes[at].text.append(text)
@@ -248,14 +251,14 @@ def observations(page: str) -> set[tuple[int, int, int]]:
         seen.add((node.path, PRESENCE, 0))
         if node.text:
             seen.add((node.path, CONTENT, signed("\n".join(node.text))))
-    return seen
+    return digest.digest(), seen
 
 
 def main_text(page: str, branches: frozenset[int] | set[int], contents: frozenset[int] | set[int]) -> str:
     """The page's blocks without named noise and without branches or content nodes of low importance.
 
-    Where a page marks an article or main part, only that part counts. A cut by importance that would take half of
-    what is left is not made: it is the article itself that repeats.
+    Where a page marks an article or main part, only that part counts. Each branch is cut or kept by its own importance,
+    whatever share of the page it has.
     """
     nodes, blocks = parse(page)
     kept = [(holder, text) for holder, text in blocks if not nodes[holder].noise]
@@ -265,9 +268,7 @@ def main_text(page: str, branches: frozenset[int] | set[int], contents: frozense
         low = [False] * len(nodes)
         for i, node in enumerate(nodes[1:], 1):
             low[i] = low[node.parent] or node.path in branches
-        rest = [(holder, text) for holder, text in kept if not (low[holder] or signed(text) in contents)]
-        if 2 * sum(len(text) for _, text in rest) >= sum(len(text) for _, text in kept):
-            kept = rest
+        kept = [(holder, text) for holder, text in kept if not (low[holder] or signed(text) in contents)]
     return "\n\n".join(text for _, text in kept)
 
 
@@ -275,42 +276,61 @@ def host_of(url: str):
     return F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][-+.A-Za-z0-9]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def site_trees(pages: DataFrame) -> DataFrame:
-    """Per ``host`` the low branches (paths) and low content nodes (text hashes) of its merged tree.
+OBSERVED = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("value", pa.int64())])
 
-    Importance of a path seen on m pages: content counts 1 minus the mean of log n / log m over its contents, each
-    seen on n pages, presentation the entropy of its child runs to base m. A path or content node can only be low if
-    it is on most of the host's pages, so their number per host is bounded by the length of a page. Counts are summed
-    in each task before they are shuffled, and no task gathers a host's pages.
-    """
+
+def observed(pages: DataFrame) -> DataFrame:
+    """``host``, ``page`` (digest of the text) and ``seen`` (its observations), one row for the equal pages of a piece."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html"):
-            counts: Counter = Counter()
+            found = {}
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                counts.update((host, *seen) for seen in observations(page))
-            host, path, kind, value = zip(*counts) if counts else ((), (), (), ())
-            yield pa.RecordBatch.from_pydict({"host": pa.array(host, pa.string()), "path": pa.array(path, pa.int64()), "kind": pa.array(kind, pa.int32()), "value": pa.array(value, pa.int64()), "n": pa.array(list(counts.values()), pa.int64())})
+                digest, seen = observations(page)
+                found[host, digest] = seen
+            offsets = np.cumsum([0, *(len(seen) for seen in found.values())])
+            path, kind, value = zip(*(row for seen in found.values() for row in seen)) if offsets[-1] else ((), (), ())
+            flat = pa.StructArray.from_arrays([pa.array(path, pa.int64()), pa.array(kind, pa.int32()), pa.array(value, pa.int64())], fields=list(OBSERVED))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "host": pa.array([host for host, _ in found], pa.string()),
+                    "page": pa.array([digest for _, digest in found], pa.binary()),
+                    "seen": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
+                }
+            )
+
+    return pages.where("host != '' and html is not null").select("host", "html").mapInArrow(run, "host string, page binary, seen array<struct<path: long, kind: int, value: long>>")
+
 
-    rows = pages.where("host != '' and html is not null").select("host", "html").mapInArrow(run, "host string, path long, kind int, value long, n long")
-    counted = written(rows.groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n")), "tree")
+def site_trees(pages: DataFrame) -> DataFrame:
+    """Per ``host`` the low branches (paths) and low content nodes (text hashes) of its merged tree.
+
+    Pages of a host with equal text are one page of its tree, so an article that is there in copies is not what repeats.
+    Importance of a path seen on m pages: content counts 1 minus the mean of log n / log m over its contents, each
+    seen on n pages, presentation the entropy of its child runs to base m. n is taken ``DOUBT`` smaller in the logarithm,
+    which matters for few pages only: something on all pages of a host is low from six distinct pages on. Counts are summed
+    in each task before they are shuffled, and no task gathers a host's pages.
+    """
+    distinct = observed(pages).groupBy("host", "page").agg(F.first("seen").alias("seen"))
+    counted = written(distinct.select("host", F.inline("seen")).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n")), "tree")
     n = F.col("n").cast("double")
+    log_n = F.log(F.greatest(n - DOUBT, F.lit(1.0)))
     is_kind = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value).otherwise(0.0))
     paths = counted.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == PRESENCE, F.col("n"))).alias("m"),
-        is_kind(PRESENTATION, n * F.log(n)).alias("presented"),
+        is_kind(PRESENTATION, n * log_n).alias("presented"),
         is_kind(CONTENT, n).alias("contents"),
-        is_kind(CONTENT, n * F.log(n)).alias("repeated"),
+        is_kind(CONTENT, n * log_n).alias("repeated"),
     )
     m = F.col("m").cast("double")
     presentation = 1 - F.col("presented") / (m * F.log(m))
     content = F.when(F.col("contents") > 0, 1 - F.col("repeated") / (F.col("contents") * F.log(m))).otherwise(0.0)
-    known = paths.where(F.col("m") >= LEAST_PAGES).withColumn("importance", (1 - CONTENT_SHARE) * presentation + CONTENT_SHARE * content)
+    known = paths.where(F.col("m") > 1).withColumn("importance", (1 - CONTENT_SHARE) * presentation + CONTENT_SHARE * content)
     low_paths = known.where(F.col("importance") < LEAST_BRANCH).select("host", F.col("path").alias("branch"), F.lit(None).cast("long").alias("content"))
     low_contents = (
-        counted.where((F.col("kind") == CONTENT) & (F.col("n") >= LEAST_PAGES // 2))
+        counted.where((F.col("kind") == CONTENT) & (F.col("n") > 1))
         .join(known.select("host", "path", "m"), ["host", "path"])
-        .where(1 - F.log(n) / F.log(F.col("m").cast("double")) < LEAST_CONTENT)
+        .where(1 - log_n / F.log(F.col("m").cast("double")) < LEAST_CONTENT)
         .select("host", F.lit(None).cast("long").alias("branch"), F.col("value").alias("content"))
     )
     return low_paths.unionAll(low_contents).groupBy("host").agg(F.collect_set("branch").alias("branches"), F.collect_set("content").alias("contents"))
@@ -319,9 +339,9 @@ def site_trees(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` (blocks joined by two line ends) and ``n_chars`` of every page.
 
-    A null or empty page has an empty text. A page whose url is null or names no host is cleaned without a tree, as is
-    one of a host with fewer than ``LEAST_PAGES`` pages. Repeated pages come out repeated (and count as pages of their
-    host), an empty table gives an empty result, other columns are ignored.
+    A null or empty page has an empty text. A page whose url is null or names no host is cleaned without a tree. Repeated
+    pages come out repeated (and count as one page of their host), an empty table gives an empty result, other columns
+    are ignored.
     """
     rows = pages.select("page_id", "url", F.col("html"), F.coalesce(host_of("url"), F.lit("")).alias("host"))
     trees = written(site_trees(rows), "trees")

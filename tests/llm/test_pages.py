@@ -78,6 +78,25 @@ def test_small_hosts_keep_all(spark):
     assert sitetree.extract(frame.where("false")).collect() == []
 
 
+def texts(spark, rows):
+    frame = prepared(spark).createDataFrame([(i, f"http://h.example/{i}", page) for i, page in enumerate(rows)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(sitetree.extract(frame).collect(), key=lambda r: r["page_id"])]
+
+
+def test_short_articles_under_a_long_template(spark):
+    template = "<div class=t>" + "template of the site " * 25 + "</div>"
+    pages = [f"<body>{template}<div class=x><p>{f'article {i} ' * 30}</p></div></body>" for i in range(12)]
+    want = [f"article {i} " * 29 + f"article {i}" for i in range(12)]
+    assert texts(spark, pages) == want
+    assert texts(spark, pages[:6]) == want[:6]  # few pages, all alike in the template
+
+
+def test_copies_of_a_page_are_one_page_of_the_tree(spark):
+    copies = ["<body><div class=story><div class='intro budget'><p>All of it</p></div><p>More of it</p></div></body>"] * 12
+    others = [f"<body><div class=story><p>Other text {i}</p><p>and {i * i}</p></div></body>" for i in range(3)]
+    assert texts(spark, copies + others)[:12] == ["All of it\n\nMore of it"] * 12
+
+
 def test_pages_of_the_data_set(spark):
     """Every page of the data set has one article; read it here by its tags alone."""
     got = {r["page_id"]: r["text"] for r in QUERIES["op3_html_extraction"](spark, SF).collect()}
