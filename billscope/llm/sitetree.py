@@ -3,7 +3,8 @@
 The DOMs of a host's pages are merged by path (tags with their classes). A path's presentation (the run of child tags)
 and content (the text below it) are spread over the host's pages; where they are the same on nearly all pages, their
 entropy is low and so is the branch's importance. Branches of low importance are cut from each page, together with
-the parts whose tag or class names them as no article: menus, notices, forms, comments.
+the parts whose tag, role or class names them as no article (menus, adverts, forms, comments) unless they wrap the page. Names
+that articles have as well (notice, related, search) only lessen a branch's importance, and count where it is mostly links.
 """
 
 from __future__ import annotations
@@ -34,16 +35,27 @@ CLOSES_PARAGRAPH = frozenset(
 )
 CLOSED_BY_LIKE = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "thead": "tr td th", "tbody": "tr td th thead tbody", "tfoot": "tr td th tbody"}
 SCOPE = frozenset("ul ol dl table article section div body html main nav aside form select".split())
-# What names a part that is no article.
-NOISE_TAGS = frozenset("head nav aside form footer button select dialog menu search canvas audio video".split()) | RAW | EMBEDDED
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status".split())
+# What is no text of the page, and what names a part that is likely no article.
+NO_TEXT = frozenset("head canvas audio video".split()) | RAW | EMBEDDED
+NOISE_TAGS = frozenset("nav aside form footer button select dialog menu search".split())
+NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar toolbar".split())
+SOFT_ROLES = frozenset("alert status".split())
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner banners sponsor sponsored sponsors promo promos promotion promoted "
-    "cookie cookies consent gdpr notice notices notification alert announcement disclaimer menu menus nav navbar navigation topnav subnav breadcrumb breadcrumbs "
-    "sidebar sidebars side aside widget widgets rail footer foot footnav header masthead topbar toolbar comment comments commentlist disqus reply replies "
-    "respond discussion share sharing shares social follow related recommended recommendations trending popular newsletter subscribe subscription signup "
-    "popup modal overlay login register search searchform pagination pager skip".split()
+    "cookie cookies consent gdpr menu menus nav navbar navigation topnav subnav breadcrumb breadcrumbs "
+    "sidebar sidebars side aside widget widgets footer foot footnav header masthead topbar toolbar comment comments commentlist disqus reply replies "
+    "newsletter subscribe subscription signup popup modal overlay login register searchform pagination pager".split()
 )
+SOFT_NAMES = frozenset(  # words of articles too: they count where the whole name is made of them
+    "notice notices notification alert announcement disclaimer rail respond discussion share sharing shares social follow related recommended "
+    "recommendations trending popular search skip".split()
+)
+PLAIN_NAMES = frozenset(
+    "area article articles bar block box button buttons container content form icon icons inner item items link links list main media outer "
+    "page panel post posts row section site stories story to top us wrap wrapper".split()
+)
+SOFT_OR_PLAIN = SOFT_NAMES | PLAIN_NAMES
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PART_NAMES = frozenset("ad ads advert comment comments reply replies promo related recommended sponsor sponsored teaser".split())
 LAYOUT_WORDS = frozenset("with has have no without is".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -59,6 +71,11 @@ DOUBT = 0.75  # what is seen on n distinct pages counts as seen on so many fewer
 LEAST_BRANCH = 0.1  # importance below which a branch goes
 LEAST_CONTENT = 0.05  # importance below which one content node goes
 CONTENT_SHARE = 0.9  # weight of content against presentation
+SOFT_PRIOR = 0.5  # factor on the importance of a branch that is softly named on all its pages
+MOST_LINKED = 0.5  # share of link text from which a softly named part goes
+FORM_SHARE = 0.5  # share of a page's text from which a form is what wraps the page
+WRAPPER_SHARE = 0.9  # the same for a part with a name of noise
+KEPT, SOFT, NAMED, FORM, NEVER = range(5)  # what tag, role, class and id say of a part
 
 
 @dataclass
@@ -66,9 +83,11 @@ class Node:
     tag: str
     path: int
     parent: int
-    noise: bool
     main: bool
-    own: bool = False  # named as noise itself, not by what holds it
+    named: int = 0  # what it is named itself, not what holds it
+    linked: int = 0  # characters of links of the branch
+    noise: bool = False
+    hidden: bool = False  # no text of the page, so no part of the tree
     children: list[str] = field(default_factory=list)
     text: list[str] = field(default_factory=list)  # of the branch, for element statistics
 
@@ -98,27 +117,63 @@ def attributes_of(raw: str) -> dict[str, str]:
     return out
 
 
-def is_noise(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
-    if tag in NOISE_TAGS or tag == "header" and not inside_main:
-        return True
+def named(tag: str, attributes: dict[str, str], inside_main: bool) -> int:
+    """What tag, role, class and id say of a part."""
+    if tag in NO_TEXT:
+        return NEVER
+    if attributes and ("hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()):
+        return NEVER
+    roles = attributes.get("role", "").lower().split() if attributes else ()
+    if tag == "form" or "form" in roles:
+        return FORM
+    if tag in NOISE_TAGS or tag == "header" and not inside_main or NOISE_ROLES.intersection(roles):
+        return NAMED
     if not attributes:
-        return False
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    if NOISE_ROLES.intersection(attributes.get("role", "").lower().split()):
-        return True
+        return KEPT
+    most = SOFT if SOFT_ROLES.intersection(roles) else KEPT
     if tag in ("html", "body"):
-        return False
-    for name in (attributes.get("class", "") + " " + attributes.get("id", "")).split():
+        return most
+    classes, ids = attributes.get("class", "").split(), attributes.get("id", "").split()
+    for name in classes + ids * (tag not in HEADINGS):
         words = [word for word in SPLIT_NAME.split(CAMEL.sub(r"\1-\2", name).lower()) if word]
         if not words or words[0] in LAYOUT_WORDS:
             continue
+        if tag in MAIN_TAGS and words[0] not in PART_NAMES:  # its names may speak of the layout around it
+            continue
         found = NOISE_NAMES.intersection(words)
-        if tag in MAIN_TAGS:  # its names may speak of the layout around it
-            found &= PART_NAMES & {words[0]}
+        if tag in MAIN_TAGS:
+            found &= {words[0]}
         if found and not (inside_main and found <= {"header", "side"}):
-            return True
-    return False
+            if name in classes or not (inside_main and (tag == "section" or "section" in classes)):
+                return NAMED
+            most = SOFT  # ids of an article's sections are made from their headings
+        elif SOFT_NAMES.intersection(words) and SOFT_OR_PLAIN.issuperset(words):
+            most = SOFT
+    return most
+
+
+def settle(nodes: list[Node], blocks: list[tuple[int, str]], unclosed: set[int]) -> None:
+    """Decide from names, links and shares of the text which elements are noise on their page."""
+    sizes = [0] * len(nodes)
+    for holder, text in blocks:
+        sizes[holder] += len(text)
+    for i, node in enumerate(nodes[1:], 1):
+        if i in unclosed:
+            node.named = KEPT
+        node.hidden = nodes[node.parent].hidden or node.named == NEVER
+        if node.hidden:
+            sizes[i] = node.linked = 0
+    for i in range(len(nodes) - 1, 0, -1):
+        sizes[nodes[i].parent] += sizes[i]
+        nodes[nodes[i].parent].linked += nodes[i].linked
+    for i, node in enumerate(nodes[1:], 1):
+        own = node.hidden
+        if node.named == SOFT:
+            own = node.linked > MOST_LINKED * sizes[i]
+        elif node.named in (NAMED, FORM):
+            wraps = sizes[i] > (FORM_SHARE if node.named == FORM else WRAPPER_SHARE) * sizes[0] and node.tag not in NOISE_TAGS - {"form"}
+            own = not (wraps and node.linked <= MOST_LINKED * sizes[i])
+        node.noise = nodes[node.parent].noise or own
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -127,10 +182,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     Omitted end tags are filled in for paragraphs, list items and table cells; a stray ``<`` is text. An embedded part
     without an end tag of its own (``<object>``, ``<noscript>``, ``<svg>``, ...) is read as empty: what follows is the page's.
     """
-    nodes = [Node("", 0, -1, False, False)]
+    nodes = [Node("", 0, -1, False)]
     blocks: list[tuple[int, str]] = []
     stack, parts, holder, at = [0], [], 0, 0
     unclosed: set[int] = set()
+    links = 0  # open at this place
     ends_at: dict[str, int] = {}  # where the last end tag of a kind starts
 
     def flush() -> None:
@@ -142,9 +198,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             parts = []
 
     def close(index: int, own: bool = False) -> None:
+        nonlocal links
         if any(nodes[i].tag not in INLINE for i in stack[index:]):
             flush()
         unclosed.update(i for i in stack[index + own :] if nodes[i].tag in EMBEDDED)
+        links -= sum(nodes[i].tag == "a" for i in stack[index:])
         del stack[index:]
 
     def comes_end(tag: str) -> bool:
@@ -163,6 +221,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if not parts:
                 holder = next(i for i in reversed(stack) if nodes[i].tag not in INLINE)
             parts.append(text)
+            if links:
+                nodes[holder].linked += len(text.strip())
         at = after
         if token is None or not (token[2] or token[5]):
             continue
@@ -202,8 +262,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         parent = nodes[stack[-1]]
         attributes = attributes_of(raw) if raw.strip(" /") else {}
         name = tag + "." + ".".join(sorted(re.sub(r"\d+", "0", attributes["class"]).split())) if attributes.get("class") else tag
-        own = is_noise(tag, attributes, parent.main)
-        node = Node(tag, path_of(parent.path, name), stack[-1], parent.noise or own, parent.main or tag in MAIN_TAGS, own)
+        node = Node(tag, path_of(parent.path, name), stack[-1], parent.main or tag in MAIN_TAGS, named(tag, attributes, parent.main))
         parent.children.append(name)
         nodes.append(node)
         if tag in VOID:
@@ -219,15 +278,14 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if not empty:
             stack.append(len(nodes) - 1)
+            links += tag == "a"
     close(1)
     flush()
-    if unclosed:
-        for i, node in enumerate(nodes[1:], 1):
-            node.noise = nodes[node.parent].noise or node.own and i not in unclosed
+    settle(nodes, blocks, unclosed)
     return nodes, blocks
 
 
-PRESENTATION, CONTENT, PRESENCE = 0, 1, 2
+PRESENTATION, CONTENT, PRESENCE, SOFTLY = range(4)
 
 
 def observations(page: str) -> tuple[bytes, set[tuple[int, int, int]]]:
@@ -244,11 +302,13 @@ def observations(page: str) -> tuple[bytes, set[tuple[int, int, int]]]:
             at = nodes[at].parent
     seen: set[tuple[int, int, int]] = set()
     for node in nodes[1:]:
-        if node.noise or node.tag in INLINE or node.tag in ("html", "body"):
+        if node.hidden or node.tag in INLINE or node.tag in ("html", "body"):
             continue
         runs = [tag for i, tag in enumerate(node.children) if tag not in INLINE and (not i or node.children[i - 1] != tag)]
         seen.add((node.path, PRESENTATION, signed(" ".join(runs))))
         seen.add((node.path, PRESENCE, 0))
+        if node.named == SOFT:
+            seen.add((node.path, SOFTLY, 0))
         if node.text:
             seen.add((node.path, CONTENT, signed("\n".join(node.text))))
     return digest.digest(), seen
@@ -308,7 +368,8 @@ def site_trees(pages: DataFrame) -> DataFrame:
     Pages of a host with equal text are one page of its tree, so an article that is there in copies is not what repeats.
     Importance of a path seen on m pages: content counts 1 minus the mean of log n / log m over its contents, each
     seen on n pages, presentation the entropy of its child runs to base m. n is taken ``DOUBT`` smaller in the logarithm,
-    which matters for few pages only: something on all pages of a host is low from six distinct pages on. Counts are summed
+    which matters for few pages only: something on all pages of a host is low from six distinct pages on. A soft name
+    (``SOFT_NAMES``) lessens the importance of its branch. Counts are summed
     in each task before they are shuffled, and no task gathers a host's pages.
     """
     distinct = observed(pages).groupBy("host", "page").agg(F.first("seen").alias("seen"))
@@ -318,6 +379,7 @@ def site_trees(pages: DataFrame) -> DataFrame:
     is_kind = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value).otherwise(0.0))
     paths = counted.groupBy("host", "path").agg(
         F.max(F.when(F.col("kind") == PRESENCE, F.col("n"))).alias("m"),
+        F.coalesce(F.max(F.when(F.col("kind") == SOFTLY, F.col("n"))), F.lit(0)).alias("soft"),
         is_kind(PRESENTATION, n * log_n).alias("presented"),
         is_kind(CONTENT, n).alias("contents"),
         is_kind(CONTENT, n * log_n).alias("repeated"),
@@ -325,7 +387,8 @@ def site_trees(pages: DataFrame) -> DataFrame:
     m = F.col("m").cast("double")
     presentation = 1 - F.col("presented") / (m * F.log(m))
     content = F.when(F.col("contents") > 0, 1 - F.col("repeated") / (F.col("contents") * F.log(m))).otherwise(0.0)
-    known = paths.where(F.col("m") > 1).withColumn("importance", (1 - CONTENT_SHARE) * presentation + CONTENT_SHARE * content)
+    prior = 1 - (1 - SOFT_PRIOR) * F.col("soft") / m
+    known = paths.where(F.col("m") > 1).withColumn("importance", prior * ((1 - CONTENT_SHARE) * presentation + CONTENT_SHARE * content))
     low_paths = known.where(F.col("importance") < LEAST_BRANCH).select("host", F.col("path").alias("branch"), F.lit(None).cast("long").alias("content"))
     low_contents = (
         counted.where((F.col("kind") == CONTENT) & (F.col("n") > 1))

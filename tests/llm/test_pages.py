@@ -51,6 +51,20 @@ def test_embedded_parts_end_where_they_end():
         assert text_of(f"<body><{part}><p>Text</p><{part}>no</{part}><p>more</p></body>") == "Text\n\nmore"
 
 
+def test_names_of_an_articles_sections_stay():
+    page = """<body><article><h1 id='notice'>Title</h1><section id='discussion'><p>one</p></section><h2 id='related-work'>Related</h2><p>two</p>
+      <h2 id='search-algorithms'>Search</h2><section id='comments'><p>three</p></section><div class='section' id='notice'><p>four</p></div>
+      <div class='follow-up'>five</div><div class='related-posts'><a href=x>other page</a></div></article></body>"""
+    assert text_of(page) == "Title\n\none\n\nRelated\n\ntwo\n\nSearch\n\nthree\n\nfour\n\nfive"
+
+
+def test_wrappers_of_the_page_stay():
+    page = "<body><form id='aspnetForm'><div class='menu'><a href=x>menu</a></div><p>The text of the page</p><form>find</form></form></body>"
+    assert text_of(page) == "The text of the page"
+    assert text_of("<body><div class='widget-page'><p>Text of the page</p></div></body>") == "Text of the page"
+    assert text_of("<body><form>find <a href=x>all of it</a></form><p>Text of the page</p></body>") == "Text of the page"
+
+
 def site(n, extra=""):
     pages = []
     for i in range(n):
@@ -91,6 +105,12 @@ def test_short_articles_under_a_long_template(spark):
     assert texts(spark, pages[:6]) == want[:6]  # few pages, all alike in the template
 
 
+def test_soft_names_and_the_tree(spark):
+    """A softly named branch goes by its importance on the host: what varies stays, what repeats on most pages goes."""
+    pages = [f"<body><p>page {i} is this</p><div class=notice>{'closed on Monday' if i < 17 else f'one {i}'}</div><div class=discussion>page {i} discussed</div></body>" for i in range(20)]
+    assert texts(spark, pages)[:17] == [f"page {i} is this\n\npage {i} discussed" for i in range(17)]
+
+
 def test_copies_of_a_page_are_one_page_of_the_tree(spark):
     copies = ["<body><div class=story><div class='intro budget'><p>All of it</p></div><p>More of it</p></div></body>"] * 12
     others = [f"<body><div class=story><p>Other text {i}</p><p>and {i * i}</p></div></body>" for i in range(3)]
