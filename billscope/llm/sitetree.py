@@ -285,12 +285,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, blocks
 
 
-PRESENTATION, CONTENT, PRESENCE, SOFTLY = range(4)
+PRESENTATION, CONTENT, PRESENCE, SOFTLY, BLOCK = range(5)
 
 
 def observations(page: str) -> tuple[bytes, set[tuple[int, int, int]]]:
     """A digest of the page's text without named noise, by which equal pages are known, and what the page tells about its
-    host's tree: (path, kind, value), each once."""
+    host's tree: (path, kind, value), each once. A BLOCK is a text the page may lose as a low content node."""
     nodes, blocks = parse(page)
     digest = xxhash.xxh3_128()
     for holder, text in blocks:
@@ -300,7 +300,7 @@ def observations(page: str) -> tuple[bytes, set[tuple[int, int, int]]]:
         while at > 0:
             nodes[at].text.append(text)
             at = nodes[at].parent
-    seen: set[tuple[int, int, int]] = set()
+    seen = {(0, BLOCK, signed(text)) for holder, text in blocks if not nodes[holder].noise}
     for node in nodes[1:]:
         if node.hidden or node.tag in INLINE or node.tag in ("html", "body"):
             continue
@@ -340,30 +340,29 @@ OBSERVED = pa.struct([("path", pa.int64()), ("kind", pa.int32()), ("value", pa.i
 
 
 def observed(pages: DataFrame) -> DataFrame:
-    """``host``, ``page`` (digest of the text) and ``seen`` (its observations), one row for the equal pages of a piece."""
+    """``host``, ``key`` (of the html), ``page`` (digest of the text) and ``seen`` (observations) of each page, written once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html"):
-            found = {}
-            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                digest, seen = observations(page)
-                found[host, digest] = seen
-            offsets = np.cumsum([0, *(len(seen) for seen in found.values())])
-            path, kind, value = zip(*(row for seen in found.values() for row in seen)) if offsets[-1] else ((), (), ())
+            found = [observations(page) for page in batch.column("html").to_pylist()]
+            offsets = np.cumsum([0, *(len(seen) for _, seen in found)])
+            path, kind, value = zip(*(row for _, seen in found for row in seen)) if offsets[-1] else ((), (), ())
             flat = pa.StructArray.from_arrays([pa.array(path, pa.int64()), pa.array(kind, pa.int32()), pa.array(value, pa.int64())], fields=list(OBSERVED))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "host": pa.array([host for host, _ in found], pa.string()),
-                    "page": pa.array([digest for _, digest in found], pa.binary()),
+                    "host": batch.column("host"),
+                    "key": batch.column("key"),
+                    "page": pa.array([digest for digest, _ in found], pa.binary()),
                     "seen": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
                 }
             )
 
-    return pages.where("host != '' and html is not null").select("host", "html").mapInArrow(run, "host string, page binary, seen array<struct<path: long, kind: int, value: long>>")
+    rows = pages.where("host != '' and html is not null").select("host", "key", "html")
+    return written(rows.mapInArrow(run, "host string, key binary, page binary, seen array<struct<path: long, kind: int, value: long>>"), "observed")
 
 
-def site_trees(pages: DataFrame) -> DataFrame:
-    """Per ``host`` the low branches (paths) and low content nodes (text hashes) of its merged tree.
+def site_trees(seen: DataFrame) -> DataFrame:
+    """``host, path, kind, value`` of the low branches (PRESENCE) and low content nodes (BLOCK) of each host's merged tree.
 
     Pages of a host with equal text are one page of its tree, so an article that is there in copies is not what repeats.
     Importance of a path seen on m pages: content counts 1 minus the mean of log n / log m over its contents, each
@@ -372,8 +371,8 @@ def site_trees(pages: DataFrame) -> DataFrame:
     (``SOFT_NAMES``) lessens the importance of its branch. Counts are summed
     in each task before they are shuffled, and no task gathers a host's pages.
     """
-    distinct = observed(pages).groupBy("host", "page").agg(F.first("seen").alias("seen"))
-    counted = written(distinct.select("host", F.inline("seen")).groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n")), "tree")
+    distinct = seen.groupBy("host", "page").agg(F.first("seen").alias("seen")).select("host", F.inline("seen")).where(F.col("kind") != BLOCK)
+    counted = written(distinct.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("n")), "tree")
     n = F.col("n").cast("double")
     log_n = F.log(F.greatest(n - DOUBT, F.lit(1.0)))
     is_kind = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value).otherwise(0.0))
@@ -389,14 +388,25 @@ def site_trees(pages: DataFrame) -> DataFrame:
     content = F.when(F.col("contents") > 0, 1 - F.col("repeated") / (F.col("contents") * F.log(m))).otherwise(0.0)
     prior = 1 - (1 - SOFT_PRIOR) * F.col("soft") / m
     known = paths.where(F.col("m") > 1).withColumn("importance", prior * ((1 - CONTENT_SHARE) * presentation + CONTENT_SHARE * content))
-    low_paths = known.where(F.col("importance") < LEAST_BRANCH).select("host", F.col("path").alias("branch"), F.lit(None).cast("long").alias("content"))
+    low_paths = known.where(F.col("importance") < LEAST_BRANCH).select("host", "path", F.lit(PRESENCE).alias("kind"), F.lit(0).cast("long").alias("value"))
     low_contents = (
         counted.where((F.col("kind") == CONTENT) & (F.col("n") > 1))
         .join(known.select("host", "path", "m"), ["host", "path"])
         .where(1 - log_n / F.log(F.col("m").cast("double")) < LEAST_CONTENT)
-        .select("host", F.lit(None).cast("long").alias("branch"), F.col("value").alias("content"))
+        .select("host", F.lit(0).cast("long").alias("path"), F.lit(BLOCK).alias("kind"), "value")
+        .distinct()
     )
-    return low_paths.unionAll(low_contents).groupBy("host").agg(F.collect_set("branch").alias("branches"), F.collect_set("content").alias("contents"))
+    return low_paths.unionAll(low_contents)
+
+
+def page_cuts(seen: DataFrame, low: DataFrame) -> DataFrame:
+    """``host, key, branches, contents``: what of its host's low branches and content nodes each page has, if any.
+
+    A host may have any number of low branches; a page only meets its own, so no row is longer than a page.
+    """
+    parts = seen.select("host", "key", F.inline("seen")).where(F.col("kind").isin(PRESENCE, BLOCK)).join(low, ["host", "path", "kind", "value"])
+    of_kind = lambda kind, column: F.collect_set(F.when(F.col("kind") == kind, F.col(column)))
+    return parts.groupBy("host", "key").agg(of_kind(PRESENCE, "path").alias("branches"), of_kind(BLOCK, "value").alias("contents"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -406,9 +416,10 @@ def extract(pages: DataFrame) -> DataFrame:
     pages come out repeated (and count as one page of their host), an empty table gives an empty result, other columns
     are ignored.
     """
-    rows = pages.select("page_id", "url", F.col("html"), F.coalesce(host_of("url"), F.lit("")).alias("host"))
-    trees = written(site_trees(rows), "trees")
-    joined = rows.join(trees, "host", "left")
+    rows = pages.select("page_id", "url", F.col("html"), F.coalesce(host_of("url"), F.lit("")).alias("host"), F.unhex(F.md5("html")).alias("key"))
+    seen = observed(rows)
+    cuts = written(page_cuts(seen, written(site_trees(seen), "low")), "cuts")
+    joined = rows.join(cuts, ["host", "key"], "left")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html"):

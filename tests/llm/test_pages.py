@@ -117,6 +117,18 @@ def test_copies_of_a_page_are_one_page_of_the_tree(spark):
     assert texts(spark, copies + others)[:12] == ["All of it\n\nMore of it"] * 12
 
 
+def test_a_page_meets_its_own_low_branches_only(spark):
+    """A host with many templates has many low branches; the cuts of a page do not grow with them."""
+    rows = [f"<body><div class='t-{chr(97 + t)}'>template {t}</div><p>page {t} {i}</p></body>" for t in range(20) for i in range(8)]
+    frame = prepared(spark).createDataFrame([(f"k{i}".encode(), "h", page) for i, page in enumerate(rows)], "key binary, host string, html string")
+    seen = sitetree.observed(frame)
+    low = sitetree.site_trees(seen)
+    assert low.where(f"kind = {sitetree.PRESENCE}").count() == 20
+    cuts = sitetree.page_cuts(seen, low).collect()
+    assert len(cuts) == len(rows) and all(len(r["branches"]) == 1 and len(r["contents"]) <= 1 for r in cuts)
+    assert texts(spark, rows) == [f"page {t} {i}" for t in range(20) for i in range(8)]
+
+
 def test_pages_of_the_data_set(spark):
     """Every page of the data set has one article; read it here by its tags alone."""
     got = {r["page_id"]: r["text"] for r in QUERIES["op3_html_extraction"](spark, SF).collect()}
