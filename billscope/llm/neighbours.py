@@ -42,6 +42,15 @@ class Lists:
         """The ``n`` lists with the nearest centres, nearest first."""
         return np.argsort(-(unit @ self.centres.T), axis=1, kind="stable")[:, :n]
 
+    def visited(self, unit: np.ndarray, sizes: np.ndarray, least: int) -> list[list[int]]:
+        """The lists each query visits: ``visits`` of them, and more until they hold ``least`` vectors."""
+        out = []
+        for part in np.array_split(unit, max(1, len(unit) // 256)):
+            order = self.order(part, len(self.centres))
+            short = (np.cumsum(sizes[order], axis=1) < least).sum(axis=1)
+            out += [row[: max(self.visits, n + 1)].tolist() for row, n in zip(order, short)]
+        return out
+
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
     rows = rows.astype(np.float64)
@@ -75,7 +84,7 @@ def fit_lists(sample: np.ndarray, total: int, k: int, settings: Settings) -> Lis
 
 
 def scan(queries: np.ndarray, vectors: np.ndarray, keep: int, rotation: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(query, vector) index pairs that may be among each query's ``keep`` nearest of these vectors."""
+    """(query, vector) index pairs that may be among each query's ``keep`` nearest of these vectors, ``keep`` at least."""
     q, x = (unit_rows(queries) @ rotation).astype(np.float32), (unit_rows(vectors) @ rotation).astype(np.float32)
     width = x.shape[1]
     if len(x) <= keep:
@@ -83,7 +92,10 @@ def scan(queries: np.ndarray, vectors: np.ndarray, keep: int, rotation: np.ndarr
     # distances to a first few vectors give each query a bound
     first = x[: max(keep, min(len(x), 8 * keep))]
     known = 2 - 2 * (q @ first.T)
-    bound = np.partition(known, keep - 1, axis=1)[:, keep - 1]
+    nearest = np.argpartition(known, keep - 1, axis=1)[:, :keep]
+    bound = np.take_along_axis(known, nearest, axis=1).max(axis=1)
+    sure = np.zeros((len(q), len(x)), dtype=bool)  # never abandoned, so that none is left with fewer
+    np.put_along_axis(sure, nearest, True, axis=1)
     step = min(settings.columns, width)
     partial = (q[:, :step] ** 2).sum(1)[:, None] + (x[:, :step] ** 2).sum(1)[None, :] - 2 * (q[:, :step] @ x[:, :step].T)
     seen = step
@@ -92,13 +104,13 @@ def scan(queries: np.ndarray, vectors: np.ndarray, keep: int, rotation: np.ndarr
         slack = (1 + settings.doubt / np.sqrt(seen)) ** 2 if seen < width else 1.0
         return bound * (seen / width) * slack + 1e-5
 
-    a, b = np.nonzero(partial <= limit(seen)[:, None])
+    a, b = np.nonzero((partial <= limit(seen)[:, None]) | sure)
     d = partial[a, b]
     while seen < width:
         end = min(width, seen + step)
         d = d + ((q[a, seen:end] - x[b, seen:end]) ** 2).sum(1)
         seen = end
-        kept = d <= limit(seen)[a]
+        kept = (d <= limit(seen)[a]) | sure[a, b]
         a, b, d = a[kept], b[kept], d[kept]
     order = np.lexsort((d, a))
     a, b, d = a[order], b[order], d[order]
@@ -125,7 +137,8 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, settings: Settings
     Nearness is the cosine in double precision on the original vectors, ties go to the smaller id; the query's own id
     is no candidate. Rows take no part if their id or vector is null, or the vector is zero, holds a null or
     non-finite component, or has not the most frequent length (ties: the shorter). Rows equal in id and vector count once.
-    Where fewer candidates exist all are returned; an empty table gives an empty result; other columns are ignored.
+    Fewer are returned only where fewer candidates exist, then all: a query goes on to further lists until those visited
+    hold ``k + 1`` vectors beside its own. An empty table gives an empty result; other columns are ignored.
 
     Equal vectors are one node of the index with its ``k + 1`` smallest ids, all that a result can show of them, so a
     vector that fills a third of the table costs no more than another. Lists and their queries are cut into steps of
@@ -157,29 +170,36 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, settings: Settings
             if not batch.num_rows:
                 continue
             unit = unit_rows(matrix_of(batch.column("embedding"))) @ index.rotation
-            visits = index.order(unit, index.visits)
-            asked = batch.column("asked").fill_null(False).to_numpy(zero_copy_only=False)
-            lists_of = [visit.tolist() if ask else [] for visit, ask in zip(visits, asked)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    **{name: batch.column(name) for name in ("h1", "h2", "least", "embedding")},
-                    "list": pa.array(visits[:, 0], pa.int32()),
-                    "visits": pa.array(lists_of, pa.list_(pa.int32())),
-                }
-            )
-
-    schema = f"h1 long, h2 long, least {kind}, embedding array<double>, list int, visits array<int>"
-    placed = written(nodes.mapInArrow(place, schema), "placed")
-    # how many steps each list is cut into: a table with one row per list
-    held = placed.groupBy("list").agg(F.count("*").alias("vectors"))
-    wanted = placed.select(F.explode("visits").alias("list")).groupBy("list").agg(F.count("*").alias("queries"))
+            yield pa.RecordBatch.from_pydict({**{name: batch.column(name) for name in node}, "list": pa.array(np.argmax(unit @ index.centres.T, axis=1), pa.int32())})
+
+    node = ["h1", "h2", "least", "embedding", "asked"]
+    schema = f"h1 long, h2 long, least {kind}, embedding array<double>"
+    placed = written(nodes.select(*node).mapInArrow(place, f"{schema}, asked boolean, list int"), "placed")
+    held = written(placed.groupBy("list").agg(F.count("*").alias("vectors")), "held")  # one row per list
+    sizes = np.zeros(len(lists.value.centres), dtype=np.int64)
+    for row in held.collect():
+        sizes[row["list"]] = row["vectors"]
+    filled = spark.sparkContext.broadcast(sizes)
+
+    def visit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = lists.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            unit = unit_rows(matrix_of(batch.column("embedding"))) @ index.rotation
+            visits = index.visited(unit, filled.value, k + 2)  # the query's own and k + 1 others
+            yield pa.RecordBatch.from_pydict({**{name: batch.column(name) for name in node[:4]}, "visits": pa.array(visits, pa.list_(pa.int32()))})
+
+    asking = written(placed.where("asked").select(*node[:4]).mapInArrow(visit, f"{schema}, visits array<int>"), "asking")
+    # how many steps each list is cut into
+    wanted = asking.select(F.explode("visits").alias("list")).groupBy("list").agg(F.count("*").alias("queries"))
     cuts = held.join(wanted, "list").select("list", F.ceil(F.col("vectors") / settings.vectors).cast("int").alias("nv"), F.ceil(F.col("queries") / settings.queries).cast("int").alias("nq"))
     cuts = written(cuts, "cuts")
     part = lambda n: F.pmod(F.col("h1"), F.col(n).cast("long")).cast("int")
     steps = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["list", "v", "q", "role", "h1", "h2", "least", "embedding"]
     candidates = placed.join(F.broadcast(cuts), "list").withColumn("v", part("nv")).withColumn("q", steps("nq")).withColumn("role", F.lit(0))
-    queries = placed.withColumn("list", F.explode("visits")).join(F.broadcast(cuts), "list").withColumn("q", part("nq")).withColumn("v", steps("nv")).withColumn("role", F.lit(1))
+    queries = asking.withColumn("list", F.explode("visits")).join(F.broadcast(cuts), "list").withColumn("q", part("nq")).withColumn("v", steps("nv")).withColumn("role", F.lit(1))
     grouped = candidates.select(*columns).unionByName(queries.select(*columns)).repartition("list", "v", "q").sortWithinPartitions("list", "v", "q", "role")
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

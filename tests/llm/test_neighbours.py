@@ -54,6 +54,24 @@ def test_clustered_vectors_in_small_steps(spark):
     assert hits >= 0.9 * 5 * len(want)
 
 
+def test_a_tiny_list_is_topped_up(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(neighbours, "fit_lists", lambda *_: neighbours.Lists(np.eye(8), np.eye(8)[:4], 1))
+    at = [0] * 200 + [1] * 200 + [2] * 3 + [3] * 2
+    rows = [(i + 48, (np.eye(8)[c] + 0.02 * rng.normal(size=8)).tolist()) for i, c in enumerate(at)]
+    frame = prepared(spark).createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = by_query(neighbours.nearest(frame).collect())
+    assert 450 in got and all(len(found) == 5 for found in got.values())
+    assert {j for j, _ in got[450][:2]} == {448, 449}
+
+
+def test_scan_leaves_no_query_short():
+    """Vectors whose distance lies in the first columns are not abandoned below the wanted number."""
+    x = np.concatenate([np.tile([1.0, 0, 0, 0], (6, 1)) + 0.01 * np.arange(6)[:, None], np.eye(4)[1:]])
+    a, _ = neighbours.scan(np.array([[0.0, 0, 0, 1.0]]), x[:8], 6, np.eye(4), neighbours.Settings(columns=1, doubt=0.0))
+    assert len(a) >= 6
+
+
 def test_odd_rows_and_copies(spark):
     same = [1.0, 2.0, 3.0]
     rows = [(i, same) for i in range(0, 120)] + [(200, [-1.0, 0.5, 2.0]), (200, [-1.0, 0.5, 2.0]), (250, [0.0, 0.0, 0.0]), (300, None), (350, [1.0, None, 2.0]), (400, [1.0, float("nan"), 2.0]), (450, [1.0, float("inf"), 0.0]), (500, [1.0, 2.0]), (None, [1.0, 1.0, 1.0]), (550, [2.0, 4.0, 6.0])]
