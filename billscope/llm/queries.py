@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import bpe, language, manifest, neighbours, pieces, quality, sharding, simhash, sitetree, tiling, toxicity
+from billscope.llm import bpe, language, manifest, neighbours, pieces, prefixtrie, quality, sharding, simhash, sitetree, tiling, toxicity
 from billscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_manifest")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.checked_documents(table(spark, sf_dir, "documents"), fan=8)
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_nodes(table(spark, sf_dir, "conversations"))
