@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from billscope.llm.common import written
 
 MARK, UNIT = 16, 24  # bytes of a prefix fingerprint, and of a unit: fingerprint and 8 bytes of length
-FIRST_BATCH, GROWTH = 4096, 8  # expected paths of the first batch, and the factor to the next
+FIRST_BATCH, GROWTH = 256, 8  # expected paths of the first batch, and the factor to the next
 CHUNK = 64 << 10  # characters of conversation ids that travel as one row
 ROOT = "cast('' as binary)"  # key of the root, as SQL
 NO_ENDS = hashlib.sha256(b"").hexdigest()
@@ -330,8 +330,10 @@ def prefix_nodes(rows: DataFrame) -> DataFrame:
         (F.col("below") + (F.col("convs") - 1) * (unit_bytes("edge", "(hi - lo)") - start)).cast("long").alias("saved_tokens"),
         F.when(last, F.coalesce("ends", F.lit(NO_ENDS))).otherwise(F.lit(NO_ENDS)).alias("ends_sha256"),
     )
-    root_key = top.where("conv is not null").withColumn("key", F.expr(ROOT))
-    root = root_key.join(ends, "key", "left").join(children, "key", "left").select(
+    # the root's row is put together from one row of each of its parts
+    parts = [top, ends.where(F.col("key") == F.expr(ROOT)).select("ends"), children.where(F.col("key") == F.expr(ROOT)).select("children")]
+    root = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    root = root.agg(*[F.max(c).alias(c) for c in root.columns]).where("conv is not null").select(
         F.col("conv").alias("conv_id"), F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), F.col("convs").alias("n_convs"),
         F.coalesce("children", F.lit(0)).cast("long").alias("n_children"), F.greatest("leaves", F.lit(1)).cast("long").alias("n_leaves"),
         F.col("below").cast("long").alias("saved_tokens"), F.coalesce("ends", F.lit(NO_ENDS)).alias("ends_sha256"),
