@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm import bpe, language, manifest, neighbours, pieces, prefixtrie, quality, sharding, simhash, sitetree, tiling, toxicity
+from billscope.llm import bpe, language, manifest, neighbours, pieces, prefixtrie, quality, sharding, simhash, sitetree, suffixes, tiling, toxicity
 from billscope.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_prefix_trie")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_suffix_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"), length=400).drop("spans")
