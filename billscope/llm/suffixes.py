@@ -216,7 +216,7 @@ def divided(parts: DataFrame, length: int) -> tuple[list[DataFrame], list[DataFr
         kinds = written(pair.groupBy("key", "kind").agg(F.count("*").alias("n"), F.min(F.struct("id", "x")).alias("one")), "kinds")
         alike = kinds.where("n > 1").select("key", "kind")
         ranges.append(pair.where("not sure").join(alike, ["key", "kind"]).select("id", F.expr("x - last").alias("low"), F.expr(f"x - first + {length}").alias("high")))
-        groups = kinds.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        groups = written(kinds.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
         ones = kinds.join(groups, "key").select("key", "kind", F.col("one.id").alias("id"), F.col("one.x").alias("x"), "size", (F.col("n") > 1).alias("_sure"))
         on = written(pair.join(ones, ["key", "kind", "id", "x"]).withColumn("sure", F.col("sure") | F.col("_sure")), "on")
         small.append(on.where(F.col("size") <= GROUP).select("key", "id", "x", "first", "last", "sure", "data"))
@@ -255,11 +255,12 @@ def repeated(texts: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """
     long = texts.where(F.octet_length("text") >= length)
     found = written(long.mapInArrow(found_segments(length), SEGMENT), "segments")
-    met = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # small sides of joins are written: a join of two plain tables can split the rows of a key met very often
+    met = written(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "met")
     alike = found.join(met, "anchor", "left_semi").groupBy("id", "anchor", "kind", "x", "low", "high").agg(F.count("*").alias("copies"))
     alike = written(alike, "alike")
     kinds = written(alike.groupBy("anchor", "kind").agg(F.sum("copies").alias("n"), F.min(F.struct("id", "x")).alias("one")), "kinds")
-    sizes = kinds.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = written(kinds.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     # one segment of every kind goes on where an anchor has several; all segments of a kind that is met twice are covered
     on = kinds.join(sizes, "anchor").select("anchor", "kind", F.col("one.id").alias("id"), F.col("one.x").alias("x"), (F.col("n") > 1).alias("sure"), (F.col("size") > GROUP).alias("big"))
     twice = alike.join(kinds.where("n > 1").select("anchor", "kind"), ["anchor", "kind"]).select("id", "low", F.expr(f"high + {length}").cast("int").alias("high"))
