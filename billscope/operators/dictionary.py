@@ -6,54 +6,77 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billscope.operators.joins import contains_pairs
+from billscope.session import cut, spread
 
 SIZES = (1, 2, 4, 8, 16, 32)
+# What stands between words.
+BREAKS = " #"
 
 
-def _mentions(text: Column, tag: Column) -> Column:
-    """``tag`` right after a #, right after a blank, or at the start; % and _ in tags stay wildcards."""
-    plain = F.instr(tag, "%") + F.instr(tag, "_") + F.instr(tag, "\\") == 0
+def _regex(tag: Column) -> Column:
+    """A tag with wildcards as one regular expression for all three places a mention may stand at."""
+    quoted = F.regexp_replace(tag, r"([.\[\]{}()*+?^$|&~-])", r"\\$1")
+    inner = F.regexp_replace(F.regexp_replace(quoted, "%+$", ""), "%+", ".*?")
+    return F.concat(F.lit("(?s)(?:^|[ #])"), F.replace(inner, F.lit("_"), F.lit(".")))
+
+
+def _mentions(text: Column, tag: Column, regex: Column) -> Column:
+    """``tag`` right after a #, right after a blank, or at the start of ``text``; % and _ in tags stay wildcards."""
     literal = F.contains(text, F.concat(F.lit("#"), tag)) | F.contains(text, F.concat(F.lit(" "), tag)) | F.startswith(text, tag)
     pattern = (
         F.like(text, F.concat(F.lit("%#"), tag, F.lit("%")))
         | F.like(text, F.concat(F.lit("% "), tag, F.lit("%")))
         | F.like(text, F.concat(tag, F.lit("%")))
     )
-    return F.when(plain, literal).otherwise(pattern)  # a pattern that differs by row is compiled for each
+    escaped, wild = F.instr(tag, "\\") > 0, F.instr(tag, "%") + F.instr(tag, "_") > 0
+    return F.when(escaped, pattern).when(wild, F.rlike(text, regex)).otherwise(literal)
 
 
 def _words_of_tags(words: DataFrame, tags: DataFrame) -> DataFrame:
-    """(``word``, ``tag``) for words that a text must hold to mention the tag.
+    """(``word``, ``tag``, ``decided``) for words that a text must hold to mention the tag; ``decided``: the word alone is enough.
 
-    A tag's first literal word stands at a word start; it is looked up by the longest of a few prefix lengths. Of a tag
-    that opens with a wildcard the first literal run lies somewhere inside a word.
+    A tag's first literal word stands at a word start, and is the whole word where a blank or # follows; it is looked up by
+    the longest of a few prefix lengths. Of a tag that opens with a wildcard the first literal run lies somewhere inside a word. A
+    tag without any literal word needs its blanks and #, which stand for words here, or nothing, which the empty word stands for.
     """
-    opening = F.regexp_extract("tag", r"^[ #]*([^ #%_\\]+)", 1)
-    inside = F.regexp_extract("tag", r"([^ #%_\\]+)", 1)
+    word = r"[^ #%_\\]+"
+    tags = tags.select(
+        "tag",
+        F.regexp_extract("tag", rf"^[ #]*({word})", 1).alias("_start"),
+        F.regexp_extract("tag", rf"({word})", 1).alias("needle"),
+        F.regexp_like("tag", F.lit(rf"^[ #]*{word}[ #]")).alias("_whole"),
+        F.regexp_like("tag", F.lit(rf"^%*{word}%*$")).alias("decided"),
+    )
     size = F.lit(SIZES[0])
     for n in SIZES[1:]:
         size = F.when(F.length("_start") >= n, n).otherwise(size)
-    anchored = tags.select("tag", opening.alias("_start")).where("_start != ''").withColumn("_gram", F.left(F.col("_start"), size))
+    anchored = tags.where("_start != ''").withColumn("_gram", F.left(F.col("_start"), size))
     starts = F.filter(F.array(*[F.when(F.length("word") >= n, F.left(F.col("word"), F.lit(n))) for n in SIZES]), lambda g: g.isNotNull())
     by_start = words.select("word", F.explode(starts).alias("_gram")).join(anchored, "_gram")
-    by_start = by_start.where(F.col("word").startswith(F.col("_start"))).select("word", "tag")
-    loose = tags.select("tag", opening.alias("_start"), inside.alias("needle")).where("_start = '' and needle != ''")
-    found = contains_pairs(loose.select("needle"), words.select(F.col("word").alias("haystack")))
-    return by_start.unionByName(found.join(loose, "needle").select(F.col("haystack").alias("word"), "tag"))
+    by_start = by_start.where(F.col("word").startswith(F.col("_start")) & (~F.col("_whole") | (F.col("word") == F.col("_start"))))
+    loose = tags.where("_start = '' and needle != ''").select("tag", "needle", "decided")
+    inside = contains_pairs(loose.select("needle"), words.select(F.col("word").alias("haystack"))).join(loose, "needle")
+    wordless = tags.where("needle = ''").withColumn("word", F.when(F.contains("tag", F.lit("#")), "#").when(F.contains("tag", F.lit(" ")), " ").otherwise(""))
+    columns = ("word", "tag", "decided")
+    return by_start.select(*columns).unionByName(inside.withColumnRenamed("haystack", "word").select(*columns)).unionByName(wordless.select(*columns))
 
 
 def tag_matches(texts: DataFrame, key: str, text: str, dictionary: DataFrame, tag: str) -> DataFrame:
     """(``key``, ``tag``) for every lower-cased dictionary tag the text mentions; ``key`` is unique.
 
-    The distinct words of all texts are matched to tags first, by equi joins of any size; what a text's words bring up is
-    checked on the text. Tags without a single literal word (blanks, # and wildcards only) are tried on every text.
+    The distinct words of all texts are matched to tags by equi joins of any size. A tag of one word is decided by the words
+    alone, so no text is looked at for it. The candidates among the others are collected per text and checked in one pass over
+    one copy of it. Words, tags and their pairs are written once.
     """
-    tags = dictionary.select(F.lower(tag).alias("tag")).where(F.col("tag").isNotNull()).distinct()
-    low = texts.select(key, F.lower(text).alias("_low")).where(F.col("_low").isNotNull())
-    held = low.select(key, F.explode(F.array_distinct(F.split("_low", "[ #]"))).alias("word")).where("word != ''")
-    matched = _words_of_tags(held.select("word").distinct(), tags)
-    candidates = held.join(matched, "word").select(key, "tag").distinct()
-    found = candidates.join(low, key).where(_mentions(F.col("_low"), F.col("tag"))).select(key, "tag")
-    wordless = tags.where(F.regexp_extract("tag", r"([^ #%_\\]+)", 1) == "").agg(F.collect_set("tag")).scalar()
-    anywhere = low.select(key, "_low", F.explode(wordless).alias("tag")).where(_mentions(F.col("_low"), F.col("tag")))
-    return found.unionByName(anywhere.select(key, "tag"))
+    tags = cut(dictionary.select(F.lower(tag).alias("tag")).where(F.col("tag").isNotNull()).distinct(), "tags")
+    low = spread(texts.select(key, text)).select(key, F.lower(text).alias("_low")).where(F.col("_low").isNotNull())
+    breaks = [F.when(F.contains("_low", F.lit(b)), b).otherwise("") for b in BREAKS]
+    words = F.array_distinct(F.concat(F.split("_low", "[ #]"), F.array(F.lit(""), *breaks)))
+    held = cut(low.select(key, F.explode(words).alias("word")), "words")
+    matched = cut(_words_of_tags(cut(held.select("word").distinct(), "distinct"), tags), "word_tags")
+    sure = held.join(matched.where("decided").select("word", "tag"), "word").select(key, "tag").distinct()
+    undecided = matched.where("not decided").select("word", "tag").join(tags.select("tag", _regex(F.col("tag")).alias("regex")), "tag")
+    asked = held.join(undecided, "word").groupBy(key).agg(F.collect_set(F.struct("tag", "regex")).alias("_tags"))
+    checked = low.join(asked, key).select(key, "_low", F.explode("_tags").alias("_tag"))
+    checked = checked.where(_mentions(F.col("_low"), F.col("_tag.tag"), F.col("_tag.regex"))).select(key, F.col("_tag.tag").alias("tag"))
+    return sure.unionByName(checked)

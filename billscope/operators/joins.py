@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from billscope.session import cut
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -73,41 +75,37 @@ def distinct_join(df: DataFrame, other: DataFrame, on: str, columns: Sequence[st
     return exists_in(df, other, on).select(*columns).distinct()
 
 
+GRAM_SIZES = (1, 2, 4, 8)
+
+
 def contains_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
     """Every (``needle``, ``haystack``) with the needle inside the haystack, as an equi join.
 
-    ``needles`` has one column ``needle``, ``haystacks`` one column ``haystack``. Each needle is looked up
-    by its first 1, 2, 4, 8, … characters (the longest such prefix it has); haystacks offer all their
-    substrings of those lengths under a 128-bit id. Whatever agrees there is checked with ``contains``. Empty needles are
-    inside every text and are not looked up; callers guard against them.
+    ``needles`` has one column ``needle``, ``haystacks`` one column ``haystack``. A needle's grams are its substrings of the
+    longest of a few lengths that fits. The texts' grams are reduced to those of needles and counted, and each needle is looked up by
+    the one that the fewest texts hold: a word that stands in most texts is never the key of a longer needle, and a needle
+    with a gram that no text holds is not looked up at all. What agrees there is checked with ``contains``. Empty needles are inside
+    every text and are not looked up; callers guard against them.
     """
-    sizes = [1, 2, 4, 8, 16, 32]
-
-    def anchor_size(length: Column) -> Column:
-        fits = F.lit(sizes[0])
-        for size in sizes[1:]:
-            fits = F.when(length >= size, size).otherwise(fits)
-        return fits
-
-    keyed = (
-        needles.where(F.length("needle") > 0)
-        .distinct()
-        .withColumn("_size", anchor_size(F.length("needle")))
-    )
-    used = keyed.agg(F.collect_set("_size")).scalar()  # at most six numbers; other lengths are not offered
-    keyed = keyed.select("needle", F.substring(F.col("needle"), F.lit(1), F.col("_size")).alias("_gram"))
-
-    def grams(text: Column, size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
-        return F.when(
-            F.array_contains(used, size) & (F.length(text) >= size), F.transform(starts, lambda at: F.substring(text, at, F.lit(size)))
-        ).otherwise(F.array().cast("array<string>"))
-
-    # only an id travels with the substrings; the text joins back for candidates
+    size = F.lit(GRAM_SIZES[0])
+    for n in GRAM_SIZES[1:]:
+        size = F.when(F.length("needle") >= n, n).otherwise(size)
+    at = F.explode(F.sequence(F.lit(1), F.length("needle") - F.col("_size") + 1)).alias("_at")
+    wanted = needles.where(F.length("needle") > 0).distinct().withColumn("_size", size).select("needle", "_size", at)
+    wanted = cut(wanted.select("needle", F.substring(F.col("needle"), F.col("_at"), F.col("_size")).alias("_gram")).distinct(), "grams")
+
+    # only an id travels with the grams; the text joins back for candidates
     texts = haystacks.where(F.col("haystack").isNotNull()).distinct().withColumns(
         {"_a": F.xxhash64("haystack"), "_b": F.xxhash64(F.reverse("haystack"), F.lit(1))}
     )
-    every_gram = F.array_distinct(F.concat(*[grams(F.col("haystack"), size) for size in sizes]))
-    offered = texts.select("_a", "_b", F.explode(every_gram).alias("_gram"))
-    candidates = offered.join(keyed, "_gram").select("_a", "_b", "needle").distinct()
+    lengths = F.array_intersect(F.array(*map(F.lit, GRAM_SIZES)), wanted.agg(F.collect_set(F.length("_gram"))).scalar())
+    places = texts.where("haystack != ''").select("_a", "_b", "haystack", F.explode(F.sequence(F.lit(1), F.length("haystack"))).alias("_at"))
+    offered = places.select("_a", "_b", "haystack", "_at", F.explode(lengths).alias("_size")).where(F.col("_at") + F.col("_size") - 1 <= F.length("haystack"))
+    offered = offered.select("_a", "_b", F.substring(F.col("haystack"), F.col("_at"), F.col("_size")).alias("_gram"))
+    held = cut(offered.join(wanted.select("_gram").distinct(), "_gram").distinct(), "held")
+    counts = held.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = wanted.join(counts, "_gram", "left").groupBy("needle").agg(
+        F.min(F.coalesce("_n", F.lit(0))).alias("_n"), F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram")
+    )
+    candidates = held.join(rarest.where("_n > 0").select("needle", "_gram"), "_gram").select("_a", "_b", "needle")
     return candidates.join(texts, ["_a", "_b"]).where(F.col("haystack").contains(F.col("needle"))).select("needle", "haystack")

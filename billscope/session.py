@@ -88,3 +88,13 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on as many partitions as the session has cores, where its files give fewer; else as it is.
+
+    For work that is heavy per row over a small input, whose few row groups would keep most cores idle. Large inputs have more
+    splits than cores and are not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
