@@ -28,26 +28,32 @@ def month_key(day: Column, months: int = 0) -> Column:
     return F.date_format(F.add_months(day, months), "yyyyMM")
 
 
+def month_step(start: Column, step: Column) -> Column:
+    """``start`` moved on by one month ``step`` times, each time from the value before: what a short month takes from
+    the day stays lost, so 31 January leads to 28 February and then to 28 March.
+
+    The day is the smallest month length passed on the way, at most the first day. Months of 31 days never bind; the first
+    February does, with 29 days in a leap year until the next one; else the first month of 30 days.
+    """
+    month = F.month(start)
+    to_february = F.when(month == 1, 1).otherwise(14 - month)
+    leap = F.dayofmonth(F.last_day(F.add_months(F.trunc(start, "month"), to_february))) == 29
+    to_thirty = F.when(month.isin(1, 12), 100).when(month == 7, 2).otherwise(1)  # from January and December February comes first
+    longest = (
+        F.when((step >= to_february) & leap & (step < to_february + 12), 29)
+        .when(step >= to_february, 28)
+        .when(step >= to_thirty, 30)
+        .otherwise(31)
+    )
+    return F.date_add(F.add_months(F.trunc(start, "month"), step), F.least(F.dayofmonth(start), longest) - 1)
+
+
 def month_steps(start: Column, end: Column) -> Column:
     """Array of ``start``, then month after month until the first value that is not before ``end``.
 
-    Each step is one month on from the *previous value*, so 31 January leads to 28 February and then
-    to 28 March. Only start days after the 28th can be shortened; the rest step without the fold.
+    Each step is one month on from the *previous value*; every value is computed by itself.
     """
     months = F.greatest((F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) + 1, F.lit(0))
-    wanted = F.filter(
-        F.sequence(F.lit(0), months), lambda i: (i == 0) | (F.add_months(start, i.cast("int") - 1) < end)
-    )
-    plain = F.transform(wanted, lambda i: F.add_months(start, i.cast("int")))
-    clamped = F.aggregate(
-        F.sequence(F.lit(1), months + 1),
-        F.array(start),
-        lambda done, _: F.when(
-            F.element_at(done, -1) < end, F.array_append(done, F.add_months(F.element_at(done, -1), 1))
-        ).otherwise(done),
-    )
-    return (
-        F.when(start.isNull() | end.isNull(), F.array(start))
-        .when(F.dayofmonth(start) <= 28, plain)
-        .otherwise(clamped)
-    )
+    steps = F.transform(F.sequence(F.lit(0), months), lambda i: month_step(start, i.cast("int")))
+    wanted = F.filter(steps, lambda _, i: (i == 0) | (month_step(start, (i - 1).cast("int")) < end))
+    return F.when(start.isNull() | end.isNull(), F.array(start)).otherwise(wanted)

@@ -1,8 +1,8 @@
 """Per-key order operators that hold up when one key owns a large share of the rows.
 
 "First", "last" and "latest" are aggregates (they combine on the map side) rather than windows. Only
-numbering and looking at the following row need a window; there, the rows lie in range partitions, and a small
-table of totals carries the count and the first row of the next part across the borders.
+numbering and looking at the following row need a window; there, the rows lie in range partitions, written as the buckets of
+a table, and a small table of totals carries the count and the first row of the next part across the borders.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billscope.session import cut
+from billscope.session import cut_buckets
 
 
 def order_struct(df: DataFrame, order: Sequence[tuple[str, str]]) -> Column:
@@ -82,14 +82,15 @@ def in_sequence(
 ) -> DataFrame:
     """Row number (a long) within ``keys`` and, for ``following`` = {source: new name}, fields of the next row.
 
-    ``order`` is a total order of the rows of a key. The rows are written in range partitions of (keys, order), so a
-    key of any size lies in as many tasks as its share asks for. Each part is numbered by itself; a key that goes on
-    over several parts gets the count and the first row of its other parts from a table of such keys, which has at
-    most two rows per part. Spark samples ``df`` to find the ranges: write an expensive one first.
+    ``order`` is a total order of the rows of a key. The rows are written once, in range partitions of (keys, order) that
+    are the buckets of a table, so a key of any size lies in as many tasks as its share asks for and the windows read the
+    buckets as they are: the rows are exchanged once. Each part is numbered by itself; a key that goes on over several parts gets
+    the count and the first row of its other parts from a table of such keys, which has at most two rows per part. Spark
+    samples ``df`` to find the ranges: write an expensive one first.
     """
     following = following or {}
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+    placed = cut_buckets(df.repartitionByRange(parts, *keys, *order), parts, "_part", "ranges")
     head = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *following])])
     names = [f"_h_{key}" for key in keys]
     totals = placed.groupBy(*[F.col(key).alias(name) for key, name in zip(keys, names)], F.col("_part").alias("_h_part")).agg(
@@ -111,7 +112,7 @@ def in_sequence(
     for key, name in zip(keys, names):
         match = match & placed[key].eqNullSafe(carried[name])
     joined = placed.join(F.broadcast(carried), match, "left")
-    window = Window.partitionBy("_part", *keys).orderBy(*order)
+    window = Window.partitionBy("_bucket", "_part", *keys).orderBy(*order)
     out = joined.withColumn(number, F.row_number().over(window).cast("long") + F.coalesce("_before", F.lit(0)))
     if following:
         crossing = F.when(F.col("_after").isNotNull(), F.struct(*[F.col(f"_after.{c}").alias(c) for c in following]))

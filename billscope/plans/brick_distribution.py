@@ -93,8 +93,8 @@ def brick_distribution(
     already counted.
     """
     sold = cut(sold_skus(on_days(receipts, "date", first_day, days), processed, week_skus))
-    registers = register_addresses(documents, first_day.isoformat())
-    entries = catalog_entries(catalog, bricks)
+    registers = cut(register_addresses(documents, first_day.isoformat()))
+    entries = cut(catalog_entries(catalog, bricks))
     profiles = cut(entry_profiles(registers, entries))
 
     groups = profiles.groupBy("brick", "profile").agg(F.count(F.lit(1)).alias("n"), F.any_value("keys").alias("keys"))

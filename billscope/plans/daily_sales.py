@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from billscope.functions.values import MONEY
 from billscope.operators.windows import keep_latest
+from billscope.session import cut
 from billscope.sources.readers import on_days
 
 
@@ -46,7 +47,7 @@ def category(name: Column, rules: Sequence[CategoryRule]) -> Column:
 def receipt_lines(receipts: DataFrame, rules: Sequence[CategoryRule]) -> DataFrame:
     """Lines of sold, categorised products, each receipt counted once.
 
-    Lines are exploded and classified first, so only the few that matter go on. A receipt's copies are told apart by the
+    Lines are exploded and classified first, and the few that matter are written once: receipts are read in one pass. A receipt's copies are told apart by the
     hash of their content, and the copy with the smallest hash counts; equal copies collapse. A receipt id with a NULL part
     is NULL, and all such receipts count as one.
     """
@@ -67,7 +68,10 @@ def receipt_lines(receipts: DataFrame, rules: Sequence[CategoryRule]) -> DataFra
         .withColumn("product_name", F.lower("product.name"))
         .withColumn("category", category(F.col("product_name"), rules))
         .where(F.col("category").isNotNull())
+        .withColumns({"quantity": F.col("product.quantity").cast(MONEY), "sum_rub": F.round(F.col("product.sum").cast(MONEY) / 100, 2).cast(MONEY)})
+        .drop("product")
     )
+    line = cut(line, "receipt_lines")
     kept = line.groupBy("receipt_id").agg(F.min("copy").alias("_copy")).withColumnRenamed("receipt_id", "_id")
     mine = line["receipt_id"].eqNullSafe(kept["_id"]) & (line["copy"] == kept["_copy"])
     return (
@@ -81,8 +85,8 @@ def receipt_lines(receipts: DataFrame, rules: Sequence[CategoryRule]) -> DataFra
             "client",
             "client_inn",
             "product_name",
-            F.col("product.quantity").cast(MONEY).alias("quantity"),
-            F.round(F.col("product.sum").cast(MONEY) / 100, 2).cast(MONEY).alias("sum_rub"),
+            "quantity",
+            "sum_rub",
             "category",
         )
         .distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billscope.functions.dates import week_of_year
-from billscope.functions.json import json_string
+from billscope.functions.json import with_texts
 from billscope.functions.values import NIL_GUID, differs_or_missing
 from billscope.operators.aggregates import string_agg
 from billscope.operators.changes import update_from
@@ -29,11 +29,12 @@ UNKNOWN_SEGMENT = "неизвестно"
 def service_groups(tracker: DataFrame) -> DataFrame:
     """Distinct (``inn``, ``product_group``) of clients seen in the service."""
     return (
-        tracker.where(F.col("portal_user_id") != NIL_GUID)
-        .select(
-            json_string(F.col("custom_variables"), "organizationInn").alias("inn"),
-            json_string(F.col("custom_variables"), "productGroup").alias("product_group"),
+        with_texts(
+            tracker.where(F.col("portal_user_id") != NIL_GUID).select("custom_variables"),
+            "custom_variables",
+            {"inn": "organizationInn", "product_group": "productGroup"},
         )
+        .select("inn", "product_group")
         .where((F.col("inn") != "") & (F.col("product_group") != ""))
         .distinct()
     )

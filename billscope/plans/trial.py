@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.functions.json import json_string
+from billscope.functions.json import with_texts
 from billscope.functions.text import UTM_PARTS, labelled_lines, next_list_number, stable_uuid, utm_payload
 from billscope.operators.aggregates import string_agg
 from billscope.operators.changes import delete_matching, only_new, outbox, update_from, update_where_exists
@@ -84,9 +84,9 @@ def sign_ups(events: DataFrame, params: ReportParams) -> DataFrame:
     topic, category, action = params.sign_up_event
     day = on_days(events, "client_date", params.yesterday)
     found = day.where((F.col("topic") == topic) & (F.col("category") == category) & (F.col("action") == action))
-    columns = {name: (json_string(F.col("variables"), key), "string") for name, key in SIGN_UP_KEYS.items()}
+    columns = {name: (F.col(name), "string") for name in SIGN_UP_KEYS}
     columns["event_date"] = (F.col("client_date"), "date")
-    landed = typed_landing(found, columns, required=["event_date"])
+    landed = typed_landing(with_texts(found.select("client_date", "variables"), "variables", SIGN_UP_KEYS), columns, required=["event_date"])
     values = [c for c in columns if c != "inn"]
     return landed.groupBy("inn").agg(*[F.max(c).alias(c) for c in values])
 
@@ -96,10 +96,8 @@ def campaigns(events: DataFrame, params: ReportParams) -> DataFrame:
     category, action = params.campaign_event
     day = on_days(events, "client_date", params.yesterday)
     found = day.where((F.col("category") == category) & (F.col("action") == action))
-    return found.select(
-        json_string(F.col("variables"), "userId").alias("user_id"),
-        *[json_string(F.col("variables"), UTM_KEYS[name]).alias(name) for name, _ in UTM_PARTS],
-    ).distinct()
+    keys = {"user_id": SIGN_UP_KEYS["user_id"], **{name: UTM_KEYS[name] for name, _ in UTM_PARTS}}
+    return with_texts(found.select("variables"), "variables", keys).select(*keys).distinct()
 
 
 def current_clients(inputs: dict[str, DataFrame], params: ReportParams) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings only; partition counts and memory belong to the cluster.
 SETTINGS = {
@@ -90,6 +94,30 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@cache
+def bucket_numbers(spark: SparkSession, buckets: int) -> np.ndarray:
+    """For each bucket of a table with that many the smallest number whose hash puts it there."""
+    tried = spark.range(0, int(buckets * (math.log(buckets) + 10))).select("id", F.pmod(F.hash("id"), F.lit(buckets)).alias("b"))
+    found = {row["b"]: row["id"] for row in tried.groupBy("b").agg(F.min("id").alias("id")).collect()}
+    return np.array([found.get(b, 0) for b in range(buckets)], dtype=np.int64)
+
+
+def cut_buckets(df: DataFrame, parts: int, part: str, name: str) -> DataFrame:
+    """The partitions of ``df``, ``parts`` at most, as the buckets of a table in the shared folder, with their number as ``part``.
+
+    Like ``cut``, but a window or join on ``_bucket`` and further columns reads the buckets without another exchange. The
+    catalog entry goes again at once; the files stay with the run like those of ``cut``.
+    """
+    spark = df.sparkSession
+    number = F.element_at(F.lit(bucket_numbers(spark, parts)), F.pmod(F.col(part), F.lit(parts)) + 1)
+    placed = df.withColumn(part, F.spark_partition_id()).withColumn("_bucket", number)
+    table = f"billscope_{name}_{uuid.uuid4().hex}"
+    placed.write.format("parquet").bucketBy(parts, "_bucket").option("path", scratch_path(spark, name)).saveAsTable(table)
+    read = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # of a table with its own path only the entry
+    return read
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` on as many partitions as the session has cores, where its files give fewer; else as it is.
 

@@ -1,10 +1,11 @@
+import calendar
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
 from billscope.functions.dates import month_key, month_steps, monday_week, week_key, week_of_year
-from billscope.functions.json import json_string, json_value
+from billscope.functions.json import json_string, json_value, with_texts
 from billscope.functions.text import (
     UTM_PARTS,
     chop_last,
@@ -102,6 +103,24 @@ def test_json_string(spark, text, want):
     assert one(spark, json_string(F.col("t"), "k"), t=text) == want
 
 
+def test_texts_of_one_parse(spark):
+    rows = ['{"k": "v", "it\'s": "q", "n": 5, "o": {"k": "deep"}, "e": ""}', 'broken "k": "w"', None, "[1]", '{"k": null}', '{"k": "é\\u0041"}']
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = with_texts(df, "t", {"a": "k", "b": "it's", "c": "n", "d": "o", "e": "e", "f": "none"})
+    assert [tuple(r)[1:] for r in got.collect()] == [
+        ("v", "q", "", "", "", ""), ("w", "", "", "", "", ""), ("",) * 6, ("",) * 6, ("",) * 6, ("éA", "", "", "", "", ""),
+    ]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_month_steps_of_every_month_end(spark):
+    days = [dt.date(y, m, d) for y in (1896, 1999, 2000, 2023, 2024) for m in range(1, 13) for d in (28, 29, 30, 31) if d <= calendar.monthrange(y, m)[1]]
+    df = spark.createDataFrame([(d, dt.date(d.year + 9, 3, 30)) for d in days], "a date, b date")
+    for r in df.select("a", "b", month_steps(F.col("a"), F.col("b")).alias("s")).collect():
+        assert r["s"] == recursion(r["a"], r["b"]), r["a"]
+
+
 def test_json_of_null_and_numbers(spark):
     df = spark.createDataFrame([(None, '{"k": 69}')], "n string, t string")
     assert tuple(df.select(json_string(F.col("n"), "k"), json_value(F.col("n"), "k"), json_value(F.col("t"), "k")).first()) == ("", "", "69")

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import billscope.operators.joins as Joins
 from billscope.operators.address import address_pairs
 from billscope.operators.dictionary import tag_matches
 from billscope.operators.joins import add_presence, contains_pairs, distinct_join, exists_from_date, exists_in, not_exists_in, not_in
@@ -71,6 +72,28 @@ def test_contains_pairs_equals_brute_force(spark):
     assert "CartesianProduct" not in plan(got) and "NestedLoop" not in plan(got)
 
 
+def test_a_frequent_gram_is_no_key(spark, monkeypatch):
+    """90 of 100 texts begin with one country; needles with it are looked up by what else they hold."""
+    hays = [f"{'wonderland' if i % 10 else 'elsewhere'}, street {i:03d}" for i in range(400)]
+    needles = [f"wonderland, street {i:03d}" for i in range(0, 400, 7)] + ["wonderland, avenue", "street 01"]
+    met = []
+    real = Joins.cut
+
+    def seen(df, name="step"):
+        out = real(df, name)
+        met.append((name, out))
+        return out
+
+    monkeypatch.setattr(Joins, "cut", seen)
+    frames_ = spark.createDataFrame([(n,) for n in needles], "needle string"), spark.createDataFrame([(h,) for h in hays], "haystack string")
+    found = {tuple(r) for r in contains_pairs(*frames_).collect()}
+    assert found == {(n, h) for n in needles for h in hays if n in h}
+    wanted, held = (dict(met)[name] for name in ("grams", "held"))
+    sizes = {r["_gram"]: r["n"] for r in held.groupBy("_gram").agg(F.count("*").alias("n")).collect()}
+    rarest = {n: min(sizes.get(r["_gram"], 0) for r in wanted.where(F.col("needle") == n).collect()) for n in needles[:5] + needles[-2:]}
+    assert sum(rarest.values()) <= 3 * sum(sum(n in h for h in hays) for n in rarest) and rarest["wonderland, avenue"] == 0
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

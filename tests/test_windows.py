@@ -13,6 +13,7 @@ from billscope.operators.windows import (
     row_identity,
     running_first,
 )
+from billscope.session import cut_buckets
 
 SCHEMA = "inn string, family string, id long, since date, tariff string"
 
@@ -75,6 +76,23 @@ def test_hot_groups_lie_in_many_tasks(spark, share):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
+def test_rows_are_exchanged_once(spark):
+    rows = spark.range(3000).select((F.col("id") % 40).alias("inn"), "id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    got = in_sequence(rows, ["inn"], ["id"], following={"v": "next"})
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the rows come from the buckets to the window without an exchange; those in the plan are of the parts' totals
+    over_rows = plan[plan.index("Window [row_number()") :]
+    buckets = over_rows[: over_rows.index("BroadcastQueryStage")]
+    assert "Bucketed: true" in plan and "ShuffleQueryStage" not in buckets and "Exchange" not in buckets
+
+
+def test_buckets_hold_one_part_each(spark):
+    placed = cut_buckets(spark.range(0, 7000).repartitionByRange(7, "id"), 7, "_part", "t")
+    held = placed.select("_part", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(held) == 7 and len({r["task"] for r in held}) == 7
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert in_sequence(empty, ["inn"], ["since", "id"], following={"id": "next_id"}).collect() == []
