@@ -51,9 +51,14 @@ def month_step(start: Column, step: Column) -> Column:
 def month_steps(start: Column, end: Column) -> Column:
     """Array of ``start``, then month after month until the first value that is not before ``end``.
 
-    Each step is one month on from the *previous value*; every value is computed by itself.
+    Each step is one month on from the *previous value*; every value is computed by itself. The value in the month of
+    ``end``, or the one after it, is the last.
     """
-    months = F.greatest((F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) + 1, F.lit(0))
-    steps = F.transform(F.sequence(F.lit(0), months), lambda i: month_step(start, i.cast("int")))
-    wanted = F.filter(steps, lambda _, i: (i == 0) | (month_step(start, (i - 1).cast("int")) < end))
-    return F.when(start.isNull() | end.isNull(), F.array(start)).otherwise(wanted)
+    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
+    last = F.when(start >= end, 0).when(month_step(start, months) >= end, months).otherwise(months + 1)
+    steps = F.sequence(F.lit(0), last)
+    return (
+        F.when(start.isNull() | end.isNull(), F.array(start))
+        .when(F.dayofmonth(start) <= 28, F.transform(steps, lambda i: F.add_months(start, i)))
+        .otherwise(F.transform(steps, lambda i: month_step(start, i)))
+    )

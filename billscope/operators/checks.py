@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billscope.operators.joins import not_exists_in
+from billscope.session import cut_counted
 
 
 def require_allowed(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -35,7 +36,16 @@ def row_count_flag(df: DataFrame) -> DataFrame:
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:
-    """Stop with a message when there is nothing to load."""
-    if df.isEmpty():
+    """Stop with a message when there is nothing to load; ``df`` is written on the way, so that its rows are computed once."""
+    rows, seen = cut_counted(df, "required")
+    if not seen["n"]:
         raise ValueError(message)
-    return df
+    return rows
+
+
+def landed_summary(df: DataFrame, column: str, dictionary: Sequence[str], name: str = "landed") -> tuple[DataFrame, dict[str, object]]:
+    """The written rows with what a load reports about them: their number (``n``), rows without a value in ``column``
+    (``n_missing``) and rows with one outside the list (``n_outside``). One pass, which is the write.
+    """
+    value = F.col(column)
+    return cut_counted(df, name, n_missing=F.count(F.when(value.isNull(), 1)), n_outside=F.count(F.when(~value.isin(*dictionary), 1)))

@@ -16,7 +16,7 @@ from billscope.operators.joins import exists_from_date, exists_in
 from billscope.operators.windows import first_per_key, row_identity
 from billscope.params import ReportParams
 from billscope.plans import Outputs
-from billscope.session import cut
+from billscope.session import cut, cut_counted
 from billscope.sources.readers import on_days, typed_landing
 
 # Keys of the event variables, {column: key}.
@@ -54,7 +54,7 @@ COMMENT_LABELS = (
 EXCLUDED_TARIFF = "Отчетность %"
 OPEN_CARD_STATES = (1, 3)
 CRM_ID, TASK_TYPE = 2, 8
-NO_COUNT, NO_CARDS, NO_LEADS = "нет", "не было карточек", "Новых созданных организаций по Триалу нет"
+NO_CARDS, NO_LEADS = "не было карточек", "Новых созданных организаций по Триалу нет"
 
 
 def updated_trials(inputs: dict[str, DataFrame]) -> DataFrame:
@@ -150,19 +150,24 @@ def trial(inputs: dict[str, DataFrame], params: ReportParams, stop_when_empty: b
     """``trial_orgs``, ``leads``, ``existing``, ``task``, ``comments``, ``card_links`` and the one-row ``summary``.
 
     Inputs: trial_orgs, load_log, prospect_sales, client_bills, events, subscriptions, clients,
-    org_registry, prospect_cards, tasks, offers. With ``stop_when_empty`` a day without new leads fails the job.
+    org_registry, prospect_cards, tasks, offers. With ``stop_when_empty`` a day without new leads fails the job. What the
+    summary counts is counted by the writes of the tables it is about.
     """
 
     @cache
+    def counted_trials() -> tuple[DataFrame, dict]:
+        loaded = F.count(F.when(F.col("load_to_crm_date") == F.lit(params.yesterday), 1))
+        return cut_counted(updated_trials(inputs), "trials", n_loaded=loaded)
+
     def trials() -> DataFrame:
-        return cut(updated_trials(inputs))
+        return counted_trials()[0]
 
     @cache
     def prepared() -> DataFrame:
         fresh = only_new(sign_ups(inputs["events"], params), trials(), "inn")
         fresh = delete_matching(fresh, current_clients(inputs, params), "inn")
-        rows = cut(leads(fresh, campaigns(inputs["events"], params), inputs["org_registry"]))
-        return require_rows(rows, NO_LEADS) if stop_when_empty else rows
+        rows = leads(fresh, campaigns(inputs["events"], params), inputs["org_registry"])
+        return require_rows(rows, NO_LEADS) if stop_when_empty else cut(rows)
 
     @cache
     def existing() -> DataFrame:
@@ -175,8 +180,9 @@ def trial(inputs: dict[str, DataFrame], params: ReportParams, stop_when_empty: b
         )
         return cut(prepared().join(best_card, "inn").select("comment", "create_pp_id", F.col("card_id").alias("pp_id")))
 
-    def without_card() -> DataFrame:
-        return delete_matching(prepared(), existing(), "create_pp_id")
+    @cache
+    def new_leads() -> tuple[DataFrame, dict]:
+        return cut_counted(delete_matching(prepared(), existing(), "create_pp_id"), "new_leads")
 
     @cache
     def handed_over() -> tuple[DataFrame, DataFrame]:
@@ -195,12 +201,12 @@ def trial(inputs: dict[str, DataFrame], params: ReportParams, stop_when_empty: b
 
     return Outputs(
         trial_orgs=trials,
-        leads=lambda: row_identity(without_card(), ["inn", "create_pp_id"], "row_id"),
+        leads=lambda: row_identity(new_leads()[0], ["inn", "create_pp_id"], "row_id"),
         existing=existing,
         task=lambda: handed_over()[0],
         comments=lambda: handed_over()[1],
         card_links=links,
-        summary=lambda: summary(trials(), links(), without_card(), params),
+        summary=lambda: summary(links(), counted_trials()[1]["n_loaded"], new_leads()[1]["n"]),
     )
 
 
@@ -215,15 +221,14 @@ def card_links(trials: DataFrame, sales: DataFrame, offers: DataFrame, params: R
     )
 
 
-def summary(trials: DataFrame, links: DataFrame, new_leads: DataFrame, params: ReportParams) -> DataFrame:
+def summary(links: DataFrame, n_loaded: int, n_leads: int) -> DataFrame:
     """One row for the message of the day: trials loaded yesterday, their card links as one text, number of new leads
     and a note if none. The text is as long as the day's links; ``card_links`` has them as rows.
     """
-    loaded = trials.where(F.col("load_to_crm_date") == F.lit(params.yesterday))
-    text = string_agg(links, [], "url", " <br> ", "links").select("links").scalar()
-    n_new = new_leads.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return loaded.agg(F.count(F.lit(1)).alias("n")).select(
-        F.coalesce(F.col("n").cast("string"), F.lit(NO_COUNT)).alias("created_yesterday"),
-        F.coalesce(text, F.lit(NO_CARDS)).alias("cards"),
-        n_new.alias("n_leads"),
-    ).withColumn("note", F.when(F.col("n_leads") == 0, NO_LEADS).otherwise(""))
+    text = string_agg(links, [], "url", " <br> ", "links")
+    return text.select(
+        F.lit(str(n_loaded)).alias("created_yesterday"),
+        F.coalesce("links", F.lit(NO_CARDS)).alias("cards"),
+        F.lit(n_leads).cast("long").alias("n_leads"),
+        F.lit("" if n_leads else NO_LEADS).alias("note"),
+    )

@@ -10,7 +10,7 @@ from contextvars import ContextVar
 from functools import cache
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Runtime settings only; partition counts and memory belong to the cluster.
@@ -94,6 +94,13 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_counted(df: DataFrame, name: str = "step", **counts: Column) -> tuple[DataFrame, dict[str, object]]:
+    """``cut``, and aggregates of its rows (``n``: their number) that the write computes as it goes, without a pass of its own."""
+    seen = Observation(name)
+    out = cut(df.observe(seen, F.count(F.lit(1)).alias("n"), *[value.alias(key) for key, value in counts.items()]), name)
+    return out, seen.get
+
+
 @cache
 def bucket_numbers(spark: SparkSession, buckets: int) -> np.ndarray:
     """For each bucket of a table with that many the smallest number whose hash puts it there."""

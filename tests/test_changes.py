@@ -3,7 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from billscope.functions.values import differs_or_missing
-from billscope.operators.aggregates import dynamic_pivot, pivot_by_name, quoted_list, string_agg
+from billscope.operators.aggregates import count_distinct, dense_ids, dynamic_pivot, pivot_by_name, quoted_list, string_agg
 from billscope.operators.changes import (
     delete_groups,
     delete_where,
@@ -13,7 +13,7 @@ from billscope.operators.changes import (
     update_from,
     update_where_exists,
 )
-from billscope.operators.checks import require_allowed, require_rows, unknown_values, unmapped_values
+from billscope.operators.checks import landed_summary, require_allowed, require_rows, unknown_values, unmapped_values
 
 
 def rows(df):
@@ -109,3 +109,27 @@ def test_unmapped_and_empty_input(spark):
     assert unmapped_values(known, "g", df).collect() == []
     with pytest.raises(ValueError, match="nothing"):
         require_rows(df.where("g = 'z'"), "nothing")
+
+
+def test_landed_summary_counts_in_one_pass(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,), ("a",), ("x",)], "v string")
+    rows, seen = landed_summary(df, "v", ["a", "b"])
+    assert seen == {"n": 5, "n_missing": 1, "n_outside": 1} and rows.count() == 5
+    with pytest.raises(ValueError, match="nothing"):
+        require_rows(df.where("v = 'q'"), "nothing")
+
+
+def test_distinct_counts_by_bitmaps(spark):
+    """One key holds most rows; numbers reach into several bitmaps and lie on their borders."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, F.lit(None)).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+        F.when(F.col("id") % 97 > 0, (F.col("id") * 7919) % 40_000).alias("number"),
+    )
+    edges = spark.createDataFrame([("edge", n) for n in (0, 32_767, 32_768, 32_769, 65_535, 65_536, 65_536)] + [("none", None)], "k string, number long")
+    df = rows.unionByName(edges)
+    want = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.countDistinct("number").alias("n")).collect()}
+    assert {r["k"]: r["n"] for r in count_distinct(df, ["k"], "number", "n").collect()} == want
+    texts = df.select("k", F.concat(F.lit("v"), F.col("number")).alias("v"))
+    ids = dense_ids(texts, "v", "number")
+    assert sorted(r["number"] for r in ids.collect()) == list(range(ids.count()))
+    assert {r["k"]: r["n"] for r in count_distinct(texts.join(ids, "v", "left"), ["k"], "number", "n").collect()} == want

@@ -4,9 +4,9 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from billscope.session import RunTables, cut, scratch_path, shared_dir
+from billscope.session import RunTables, cut, cut_counted, scratch_path, shared_dir
 from billscope.sources.readers import CONTROL_CSV, first_candidate, on_days, period_from_path, read_control_csv, typed_landing
-from billscope.sources.sinks import append_rows, csv_export, full_refresh
+from billscope.sources.sinks import append_rows, csv_export, expire_versions, full_refresh, replace_days
 
 
 def test_control_csv_round_trip(spark):
@@ -97,3 +97,44 @@ def test_shared_dir_follows_the_session(spark):
     if configured:
         assert shared_dir(spark) == configured.rstrip("/")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def day_rows(spark, *rows):
+    return spark.createDataFrame([(dt.date(2024, 1, d), n) for d, n in rows], "day date, n int")
+
+
+def test_a_rerun_replaces_its_days_only(spark):
+    path = scratch_path(spark, "by_day")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    replace_days(day_rows(spark, (1, 10), (2, 20), (2, 21), (3, 30)), path, "day", days)
+    replace_days(day_rows(spark, (4, 40)), path, "day")
+    for _ in range(2):  # the second run doubles nothing; the third day has no rows any more
+        replace_days(day_rows(spark, (2, 22)), path, "day", days[1:])
+    read = spark.read.schema("n int, day date").parquet(path)
+    assert sorted((r["day"].day, r["n"]) for r in read.collect()) == [(1, 10), (2, 22), (4, 40)]
+    one = on_days(read, "day", dt.date(2024, 1, 2))
+    assert "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(PySparkException, match="day outside the run"):
+        replace_days(day_rows(spark, (5, 50)), path, "day", days)
+
+
+def test_old_versions_expire(spark):
+    folder, table = scratch_path(spark, "versions"), "billscope_expiring"
+    for n in range(3):
+        full_refresh(day_rows(spark, (1, n)), table, folder)
+    assert expire_versions(table, folder, spark) == 2 and expire_versions(table, folder, spark) == 0
+    assert [r["n"] for r in spark.table(table).collect()] == [2]
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_partitioned_table_is_not_refreshed(spark):
+    spark.sql(f"CREATE TABLE billscope_parted (n int, day date) USING parquet PARTITIONED BY (day) LOCATION '{scratch_path(spark, 'parted')}'")
+    with pytest.raises(ValueError, match="partitioned"):
+        full_refresh(day_rows(spark, (1, 1)), "billscope_parted", scratch_path(spark, "x"))
+    spark.sql("DROP TABLE billscope_parted")
+
+
+def test_counts_come_from_the_write(spark):
+    rows, seen = cut_counted(spark.range(1000), "counted", big=F.count(F.when(F.col("id") > 900, 1)))
+    assert seen == {"n": 1000, "big": 99} and rows.count() == 1000
+    assert cut_counted(spark.range(0).where("id > 5"), "none")[1]["n"] == 0
