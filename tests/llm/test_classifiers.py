@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 
 from billscope.llm import language, quality, toxicity
-from billscope.llm.queries import QUERIES, prepared
+from billscope.llm.common import sigmoid
+from billscope.llm.queries import QUERIES, fitted_toxicity, prepared
 from billscope.llm.svm import fit_logistic, fit_svm
 
 SF = "/root/testdata/sf0.01"
@@ -30,30 +31,62 @@ def labelled(spark, name, column):
     return [(r, truth[r["doc_id"]]) for r in found if r["doc_id"] in truth and r["held_out"]]
 
 
-def test_kernel_is_the_gapped_subsequence_kernel():
-    def subsequences(word):
-        out = {}
-        for n in (3, 4):
-            for places in combinations(range(len(word)), n):
-                span = places[-1] - places[0] + 1
-                if span <= n + toxicity.GAPS:
-                    key = "".join(word[p] for p in places)
-                    out[key] = out.get(key, 0.0) + toxicity.DECAY**span
-        return out
-
-    words = ["idiot", "idxiot", "worthless", "abcabcabc", "zebra"]
-    rows = toxicity.weight_rows(words, toxicity.used_by(words))
-    norms = toxicity.Letters(pa.array(words, pa.large_string())).norms()
-    for i, a in enumerate(words):
-        for j, b in enumerate(words):
-            sa, sb = subsequences(a), subsequences(b)
-            want = sum(v * sb.get(k, 0) for k, v in sa.items()) / norms[i] / norms[j]
-            assert abs(float(rows[i] @ rows[j]) - want) < 1e-5
+def subsequences(window):
+    """Weights of a window's subsequences, kept apart by where in a word they begin."""
+    letters = [(c, min(k, 3)) for word in window.split() for k, c in enumerate(word)]
+    out = {}
+    for n, share in ((3, 0.4), (4, 1.0)):
+        for places in combinations(range(len(letters)), n):
+            span = places[-1] - places[0] + 1
+            if places[0] < toxicity.WINDOW and span <= n + toxicity.GAPS:
+                part = (0, 1, 1, 2)[letters[places[0]][1]]
+                key = (part, "".join(letters[p][0] for p in places))
+                out[key] = out.get(key, 0.0) + share * toxicity.DECAY**span
+    return out
+
+
+WINDOWS = ["idiot", "an idxiot goes there", "worthless", "abcabcabcabcabcabc", "i d i o t", "ze bra", ""]
 
 
-def test_letters_fold_and_drop():
-    letters = toxicity.Letters(pa.array(["I.d-I_o T", "", "éß", "123"], pa.large_string()))
-    assert letters.sizes.tolist() == [5, 0, 2, 0]
+def test_kernel_is_the_gapped_subsequence_kernel():
+    rows, _ = toxicity.rows_of(WINDOWS)
+    for i, a in enumerate(WINDOWS):
+        for j, b in enumerate(WINDOWS):
+            sa, sb = subsequences(a), subsequences(b)
+            want = sum(v * sb.get(k, 0) for k, v in sa.items()) / toxicity.SCALE**2
+            assert abs(float(rows[i] @ rows[j]) - want) < 1e-4
+
+
+def test_folded_margins_equal_the_features():
+    """A window's sum over the table is what its subsequence weights give, in a text of any other letters."""
+    rng = np.random.default_rng(3)
+    rows, used = toxicity.rows_of(WINDOWS)
+    table = np.zeros(3 * toxicity.TABLE, dtype=np.float32)
+    table[used] = rng.normal(size=len(used))
+    letters = toxicity.Letters(pa.array(WINDOWS, pa.large_string()))
+    folded = letters.windows(table)[letters.starts[:-1]]
+    assert np.allclose(folded, rows @ table[used] * toxicity.SCALE, atol=1e-3)
+
+
+def test_texts_of_a_batch_do_not_touch():
+    table = np.zeros(3 * toxicity.TABLE, dtype=np.float32)
+    table[toxicity.rows_of(["idiot"])[1]] = 1.0
+    model = toxicity.Model(table, -0.5, np.array([1.0, 0.0]), 0.0)
+    texts = ["the river", "", "idiot", "of", "", "old an idiot"]
+    together = toxicity.evidence(model, pa.array(texts, pa.large_string()))
+    alone = np.concatenate([toxicity.evidence(model, pa.array([t], pa.large_string())) for t in texts])
+    assert np.allclose(together, alone) and (together[[2, 5], 0] > 0).all() and (together[[0, 1, 3, 4], 0] == -0.5).all()
+
+
+def test_letters_fold_and_drop(monkeypatch):
+    texts = ["I.d-I_o T", "", "éß", "123", "1d10t 55", "ab c"]
+    letters = toxicity.Letters(pa.array(texts, pa.large_string()))
+    assert letters.sizes.tolist() == [5, 0, 2, 0, 5, 3]
+    spelled = [letters.spelled(a, n) for a, n in zip(letters.starts.tolist(), letters.sizes.tolist())]
+    assert spelled[0] == "i d i o t" and spelled[4] == "idiot" and spelled[5] == "ab c"
+    whole = letters.sums(np.arange(3 * toxicity.TABLE, dtype=np.float32))
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    assert np.array_equal(whole, letters.sums(np.arange(3 * toxicity.TABLE, dtype=np.float32)))
 
 
 def test_margin_machines():
@@ -67,12 +100,34 @@ def test_margin_machines():
     assert w[0] > w[1] > 0
 
 
+INSULTS = "idiot clown loser trash worthless moron scum pathetic stupid disgusting".split()
+
+
 def test_toxicity_on_the_held_out_fold(spark):
     rows = labelled(spark, "op1_toxicity", "toxic")
     assert np.mean([r["predicted"] == truth for r, truth in rows]) > 0.93
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r, _ in rows)
     clean = [r["predicted"] for r, truth in rows if truth == 0]
-    assert np.mean(clean) < 0.02
+    assert np.mean(clean) < 0.03
+    texts = {r["doc_id"]: r["text"].lower() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = [r["predicted"] for r, truth in rows if truth == 1 and any(w in texts[r["doc_id"]] for w in INSULTS)]
+    assert len(found) >= 14 and np.mean(found) > 0.95  # toxic documents without any of the words are label noise
+
+
+def test_insults_in_clean_sentences(spark):
+    """Learned at the smallest useful scale: single insults, disguised ones, and harmless neighbours."""
+    model = fitted_toxicity(prepared(spark), SF)
+    sentence = "The river runs along old stones. You are a {} of mine today. We walk home under quiet trees."
+
+    def found(words):
+        seen = toxicity.evidence(model, pa.array([sentence.format(w) for w in words], pa.large_string()))
+        return (sigmoid(seen @ model.scale + model.shift) >= 0.7).tolist()
+
+    five = INSULTS[:5]
+    assert all(found(five)) and all(found([w.upper() for w in five]))
+    assert not any(found("closer crown brown idiom patriot crash river".split()))
+    disguised = [f for w in five for f in (w[:2] + "x" + w[2:], " ".join(w), w[:2] + " " + w[2:], f"you{w}andfool", w.replace("o", "0"))]
+    assert np.mean(found(disguised)) >= 0.5
 
 
 def test_toxicity_tolerates_disguise(spark):
