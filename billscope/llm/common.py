@@ -67,13 +67,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, per_value: int
     return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", key).agg(F.min("text").alias("text"))
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each piece holds about ``PIECE_BYTES`` of ``column``."""
+def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each piece holds about ``size`` bytes (``PIECE_BYTES``) of ``column``."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        filled = np.cumsum(sizes) // PIECE_BYTES
+        filled = np.cumsum(sizes) // (size or PIECE_BYTES)
         cuts = [0, *(np.flatnonzero(np.diff(filled)) + 1), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             yield batch.slice(start, end - start)

@@ -43,6 +43,7 @@ FORMS = tuple(
 )
 TABLE = LETTERS**3 + LETTERS**4  # one table each for subsequences that begin at a word's start, just behind it, and further on
 CHUNK = 1 << 17
+PIECE = 1 << 19  # bytes of text whose streams a task holds at once
 # Digits and signs written for letters, where a letter stands beside them.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
@@ -198,7 +199,7 @@ def gram_counts(sample: DataFrame) -> DataFrame:
     base, offsets = LETTERS**3, (0, 1, 2, 3)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=PIECE):
             letters = Letters(texts_of(batch))
             index = np.zeros(letters.total, np.int64)
             for offset in offsets:
@@ -230,7 +231,7 @@ def picked(sample: DataFrame, table: np.ndarray, picks: int) -> list:
     shared = sample.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=PIECE):
             letters = Letters(texts_of(batch))
             margins = letters.windows(shared.value)
             out: dict[str, list] = {"toxic": [], "doc": [], "best": [], "text": []}
@@ -380,7 +381,7 @@ def machine(toxic: list[str], weight: np.ndarray, clean: list[str], near: list[s
     whiten = vectors[:, kept] / np.sqrt(values[kept])
     columns = rows[chosen].T
     words = toxic + clean
-    features = np.concatenate([rows_of(words[i : i + 500], used)[0] @ columns for i in range(0, len(words), 500)]) @ whiten
+    features = np.concatenate([rows_of(words[i : i + 200], used)[0] @ columns for i in range(0, len(words), 200)]) @ whiten
     target = np.where(np.arange(len(words)) < len(toxic), 1.0, -1.0)
     each = np.concatenate([weight / weight.mean(), np.full(len(clean), 3 * len(toxic) / len(clean))])
     w, bias = fit_svm(features, target, each, c=100.0)
@@ -423,7 +424,7 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: Sizes = Sizes()) -> Model | N
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, size=PIECE):
             seen = evidence(shared.value, texts_of(batch))
             yield pa.RecordBatch.from_pydict({"best": pa.array(seen[:, 0]), "above": pa.array(seen[:, 1]), "toxic": batch.column("toxic")})
 
@@ -460,7 +461,7 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.7, keep: tu
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in pieces(batches, text_col):
+        for batch in pieces(batches, text_col, PIECE):
             value = sigmoid(evidence(model, texts_of(batch, text_col)) @ model.scale + model.shift)
             yield carried(batch, columns, score=pa.array(value, pa.float64()))
 
