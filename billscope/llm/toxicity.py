@@ -122,15 +122,13 @@ class Letters:
         """(table index of each position in low..high, weight) for each form; a pad inside gives an entry without weight."""
         codes = self.codes
         part = TABLE * np.array([0, 1, 1, 2], dtype=np.int32)[self.since[low:high]]
+        # beginnings that several forms share are computed once; a closure over them would keep them alive in a cycle
         heads: dict[tuple[int, ...], np.ndarray] = {(0,): codes[low:high]}
-
-        def index_of(offsets: tuple[int, ...]) -> np.ndarray:
-            if offsets not in heads:
-                heads[offsets] = index_of(offsets[:-1]) * LETTERS + codes[low + offsets[-1] : high + offsets[-1]]
-            return heads[offsets]
-
         for base, offsets, weight in FORMS:
-            yield index_of(offsets) + (part + base), weight
+            for n in range(2, len(offsets) + 1):
+                if offsets[:n] not in heads:
+                    heads[offsets[:n]] = heads[offsets[: n - 1]] * LETTERS + codes[low + offsets[n - 1] : high + offsets[n - 1]]
+            yield heads[offsets] + (part + base), weight
 
     def sums(self, table: np.ndarray) -> np.ndarray:
         """For each position the weighted sum of the table's entries over the subsequences that begin there."""
