@@ -214,13 +214,16 @@ def gram_counts(sample: DataFrame) -> DataFrame:
 
 
 def surprising(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
-    """Rows far more frequent in toxic documents than chance gives, with ``surprise``, the log likelihood ratio."""
+    """Rows far more frequent in toxic documents than in clean ones, with ``surprise``, the log likelihood ratio.
+
+    Both conditions hold for samples of any balance: four times the share of documents, and more than chance gives.
+    """
     share = n_toxic / (n_toxic + n_clean)
     total = F.col("toxic") + F.col("clean")
     expected = total * share
     clean_part = F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / (total * (1 - share)))).otherwise(0.0)
     ratio = F.when(F.col("toxic") > 0, 2 * (F.col("toxic") * F.log(F.col("toxic") / expected) + clean_part)).otherwise(0.0)
-    return counts.withColumn("surprise", ratio).where((F.col("surprise") > 8) & (F.col("toxic") > 3 * expected))
+    return counts.withColumn("surprise", ratio).where((F.col("surprise") > 8) & (F.col("toxic") * n_clean > 4 * F.col("clean") * n_toxic))
 
 
 def picked(sample: DataFrame, table: np.ndarray, picks: int) -> list:

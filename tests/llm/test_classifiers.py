@@ -68,6 +68,13 @@ def test_folded_margins_equal_the_features():
     assert np.allclose(folded, rows @ table[used] * toxicity.SCALE, atol=1e-3)
 
 
+def test_telling_sequences_in_samples_of_any_balance(spark):
+    counts = spark.createDataFrame([("mark", 60, 2), ("common", 90, 80), ("rare", 1, 0)], "gram string, toxic long, clean long")
+    for n_clean in (100, 1000, 20_000):
+        assert [r["gram"] for r in toxicity.surprising(counts, 100, n_clean).collect()][:1] == ["mark"]
+    assert [r["gram"] for r in toxicity.surprising(counts, 100, 100).collect()] == ["mark"]
+
+
 def test_texts_of_a_batch_do_not_touch():
     table = np.zeros(3 * toxicity.TABLE, dtype=np.float32)
     table[toxicity.rows_of(["idiot"])[1]] = 1.0
