@@ -22,7 +22,7 @@ def docs(spark):
 
 def test_stages_and_registration():
     assert [name for name, _ in pipeline.STAGES] == NAMES
-    assert "pipeline" in entry.queries() and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op") and q[2].isdigit()}
+    assert "pipeline" in entry.queries() and {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op") and q[2].isdigit()}
 
 
 def ids(frame):
