@@ -1,8 +1,10 @@
 """Greedy string tiling against a direct formulation."""
 
 import random
+import time
+import tracemalloc
 
-import numpy as np
+import pyarrow as pa
 
 from billscope.llm import tiling
 from billscope.llm.queries import prepared
@@ -35,11 +37,18 @@ def test_tiles_equal_brute_force():
         doc = [rng.randrange(5) for _ in range(rng.randrange(0, 40))]
         cut = rng.randrange(len(item))
         doc += item[cut:] + [9] + item[:cut]
-        block = tiling.Items([("k", [str(x) for x in item])], least)
-        ids = np.array([block.vocabulary.get(str(x), -1) for x in doc])
-        got = list(block.matches(ids, 0.0))
+        got = tiling.Text(pa.array([str(x) for x in doc], pa.large_string())).tiled([str(x) for x in item], least, 0.0)
         share = brute_tiles(item, doc, min(least, len(item))) / len(item)
-        assert (got[0][1] if got else 0) == share
+        assert (got[0] if got else 0) == share
+
+
+def test_repeated_words_cost_their_number():
+    text = tiling.Text(pa.array(["same"] * 20_000, pa.large_string()))
+    tracemalloc.start()
+    began = time.time()
+    assert text.tiled(["same"] * 2_000, 5, 0.8) == (1.0, 1)
+    assert time.time() - began < 5 and tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
 
 
 ITEM = "One two three, four five six seven. Eight nine ten eleven twelve thirteen fourteen!"
@@ -73,15 +82,55 @@ def test_contaminated_documents(spark):
     assert {r["tiles"] for r in got if r["doc_id"] == 2} == {2}
 
 
-def test_blocks_give_the_same(spark, monkeypatch):
+def brute_found(docs, items, least=5, threshold=0.8):
+    out = []
+    for i, text in docs:
+        for k, item in items:
+            words, least_here = item.split(), min(least, len(item.split()))
+            share = brute_tiles(words, text.split(), least_here) / len(words)
+            if share >= threshold:
+                out.append((i, k, share))
+    return sorted(out)
+
+
+def test_lookup_by_rare_windows_loses_nothing(spark, monkeypatch):
+    """Many items share a phrase, words are few, texts hold pieces of items in any order; texts of many items are divided."""
     spark = prepared(spark)
     rng = random.Random(4)
-    texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(20)) for _ in range(30)]
-    docs = spark.createDataFrame([(i, f"{rng.choice(texts)} and {rng.choice(texts)}") for i in range(60)], "doc_id long, text string")
-    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
-    whole = sorted(map(tuple, tiling.contaminated(docs, items).collect()))
-    monkeypatch.setattr(tiling, "BLOCK_WORDS", 45)
-    assert sorted(map(tuple, tiling.contaminated(docs, items).collect())) == whole and whole
+    phrase = "read this one again and"
+    items = [(k, " ".join([phrase] * (k % 3 == 0) + [f"w{rng.randrange(4)}" for _ in range(rng.choice([1, 3, 5, 8, 14]))])) for k in range(30)]
+    docs = []
+    for i in range(50):
+        parts = [part for _ in range(2) for part in cut_up(rng, rng.choice(items)[1])]
+        rng.shuffle(parts)
+        docs.append((i, " ".join([*parts, phrase] if i % 2 else parts)))
+    docs += [(100 + i, docs[i][1]) for i in range(5)]
+    expected = brute_found(docs, items)
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for at_once in (4096, 2):
+        monkeypatch.setattr(tiling, "ITEMS_PER_TEXT", at_once)
+        got = sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in tiling.contaminated(*tables).collect())
+        assert got == expected and len(got) > 50
+    left = sorted(r["doc_id"] for r in tiling.free_of(*tables).collect())
+    assert left == sorted({i for i, _ in docs} - {i for i, *_ in expected})
+
+
+def cut_up(rng, text):
+    words = text.split()
+    at = rng.randrange(len(words))
+    return [" ".join(words[:at]), " ".join(words[at:])]
+
+
+def test_ids_of_any_type_and_clashing_columns(spark):
+    spark = prepared(spark)
+    docs = spark.createDataFrame([("a", ITEM, "x", 1), (None, REORDERED, "y", 2)], "doc_id string, text string, item_id string, coverage int")
+    for kind, ids in (("int", [1, None]), ("string", ["p", None]), ("decimal(10,0)", [None, None])):
+        items = spark.createDataFrame([(ITEM, ids[0], 5), (ITEM.upper(), ids[1], 6)], f"text string, item_id {kind}, tiles int")
+        got = tiling.contaminated(docs, items)
+        assert dict(got.dtypes)["item_id"] == kind and got.columns == ["doc_id", "item_id", "coverage", "tiles"]
+        assert sorted(((r["doc_id"], r["item_id"]) for r in got.collect()), key=str) == sorted([(d, i) for d in ("a", None) for i in ids], key=str)
+    assert tiling.free_of(docs.union(docs.selectExpr("doc_id", "null", "item_id", "coverage")), items).columns == docs.columns
+    assert tiling.free_of(docs.union(docs.selectExpr("doc_id", "null", "item_id", "coverage")), items).count() == 2
 
 
 def test_empty_tables(spark):
