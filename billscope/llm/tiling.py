@@ -11,7 +11,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -139,11 +138,13 @@ class Text:
         return (share, len(found)) if found and share >= threshold else None
 
 
-def words_of(text: str) -> pa.Array:
-    """The words of one text, bare; what was punctuation only is no word."""
-    distinct, codes, _ = split_words(pa.array([text], pa.large_string()))
-    words = bare(distinct).take(pa.array(codes))
-    return words.filter(pc.greater(pc.binary_length(words), 0))
+def word_lists(batch: pa.RecordBatch) -> list[pa.Array]:
+    """The words of each of a batch's texts, bare; what was punctuation only is no word."""
+    distinct, codes, starts = split_words(texts_of(batch))
+    plain = bare(distinct)
+    real = pc.greater(pc.binary_length(plain), 0).to_numpy(zero_copy_only=False)[codes] if len(codes) else np.zeros(0, dtype=bool)
+    starts, codes = np.concatenate([[0], np.cumsum(real)])[starts].tolist(), codes[real]
+    return [plain.take(pa.array(codes[lo:hi])) for lo, hi in zip(starts, starts[1:])]
 
 
 def symbols_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -256,14 +257,13 @@ def tiled_pairs(least: int, threshold: float) -> Callable[[Iterable[pa.RecordBat
     """Rows ``(__text_digest, _item, coverage, tiles)`` from rows sorted so that a text is followed by its candidate items."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_words = lru_cache(maxsize=64)(lambda text: words_of(text).to_pylist())
         held = None
-        for batch in batches:
+        for batch in pieces(batches):
             found = []
-            for digest, item, text in zip(batch.column(DIGEST), batch.column("_item"), batch.column("text")):
+            for digest, item, words in zip(batch.column(DIGEST), batch.column("_item"), word_lists(batch)):
                 if not item.is_valid:
-                    held = Text(words_of(text.as_py()))
-                elif (match := held.tiled(item_words(text.as_py()), least, threshold)) is not None:
+                    held = Text(words)
+                elif (match := held.tiled(words.to_pylist(), least, threshold)) is not None:
                     found.append((digest.as_py(), item.as_py(), *match))
             yield pa.RecordBatch.from_pydict(
                 {

@@ -56,6 +56,25 @@ def test_odd_documents_pass_through(spark):
         assert stage(spark, odd.where("false"), SF).count() == 0
 
 
+def test_rows_of_one_id_are_told_apart_by_their_texts(spark):
+    near = " ".join(f"word{i}" for i in range(400))
+    rows = [
+        (5, "alpha beta gamma delta epsilon zeta", "en", "s", 1),
+        (5, near, "en", "t", 2),
+        (5, near, "en", "s", 2),
+        (7, near, "en", "s", 2),
+        (None, near, "en", "s", 2),
+        (None, "eins zwei drei vier fuenf sechs sieben", "de", "s", 3),
+        (None, "eins zwei drei vier fuenf sechs sieben", "de", "r", 3),
+        (None, "", "de", "s", 0),
+        (9, None, None, None, None),
+        (9, "", None, None, None),
+    ]
+    odd = prepared(spark).createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.one_of_each_group(spark, odd, SF).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[2], rows[6], rows[8]], key=str)
+
+
 def test_run_gives_the_tokens_of_what_is_left(spark, docs):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
