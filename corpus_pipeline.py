@@ -30,19 +30,27 @@ def of_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest id; of rows with one id one stays, rows
-    without an id all stay.
+    """Of each component of near-duplicates the row with the smallest id; of rows with that id the one whose text has the
+    smallest digest; of rows equal in both the one with the smallest other columns. So texts that are no duplicates stay,
+    also under one id. Rows without an id come after those with one: a component of such rows only keeps one of them.
 
-    The documents that go are taken out by an anti join, so a short list of them is broadcast by the engine.
+    The rows that go are taken out by an anti join on 16 bytes, so a short list of them is broadcast by the engine.
     """
     prepared(spark)
-    rows = docs.select(*COLUMNS)
-    groups = simhash.near_duplicates(docs, words=4, limit=4)
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    kept = rows.join(written(gone, "gone"), "doc_id", "left_anti")
-    repeated = written(rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id"), "repeated")
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*COLUMNS)
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.unhex(digest).alias("digest"))
+    rows = docs.select(*COLUMNS, place.alias("_row"))
+
+    def key(row: str):
+        return F.unhex(F.md5(F.concat(F.coalesce(F.col(f"{row}.id").cast("string"), F.lit("-")).cast("binary"), F.col(f"{row}.digest")))).alias("_key")
+
+    groups = simhash.near_duplicates(rows, words=4, limit=4, id_col="_row")
+    gone = written(groups.where(~F.col("_row").eqNullSafe(F.col("component_id"))).select(key("_row")).distinct(), "gone")
+    keyed = rows.withColumn("_key", key("_row")).drop("_row")
+    repeated = written(keyed.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"), "repeated")
+    kept = keyed.join(gone, "_key", "left_anti")
+    once = kept.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return kept.join(repeated, "_key", "left_anti").select(*COLUMNS).unionByName(once)
 
 
 def free_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
