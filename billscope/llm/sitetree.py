@@ -4,13 +4,14 @@ The DOMs of a host's pages are merged by path (tags with their classes). A path'
 and content (the text below it) are spread over the host's pages; where they are the same on nearly all pages, their
 entropy is low and so is the branch's importance. Branches of low importance are cut from each page, together with
 the parts whose tag, role or class names them as no article (menus, adverts, forms, comments) unless they wrap the page. Names
-that articles have as well (notice, related, search) only lessen a branch's importance, and count where it is mostly links.
+that articles have as well (notice, related, a menu's review) only lessen a branch's importance, and count where it is mostly links.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -40,21 +41,27 @@ NO_TEXT = frozenset("head canvas audio video".split()) | RAW | EMBEDDED
 NOISE_TAGS = frozenset("nav aside form footer button select dialog menu search".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar toolbar".split())
 SOFT_ROLES = frozenset("alert status".split())
-NOISE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot banner banners sponsor sponsored sponsors promo promos promotion promoted "
-    "cookie cookies consent gdpr menu menus nav navbar navigation topnav subnav breadcrumb breadcrumbs "
-    "sidebar sidebars side aside widget widgets footer foot footnav header masthead topbar toolbar comment comments commentlist disqus reply replies "
-    "newsletter subscribe subscription signup popup modal overlay login register searchform pagination pager".split()
+ADVERT_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored sponsors promo promos promoted".split())
+FIRM_NAMES = ADVERT_NAMES | frozenset(
+    "consent gdpr nav navbar navigation topnav subnav breadcrumb breadcrumbs sidebar sidebars aside widget widgets footer footnav topbar toolbar "
+    "commentlist disqus newsletter popup modal searchform pagination pager".split()
 )
+LOOSE_NAMES = frozenset(  # beside a word of the subject they speak of the text: menu-review, code-comment
+    "banner banners promotion cookie cookies menu menus side foot header masthead comment comments reply replies subscribe subscription signup "
+    "overlay login register".split()
+)
+NOISE_NAMES = FIRM_NAMES | LOOSE_NAMES
 SOFT_NAMES = frozenset(  # words of articles too: they count where the whole name is made of them
     "notice notices notification alert announcement disclaimer rail respond discussion share sharing shares social follow related recommended "
     "recommendations trending popular search skip".split()
 )
 PLAIN_NAMES = frozenset(
     "area article articles bar block box button buttons container content form icon icons inner item items link links list main media outer "
-    "page panel post posts row section site stories story to top us wrap wrapper".split()
+    "page panel post posts row section site stories story to top us wrap wrapper "
+    "author big body bottom count date head heading id left meta primary right secondary slot small text thread title".split()
 )
 SOFT_OR_PLAIN = SOFT_NAMES | PLAIN_NAMES
+ARTICLE_WORDS = frozenset("article entry post story".split())  # their header is the article's
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PART_NAMES = frozenset("ad ads advert comment comments reply replies promo related recommended sponsor sponsored teaser".split())
 LAYOUT_WORDS = frozenset("with has have no without is".split())
@@ -66,6 +73,7 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'
 SPLIT_NAME = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"([a-z])([A-Z])")
 SPACE = re.compile(r"\s+")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 DOUBT = 0.75  # what is seen on n distinct pages counts as seen on so many fewer: the correction for few pages
 LEAST_BRANCH = 0.1  # importance below which a branch goes
@@ -75,6 +83,9 @@ SOFT_PRIOR = 0.5  # factor on the importance of a branch that is softly named on
 MOST_LINKED = 0.5  # share of link text from which a softly named part goes
 FORM_SHARE = 0.5  # share of a page's text from which a form is what wraps the page
 WRAPPER_SHARE = 0.9  # the same for a part with a name of noise
+MAIN_SHARE = 0.5  # share of what is left of the page from which its article and main parts stand for all of it
+ODD = 0x9E3779B97F4A7C15  # base of the hashes of block sequences
+MASK = (1 << 64) - 1
 KEPT, SOFT, NAMED, FORM, NEVER = range(5)  # what tag, role, class and id say of a part
 
 
@@ -89,7 +100,6 @@ class Node:
     noise: bool = False
     hidden: bool = False  # no text of the page, so no part of the tree
     children: list[str] = field(default_factory=list)
-    text: list[str] = field(default_factory=list)  # of the branch, for element statistics
 
 
 _paths: dict[tuple[int, str], int] = {}
@@ -121,7 +131,9 @@ def named(tag: str, attributes: dict[str, str], inside_main: bool) -> int:
     """What tag, role, class and id say of a part."""
     if tag in NO_TEXT:
         return NEVER
-    if attributes and ("hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()):
+    if attributes and ("hidden" in attributes or UNSEEN.search(attributes.get("style", ""))):
+        return NEVER
+    if attributes.get("aria-hidden") == "true" and tag not in INLINE:  # inline ones are there to be seen
         return NEVER
     roles = attributes.get("role", "").lower().split() if attributes else ()
     if tag == "form" or "form" in roles:
@@ -143,15 +155,27 @@ def named(tag: str, attributes: dict[str, str], inside_main: bool) -> int:
         found = NOISE_NAMES.intersection(words)
         if tag in MAIN_TAGS:
             found &= {words[0]}
+        if "header" in found and ARTICLE_WORDS.intersection(words):
+            found -= {"header"}
         if found and not (inside_main and found <= {"header", "side"}):
-            if name in classes or not (inside_main and (tag == "section" or "section" in classes)):
+            of_subject = found <= LOOSE_NAMES and not (found | SOFT_OR_PLAIN).issuperset(words)
+            heads = inside_main and name not in classes and (tag == "section" or "section" in classes)
+            if not (of_subject or heads):  # ids of an article's sections are made from their headings
                 return NAMED
-            most = SOFT  # ids of an article's sections are made from their headings
+            most = SOFT
         elif SOFT_NAMES.intersection(words) and SOFT_OR_PLAIN.issuperset(words):
             most = SOFT
     return most
 
 
+def mutes(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an inline element's text is no text of the page: not to be seen, or an advert."""
+    if not attributes:
+        return False
+    names = {word for key in ("class", "id") for word in SPLIT_NAME.split(CAMEL.sub(r"\1-\2", attributes.get(key, "")).lower())}
+    return "hidden" in attributes or bool(UNSEEN.search(attributes.get("style", ""))) or bool(ADVERT_NAMES & names)
+
+
 def settle(nodes: list[Node], blocks: list[tuple[int, str]], unclosed: set[int]) -> None:
     """Decide from names, links and shares of the text which elements are noise on their page."""
     sizes = [0] * len(nodes)
@@ -185,8 +209,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     nodes = [Node("", 0, -1, False)]
     blocks: list[tuple[int, str]] = []
     stack, parts, holder, at = [0], [], 0, 0
+    firm = [0]  # for each place of the stack the last place that holds no inline element
+    opened: Counter[str] = Counter()  # elements of a kind on the stack
+    muted: set[int] = set()  # open inline elements whose text does not count
     unclosed: set[int] = set()
-    links = 0  # open at this place
     ends_at: dict[str, int] = {}  # where the last end tag of a kind starts
 
     def flush() -> None:
@@ -198,12 +224,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             parts = []
 
     def close(index: int, own: bool = False) -> None:
-        nonlocal links
-        if any(nodes[i].tag not in INLINE for i in stack[index:]):
+        if firm[-1] >= index:
             flush()
         unclosed.update(i for i in stack[index + own :] if nodes[i].tag in EMBEDDED)
-        links -= sum(nodes[i].tag == "a" for i in stack[index:])
-        del stack[index:]
+        opened.subtract(nodes[i].tag for i in stack[index:])
+        muted.difference_update(stack[index:])
+        del stack[index:], firm[index:]
 
     def comes_end(tag: str) -> bool:
         if tag not in ends_at:
@@ -217,37 +243,29 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             text, after = page[at:], size
         else:
             text, after = page[at : token.start()], token.end()
-        if text:
+        if text and not muted:
             if not parts:
-                holder = next(i for i in reversed(stack) if nodes[i].tag not in INLINE)
+                holder = stack[firm[-1]]
             parts.append(text)
-            if links:
+            if opened["a"]:
                 nodes[holder].linked += len(text.strip())
         at = after
         if token is None or not (token[2] or token[5]):
             continue
         ends, tag, raw = (token[1], token[2].lower(), token[3]) if token[2] else (token[4], token[5].lower(), token[6])
         if ends:
-            for index in range(len(stack) - 1, 0, -1):
-                if nodes[stack[index]].tag == tag:
-                    close(index, True)
-                    break
-            else:
-                if tag == "p":
-                    flush()
+            if opened[tag]:
+                close(next(index for index in range(len(stack) - 1, 0, -1) if nodes[stack[index]].tag == tag), True)
+            elif tag == "p":
+                flush()
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag in CLOSES_PARAGRAPH:
-            for index in range(len(stack) - 1, 0, -1):
-                name = nodes[stack[index]].tag
-                if name == "p":
-                    close(index)
-                    break
-                if name not in INLINE:
-                    break
-        elif tag in CLOSED_BY_LIKE:
+            if nodes[stack[firm[-1]]].tag == "p":
+                close(firm[-1])
+        elif tag in CLOSED_BY_LIKE and any(opened[like] for like in CLOSED_BY_LIKE[tag].split()):
             like = CLOSED_BY_LIKE[tag].split()
             for index in range(len(stack) - 1, 0, -1):
                 name = nodes[stack[index]].tag
@@ -278,13 +296,46 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if not empty:
             stack.append(len(nodes) - 1)
-            links += tag == "a"
+            firm.append(firm[-1] if tag in INLINE else len(stack) - 1)
+            opened[tag] += 1
+            if tag in INLINE and mutes(tag, attributes):
+                muted.add(stack[-1])
     close(1)
     flush()
     settle(nodes, blocks, unclosed)
     return nodes, blocks
 
 
+def block_hash(text: str) -> int:
+    """The hash of a sequence of one block."""
+    return (xxhash.xxh64_intdigest(text) | 1) - (1 << 63)
+
+
+def contents_of(nodes: list[Node], blocks: list[tuple[int, str]]) -> dict[int, int]:
+    """A hash of the sequence of blocks below each element that has any, in time that does not grow with the depth.
+
+    A branch's blocks follow each other on the page, so sums of block hashes times powers of their places are added up
+    from child to parent, then moved to the place of the branch's first block.
+    """
+    sums: dict[int, int] = {}
+    first: dict[int, int] = {}
+    powers = [1]
+    for k, (holder, text) in enumerate(blocks):
+        if not nodes[holder].hidden:
+            sums[holder] = (sums.get(holder, 0) + (xxhash.xxh64_intdigest(text) | 1) * powers[k]) & MASK
+            first.setdefault(holder, k)
+        powers.append(powers[k] * ODD & MASK)
+    for i in range(len(nodes) - 1, 0, -1):
+        if i in sums:
+            parent = nodes[i].parent
+            sums[parent] = (sums.get(parent, 0) + sums[i]) & MASK
+            first[parent] = min(first.get(parent, first[i]), first[i])
+    back, inverse = [1], pow(ODD, -1, 1 << 64)
+    for _ in blocks:
+        back.append(back[-1] * inverse & MASK)
+    return {i: (value * back[first[i]] & MASK) - (1 << 63) for i, value in sums.items()}
+
+
 PRESENTATION, CONTENT, PRESENCE, SOFTLY, BLOCK = range(5)
 
 
@@ -296,39 +347,37 @@ def observations(page: str) -> tuple[bytes, set[tuple[int, int, int]]]:
     for holder, text in blocks:
         if not nodes[holder].noise:
             digest.update(f"{nodes[holder].path}>{text}\n")
-        at = holder
-        while at > 0:
-            nodes[at].text.append(text)
-            at = nodes[at].parent
-    seen = {(0, BLOCK, signed(text)) for holder, text in blocks if not nodes[holder].noise}
-    for node in nodes[1:]:
+    contents = contents_of(nodes, blocks)
+    seen = {(0, BLOCK, block_hash(text)) for holder, text in blocks if not nodes[holder].noise}
+    for i, node in enumerate(nodes[1:], 1):
         if node.hidden or node.tag in INLINE or node.tag in ("html", "body"):
             continue
-        runs = [tag for i, tag in enumerate(node.children) if tag not in INLINE and (not i or node.children[i - 1] != tag)]
+        runs = [tag for k, tag in enumerate(node.children) if tag not in INLINE and (not k or node.children[k - 1] != tag)]
         seen.add((node.path, PRESENTATION, signed(" ".join(runs))))
         seen.add((node.path, PRESENCE, 0))
         if node.named == SOFT:
             seen.add((node.path, SOFTLY, 0))
-        if node.text:
-            seen.add((node.path, CONTENT, signed("\n".join(node.text))))
+        if i in contents:
+            seen.add((node.path, CONTENT, contents[i]))
     return digest.digest(), seen
 
 
 def main_text(page: str, branches: frozenset[int] | set[int], contents: frozenset[int] | set[int]) -> str:
     """The page's blocks without named noise and without branches or content nodes of low importance.
 
-    Where a page marks an article or main part, only that part counts. Each branch is cut or kept by its own importance,
-    whatever share of the page it has.
+    Where article or main parts hold at least half (``MAIN_SHARE``) of the characters then left, they stand for the page;
+    a teaser in an article of its own does not displace the text beside it. Each branch is cut or kept by its own
+    importance, whatever share of the page it has.
     """
     nodes, blocks = parse(page)
-    kept = [(holder, text) for holder, text in blocks if not nodes[holder].noise]
-    if any(nodes[holder].main for holder, _ in kept):
-        kept = [(holder, text) for holder, text in kept if nodes[holder].main]
-    if branches or contents:
-        low = [False] * len(nodes)
+    low = [False] * len(nodes)
+    if branches:
         for i, node in enumerate(nodes[1:], 1):
             low[i] = low[node.parent] or node.path in branches
-        kept = [(holder, text) for holder, text in kept if not (low[holder] or signed(text) in contents)]
+    kept = [(holder, text) for holder, text in blocks if not (nodes[holder].noise or low[holder] or contents and block_hash(text) in contents)]
+    main = [(holder, text) for holder, text in kept if nodes[holder].main]
+    if main and sum(len(text) for _, text in main) >= MAIN_SHARE * sum(len(text) for _, text in kept):
+        kept = main
     return "\n\n".join(text for _, text in kept)
 
 

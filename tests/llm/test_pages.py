@@ -1,7 +1,11 @@
 """HTML extraction."""
 
 import html
+import math
+import random
 import re
+import time
+from collections import Counter, defaultdict
 
 from billscope.llm import sitetree
 from billscope.llm.queries import QUERIES, prepared
@@ -65,6 +69,47 @@ def test_wrappers_of_the_page_stay():
     assert text_of("<body><form>find <a href=x>all of it</a></form><p>Text of the page</p></body>") == "Text of the page"
 
 
+def test_a_teaser_is_not_the_page():
+    story = "a story told in a plain part " * 30
+    assert text_of(f"<body><div class=x><p>{story}</p></div><article>teaser</article></body>") == f"{story.strip()}\n\nteaser"
+    assert text_of(f"<body><div class=x>some links</div><article><p>{story}</p></article></body>") == story.strip()
+
+
+def test_names_beside_a_word_of_the_subject():
+    for name in ("post-header", "side-by-side", "menu-review", "code-comment", "signup-intro", "cookie-recipe"):
+        for page in ("<body><article><div class='{}'><h1>Head</h1></div><p>Text of it</p></article></body>", "<body><div class='{}'><h1>Head</h1></div><p>Text of it</p></body>"):
+            assert text_of(page.format(name)) == "Head\n\nText of it", name
+    for name in ("menu", "mainMenu", "comment-body", "comments", "reply-box", "header", "site-header", "cookie-bar", "signup-form", "footer-legal", "ad-leaderboard", "side"):
+        assert text_of(f"<body><div class='{name}'>noise</div><p>Text of it</p></body>") == "Text of it", name
+
+
+def test_inline_parts_nobody_reads():
+    for attribute in ("hidden", "style='display: none'", "style='visibility:hidden'", "class=advert", "class='ad-link'"):
+        assert text_of(f"<body><p>One <span {attribute}>no <b>no</b><a href=x>no</a></span>two</p><p>three</p></body>") == "One two\n\nthree", attribute
+        assert text_of(f"<body><p>One <span {attribute}>no</p><p>three</p></body>") == "One\n\nthree"  # never closed
+    assert text_of("<body><p>One <i aria-hidden=true>1</i> <span class='comment'>// kept</span></p></body>") == "One 1 // kept"
+
+
+def test_time_does_not_grow_with_depth():
+    pages = ["<div><p>some text</p>" * 8000, "<b>" * 8000 + "<b>x<p>y" * 1000, "<div>" * 8000 + "</x>" * 8000, "<ul>" + "<span>" * 8000 + "<li>x" * 1000, "<b>" * 8000 + "x<br>" * 8000]
+    for page in pages:
+        begin = time.process_time()
+        sitetree.observations(page)
+        text_of(page)
+        assert time.process_time() - begin < 2
+
+
+def test_contents_are_sequences_of_blocks():
+    def hashes(page):
+        nodes, blocks = sitetree.parse(page)
+        found = sitetree.contents_of(nodes, blocks)
+        return [found.get(i) for i, node in enumerate(nodes) if node.tag == "div"]
+
+    one, other = hashes("<p>before</p><div><p>a</p><ul><li>b<li>c</ul></div>"), hashes("<div>a<p>b</p><b>c</b></div><p>x</p>")
+    assert one == other and len({*one, *hashes("<div><p>a<p>c<p>b</div>"), *hashes("<div><p>a<p>b</div>"), *hashes("<div><p>ab<p>c</div>")}) == 4
+    assert hashes("<p>x</p><div><p>alone</p></div>") == [sitetree.block_hash("alone")] and hashes("<div><div hidden>x</div></div>") == [None, None]
+
+
 def site(n, extra=""):
     pages = []
     for i in range(n):
@@ -129,6 +174,47 @@ def test_a_page_meets_its_own_low_branches_only(spark):
     assert texts(spark, rows) == [f"page {t} {i}" for t in range(20) for i in range(8)]
 
 
+def direct_low(pages):
+    """Low branches and content nodes of one host's distinct pages, by the definition of importance."""
+    parts = defaultdict(lambda: defaultdict(Counter))
+    for seen in {digest: seen for digest, seen in map(sitetree.observations, pages)}.values():
+        for path, kind, value in seen:
+            if kind != sitetree.BLOCK:
+                parts[path][kind][value] += 1
+
+    def logs(n):
+        return math.log(max(n - sitetree.DOUBT, 1.0))
+
+    low = set()
+    for path, kinds in parts.items():
+        m = kinds[sitetree.PRESENCE][0]
+        if m < 2:
+            continue
+        presentation = 1 - sum(n / m * logs(n) / math.log(m) for n in kinds[sitetree.PRESENTATION].values())
+        contents = kinds[sitetree.CONTENT]
+        content = sum(n * (1 - logs(n) / math.log(m)) for n in contents.values()) / sum(contents.values()) if contents else 0.0
+        prior = 1 - (1 - sitetree.SOFT_PRIOR) * kinds[sitetree.SOFTLY][0] / m
+        if prior * ((1 - sitetree.CONTENT_SHARE) * presentation + sitetree.CONTENT_SHARE * content) < sitetree.LEAST_BRANCH:
+            low.add((path, sitetree.PRESENCE, 0))
+        low |= {(0, sitetree.BLOCK, value) for value, n in contents.items() if n > 1 and 1 - logs(n) / math.log(m) < sitetree.LEAST_CONTENT}
+    return low
+
+
+def test_importance_by_its_definition(spark):
+    draw = random.Random(5)
+    word = lambda most: f"w{draw.randrange(most)}"
+    pages = []
+    for i in range(60):
+        parts = ["<div class=logo>Our site</div>"]
+        parts += [f"<div class=mixed><p>{word(2)}</p></div>"] * draw.randrange(2) + [f"<div class=notice>{word(3)}</div>"] * draw.randrange(2)
+        parts += [f"<p>{i} {word(99)}</p>" for _ in range(draw.randrange(1, 5))] + ["<p>All rights reserved</p>"] + [f"<div class=rare>{'same' if draw.random() < 0.9 else word(9)}</div>"] * draw.randrange(2)
+        pages.append(f"<body>{''.join(parts)}</body>")
+    pages += pages[:9]
+    frame = prepared(spark).createDataFrame([(f"k{i}".encode(), "h", page) for i, page in enumerate(pages)], "key binary, host string, html string")
+    got = {(r["path"], r["kind"], r["value"]) for r in sitetree.site_trees(sitetree.observed(frame)).collect()}
+    assert got == direct_low(pages) and {kind for _, kind, _ in got} == {sitetree.PRESENCE, sitetree.BLOCK}
+
+
 def test_pages_of_the_data_set(spark):
     """Every page of the data set has one article; read it here by its tags alone."""
     got = {r["page_id"]: r["text"] for r in QUERIES["op3_html_extraction"](spark, SF).collect()}
