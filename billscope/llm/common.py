@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager, suppress
 
@@ -14,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billscope.session import cut
+
 # A batch is handled in pieces of about this many bytes of text; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
@@ -25,15 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the folder all executors share: computed once, readable after the loss of any executor.
 
-    The folder is the session's ``spark.checkpoint.dir``. Where that is unset (tests) the caller sets it first.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset (tests) the caller sets it first. Inside
+    ``with RunTables(spark): …`` the table belongs to that run and goes with it; results are written elsewhere in the block.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return cut(df, name)
 
 
 def fold(doc_id: str | object, parts: int):
@@ -46,19 +42,24 @@ def held_out(doc_id: str, parts: int, part: int):
     return F.coalesce(fold(doc_id, parts) == part, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, per_value: int) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, per_value: int, most_values: int = 100, most_rows: int | None = None) -> DataFrame:
     """``doc_id, key, text`` of at most ``per_value`` documents for each value of ``key``, chosen by a hash of the id.
 
     ``labels`` has (doc_id, key) rows; null ids and values are left out, repeated ones count once, and of documents with one
-    id the smallest text stands for all. Only labels are shuffled, thinned beforehand to about the wanted number; the chosen
-    ids, at most ``per_value`` times the number of values, go to the documents as a broadcast, so texts stay where they are.
+    id the smallest text stands for all. Of more than ``most_values`` values the most frequent are learned from (ties: the
+    smaller), so a column full of stray values bounds what is fitted, and no more than about ``most_rows`` in all, shared
+    equally. Only labels are shuffled, thinned beforehand to about
+    the wanted number; the chosen ids, at most ``per_value * most_values``, go to the documents as a broadcast, so texts
+    stay where they are.
     """
     from pyspark.sql import Window
 
     known = labels.select("doc_id", key).where(F.col("doc_id").isNotNull() & F.col(key).isNotNull()).distinct()
-    counts = {row[key]: row["count"] for row in known.groupBy(key).count().collect()}
+    counts = {row[key]: row["count"] for row in known.groupBy(key).count().orderBy(F.desc("count"), key).limit(most_values).collect()}
     if not counts:
         return docs.sparkSession.createDataFrame([], known.schema.add("text", "string"))
+    if most_rows is not None:
+        per_value = min(per_value, max(1, most_rows // len(counts)))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     bound = F.element_at(F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, int((1 << 30) * min(1.0, 1.2 * per_value / n + 20 / n)))]), F.col(key))
     order = Window.partitionBy(key).orderBy(F.xxhash64("doc_id"), "doc_id")

@@ -127,14 +127,15 @@ def votes(names: list[str], machines: list[Machine], rows: np.ndarray) -> tuple[
     return best, mean[np.arange(len(rows)), best]
 
 
-def fit(docs: DataFrame, per_language: int = 600) -> Model | None:
+def fit(docs: DataFrame, per_language: int = 600, most_languages: int = 100, documents: int = 20_000) -> Model | None:
     """A model from documents (doc_id, text, lang) whose language is known, or None without any.
 
-    At most ``per_language`` documents of each language are used, chosen by a hash of the id; only their features reach
-    the driver. Languages come from the data, families from the table above.
+    At most ``per_language`` documents of each language and ``documents`` in all are used, chosen by a hash of the id; only
+    their features reach the driver. Languages come from the data, families from the table above; of more than ``most_languages`` values of
+    ``lang`` the most frequent are learned, so stray values neither fill the driver nor multiply the duels.
     """
     lettered = docs.where(F.col("text").rlike(r"\p{L}"))
-    sample = labelled_sample(lettered, lettered, "lang", per_language)
+    sample = labelled_sample(lettered, lettered, "lang", per_language, most_languages, documents)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
