@@ -116,6 +116,13 @@ def split_words(texts: pa.Array, ascii_only: bool = False) -> tuple[pa.Array, np
     return encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False), starts
 
 
+def give_back() -> None:
+    """Hand the pages of freed objects back to the machine where the C library can, so that what comes next has them."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @contextmanager
 def word_table(forget: Callable[[], None]) -> Iterator[None]:
     """A task that keeps a table of words: no full collector passes over it (it holds no cycles; they cost a third of the
@@ -127,9 +134,7 @@ def word_table(forget: Callable[[], None]) -> Iterator[None]:
     finally:
         forget()
         gc.enable()
-        pa.default_memory_pool().release_unused()
-        with suppress(OSError, AttributeError):  # hand freed pages back where the C library can
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
 
 def per_text(values: np.ndarray, starts: np.ndarray, ufunc, empty):

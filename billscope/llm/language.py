@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.llm.common import carried, labelled_sample, pieces, schema_of, sigmoid, texts_of
+from billscope.llm.common import carried, give_back, labelled_sample, pieces, schema_of, sigmoid, texts_of
 from billscope.llm.svm import fit_logistic, fit_svm
 
 # Families of ISO 639-1 codes. A code outside the table is a family of its own.
@@ -83,7 +83,7 @@ class Machine:
 def machine(first: str, second: str, rows: np.ndarray, is_first: np.ndarray) -> Machine:
     each = np.where(is_first, 0.5 / max(is_first.sum(), 1), 0.5 / max((~is_first).sum(), 1)) * len(rows)
     w, bias = fit_svm(rows, np.where(is_first, 1.0, -1.0), each, c=10.0)
-    margin = (rows @ w + bias)[:, None]
+    margin = np.concatenate([rows[i : i + 256] @ w for i in range(0, len(rows), 256)])[:, None] + bias  # no copy in double precision
     slope, shift = fit_logistic(margin, is_first.astype(float))
     return Machine(first, second, w.astype(np.float32), bias, float(slope[0]), shift)
 
@@ -147,19 +147,25 @@ def fit(docs: DataFrame, per_language: int = 600, most_languages: int = 100, doc
     if not seen:
         return None
     langs = np.array([row["lang"] for row in seen], dtype=object)
-    matrix = np.stack([np.frombuffer(row["features"], dtype=np.float16) for row in seen]).astype(np.float32)
+    matrix = np.empty((len(seen), WIDTH), dtype=np.float32)
+    for i, row in enumerate(seen):
+        matrix[i] = np.frombuffer(row["features"], dtype=np.float16)
+    del seen, row
     families: dict[str, list[str]] = {}
     for lang in sorted(set(langs)):
         families.setdefault(family_of(lang), []).append(lang)
     own = np.array([family_of(lang) for lang in langs], dtype=object)
-    return Model(families, duels(sorted(families), own, matrix), {name: duels(members, langs, matrix) for name, members in families.items()})
+    model = Model(families, duels(sorted(families), own, matrix), {name: duels(members, langs, matrix) for name, members in families.items()})
+    del matrix
+    give_back()
+    return model
 
 
 def duels(names: list[str], groups: np.ndarray, matrix: np.ndarray) -> list[Machine]:
     out = []
     for a, b in combinations(names, 2):
         at = (groups == a) | (groups == b)
-        out.append(machine(a, b, matrix[at], groups[at] == a))
+        out.append(machine(a, b, matrix if at.all() else matrix[at], groups[at] == a))
     return out
 
 

@@ -10,13 +10,15 @@ from billscope.llm.common import sigmoid
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, c: float = 10.0, rounds: int = 30):
     """Weights and bias of a linear machine with squared hinge loss; ``y`` is -1 or 1.
 
-    Newton's method on the rows inside the margin. With fewer rows than columns each step is solved over rows
-    (the Gram matrix), else over columns; both give the same machine.
+    Newton's method on the rows inside the margin. With no more rows than columns each step is solved over rows
+    (the Gram matrix, computed once in blocks of rows, so no copy of ``x`` is made), else over columns; both give the same machine.
     """
-    x1 = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
     weight = np.ones(len(x)) if weight is None else weight
-    w = np.zeros(x1.shape[1])
     inside = np.ones(len(x), dtype=bool)
+    if len(x) <= x.shape[1]:
+        return fit_over_rows(x, y, weight, c, rounds)
+    x1 = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
+    w = np.zeros(x1.shape[1])
     for _ in range(rounds):
         rows, target, loss = x1[inside], y[inside], c * weight[inside]
         if len(rows) < x1.shape[1]:
@@ -34,6 +36,32 @@ def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, c: f
     return w[:-1], float(w[-1])
 
 
+def fit_over_rows(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, rounds: int, block: int = 256):
+    """``fit_svm`` with one unknown per row; the bias is a column of ones, so a one in every product of rows."""
+    starts = range(0, len(x), block)
+    gram = np.empty((len(x), len(x)))
+    for i in starts:
+        rows = x[i : i + block].astype(np.float64)
+        for j in starts:
+            gram[i : i + block, j : j + block] = rows @ x[j : j + block].astype(np.float64).T + 1.0
+    inside = np.ones(len(x), dtype=bool)
+    share = np.zeros(len(x))
+    for _ in range(rounds):
+        at = np.flatnonzero(inside)
+        part = gram[np.ix_(at, at)]
+        part[np.diag_indices_from(part)] += 1.0 / (c * weight[at])
+        share = np.zeros(len(x))
+        share[at] = np.linalg.solve(part, y[at].astype(np.float64))
+        now = y * (gram @ share) < 1
+        if (now == inside).all() or not now.any():
+            break
+        inside = now
+    w = np.zeros(x.shape[1])
+    for i in starts:
+        w += share[i : i + block] @ x[i : i + block].astype(np.float64)
+    return w, float(share.sum())
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50):
     """Weights and bias of a logistic model (Newton steps); ``y`` is 0 or 1, smoothed as Platt proposes."""
     x1 = np.hstack([x, np.ones((len(x), 1))])

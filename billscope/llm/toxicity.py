@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.llm.common import carried, labelled_sample, per_text, pieces, schema_of, sigmoid, texts_of, written
+from billscope.llm.common import carried, give_back, labelled_sample, per_text, pieces, schema_of, sigmoid, texts_of, written
 from billscope.llm.svm import fit_svm
 
 LETTERS = 27  # a-z, and one that stands between texts and in no subsequence
@@ -421,6 +421,7 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: Sizes = Sizes()) -> Model | N
             return None
         toxic, weight, clean, near, marks = taught(cores, windows, [*hard, *plain[: sizes.plain]])
         table, bias = machine(toxic, weight, clean, near, marks, sizes.landmarks)
+        give_back()
     model = Model(table, bias, np.array([1.0, 0.0]), 0.0)
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -431,6 +432,7 @@ def fit(docs: DataFrame, labels: DataFrame, sizes: Sizes = Sizes()) -> Model | N
 
     rows = np.array([tuple(row) for row in sample.select("text", "toxic").mapInArrow(run, "best double, above double, toxic int").collect()])
     model.scale, model.shift = calibrated(rows[:, 0], rows[:, 2])
+    give_back()
     return model
 
 
