@@ -34,7 +34,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     smallest digest; of rows equal in both the one with the smallest other columns. So texts that are no duplicates stay,
     also under one id. Rows without an id come after those with one: a component of such rows only keeps one of them.
 
-    The rows that go are taken out by an anti join on 16 bytes, so a short list of them is broadcast by the engine.
+    Whole rows are exchanged once, by a key of 16 bytes: the least of the rows with one key is taken before and after that exchange,
+    and the list of rows that go meets them there.
     """
     prepared(spark)
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
@@ -46,11 +47,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     groups = simhash.near_duplicates(rows, words=4, limit=4, id_col="_row")
     gone = written(groups.where(~F.col("_row").eqNullSafe(F.col("component_id"))).select(key("_row")).distinct(), "gone")
-    keyed = rows.withColumn("_key", key("_row")).drop("_row")
-    repeated = written(keyed.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"), "repeated")
-    kept = keyed.join(gone, "_key", "left_anti")
-    once = kept.join(repeated, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
-    return kept.join(repeated, "_key", "left_anti").select(*COLUMNS).unionByName(once)
+    once = rows.select(key("_row"), F.struct(*COLUMNS).alias("row")).groupBy("_key").agg(F.min("row").alias("row"))
+    return once.join(gone, "_key", "left_anti").select("row.*")
 
 
 def free_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

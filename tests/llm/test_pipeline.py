@@ -83,3 +83,8 @@ def test_run_gives_the_tokens_of_what_is_left(spark, docs):
     for row in got:
         found = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
         assert row["n_tokens"] == len(found) and row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_near_duplicates_read_and_exchange_whole_rows_once(spark, docs):
+    plan = pipeline.one_of_each_group(spark, docs, SF)._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() == 2  # the documents and the list of rows that go
