@@ -1,10 +1,12 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from billscope.params import ReportParams
+from billscope.plans import active_report as active
 from billscope.plans.active_report import in_force_or_future, without_foreign_holders
 from billscope.plans.brick_distribution import brick_distribution
 from billscope.plans.daily_sales import LENS_RULES, category, daily_sales
@@ -174,3 +176,38 @@ def test_foreign_holders(spark):
 
 def test_yesterday():
     assert ReportParams(as_of=D(2024, 1, 1)).yesterday == D(2023, 12, 31)
+
+
+@pytest.fixture
+def plain_plans(spark):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_rows_of_the_active_report_are_not_exchanged_by_all_their_columns(spark, plain_plans):
+    made = {name: "string" for name in [*active.DISPLAY, "hold"]} | {"summ_plan": "decimal(19,4)"}
+    rows = spark.createDataFrame([], ", ".join(f"{name} {kind}" for name, kind in made.items()))
+    keys = re.findall(r"Exchange hashpartitioning\((.*)\), ENSURE", active.rolled_up(rows)._jdf.queryExecution().executedPlan().toString())
+    assert keys and not any("agent_name#" in key for key in keys)
+
+
+def test_wide_rows_of_the_active_report_are_exchanged_by_client_and_bill_only(spark, plain_plans):
+    kinds = {
+        "subscriptions": "client_id long, agent_id long, bill_id long, tariff_name string, since date, up_to date, is_real int",
+        "clients": "client_id long, inn string, kpp string",
+        "bills": "bill_id long, bill_date date, bill_sum decimal(19,4), payed decimal(19,4), pay_date date",
+        "agents": "agent_id long, code string, agent_name string, center_segment string, department string",
+        "org_registry": "inn string, kpp string, short_name string, role string, revenue_last_known decimal(19,4), status string",
+        "payer_links": "payer_id long, expiration_date date, product_id string, center_code string",
+        "tracker": "custom_variables string, site_id string, category string, action string, event_date date",
+        "bill_lines": "bill_id long, price_set_name string, doc_sum decimal(19,4), cost decimal(19,4)",
+        "segmentation": "inn string, segment string",
+    }
+    detail = active.detail_rows({name: spark.createDataFrame([], kind) for name, kind in kinds.items()}, ReportParams(as_of=D(2020, 1, 1)))
+    keys = re.findall(r"Exchange hashpartitioning\((.*)\), ENSURE", detail._jdf.queryExecution().executedPlan().toString())
+    assert keys and not any("bill_sum#" in key or "short_name#" in key for key in keys)
