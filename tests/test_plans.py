@@ -211,3 +211,17 @@ def test_wide_rows_of_the_active_report_are_exchanged_by_client_and_bill_only(sp
     detail = active.detail_rows({name: spark.createDataFrame([], kind) for name, kind in kinds.items()}, ReportParams(as_of=D(2020, 1, 1)))
     keys = re.findall(r"Exchange hashpartitioning\((.*)\), ENSURE", detail._jdf.queryExecution().executedPlan().toString())
     assert keys and not any("bill_sum#" in key or "short_name#" in key for key in keys)
+
+
+def test_tasks_read_16_mb_unless_the_session_names_another_size(spark):
+    from billscope.session import TASK_INPUT, tune
+
+    key, wanted = TASK_INPUT
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        assert tune(spark).conf.get(key) == wanted == "16m"
+        spark.conf.set(key, "8m")
+        assert tune(spark).conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
