@@ -183,3 +183,50 @@ def test_tag_matches_equals_like(spark):
     got = tag_matches(df, "id", "text", spark.createDataFrame([(t,) for t in tags + ["RED"]], "tags string"), "tags")
     found = [tuple(r) for r in got.collect()]
     assert len(found) == len(set(found)) and set(found) == want
+
+
+def mentions(texts, tags):
+    """Pairs of ``LIKE``, by brute force."""
+    import re
+
+    def like(pattern):
+        return re.compile("".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in pattern), re.S)
+
+    found = [(t, [like(p) for p in (f"%#{t}%", f"% {t}%", f"{t}%")]) for t in {t.lower() for t in tags}]
+    return {(i, t) for i, text in enumerate(texts) if text is not None for t, ps in found if any(p.fullmatch(text.lower()) for p in ps)}
+
+
+def test_tag_matches_of_all_kinds(spark):
+    import random
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abé") for _ in range(rng.randint(0, 5)))
+    texts = ["".join(word() + rng.choice([" ", " ", "#", "  ", "_", "%", "\n"]) for _ in range(rng.randint(0, 9))) for _ in range(60)] + ["a" * 40 + "b", "x" + "ab" * 20]
+    tags = {word() for _ in range(40)} | {"%" + word() for _ in range(15)} | {word() + "%" + word() for _ in range(15)} | {f"%{word()}%" for _ in range(15)}
+    tags |= {word() + " " + word() for _ in range(15)} | {word() + "#" + word() for _ in range(8)} | {word() + "_" + word() for _ in range(8)}
+    tags |= {"a" * 33, "a" * 41, "%" + "ab" * 18, "%ab%" + "a" * 33, "a" * 20 + "%b", "a%", "a%%", "%%", " ", "# ", ""}
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for some in (tags, {" ", "# "}, {"%%", "_"}, {"a b"}, {"%ab"}):
+        got = tag_matches(df, "id", "text", spark.createDataFrame([(t,) for t in some], "tags string"), "tags")
+        found = [tuple(r) for r in got.collect()]
+        assert len(found) == len(set(found)) and set(found) == mentions(texts, some)
+
+
+def test_tag_matches_keys_met_twice_count_once(spark):
+    texts = spark.createDataFrame([(1, "red bolt"), (1, "reddish #bolt"), (None, "red"), (None, "a redo"), (2, None)], "id int, text string")
+    got = tag_matches(texts, "id", "text", spark.createDataFrame([("red",), ("%olt",)], "tags string"), "tags")
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, "%olt"), (1, "red"), (None, "red")]
+
+
+def test_tag_matches_moves_no_words(spark):
+    """A tag of one word is found without an exchange of the words of texts, and texts are written as they are, not word by word."""
+    import glob
+
+    from billscope.session import RunTables
+
+    many = spark.range(300).selectExpr("cast(id as int) id", "array_join(transform(sequence(1, 200), i -> concat('w', (id * 7 + i * 13) % 900)), ' ') text")
+    with RunTables(spark) as run:
+        got = tag_matches(many, "id", "text", spark.createDataFrame([("w1",), ("w22",)], "tags string"), "tags")
+        rows = [spark.read.parquet(path).count() for path in glob.glob(f"{run.path.removeprefix('file:')}/*/*")]
+        assert rows and max(rows) <= 300
+        assert got.count() == many.selectExpr("id", "explode(split(text, ' ')) w").selectExpr("id", "explode(array('w1', 'w22')) t", "w").where("startswith(w, t)").select("id", "t").distinct().count()
